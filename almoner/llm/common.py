@@ -123,9 +123,10 @@ def translate_bytes(texts: pa.Array, table: bytes) -> pa.Array:
     """Each byte replaced by table[byte]; table must keep UTF-8 valid."""
     if not len(texts):
         return texts
-    texts = pa.concat_arrays([texts]) if texts.offset == 0 else pa.array(texts.to_pylist(), texts.type)
     _, offsets, data = texts.buffers()
-    return pa.Array.from_buffers(texts.type, len(texts), [None, offsets, pa.py_buffer((data.to_pybytes() if data else b"").translate(table))])
+    offsets = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    body = (data.slice(offsets[0], offsets[-1] - offsets[0]).to_pybytes() if data else b"").translate(table)
+    return pa.Array.from_buffers(texts.type, len(texts), [None, pa.py_buffer((offsets - offsets[0]).tobytes()), pa.py_buffer(body)])
 
 
 def mix(h: np.ndarray) -> np.ndarray:

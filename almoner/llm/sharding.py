@@ -25,9 +25,9 @@ def byte_shards(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", t
     thin = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("text_crc32"))
     order = [F.col("doc_id").asc_nulls_first(), F.col("text_crc32"), F.col("size")]
     placed = with_starts(ranged(write_table(thin, "sizes"), order, "ranges"), order, "size", [])
-    total = placed.select(F.max(F.col("_start") + F.col("size")).alias("_total"))
-    cut = F.least(F.lit(shards - 1).cast("long"), F.expr(f"((2 * _start + size) * {shards}L) div (2 * _total)")).cast("int")
-    placed = placed.crossJoin(F.broadcast(total)).withColumn("shard", cut)  # total: one row
+    total = placed.agg(F.max(F.col("_start") + F.col("size"))).first()[0] or 1
+    cut = F.least(F.lit(shards - 1).cast("long"), F.expr(f"((2 * _start + size) * {shards}L) div {2 * total}L")).cast("int")
+    placed = placed.withColumn("shard", cut)
     firsts = placed.groupBy(F.col("shard").alias("_shard")).agg(F.min("_at").alias("_first"))
     placed = placed.join(F.broadcast(firsts), F.col("shard") == F.col("_shard"))  # a row for each shard
     return placed.select("doc_id", "size", "text_crc32", F.col("_start").alias("start"), "shard", (F.col("_at") - F.col("_first")).alias("slot"))

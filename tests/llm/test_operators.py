@@ -1,0 +1,502 @@
+"""The text operators against brute force, on small fixtures with nulls, ties, repeats and empty tables."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+from itertools import combinations
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from almoner.llm import decontaminate, katz, language, line_templates, mixing, near, repetition, sharding, toxicity, url_filter
+from almoner.llm.components import components
+
+WORD = re.compile("[^\x20\x09-\x0d]+")
+lower = lambda s: s.translate({c: c + 32 for c in range(65, 91)})
+
+
+def docs_of(spark, rows, schema="doc_id long, text string, source string"):
+    return spark.createDataFrame(rows, schema)
+
+
+def some_docs(seed=3, n=120):
+    r = random.Random(seed)
+    words = ["the", "of", "Ab", "cd", "é", "x1"] + [f"w{k}" for k in range(60)]
+    out = []
+    for k in range(n):
+        text = "".join(r.choice(words) + r.choice([" ", " ", " ", "\n", "\t "]) for _ in range(r.randint(0, 90)))
+        out.append((k, text, r.choice(["a", "b", "é", None])))
+    for k in range(n, n + 30):
+        base = out[r.randrange(n)][1].split(" ")
+        if len(base) > 3:
+            base[r.randrange(len(base))] = "edited"
+        out.append((k, " ".join(base), "b"))
+    return out + [(n + 40, None, "a"), (n + 41, "", None), (n + 42, " \n", "a"), (n + 43, out[5][1], "a"), out[7]]
+
+
+# quality rules
+
+
+def brute_repetition(text, m=8):
+    w = WORD.findall(text or "")
+    windows = Counter(tuple(w[i : i + m]) for i in range(len(w) - m + 1))
+    covered = {j for i in range(len(w) - m + 1) if windows[tuple(w[i : i + m])] > 1 for j in range(i, i + m)}
+    longest = 0
+    for size in range(m, len(w)):
+        if max(Counter(tuple(w[i : i + size]) for i in range(len(w) - size + 1)).values()) < 2:
+            break
+        longest = size
+    seen, dup = set(), 0
+    for line in (text or "").split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    return {
+        "n_words": len(w), "word_chars": sum(map(len, w)), "n_symbols": len(re.findall(r"[#*$%&|<>]", text or "")), "n_dup_lines": dup,
+        "n_repeat_words": len(covered), "repeat_chars": sum(len(w[i]) for i in covered), "longest_repeat": longest,
+    }
+
+
+def test_repetition_matches_brute_force():
+    r = random.Random(1)
+    texts = ["", " ", "a", "a " * 70, "\n\na b\n a b\na b", "é#*  x y\x85z\x1c"]
+    texts += ["".join(r.choice(["a", "b", "cc", "dé"]) + r.choice([" ", "\n", " \t"]) for _ in range(r.randint(0, 90))) for _ in range(150)]
+    for text, got in zip(texts, repetition.measure(pa.array(texts), 8).to_pylist(), strict=True):
+        spans = got.pop("repeat_spans")
+        assert got == brute_repetition(text)
+        assert sum(s["end"] - s["start"] for s in spans) == got["n_repeat_words"]
+
+
+def test_repetition_verdict(spark):
+    clean = " ".join(f"word{k}" for k in range(60))
+    rows = [(1, clean, "a"), (2, "short text", "a"), (3, "again and " * 40, "a"), (4, None, "a"), (5, clean + " " + " ".join(f"z{k}" for k in range(800)) + " " + clean, "a")]
+    got = {r.doc_id: r.repetition for r in repetition.judged(docs_of(spark, rows).withColumn("repetition", F.lit(1))).collect()}
+    assert {k: v.kept for k, v in got.items()} == {1: True, 2: False, 3: False, 4: False, 5: True}
+    assert got[5].longest_repeat == 60 and not got[5].base_failed
+    assert repetition.judged(docs_of(spark, [])).count() == 0
+
+
+# address filter
+
+
+def test_cascade_is_exact(spark):
+    keys = spark.range(3000).select(F.concat(F.lit("h"), "id").alias("key"), (F.col("id") % 7 == 0).alias("listed"))
+    c = url_filter.Cascade(keys, bits_per_key=3)
+    assert c.fits and len(c.levels) > 2
+    assert keys.filter(c.member(F.col("key")) != F.col("listed")).count() == 0
+    assert not url_filter.Cascade(keys, most_bytes=1).fits
+
+
+def test_urls(spark):
+    urls = {
+        "http://A.com/x?y": ("a.com", "/x", "com/", "allow"),
+        "https://www.example.com/en/1": ("www.example.com", "/en/1", "www.example.com/en/", "allow"),
+        "https://m.example.com/en/1#t": ("m.example.com", "/en/1", "example.com/en/", "block"),
+        "http://a.net/fr/": ("a.net", "/fr/", "net/fr/", "block"),
+        "http://x.spam-farm.example.org": ("x.spam-farm.example.org", "", None, "block"),
+        "http://notspam-farm.example.org/": ("notspam-farm.example.org", "/", None, "allow"),
+        "no scheme": ("", "", None, "allow"),
+        None: ("", "", None, "allow"),
+    }
+    pages = spark.createDataFrame([(k, u) for k, u in enumerate(urls)], "page_id long, url string")
+    listed = spark.createDataFrame([(d,) for d in url_filter.LISTED], "domain string")
+    for how in ({}, {"most_bytes": 0}):
+        got = {r.url: r.url_filter for r in url_filter.filter_urls(pages, listed, **how).collect()}
+        assert {u: (f.host, f.path, f.rule, "allow" if f.allowed else "block") for u, f in got.items()} == urls
+    assert url_filter.filter_urls(pages.limit(0), listed).count() == 0
+    assert url_filter.filter_urls(pages, listed.limit(0)).filter("url_filter.listed").count() == 0
+
+
+# language
+
+
+def test_kneser_ney_sums_to_one():
+    words, counts = ["abba", "ab", "cab", "ba"], np.array([3.0, 5, 2, 1])
+    grams, contexts, floor = language.kneser_ney(words, counts, 3)
+    m = language.Models(["x"], 3, [(h, v[:, None]) for h, v in grams], [(h, v[:, None]) for h, v in contexts], np.array([floor]))
+    for start in ("", "a", "ab", "abb", "c"):
+        # probabilities of every next symbol after `start`, by differences of whole-run scores
+        symbols = ["a", "b", "c", chr(language.END)]
+        logs = []
+        for s in symbols:
+            codes = np.array([language.BEGIN, *map(ord, start), ord(s)], np.uint64)
+            logs.append(_next(m, codes))
+        unseen = _next(m, np.array([language.BEGIN, *map(ord, start), ord("z")], np.uint64))
+        assert math.isclose(sum(map(math.exp, [*logs, unseen])), 1, abs_tol=1e-9)
+
+
+def _next(m, codes):
+    h, at, weight = language.gram_hashes(codes, m.order), len(codes) - 1, 0.0
+    for n in range(min(m.order, len(codes)), 0, -1):
+        row = language._find(m.grams[n - 1][0], h[n - 1][at : at + 1])[0]
+        if row >= 0:
+            return weight + m.grams[n - 1][1][row, 0]
+        row = 0 if n == 1 else language._find(m.contexts[n - 1][0], h[n - 2][at - 1 : at])[0]
+        weight += m.contexts[n - 1][1][row, 0] if row >= 0 else 0
+    return weight + m.floor[0]
+
+
+def test_language_held_out(spark, data):
+    rows = language.op3(spark, data).collect()
+    truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "lang").collect()}
+    held = [r for r in rows if r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in rows)
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in held]) > 0.9
+
+
+def test_language_edges(spark):
+    docs = spark.createDataFrame([(1, None, "en"), (2, "12 34 !", "en"), (3, "the then", "en"), (4, "der und", "de"), (5, "", None)], "doc_id long, text string, lang string")
+    models = language.fit(docs, F.lit(True), docs_per_language=10**9)
+    got = {r.doc_id: r.language for r in language.identify(docs, models).collect()}
+    assert [got[k].lang_pred for k in (1, 2, 5)] == ["und"] * 3 and got[1].score == 0
+    none = language.fit(docs.limit(0), F.lit(True))
+    assert {r.language.lang_pred for r in language.identify(docs, none).collect()} == {"und"}
+
+
+# language-model scores
+
+
+def brute_katz(rows, train):
+    docs = {k: [*WORD.findall(lower(t or "")), "</s>"] for k, t in rows}
+    uni, bi = Counter(), Counter()
+    for k in train:
+        uni.update(docs[k])
+        bi.update(zip(["<s>", *docs[k]], docs[k]))
+    n = sum(uni.values())
+
+    def discounts(counts):
+        cc, k = Counter(counts.values()), katz.MOST_DISCOUNTED
+        d = {}
+        if cc[1] and (x := (k + 1) * cc[k + 1] / cc[1]) < 1:
+            d = {r: ((r + 1) * cc[r + 1] / cc[r] / r - x) / (1 - x) if cc[r] else -1 for r in range(1, k + 1)}
+        if not d or not all(0 < v < 1 for v in d.values()):
+            cut = cc[1] / (cc[1] + 2 * cc[2]) if cc[1] and cc[2] else 0.5
+            d = {r: 1 - cut / r for r in range(1, k + 1)}
+        return d
+
+    d1, d2 = discounts(uni), discounts(bi)
+    spare = 1 - sum(d1.get(c, 1) * c for c in uni.values()) / n if n else 1
+    unknown = spare if spare > 1e-12 else 1 / (n + 1)
+    p1 = lambda w: (1 - unknown) / (1 - spare) * d1.get(uni[w], 1) * uni[w] / n if uni[w] else unknown
+    after, context = defaultdict(dict), Counter()
+    for (h, w), c in bi.items():
+        after[h][w] = c
+        context[h] += c
+
+    def p2(h, w):
+        if not context[h]:
+            return p1(w)
+        spent = sum(d2.get(c, 1) * c / context[h] for c in after[h].values())
+        left = 1 - spent if 1 - spent >= 1e-9 else 1 / (context[h] + 1)
+        if w in after[h]:
+            return (1 - left) / spent * d2.get(after[h][w], 1) * after[h][w] / context[h]
+        return left / (1 - sum(map(p1, after[h]))) * p1(w)
+
+    out = {}
+    for k, tokens in docs.items():
+        base = sum(math.log10((uni[w] + 1) / (n + len(uni) + 1)) for w in tokens)
+        out[k] = len(tokens), sum(uni[w] > 0 for w in tokens), n, base, sum(math.log10(p2(h, w)) for h, w in zip(["<s>", *tokens], tokens))
+    for h in list(context)[:20]:  # exactly normalised
+        assert math.isclose(sum(p2(h, w) for w in uni) + p2(h, "never seen"), 1, rel_tol=1e-9)
+    return out
+
+
+@pytest.mark.parametrize("pack", [40, 10**6])
+def test_katz_matches_brute_force(spark, monkeypatch, pack):
+    monkeypatch.setattr(katz, "PACK_WORDS", pack)
+    rows = [(k, t) for k, t, _ in some_docs()[:-1]]
+    train = {k for k, _ in rows if zlib.crc32(str(k).encode()) % 7 != 2}
+    model = katz.Katz(docs_of(spark, rows, "doc_id long, text string"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2)
+    want = brute_katz(rows, train)
+    got = {r.doc_id: r for r in model.scores().collect()}
+    assert got.keys() == want.keys()
+    for k, r in got.items():
+        assert (r.n_tokens, r.n_known, r.train_tokens, r.trained) == (*want[k][:3], k in train)
+        assert r.base_score == pytest.approx(want[k][3]) and r.score == pytest.approx(want[k][4])
+    assert model.tables[1].filter("model").count() > 0
+
+
+def test_katz_edges(spark):
+    docs = docs_of(spark, [(1, "a b", "x"), (1, "a b", "x"), (2, None, None)])
+    assert [r.score for r in katz.Katz(docs, F.lit(False)).scores().collect()] == [0, 0, 0]
+    assert katz.Katz(docs, F.lit(True)).scores().count() == 3
+    assert katz.Katz(docs.limit(0), F.lit(True)).scores().count() == 0
+
+
+# sharding
+
+
+def test_shards(spark):
+    rows = [*some_docs(), (None, "no id", "a"), (None, None, None)]
+    got = sharding.contract(docs_of(spark, rows)).collect()
+    sizes = sorted(len((t or "").encode()) + 1 for _, t, _ in rows)
+    assert sorted(r["size"] for r in got) == sizes and len(got) == len(rows)
+    by = defaultdict(list)
+    for r in got:
+        by[r.shard].append(r)
+    assert set(by) == set(range(8))
+    for rs in by.values():
+        assert sorted(r.slot for r in rs) == list(range(len(rs)))
+    total = {s: sum(r["size"] for r in rs) for s, rs in by.items()}
+    assert max(total.values()) - min(total.values()) <= 2 * max(sizes)
+    order = [r.doc_id for s in range(8) for r in sorted(by[s], key=lambda r: r.slot)]
+    assert order == sorted(order, key=lambda x: (x is not None, x or 0))
+    texts = {k: t for k, t, _ in rows if k is not None}
+    assert all(r.text_crc32 == zlib.crc32((texts[r.doc_id] or "").encode()) for r in got if r.doc_id is not None)
+    assert sharding.contract(docs_of(spark, [])).count() == 0
+
+
+# decontamination
+
+
+def brute_benchmark(text, items):
+    pattern = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+    w = pattern.findall(lower(text or ""))
+    hit, names = set(), set()
+    for name, body in items:
+        v = pattern.findall(lower(body or ""))
+        n = min(8, len(v))
+        for i in range(len(v) - n + 1) if n else ():
+            for k in range(len(w) - n + 1):
+                if w[k : k + n] == v[i : i + n]:
+                    hit |= set(range(k, k + n))
+                    names.add(str(name))
+    return len(w), hit, sorted(names)
+
+
+@pytest.mark.parametrize("block", [5, 10**6])
+def test_decontamination_matches_brute_force(spark, block):
+    r = random.Random(5)
+    docs = some_docs(9)
+    items = [(k, " ".join(re.findall(r"\w+", docs[r.randrange(100)][1])[:r.choice([3, 8, 12])])) for k in range(25)] + [(90, ""), (91, None), (3, "the; of"), (92, docs[4][1])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.find_benchmark(docs_of(spark, docs).withColumn("benchmark", F.lit(0)), bench, block_words=block)
+    got = found.collect()
+    for x in got:
+        n, hit, names = brute_benchmark(x.text, items)
+        assert (x.benchmark.n_words, x.benchmark.n_hit, x.benchmark["items"]) == (n, len(hit), names)
+        assert {j for s in x.benchmark.spans for j in range(s.start, s.end)} == hit
+    pattern = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+    before = {(x.doc_id, x.text): {j for s in x.benchmark.spans for j in range(s.start, s.end)} for x in got}
+    after = decontaminate.remove_spans(found.withColumn("old", F.col("text"))).collect()
+    for x in after:
+        rest = [w for j, w in enumerate(pattern.findall(lower(x.old or ""))) if j not in before[x.doc_id, x.old]]
+        assert [w for w in pattern.findall(lower(x.text or ""))] == rest
+    none = decontaminate.find_benchmark(docs_of(spark, docs), bench.limit(0))
+    assert none.filter("benchmark.n_hit > 0").count() == 0
+
+
+# mixing
+
+
+def test_mixing(spark):
+    rows = some_docs(11, 400)
+    got = mixing.mix(docs_of(spark, rows)).collect()
+    again = mixing.mix(docs_of(spark, rows[::-1]).repartition(3)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    size = Counter()
+    for _, t, s in rows:
+        size[s] += len(WORD.findall(t or ""))
+    names = sorted((s for s in size if s is not None), key=lambda s: s.encode()) + [None]
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
+    target, free, left = {}, set(names), 1.5 * sum(size.values())
+    while True:
+        share = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+        over = {s for s in free if share[s] > 2 * size[s]}
+        if not over:
+            target |= share
+            break
+        for s in over:
+            target[s] = 2 * size[s]
+            left -= target[s]
+        free -= over
+    taken, largest = Counter(), max(len(WORD.findall(t or "")) for _, t, _ in rows)
+    for r in got:
+        assert r.source_size == size[r.source] and r.target == pytest.approx(target[r.source])
+        assert 0 <= r.copies <= 2
+        taken[r.source] += r.copies * r["size"]
+    assert all(abs(taken[s] - target[s]) <= largest for s in names)
+    assert mixing.mix(docs_of(spark, [])).count() == 0
+    assert {r.copies for r in mixing.mix(docs_of(spark, [(1, None, "a"), (2, "", None)])).collect()} == {0}
+
+
+# n-gram Jaccard join
+
+
+def brute_near(rows):
+    sets = defaultdict(list)
+    for k, t in rows:
+        w = WORD.findall(lower(t or ""))
+        sets[k].append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    root = {k: k for k in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in combinations(sets, 2):
+        if any(x and y and 100 * len(x & y) >= 80 * len(x | y) for x in sets[a] for y in sets[b]):
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+    return {k: ({len(s) for s in sets[k]}, find(k)) for k in sets}
+
+
+def near_cases(seed):
+    r = random.Random(seed)
+    vocab = [f"v{k}" for k in range(40)]
+    rows, k = [], 0
+    passage = [f"p{j}" for j in range(60)]
+    for _ in range(12):
+        base = [r.choice(vocab) for _ in range(r.choice([1, 3, 6, 8, 9, 12, 30, 120, 200]))]
+        for _ in range(r.randint(1, 9)):
+            t = list(base)
+            for _ in range(r.choice([0, 0, 1, 1, 2, 3])):
+                j = r.randrange(len(t) or 1)
+                t[j : j + 1] = r.choice([[], [r.choice(vocab)], [*t[j : j + 1], "Extra"]])
+            if r.random() < 0.2:
+                t = t + passage
+            rows.append((k, " ".join(t)))
+            k += r.randint(1, 3)
+    return rows + [(k + 1, None), (k + 2, ""), (k + 3, " "), (k + 4, rows[0][1].upper()), rows[1]]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("light", [0, 10])
+def test_near_matches_brute_force(spark, monkeypatch, seed, light):
+    monkeypatch.setattr(near, "boundary_by_cost", lambda *a: light)
+    monkeypatch.setattr(near, "LONG_LIST", 3)
+    rows = near_cases(seed)
+    got = near.near_components(docs_of(spark, [(*x, "s") for x in rows]), rounds=1 + seed).collect()
+    want = brute_near(rows)
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.n_shingles in want[r.doc_id][0] and r.component_id == want[r.doc_id][1], r
+
+
+def test_near_edges(spark):
+    assert near.near_components(docs_of(spark, [])).count() == 0
+    text = " ".join(f"w{k}" for k in range(30))
+    rows = [(None, text, "a"), (4, text, "a"), (2, "x", "a"), (2, text, "a"), (9, "x", "a"), (None, "alone here", "a")]
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in near.near_components(docs_of(spark, rows)).collect()}
+    assert got == {(None, 26, 2), (4, 26, 2), (2, 1, 2), (2, 26, 2), (9, 1, 2), (None, 1, None)}
+
+
+def test_boundary_grows_with_lists():
+    assert near.boundary_by_cost(0, 80) <= near.boundary_by_cost(50, 80)
+    for s in range(1, 40):
+        for t in near.partners(s, 80):
+            i = near.overlap(s, t, 80)
+            assert 100 * i >= 80 * (s + t - i) and not 100 * (i - 1) >= 80 * (s + t - i + 1)
+
+
+def test_components(spark):
+    r = random.Random(2)
+    edges = [(k, k + 1) for k in range(50, 90)] + [(7, 7 + r.randint(1, 40)) for _ in range(20)] + [(1, 2), (2, 1), (3, 3)]
+    root = {}
+    find = lambda x: x if root.setdefault(x, x) == x else find(root[x])
+    for u, v in edges:
+        u, v = sorted((find(u), find(v)))
+        root[v] = u
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {k: find(k) for k in root if k != 3}
+
+
+# toxicity
+
+
+def test_nnpu_learns(spark):
+    r = random.Random(4)
+    rows, labels = [], []
+    for k in range(1500):
+        toxic = r.random() < 0.15
+        words = [f"w{r.randrange(300)}" for _ in range(40)] + (["idiot"] if toxic else [])
+        r.shuffle(words)
+        rows.append((k, " ".join(words), "s"))
+        if r.random() < 0.6:
+            labels.append((k, int(toxic)))
+    rows += [(5000, None, "s"), (5001, "", "s"), (5002, "an Idiot!", "s")]
+    docs = docs_of(spark, rows).withColumn("toxicity", F.lit("old"))
+    model = toxicity.fit(docs, spark.createDataFrame([*labels, (9999, 1), (None, 1), (3, None)], "doc_id long, toxic int"), F.lit(True))
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    for k, x in got.items():
+        assert 0 <= x.toxicity <= 1 and (x.toxicity >= 0.3) == ("idiot" in lower(x.text or "")), x
+    none = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"), F.lit(True))
+    assert len({r.toxicity for r in toxicity.score(docs, none).collect()}) == 1
+
+
+# line templates
+
+
+def brute_lines(rows, min_docs):
+    parsed, docs_of_mask, leaf_masks, docs_of_leaf = {}, defaultdict(set), defaultdict(set), defaultdict(set)
+    for key in {(k, t) for k, t, _ in rows if t is not None}:
+        for at, line in enumerate(key[1].split("\n")):
+            t = ["<*>" if re.search("[0-9]", w) else w for w in WORD.findall(line)]
+            if len(t) >= line_templates.MIN_TOKENS:
+                leaf = (len(t), *t[: line_templates.DEPTH])
+                parsed[key, at] = leaf, tuple(t)
+                docs_of_mask[leaf, tuple(t)].add(key)
+                leaf_masks[leaf].add(tuple(t))
+                docs_of_leaf[leaf].add(key)
+    whole = set()
+    for leaf, masks in leaf_masks.items():
+        if len(masks) > 1 and sum(len(docs_of_mask[leaf, m]) for m in masks) >= min_docs:
+            if np.mean([len(set(x)) == 1 for x in zip(*masks)]) >= line_templates.ALIKE:
+                whole.add(leaf)
+    drop = defaultdict(set)
+    for (key, at), (leaf, m) in parsed.items():
+        if len(docs_of_leaf[leaf]) >= min_docs if leaf in whole else len(docs_of_mask[leaf, m]) >= min_docs:
+            drop[key].add(at)
+    return drop
+
+
+def test_line_templates_match_brute_force(spark):
+    r = random.Random(8)
+    rows = []
+    for k in range(60):
+        lines = [" ".join(r.choice(["a", "b", "c", "d"]) for _ in range(r.randint(0, 5))) for _ in range(6)]
+        lines.append(r.choice(["Posted by user %d at 10:%d", "Copyright %d someone, all of the rights reserved %d"]) % (k, r.randrange(60)))
+        lines.append(f"All these words stay constant except {r.choice(['red', 'green', 'blue'])} here")
+        rows.append((k, "\n".join(lines), "s"))
+    rows += [(70, None, "s"), (71, "", "s"), rows[3], (None, "Posted by user 9 at 9:9", "s")]
+    drop = brute_lines(rows, 5)
+    got = line_templates.drop_templates(docs_of(spark, rows).withColumn("lines", F.lit(1)), min_docs=5).collect()
+    assert len(got) == len(rows)
+    texts = {k: t for k, t, _ in rows}
+    for x in got:
+        gone = drop[x.doc_id, texts[x.doc_id]] if texts[x.doc_id] is not None else set()
+        assert set(x.lines.dropped) == gone
+        want = texts[x.doc_id] if not gone else "\n".join(v for j, v in enumerate(texts[x.doc_id].split("\n")) if j not in gone)
+        assert x.text == want
+    assert line_templates.drop_templates(docs_of(spark, [])).count() == 0
+
+
+# the pipeline
+
+
+def test_pipeline(spark, data):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    raw = docs.collect()
+    kept = [x for x in raw if (b := brute_repetition(x.text)) and b["n_words"] >= 20 and 100 * b["n_repeat_words"] <= 30 * b["n_words"] and b["repeat_chars"] <= 0.3 * b["word_chars"] and b["longest_repeat"] <= 100]
+    groups = brute_near([(x.doc_id, x.text) for x in kept])
+    kept = [x for x in kept if groups[x.doc_id][1] == x.doc_id]
+    items = [tuple(r) for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()]
+    sizes = Counter()
+    for x in kept:
+        _, hit, names = brute_benchmark(x.text, items)
+        if len(names) < 2:
+            sizes[x.doc_id] = None if hit else len(x.text.encode()) + 1
+    out = pipeline.run(spark, data).collect()
+    assert {r.doc_id for r in out} <= set(sizes) and len({r.doc_id for r in out}) > 0.7 * len(sizes)
+    assert all(sizes[r.doc_id] in (None, r["size"]) for r in out)
+    assert hashlib.md5(str(sorted((r.doc_id, r.shard, r.slot) for r in out)).encode()).hexdigest() == hashlib.md5(str(sorted((r.doc_id, r.shard, r.slot) for r in pipeline.run(spark, data).collect())).encode()).hexdigest()
+    for name, stage in pipeline.STAGES[:-1]:
+        assert stage(spark, docs, data).columns == docs.columns, name
+        assert stage(spark, docs.limit(0), data).count() == 0, name
