@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from almoner.plans import entities, filings, profiles, relations, reports, scalars, storage  # noqa: F401
+from almoner.plans.register import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
