@@ -29,14 +29,14 @@ TIER_MEANINGS = {
 
 # Major fields of work by the first letter of their code.
 FIELDS_OF_WORK = {
-    "A": "Arts, Culture & Humanities", "B": "Education", "C": "Environment", "D": "Animal-Related", "E": "Health Care",
-    "F": "Mental Health & Crisis Intervention", "G": "Diseases, Disorders & Medical Disciplines", "H": "Medical Research",
-    "I": "Crime & Legal-Related", "J": "Employment", "K": "Food, Agriculture & Nutrition", "L": "Housing & Shelter",
-    "M": "Public Safety, Disaster Preparedness & Relief", "N": "Recreation & Sports", "O": "Youth Development",
-    "P": "Human Services", "Q": "International, Foreign Affairs & National Security", "R": "Civil Rights, Social Action & Advocacy",
-    "S": "Community Improvement & Capacity Building", "T": "Philanthropy, Voluntarism & Grantmaking Foundations",
-    "U": "Science & Technology", "V": "Social Science", "W": "Public & Societal Benefit", "X": "Religion-Related",
-    "Y": "Mutual & Membership Benefit", "Z": "Unknown",
+    "A": "Arts, culture and humanities", "B": "Education", "C": "Environment", "D": "Animal-related", "E": "Health care",
+    "F": "Mental health and crisis intervention", "G": "Diseases, disorders and medical disciplines", "H": "Medical research",
+    "I": "Crime and legal-related", "J": "Employment", "K": "Food, agriculture and nutrition", "L": "Housing and shelter",
+    "M": "Public safety, disaster preparedness and relief", "N": "Recreation and sports", "O": "Youth development",
+    "P": "Human services", "Q": "International, foreign affairs and national security", "R": "Civil rights, social action and advocacy",
+    "S": "Community improvement and capacity building", "T": "Philanthropy, voluntarism and grantmaking foundations",
+    "U": "Science and technology", "V": "Social science", "W": "Public and societal benefit", "X": "Religion-related",
+    "Y": "Mutual and membership benefit", "Z": "Unknown",
 }
 
 # Postal codes of states and territories.

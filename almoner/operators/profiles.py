@@ -5,11 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from almoner.functions.names import search_form, search_tokens
+from almoner.functions.names import search_tokens
 from almoner.operators.relational import page_of, top_per_group
 
 TOP, RECENT, CHUNK_ABOVE, PREVIEW, PAGE = 250, 2000, 2000, 500, 1000
-paid, future = F.col("amount_type") == "paid", F.col("amount_type") == "approved_future"
+
+
+def paid() -> Column:
+    return F.col("amount_type") == "paid"
+
+
+def future() -> Column:
+    return F.col("amount_type") == "approved_future"
 
 
 def dollars(which: Column) -> Column:
@@ -44,7 +51,7 @@ def funder_grants(
 
 def funders_of_recipients(edges: DataFrame, min_confidence: float = 0.9, recipient_ein: str | None = None) -> DataFrame:
     """Who funded a recipient (or each recipient): paid grants matched with enough confidence."""
-    g = edges.filter(paid & (F.col("match_confidence") >= min_confidence) & F.col("recipient_ein_resolved").isNotNull())
+    g = edges.filter(paid() & (F.col("match_confidence") >= min_confidence) & F.col("recipient_ein_resolved").isNotNull())
     if recipient_ein is not None:
         g = g.filter(F.col("recipient_ein_resolved") == recipient_ein)
     return g.groupBy("recipient_ein_resolved", "funder_ein", "funder_name").agg(F.sum("amount_usd").alias("total_usd"), F.count(F.lit(1)).alias("grants"), F.max("tax_year").alias("last_year"))
@@ -52,7 +59,7 @@ def funders_of_recipients(edges: DataFrame, min_confidence: float = 0.9, recipie
 
 def funders_by_keyword(edges: DataFrame, keyword: str, state: str | None = None, min_amount: int = 0, limit: int = 25) -> DataFrame:
     hit = F.upper("grant_purpose").contains(keyword.upper()) | F.upper("recipient_name_raw").contains(keyword.upper())
-    g = edges.filter(paid & hit & (F.col("amount_usd") >= min_amount))
+    g = edges.filter(paid() & hit & (F.col("amount_usd") >= min_amount))
     if state is not None:
         g = g.filter(F.col("funder_state") == state)
     totals = g.groupBy("funder_ein", "funder_name").agg(F.sum("amount_usd").alias("total_usd"), F.count(F.lit(1)).alias("grants"))
@@ -63,8 +70,8 @@ def funder_totals(edges: DataFrame, registry: DataFrame) -> DataFrame:
     """Identity and totals of each funder; paid and future money are never added up."""
     totals = edges.groupBy("funder_ein").agg(
         F.min("funder_name").alias("funder_name"), F.min("funder_state").alias("funder_state"),
-        dollars(paid).alias("paid_usd"), F.count_if(paid).alias("paid_grants"), dollars(future).alias("future_usd"), F.count_if(future).alias("future_grants"),
-        F.count_distinct(F.when(paid, recipient_key())).alias("recipients"),
+        dollars(paid()).alias("paid_usd"), F.count_if(paid()).alias("paid_grants"), dollars(future()).alias("future_usd"), F.count_if(future()).alias("future_grants"),
+        F.count_distinct(F.when(paid(), recipient_key())).alias("recipients"),
         F.min("tax_year").alias("first_year"), F.max("tax_year").alias("last_year"), F.max("tax_period_end").alias("last_period_end"), F.count(F.lit(1)).alias("rows"),
     )
     return totals.join(registry.select(F.col("ein").alias("funder_ein"), "ntee_code"), "funder_ein", "left")
@@ -72,7 +79,7 @@ def funder_totals(edges: DataFrame, registry: DataFrame) -> DataFrame:
 
 def funder_recipients(edges: DataFrame, most: int = TOP) -> DataFrame:
     """Each funder's largest recipients by paid dollars."""
-    sums = edges.filter(paid).groupBy("funder_ein", recipient_key().alias("recipient")).agg(
+    sums = edges.filter(paid()).groupBy("funder_ein", recipient_key().alias("recipient")).agg(
         F.min("recipient_name_raw").alias("name"), F.sum("amount_usd").alias("total_usd"), F.count(F.lit(1)).alias("grants"), F.max("tax_year").alias("last_year")
     )
     return top_per_group(sums, ["funder_ein"], [F.col("total_usd").desc(), F.col("recipient")], most)
@@ -87,7 +94,7 @@ def recipient_totals(edges: DataFrame, registry: DataFrame) -> DataFrame:
     """Identity and totals of each resolved recipient; funders counts both kinds of money."""
     g = edges.filter(F.col("recipient_ein_resolved").isNotNull())
     totals = g.groupBy("recipient_ein_resolved").agg(
-        dollars(paid).alias("paid_usd"), F.count_if(paid).alias("paid_grants"), dollars(future).alias("future_usd"), F.count_distinct("funder_ein").alias("funders"),
+        dollars(paid()).alias("paid_usd"), F.count_if(paid()).alias("paid_grants"), dollars(future()).alias("future_usd"), F.count_distinct("funder_ein").alias("funders"),
         F.min("tax_year").alias("first_year"), F.max("tax_year").alias("last_year"), F.min("recipient_name_raw").alias("_raw"),
     )
     named = totals.join(registry.select(F.col("ein").alias("recipient_ein_resolved"), F.col("name").alias("_bmf"), "ntee_code"), "recipient_ein_resolved", "left")
@@ -96,7 +103,7 @@ def recipient_totals(edges: DataFrame, registry: DataFrame) -> DataFrame:
 
 def recipient_funders(edges: DataFrame, most: int = TOP) -> DataFrame:
     """Each recipient's largest funders, with the tiers of the matches."""
-    sums = edges.filter(paid & F.col("recipient_ein_resolved").isNotNull()).groupBy("recipient_ein_resolved", "funder_ein").agg(
+    sums = edges.filter(paid() & F.col("recipient_ein_resolved").isNotNull()).groupBy("recipient_ein_resolved", "funder_ein").agg(
         F.sum("amount_usd").alias("total_usd"), F.count(F.lit(1)).alias("grants"), F.max("tax_year").alias("last_year"), F.array_join(F.sort_array(F.collect_set("match_tier")), "").alias("tiers")
     )
     return top_per_group(sums, ["recipient_ein_resolved"], [F.col("total_usd").desc(), F.col("funder_ein")], most)
@@ -116,7 +123,7 @@ def gathered(rows: DataFrame, key: str, rank: str, columns: list[str], name: str
 
 def funder_payloads(edges: DataFrame, registry: DataFrame, top: int = TOP, recent: int = RECENT) -> DataFrame:
     """One compact JSON document for each funder: totals, years, top recipients, recent grants, filings."""
-    years = edges.groupBy("funder_ein", "tax_year").agg(dollars(paid).alias("paid_usd"), dollars(future).alias("future_usd"))
+    years = edges.groupBy("funder_ein", "tax_year").agg(dollars(paid()).alias("paid_usd"), dollars(future()).alias("future_usd"))
     years = years.groupBy("funder_ein").agg(F.sort_array(F.collect_list(F.struct("tax_year", "paid_usd", "future_usd"))).alias("years"))
     filings = edges.select("funder_ein", "object_id", "tax_year", "return_version").distinct()
     filings = filings.groupBy("funder_ein").agg(F.sort_array(F.collect_list(F.struct("object_id", "tax_year", "return_version"))).alias("filings"))
@@ -176,5 +183,3 @@ def search(index: DataFrame, text: str, limit: int = 25) -> DataFrame:
     return found.orderBy(F.col("score").desc(), "name", "kind", "ein").limit(limit).select("ein", "kind", "name")
 
 
-def display(c: str) -> Column:
-    return search_form(F.col(c))

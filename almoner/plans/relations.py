@@ -6,10 +6,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from almoner.operators import relational as rel
+from almoner.operators.profiles import paid
 from almoner.plans.analogs import analog, ctes, edges, table
 from almoner.plans.register import query
 
-paid, future = F.col("amount_type") == "paid", F.col("amount_type") == "approved_future"
 
 # predicates
 
@@ -116,7 +116,7 @@ def j06(spark, sf_dir):
 @query("j08_a07_keep_largest", ctes("edges") + ", keep AS (SELECT funder_ein FROM edges WHERE amount_type = 'paid' GROUP BY 1 ORDER BY sum(amount_usd) DESC, 1 LIMIT 20) SELECT funder_ein, count(*) AS n FROM edges WHERE funder_ein IN (SELECT funder_ein FROM keep) GROUP BY 1")
 def j08(spark, sf_dir):
     e = edges(spark, sf_dir)
-    keep = e.filter(paid).groupBy("funder_ein").agg(F.sum("amount_usd").alias("t")).orderBy(F.col("t").desc(), "funder_ein").limit(20).select("funder_ein")
+    keep = e.filter(paid()).groupBy("funder_ein").agg(F.sum("amount_usd").alias("t")).orderBy(F.col("t").desc(), "funder_ein").limit(20).select("funder_ein")
     return e.join(keep, "funder_ein", "left_semi").groupBy("funder_ein").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -159,7 +159,7 @@ def a10(spark, sf_dir):
 
 @query("a11_parsed_totals", ctes("edges") + " SELECT object_id, CAST(sum(CASE WHEN amount_type = 'paid' THEN coalesce(amount_usd, 0) ELSE 0 END) AS BIGINT) AS parsed_paid FROM edges GROUP BY 1")
 def a11(spark, sf_dir):
-    return edges(spark, sf_dir).groupBy("object_id").agg(F.sum(F.when(paid, F.coalesce("amount_usd", F.lit(0))).otherwise(0)).alias("parsed_paid"))
+    return edges(spark, sf_dir).groupBy("object_id").agg(F.sum(F.when(paid(), F.coalesce("amount_usd", F.lit(0))).otherwise(0)).alias("parsed_paid"))
 
 
 @query("a18_states", ctes("edges") + " SELECT funder_state AS state, count(DISTINCT funder_ein) AS funders FROM edges GROUP BY 1")
@@ -206,7 +206,7 @@ def l02(spark, sf_dir):
 
 @query("l06_q17_top_funders", ctes("edges") + " SELECT funder_ein, funder_name, CAST(sum(amount_usd) AS BIGINT) AS total FROM edges WHERE amount_type = 'paid' GROUP BY 1, 2 ORDER BY total DESC, funder_ein LIMIT 12")
 def l06(spark, sf_dir):
-    return edges(spark, sf_dir).filter(paid).groupBy("funder_ein", "funder_name").agg(F.sum("amount_usd").alias("total")).orderBy(F.col("total").desc(), "funder_ein").limit(12)
+    return edges(spark, sf_dir).filter(paid()).groupBy("funder_ein", "funder_name").agg(F.sum("amount_usd").alias("total")).orderBy(F.col("total").desc(), "funder_ein").limit(12)
 
 
 @query("l07_third_page", ctes("registry") + " SELECT ein, name FROM registry ORDER BY name, ein LIMIT 20 OFFSET 40")

@@ -79,7 +79,7 @@ def s04(spark, sf_dir):
 @query("s05_index_csv", ctes("filing_index") + " SELECT object_id, ein, tax_period, return_type, sub_date FROM filing_index")
 def s05(spark, sf_dir):
     path = scratch(spark)
-    cols = {"OBJECT_ID": "object_id", "Ein": "ein", "TAX_PERIOD": "tax_period", "RETURN_TYPE": "return_type", "Sub_Date": "sub_date"}
+    cols = {"OBJECT_ID": "object_id", "Ein": "ein", "TAX_PERIOD": "tax_period", "RETURN_TYPE": "return_type", "Sub_Date": "sub_date", "Taxpayer Name": "ein"}
     analog(spark, sf_dir, "filing_index").select(*[F.col(c).alias(k) for k, c in cols.items()]).write.csv(path, header=True)
     return tables.index(spark, path).select("object_id", "ein", "tax_period", "return_type", "sub_date")
 

@@ -10,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from almoner.operators.relational import latest_per_key
 
 KEYS = ["ein", "tax_period", "return_type"]
-INDEX = StructType.fromDDL("object_id string, ein string, tax_period string, return_type string, sub_date string")
+INDEX = StructType([StructField(c, StringType()) for c in ("object_id", "ein", "tax_period", "return_type", "sub_date")])
 
 
 def newest(filings: DataFrame) -> DataFrame:
