@@ -18,6 +18,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_suffix_array_repetition": repetition.ORACLE,
     "op2_bloom_cascade_urls": url_filter.ORACLE,
     "op6_benchmark_decontamination": decontaminate.ORACLE,
     "op7_pareto_mixing": mixing.ORACLE,

@@ -140,3 +140,21 @@ def op1(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     r = judged(docs)
     return r.select("doc_id", *[F.col(f"repetition.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
+
+
+ORACLE = r"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM w WHERE len(w) >= 8),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + 7], ' ')) AS k FROM p),
+d AS (SELECT DISTINCT doc_id, place FROM (SELECT doc_id, unnest(range(i, i + 8)) AS place FROM g WHERE k > 1)),
+r AS (SELECT d.doc_id, count(*) AS n, sum(length(w[place])) AS chars FROM d JOIN w USING (doc_id) GROUP BY 1),
+q AS (SELECT doc_id, w, unnest(range(1, len(w) - 99)) AS i FROM w WHERE len(w) >= 101),
+l AS (SELECT DISTINCT doc_id FROM (SELECT doc_id FROM q GROUP BY doc_id, array_to_string(w[i:i + 100], ' ') HAVING count(*) > 1)),
+n AS (SELECT doc_id, count(*) - count(DISTINCT line) AS dups FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY 1),
+a AS (SELECT w.doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+        coalesce(n.dups, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, coalesce(r.chars, 0) AS chars, l.doc_id IS NOT NULL AS long
+      FROM w LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN l USING (doc_id)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM a)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND chars <= 0.3 * word_chars AND NOT long AS kept FROM b
+"""
