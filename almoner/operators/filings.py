@@ -5,7 +5,7 @@ from __future__ import annotations
 import xml.etree.ElementTree as ET
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -260,6 +260,12 @@ def element_paths(xml: pa.Array) -> pa.Array:
     return pa.array(out, pa.list_(pa.string()))
 
 
+def from_files(spark: SparkSession, path: str) -> DataFrame:
+    """object_id and xml of single filings; the id is the file's name without a version before it or an ending."""
+    name = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_name"), r"^\d{4}v[\d.]+__", ""), r"(_public)?\.xml$", "")
+    return spark.read.text(path, wholetext=True).select(name.alias("object_id"), F.col("value").alias("xml"))
+
+
 def consumed_paths() -> set[str]:
     """Paths that extraction reads, and all their ancestors."""
     leaves = [p for x in [*HEADER.values(), *TOTALS.values()] for p in x] + [f"{g}/{p}" for name, g in GROUPS.items() for x in FIELDS[name].values() for p in x]

@@ -9,6 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from almoner.operators import filings as fil
 from almoner.operators import publish as pub
 from almoner.operators import relational as rel
 from almoner.plans.analogs import analog, ctes, edges, table
@@ -141,6 +142,39 @@ def s01(spark, sf_dir):
     return tables.landing_files(spark, spark.createDataFrame([(html,)], "html string"), "http://x/")
 
 
+@query("s24_single_filings", "SELECT CAST(k AS VARCHAR) AS object_id, '990' AS return_type FROM range(3) t(k)")
+def s24(spark, sf_dir):
+    folder = Path(tempfile.mkdtemp())
+    for k, name in enumerate(("2022v5.0__0.xml", "1_public.xml", "2.xml")):
+        (folder / name).write_text(f"<Return><ReturnHeader><ReturnTypeCd>990</ReturnTypeCd></ReturnHeader><n>{k}</n></Return>")
+    docs = fil.parsed(fil.from_files(spark, f"file://{folder}"))
+    return fil.headers(docs).select("object_id", "return_type")
+
+
+@query("s19_j12_overrides", "SELECT * FROM (VALUES ('A', NULL, '94000', '123456789'), ('B', 'CA', NULL, '000000012')) t(name, state, zip5, ein)")
+def s19(spark, sf_dir):
+    path = scratch(spark)
+    rows = [("A", " ", "94000", "12-3456789", "seen", ""), ("B", "CA", "", "000000012", "seen", "x")]
+    spark.createDataFrame(rows, "recipient_name_normalized string, state string, zip5 string, ein string, source string, note string").write.csv(path, header=True)
+    return tables.corrections(spark, path).select(F.col("recipient_name_normalized").alias("name"), "state", "zip5", "ein")
+
+
+@query("s20_labelled_pairs", "SELECT * FROM (VALUES ('Hill', '123456789'), ('Dale', NULL)) t(name, expected_ein)")
+def s20(spark, sf_dir):
+    path = scratch(spark)
+    rows = [("Hill", "123456789"), ("Dale", "")]
+    df = spark.createDataFrame([(n, None, "CA", None, None, e, "me", "2026-08-01", "site", "") for n, e in rows], ", ".join(f"{c} string" for c in tables.LABEL_COLUMNS))
+    df.write.csv(path, header=True)
+    return tables.labelled_pairs(spark, path).select(F.col("recipient_name_raw").alias("name"), "expected_ein")
+
+
+@query("s11_inventories", "SELECT * FROM (VALUES ('2022v5.0', '/a'), ('2022v5.0', '/b')) t(return_version, path)")
+def s11(spark, sf_dir):
+    folder = Path(tempfile.mkdtemp())
+    (folder / "mapping_2022v5.0.csv").write_text("xpath,other\n/a,1\n/b,2\n/a,3\n")
+    return tables.inventories(spark, f"file://{folder}/mapping_*.csv")
+
+
 @query("q07_f27_versions", "SELECT * FROM (VALUES ('2026.08.1'), ('2025.12.0')) t(version)")
 def q07(spark, sf_dir):
     return pub.versions(spark, ["2025.12.0", "latest", "2026.08.1", "2026.8.1"])
