@@ -7,8 +7,10 @@ template. Where at least `alike` of the positions are constant the whole leaf is
 each masked line stays a template of its own. A line is dropped if its template occurs in at least `min_docs`
 documents; lines shorter than `min_tokens` tokens are kept.
 
-Only leaves that could recur (enough documents) are taken apart by position. Every group is summed before it is
-dealt out, and documents are named by a hash of id and text, so repeated rows count once.
+Leaves, masked lines and documents go by 64-bit hashes, so lines are counted without dealing out their texts. Only
+leaves that could recur (enough documents, several masked lines) are taken apart by position; a Bloom filter of
+those leaves sieves the texts' lines first. Every group is summed before it is dealt out. Documents are named by a
+hash of id and text, so repeated rows count once.
 
 Null texts have no lines and stay null. Empty lines are kept. Null ids are ids. Ties don't arise. An empty table
 gives an empty one. Extra columns stay; one named as the result is replaced.
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almoner.llm.common import write_table
+from almoner.llm.url_filter import BITS_PER_KEY, MOST_BYTES, build, passes
 
 DEPTH, ALIKE, MIN_DOCS, MIN_TOKENS = 3, 0.6, 10, 3
 VARIABLE = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
@@ -28,42 +31,60 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 def masked(line: Column) -> Column:
     """The line's tokens with <*> for those that have a digit, joined by single spaces; empty for an empty line."""
-    return F.trim(F.regexp_replace(F.regexp_replace(line, VARIABLE, "<*>"), SPACE, " "))
-
-
-def templates(docs: DataFrame, depth: int, alike: float, min_docs: int, min_tokens: int) -> tuple[DataFrame, DataFrame]:
-    """docs: _doc, _lines. The lines as (_doc, at, leaf, mask), and the templates to drop: leaf and mask (null: the whole leaf)."""
-    lines = docs.select("_doc", F.posexplode("_lines").alias("at", "line")).select("_doc", "at", masked(F.col("line")).alias("m"))
-    tokens = F.split("m", " ")
-    lines = lines.withColumn("t", tokens).filter((F.col("m") != "") & (F.size("t") >= min_tokens))
-    lines = lines.select("_doc", "at", F.xxhash64(F.size("t"), F.slice("t", 1, depth)).alias("leaf"), F.xxhash64("m").alias("mask"), "t")
-    # one row for each masked line with its number of documents, from rows that are one for each document
-    by_mask = lines.groupBy("leaf", "mask", "_doc").agg(F.first("t").alias("t")).groupBy("leaf", "mask").agg(F.count(F.lit(1)).alias("docs"), F.first("t").alias("t"))
-    by_mask = write_table(by_mask, "masks")
+    odd = line.rlike(r"[0-9\t\x0B\f\r]|  ")  # most lines have neither digits nor other spaces
+    return F.trim(F.when(odd, F.regexp_replace(F.regexp_replace(line, VARIABLE, "<*>"), SPACE, " ")).otherwise(line))
+
+
+def parsed(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
+    """docs: _doc, _text. Each line that is long enough: _doc, at, m (masked), leaf and mask (hashes)."""
+    # worked out within the array: as columns, each use of them would work them out again
+
+    def keyed(m: Column) -> Column:
+        n = F.length(m) - F.length(F.replace(m, F.lit(" "), F.lit(""))) + 1
+        return F.struct(m.alias("m"), n.alias("n"), F.xxhash64(n, F.substring_index(m, " ", depth)).alias("leaf"), F.xxhash64(m).alias("mask"))
+
+    lines = docs.select("_doc", F.posexplode(F.transform(F.transform(F.split("_text", "\n"), masked), keyed)).alias("at", "x"))
+    return lines.filter((F.col("x.n") >= min_tokens) & (F.col("x.m") != "")).select("_doc", "at", "x.m", "x.leaf", "x.mask")
+
+
+def templates(docs: DataFrame, lines: DataFrame, depth: int, alike: float, min_docs: int, min_tokens: int) -> DataFrame:
+    """The templates to drop: leaf and mask (null: the whole leaf). lines: the written _doc, at, leaf and mask of every line."""
+    once = lines.groupBy("leaf", "mask", "_doc").agg(F.count(F.lit(1)).alias("_n"))
+    by_mask = write_table(once.groupBy("leaf", "mask").agg(F.count(F.lit(1)).alias("docs")), "masks")
     # a leaf of one masked line has no variable position; the others are taken apart if they can recur
     by_leaf = by_mask.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.count(F.lit(1)).alias("masks"))
-    open_leaves = by_leaf.filter((F.col("docs") >= min_docs) & (F.col("masks") > 1)).select("leaf")
-    spots = by_mask.join(open_leaves, "leaf", "left_semi").select("leaf", F.posexplode("t").alias("k", "token"))
+    open_leaves = write_table(by_leaf.filter((F.col("docs") >= min_docs) & (F.col("masks") > 1)).select("leaf"), "leaves")
+    in_open = parsed(docs, depth, min_tokens)
+    n = open_leaves.count()
+    bits = 64 * (1 + n * BITS_PER_KEY // 64)
+    if bits <= 8 * MOST_BYTES:  # texts' lines are sieved before any of them is dealt out; beyond, the join alone sieves
+        sieve = write_table(build(open_leaves.select(F.col("leaf").alias("key")), 0, bits), "bloom")
+        in_open = in_open.filter(passes(F.col("leaf"), sieve.scalar(), 0, bits))
+    in_open = in_open.groupBy("leaf", "mask").agg(F.min("m").alias("m")).join(open_leaves, "leaf", "left_semi")
+    spots = in_open.select("leaf", F.posexplode(F.split("m", " ")).alias("k", "token"))
     same = spots.groupBy("leaf", "k").agg((F.min("token") == F.max("token")).alias("same"))
-    whole = same.groupBy("leaf").agg(F.avg(F.col("same").cast("double")).alias("share")).filter(F.col("share") >= alike).select("leaf")
+    whole = write_table(same.groupBy("leaf").agg(F.avg(F.col("same").cast("double")).alias("share")).filter(F.col("share") >= alike).select("leaf"), "whole")
     in_whole = lines.join(whole, "leaf", "left_semi").select("leaf", "_doc").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("docs"))
     merged = in_whole.filter(F.col("docs") >= min_docs).select("leaf", F.lit(None).cast("long").alias("mask"))
     single = by_mask.filter(F.col("docs") >= min_docs).join(whole, "leaf", "left_anti").select("leaf", "mask")
-    return lines.select("_doc", "at", "leaf", "mask"), write_table(merged.unionByName(single), "templates")
+    return write_table(merged.unionByName(single), "templates")
 
 
 def drop_templates(docs: DataFrame, depth: int = DEPTH, alike: float = ALIKE, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, doc_id: str = "doc_id", text: str = "text", out: str = "lines") -> DataFrame:
     """docs whose texts have lost recurring lines, with a struct `out`: n_lines, n_dropped, dropped (line numbers from 0)."""
     body = F.col(f"`{text}`").cast("string")
-    named = docs.select(F.xxhash64(F.col(f"`{doc_id}`"), body).alias("_doc"), F.struct("*").alias("_row"), F.split(body, "\n").alias("_lines"))
-    lines, drop = templates(named.select("_doc", "_lines"), depth, alike, min_docs, min_tokens)
+    named = docs.select(F.xxhash64(F.col(f"`{doc_id}`"), body).alias("_doc"), F.struct("*").alias("_row"))
+    texts = named.select("_doc", F.col("_row")[text].cast("string").alias("_text"))
+    lines = write_table(parsed(texts, depth, min_tokens).drop("m"), "lines")
+    drop = templates(texts, lines, depth, alike, min_docs, min_tokens)
     leaves, masks = drop.filter("mask IS NULL").select("leaf"), drop.filter("mask IS NOT NULL")
     hit = lines.join(leaves, "leaf", "left_semi").select("_doc", "at").unionByName(lines.join(masks, ["leaf", "mask"], "left_semi").select("_doc", "at"))
     hit = hit.distinct().groupBy(F.col("_doc").alias("_d")).agg(F.sort_array(F.collect_list("at")).alias("_at"))  # at most a document's lines
     joined = named.join(hit, F.col("_doc") == F.col("_d"), "left").withColumn("_at", F.coalesce("_at", F.array().cast("array<int>")))
-    kept = F.array_join(F.filter("_lines", lambda x, k: ~F.array_contains(F.col("_at"), k)), "\n")
-    kept = F.when(F.size("_at") > 0, kept).otherwise(F.col("_row")[text].cast("string"))
-    result = F.struct(F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"), F.size("_at").cast("long").alias("n_dropped"), F.col("_at").alias("dropped"))
+    own = F.col("_row")[text].cast("string")
+    kept = F.when(F.size("_at") > 0, F.array_join(F.filter(F.split(own, "\n"), lambda x, k: ~F.array_contains(F.col("_at"), k)), "\n")).otherwise(own)
+    n_lines = F.coalesce(F.length(own) - F.length(F.replace(own, F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long")
+    result = F.struct(n_lines.alias("n_lines"), F.size("_at").cast("long").alias("n_dropped"), F.col("_at").alias("dropped"))
     rest = [kept.alias(c) if c == text else F.col("_row")[c].alias(c) for c in docs.columns if c.lower() != out.lower()]
     return joined.select(*rest, result.alias(out))
 
