@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -13,7 +14,6 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -53,6 +53,12 @@ def drop_table(df: DataFrame) -> None:
                 return
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of results that have been written and that nothing refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
@@ -157,6 +163,3 @@ def add_result(df: DataFrame, name: str, result: Column) -> DataFrame:
     """df with `result` as its last column; a column of that name is replaced."""
     return df.select(*[c for c in df.columns if c.lower() != name.lower()], result.alias(name))
 
-
-def struct_type(**fields: str) -> T.StructType:
-    return T.StructType([T.StructField(k, T._parse_datatype_string(v)) for k, v in fields.items()])

@@ -13,9 +13,11 @@ c(s, t) = ceil(j (s + t) / (100 + j)) members.
    entries it would scan, from the measured mean list length.
 3. Pairs that share a key are candidates, but a list is never expanded into all its pairs: each round compares its
    members with one pivot, in an order that changes from round to round, and members of components that are
-   already one are left out. After `rounds` rounds the pairs that are still between components, if any, are
-   enumerated list by list and compared, so no link between components is lost.
-4. Candidates are verified on their whole sets. Links are joined into components by star contraction.
+   already one are left out. After `rounds` rounds what is still between components, if anything, is compared list
+   by list, long lists in blocks, so no link between components is lost.
+4. A candidate first has its sets' signatures compared (a bitmap of 4 to 8 bits for each member): a bit that the other
+   lacks stands for a member that it lacks, which bounds the intersection from above. What passes is verified on the
+   whole sets, which are gathered only for those classes. Links are joined into components.
 
 Nulls and texts without words: empty set, linked with nothing. Rows with one doc_id are one document that has
 several sets. A null doc_id is never a component's name (null where a component has no other). Extra columns are
@@ -35,10 +37,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from almoner.llm.common import Words, drop_table, mix, slices, window_hashes, write_table
+from almoner.llm.common import Words, drop_table, mix, release, slices, window_hashes, write_table
 from almoner.llm.components import components
 
-SHINGLE, PERCENT, ROUNDS, MAX_LIGHT, LONG_LIST, BITMAP_BITS = 5, 80, 4, 10, 8, 1 << 26
+SHINGLE, PERCENT, ROUNDS, MAX_LIGHT, LONG_LIST, BITMAP_BITS = 5, 80, 3, 10, 8, 1 << 26
+#: As many ids of wanted documents are broadcast (8 bytes each); beyond, a bitmap of fixed size picks them.
+BROADCAST_IDS = 1_000_000
+#: Lists of more members than LIST are compared by blocks of about BLOCK.
+LIST, BLOCK = 64, 2048
 
 
 def shingle_sets(texts: pa.Array, n: int = SHINGLE) -> list[np.ndarray]:
@@ -73,7 +79,7 @@ def light_sizes(s: int, boundary: int, percent: int) -> list[int]:
 
 
 def prefix_length(s: int, percent: int) -> int:
-    return s - min(overlap(s, t, percent) for t in partners(s, percent)) + 1
+    return s - overlap(s, partners(s, percent)[0], percent) + 1  # the smallest partner asks for the least
 
 
 def boundary_by_cost(mean_list: float, percent: int, most: int = MAX_LIGHT) -> int:
@@ -129,6 +135,67 @@ def set_keys(s: np.ndarray, long_lists: np.ndarray, boundary: int, percent: int)
     return np.concatenate(keys)
 
 
+def signature(s: np.ndarray) -> bytes:
+    """Which of a power of two of hash values (4 to 8 for each member) the members have, as bits."""
+    flags = np.zeros(1 << max(6, (4 * len(s)).bit_length()), bool)
+    flags[(mix(s) & np.uint64(len(flags) - 1)).astype(np.int64)] = True
+    return np.packbits(flags).tobytes()
+
+
+def folded(x: np.ndarray, size: int) -> np.ndarray:
+    """Signatures (in rows, as 64-bit words) of fewer values: halves laid over each other."""
+    while x.shape[-1] > size:
+        x = x[..., : x.shape[-1] // 2] | x[..., x.shape[-1] // 2 :]
+    return x
+
+
+def most_shared(x: np.ndarray, y: np.ndarray, s: int, t: np.ndarray) -> np.ndarray:
+    """An upper bound of the intersections of a set of s members with sets of t: a bit that the other lacks is a member that it lacks."""
+    alone, theirs = np.bitwise_count(x & ~y).sum(-1, dtype=np.int64), np.bitwise_count(y & ~x).sum(-1, dtype=np.int64)
+    return np.minimum(s - alone, t - theirs)
+
+
+def may_link(a: bytes, b: bytes, s: int, t: int, percent: int) -> bool:
+    """Whether sets of s and t members with these signatures can share enough."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    size = min(len(x), len(y))
+    return int(most_shared(folded(x, size), folded(y, size), s, t)) >= overlap(s, t, percent)
+
+
+def block_pairs(key: int, rows: dict[str, list], twice: bool, first: list[bool], percent: int) -> list[tuple[int, int]]:
+    """Pairs of a long list's members (first: those of the one block, others of the second; twice: both are one block) that
+    are of different components, share no earlier long list, and may link by size and signature."""
+    n, fp, c = (np.array(rows[k], np.int64) for k in ("n", "fp", "c"))
+    order = np.lexsort((fp, n))
+    n, fp, c, first = n[order], fp[order], c[order], np.array(first)[order]
+    earlier = [[k for k in rows["keys"][i] if k < key] for i in order]
+    names = {k: i for i, k in enumerate(sorted({k for ks in earlier for k in ks}))}
+    has = np.zeros((len(n), len(names)), bool)
+    for i, ks in enumerate(earlier):
+        has[i, [names[k] for k in ks]] = True
+    words = [np.frombuffer(rows["signature"][i], np.uint64) for i in order]
+    sizes = np.array([len(x) for x in words])
+    out = []
+    for size in np.unique(sizes):
+        near = np.flatnonzero((sizes == size) | (sizes == 2 * size))
+        table = np.stack([folded(words[i], size) for i in near])
+        for at in np.flatnonzero(sizes[near] == size):
+            x = near[at]
+            # the larger set of a pair comes later in the order, and its signature is as long or twice as long
+            stop = np.searchsorted(n[near], 100 * n[x] // percent, side="right")
+            ys = near[at + 1 : stop]
+            ok = c[ys] != c[x]
+            if not twice:
+                ok &= first[ys] != first[x]
+            ok &= ~(has[ys] & has[x]).any(1)
+            ys, own = ys[ok], table[at + 1 : stop][ok]
+            if len(ys):
+                least = -(-percent * (n[x] + n[ys]) // (100 + percent))
+                good = ys[most_shared(table[at], own, n[x], n[ys]) >= least]
+                out += zip(np.minimum(fp[good], fp[x]).tolist(), np.maximum(fp[good], fp[x]).tolist(), strict=True)
+    return out
+
+
 class Join:
     """The stages of the join over documents with columns doc_id and text."""
 
@@ -162,14 +229,14 @@ class Join:
         return bitmap, mean
 
     def keyed(self, long_lists: np.ndarray, boundary: int) -> DataFrame:
-        """doc_id, n_shingles, fp (the class), keys (once for each class and task)."""
+        """doc_id, n_shingles, fp (the class); keys and signature once for each class and task."""
         n, percent, held = self.n, self.percent, self.spark.sparkContext.broadcast(long_lists)
 
-        @F.arrow_udf("n_shingles long, fp long, keys array<long>")
+        @F.arrow_udf("n_shingles long, fp long, keys array<long>, signature binary")
         def sign(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             seen: set[int] = set()
             for texts in batches:
-                sizes, fps, keys, lens = [], [], [], [0]
+                sizes, fps, keys, lens, counts = [], [], [], [0], []
                 for part in slices(texts):
                     for s in shingle_sets(part, n):
                         f = xxhash.xxh3_64_intdigest(s) if len(s) else 0
@@ -179,36 +246,65 @@ class Join:
                             seen.add(f)
                             keys.append(set_keys(s, held.value, boundary, percent))
                             lens.append(lens[-1] + len(keys[-1]))
+                            counts.append(signature(s))
                         else:
                             lens.append(lens[-1])
+                            counts.append(None)
                 flat = pa.array((np.concatenate(keys) if keys else np.zeros(0, np.uint64)).view(np.int64))
                 yield pa.StructArray.from_arrays(
-                    [pa.array(np.array(sizes, np.int64)), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(np.array(lens, np.int32)), flat)],
-                    ["n_shingles", "fp", "keys"],
+                    [pa.array(np.array(sizes, np.int64)), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(np.array(lens, np.int32)), flat), pa.array(counts, pa.binary())],
+                    ["n_shingles", "fp", "keys", "signature"],
                 )
 
         signed = self.docs.select("doc_id", sign.asNondeterministic()(F.col("text")).alias("s")).select("doc_id", "s.*")
         return write_table(signed, "signed")
 
+    def lists(self, keyed: DataFrame) -> DataFrame:
+        """key, fp and n of the members of lists that have two classes or more, once each."""
+        entries = keyed.filter(F.size("keys") > 0).select(F.explode("keys").alias("key"), "fp", F.col("n_shingles").alias("n"))
+        by = Window.partitionBy("key").orderBy("fp")
+        near = entries.withColumn("_next", F.lead("fp").over(by)).withColumn("_low", F.min("fp").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        last = F.col("_next").isNull() | (F.col("_next") != F.col("fp"))
+        near = near.filter(last & ((F.col("_low") != F.col("fp")) | F.col("_next").isNotNull()))
+        return write_table(near.select("key", "fp", "n"), "lists")
+
     def sets(self, keyed: DataFrame, wanted: DataFrame) -> DataFrame:
-        """fp and set of the classes in `wanted`: documents are picked by a bitmap of ids before their texts are taken apart."""
+        """fp and set of the classes in `wanted`, from one document of each; its id's hash picks it before its text is taken apart."""
         n = self.n
-        ids = keyed.filter(F.size("keys") > 0).join(wanted, "fp", "left_semi")
-        ids = ids.groupBy("fp").agg(F.min(F.xxhash64("doc_id")).alias("v"))
-        held = self.spark.sparkContext.broadcast(bitmap_of(ids.select("v")))
+        ids = keyed.filter("signature IS NOT NULL").join(wanted, "fp", "left_semi")
+        ids = write_table(ids.groupBy("fp").agg(F.min(F.xxhash64("doc_id")).alias("h")).select("h").distinct(), "ids")
+        hashed = self.docs.select(F.xxhash64("doc_id").alias("h"), "text")
+        if ids.count() <= BROADCAST_IDS:
+            hashed, held = hashed.join(F.broadcast(ids), "h", "left_semi"), None
+        else:
+            held = self.spark.sparkContext.broadcast(bitmap_of(ids.select(F.col("h").alias("v"))))
 
         def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
             for batch in batches:
-                mine = in_bitmap(held.value, batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
-                for part in slices(batch.column(1).filter(pa.array(mine))):
+                texts = batch.column(1)
+                if held is not None:
+                    texts = texts.filter(pa.array(in_bitmap(held.value, batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))))
+                for part in slices(texts):
                     rows = [(f, s.tobytes()) for s in shingle_sets(part, n) if len(s) and (f := xxhash.xxh3_64_intdigest(s)) not in seen and not seen.add(f)]
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(np.array([f for f, _ in rows], np.uint64).view(np.int64)), pa.array([b for _, b in rows], pa.binary())], ["fp", "set"])
 
-        found = self.docs.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(take, "fp long, set binary")
+        found = hashed.mapInArrow(take, "fp long, set binary")
         return write_table(found.join(wanted, "fp", "left_semi").dropDuplicates(["fp"]), "sets")
 
+    def possible(self, pairs: DataFrame, counts: DataFrame) -> DataFrame:
+        """Those of the pairs (u, v) whose signatures allow a link."""
+        percent = self.percent
+
+        @F.arrow_udf("boolean")
+        def may(a: pa.Array, b: pa.Array, s: pa.Array, t: pa.Array) -> pa.Array:
+            return pa.array([may_link(*x, percent) for x in zip(a.to_pylist(), b.to_pylist(), s.to_pylist(), t.to_pylist(), strict=True)], pa.bool_())
+
+        one = pairs.join(counts.select(F.col("fp").alias("u"), F.col("signature").alias("a"), F.col("n").alias("s")), "u")
+        two = one.join(counts.select(F.col("fp").alias("v"), F.col("signature").alias("b"), F.col("n").alias("t")), "v")
+        return two.filter(may(F.col("a"), F.col("b"), F.col("s"), F.col("t"))).select("u", "v")
+
     def linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Those of the pairs (u, v) whose sets are similar enough."""
         percent = self.percent
@@ -228,55 +324,88 @@ class Join:
         two = one.join(sets.select(F.col("fp").alias("v"), F.col("set").alias("b")), "v")
         return two.filter(similar(F.col("a"), F.col("b"))).select("u", "v")
 
-    def run(self) -> tuple[DataFrame, DataFrame]:
-        """The keyed documents, and the links between classes (enough of them for the components)."""
+    def run(self) -> DataFrame:
+        """The keyed documents; self.roots names the components of their classes."""
         percent = self.percent
         long_lists, mean = self.long_lists()
+        release(self.spark)
         keyed = self.keyed(long_lists, boundary_by_cost(mean, percent))
-        entries = keyed.filter(F.size("keys") > 0).select(F.explode("keys").alias("key"), "fp", F.col("n_shingles").alias("n"))
-        by = Window.partitionBy("key").orderBy("fp")
-        near = entries.withColumn("_next", F.lead("fp").over(by)).withColumn("_low", F.min("fp").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        last = F.col("_next").isNull() | (F.col("_next") != F.col("fp"))
-        near = near.filter(last & ((F.col("_low") != F.col("fp")) | F.col("_next").isNotNull()))
-        lists = write_table(near.select("key", "fp", "n"), "lists")  # members of lists that have two classes or more, once each
-        sets = self.sets(keyed, lists.select("fp").distinct())
+        lists = self.lists(keyed)
+        release(self.spark)
+        counts = keyed.filter("signature IS NOT NULL").select("fp", "signature", F.col("n_shingles").alias("n"))
+        counts = write_table(counts.join(lists.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"]), "signatures")
         same_doc = keyed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
         first = same_doc.groupBy("doc_id").agg(F.min("fp").alias("u"), F.max("fp").alias("_v")).filter("u <> _v")
-        links = write_table(same_doc.join(first, "doc_id").select("u", F.col("fp").alias("v")).filter("u <> v").distinct(), "links")
+        self.links = write_table(same_doc.join(first, "doc_id").select("u", F.col("fp").alias("v")).filter("u <> v").distinct(), "links")
+        self.roots = write_table(components(self.links), "roots")
+        self.held: DataFrame | None = None
         fits = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
-        open_lists = lists.withColumn("c", F.col("fp"))
+        open_lists = self._open(lists)
         for k in range(self.rounds):
             order = Window.partitionBy("key").orderBy(F.xxhash64("fp", F.lit(k)) if k else F.col("fp")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
             pivot = F.first(F.struct("fp", "n", "c")).over(order)
             pairs = open_lists.withColumn("p", pivot).filter((F.col("p.c") != F.col("c")) & fits(F.col("p.n"), F.col("n")))
-            pairs = pairs.select(F.least("fp", "p.fp").alias("u"), F.greatest("fp", "p.fp").alias("v")).distinct()
-            found = write_table(self.linked(pairs, sets), "links")
-            if not found.isEmpty():
-                links = links.unionByName(found)
-                roots = write_table(components(links), "roots")
-            elif not k:
-                roots = write_table(components(links), "roots")
-            open_lists = self._open(lists, roots)
+            if self._compare(keyed, counts, pairs.select(F.least("fp", "p.fp").alias("u"), F.greatest("fp", "p.fp").alias("v")).distinct()):
+                open_lists = self._open(lists)
+            release(self.spark)
             if open_lists.isEmpty():
-                return keyed, links
-        a = open_lists.select("key", F.col("fp").alias("u"), F.col("n").alias("_n"), F.col("c").alias("_c"))
-        b = open_lists.select("key", F.col("fp").alias("v"), "n", "c")
-        rest = a.join(b, "key").filter((F.col("u") < F.col("v")) & (F.col("_c") != F.col("c")) & fits(F.col("_n"), F.col("n")))
-        return keyed, links.unionByName(write_table(self.linked(rest.select("u", "v").distinct(), sets), "links"))
+                return keyed
+        self._compare(keyed, counts, self._rest(open_lists, counts))
+        return keyed
+
+    def _rest(self, open_lists: DataFrame, counts: DataFrame) -> DataFrame:
+        """Every pair of list members that are still in different components and may link.
 
-    def _open(self, lists: DataFrame, roots: DataFrame) -> DataFrame:
+        Short lists are joined with themselves. Long lists are cut into blocks of about BLOCK members, and pairs of
+        blocks are compared in tasks of their own; a pair is looked at only in the first long list that it shares,
+        and only what its signatures allow comes out."""
+        percent = self.percent
+        sized = write_table(open_lists.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("key"))), "open")
+        short, long = sized.filter(F.col("k") <= LIST), sized.filter(F.col("k") > LIST)
+        a = short.select("key", F.col("fp").alias("u"), F.col("n").alias("_n"), F.col("c").alias("_c"))
+        b = short.select("key", F.col("fp").alias("v"), "n", "c")
+        fits = 100 * F.least("_n", "n") >= percent * F.greatest("_n", "n")
+        pairs = a.join(b, "key").filter((F.col("u") < F.col("v")) & (F.col("_c") != F.col("c")) & fits).select("u", "v").distinct()
+
+        def compare(key: tuple, table: pa.Table) -> pa.Table:
+            rows = {c: table.column(c).to_pylist() for c in ("fp", "n", "c", "keys", "signature", "block")}
+            k, i, j = (x.as_py() for x in key)
+            found = block_pairs(k, rows, i == j, [x == i for x in rows["block"]], percent)
+            return pa.table({"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())})
+
+        keys = long.groupBy("fp").agg(F.sort_array(F.collect_list("key")).alias("keys"))  # at most a set's keys
+        rows = long.join(keys, "fp").join(counts.select("fp", "signature"), "fp").withColumn("_blocks", F.ceil(F.col("k") / BLOCK).cast("long"))
+        rows = rows.withColumn("block", F.pmod(F.xxhash64("fp", F.lit("block")), "_blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
+        rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).select("key", "i", "j", "fp", "n", "c", "keys", "signature", "block")
+        return pairs.unionByName(rows.groupBy("key", "i", "j").applyInArrow(compare, "u long, v long").distinct()).distinct()
+
+    def _compare(self, keyed: DataFrame, counts: DataFrame, pairs: DataFrame) -> bool:
+        """Verify pairs; new links go into self.links and self.roots. Sets that are still missing are gathered first."""
+        pairs = write_table(self.possible(pairs, counts), "pairs")
+        wanted = pairs.select(F.col("u").alias("fp")).unionByName(pairs.select(F.col("v").alias("fp"))).distinct()
+        wanted = write_table(wanted.join(self.held.select("fp"), "fp", "left_anti") if self.held else wanted, "wanted")
+        if not wanted.isEmpty():
+            more = self.sets(keyed, wanted)
+            self.held = self.held.unionByName(more) if self.held else more
+        found = write_table(self.linked(pairs, self.held), "links") if self.held else pairs
+        if found.isEmpty():
+            return False
+        self.links = self.links.unionByName(found)
+        self.roots = write_table(components(self.links), "roots")
+        return True
+
+    def _open(self, lists: DataFrame) -> DataFrame:
         """Lists that still have members of two components or more, each member with its component c."""
-        known = lists.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("c", F.coalesce("root", "fp")).drop("root")
-        known = write_table(known, "lists")
-        more = known.groupBy("key").agg(F.min("c").alias("_a"), F.max("c").alias("_b")).filter("_a <> _b").select("key")
-        return write_table(known.join(more, "key", "left_semi"), "open")
+        known = lists.join(self.roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("c", F.coalesce("root", "fp")).drop("root")
+        own = Window.partitionBy("key")
+        return write_table(known.withColumn("_a", F.min("c").over(own)).withColumn("_b", F.max("c").over(own)).filter("_a <> _b").drop("_a", "_b"), "open")
 
 
 def near_components(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, rounds: int = ROUNDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every row."""
     thin = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    keyed, links = Join(thin, n, percent, rounds).run()
-    roots = write_table(components(links), "roots")
+    join = Join(thin, n, percent, rounds)
+    keyed, roots = join.run(), join.roots
     classes = keyed.filter("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("_low"))
     classes = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = classes.groupBy("root").agg(F.min("_low").alias("component_id"))

@@ -371,8 +371,10 @@ def near_cases(seed):
 def test_near_matches_brute_force(spark, monkeypatch, seed, light):
     monkeypatch.setattr(near, "boundary_by_cost", lambda *a: light)
     monkeypatch.setattr(near, "LONG_LIST", 3)
+    monkeypatch.setattr(near, "LIST", 3 * seed)
+    monkeypatch.setattr(near, "BLOCK", 4)
     rows = near_cases(seed)
-    got = near.near_components(docs_of(spark, [(*x, "s") for x in rows]), rounds=1 + seed).collect()
+    got = near.near_components(docs_of(spark, [(*x, "s") for x in rows]), rounds=seed - 1).collect()
     want = brute_near(rows)
     assert len(got) == len(rows)
     for r in got:
@@ -395,7 +397,9 @@ def test_boundary_grows_with_lists():
             assert 100 * i >= 80 * (s + t - i) and not 100 * (i - 1) >= 80 * (s + t - i + 1)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("in_one_task", [0, 10**6])
+def test_components(spark, monkeypatch, in_one_task):
+    monkeypatch.setattr("almoner.llm.components.ONE_TASK_LINKS", in_one_task)
     r = random.Random(2)
     edges = [(k, k + 1) for k in range(50, 90)] + [(7, 7 + r.randint(1, 40)) for _ in range(20)] + [(1, 2), (2, 1), (3, 3)]
     root = {}
