@@ -5,7 +5,7 @@ digit) become <*>; a line then descends by its number of tokens and its first `d
 leaf, a position is constant if all the leaf's lines agree on it and variable otherwise, which gives the leaf's
 template. Where at least `alike` of the positions are constant the whole leaf is one template; in other leaves
 each masked line stays a template of its own. A line is dropped if its template occurs in at least `min_docs`
-documents; lines shorter than `min_tokens` tokens are kept.
+documents, whatever its length; `min_tokens` above 1 keeps shorter lines.
 
 Leaves, masked lines and documents go by 64-bit hashes, so lines are counted without dealing out their texts. Only
 leaves that could recur (enough documents, several masked lines) are taken apart by position; a Bloom filter of
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from almoner.llm.common import write_table
 from almoner.llm.url_filter import BITS_PER_KEY, MOST_BYTES, build, passes
 
-DEPTH, ALIKE, MIN_DOCS, MIN_TOKENS = 3, 0.6, 10, 3
+DEPTH, ALIKE, MIN_DOCS, MIN_TOKENS = 3, 0.6, 10, 1
 VARIABLE = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
 SPACE = r"[\x20\x09-\x0D]+"
 

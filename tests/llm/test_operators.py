@@ -481,6 +481,12 @@ def test_line_templates_match_brute_force(spark):
     assert line_templates.drop_templates(docs_of(spark, [])).count() == 0
 
 
+def test_short_lines_are_counted(spark):
+    rows = [(k, f"Les.\nAnd ornd.\nonly {'abcdefghijkl'[k]}\n", "s") for k in range(12)]
+    got = line_templates.drop_templates(docs_of(spark, rows)).collect()
+    assert len(got) == 12 and all(list(x.lines.dropped) == [0, 1] for x in got)
+
+
 # the pipeline
 
 
