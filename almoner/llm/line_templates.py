@@ -2,15 +2,16 @@
 
 Lines (cut at \\n, trimmed) are parsed as in a fixed-depth log tree: fields that look variable (any token with a
 digit) become <*>; a line then descends by its number of tokens and its first `depth` tokens to a leaf. Within a
-leaf, a position is constant if all the leaf's lines agree on it and variable otherwise, which gives the leaf's
-template. Where at least `alike` of the positions are constant the whole leaf is one template; in other leaves
-each masked line stays a template of its own. A line is dropped if its template occurs in at least `min_docs`
-documents, whatever its length; `min_tokens` above 1 keeps shorter lines.
+leaf, two masked lines are alike if they agree on at least `alike` of the positions. Each masked line is a template
+with the lines that are alike, whatever else is in its leaf, and is dropped if at least `min_docs` documents hold one
+of them. More lines can only raise that count, so they never undo a template. `min_tokens` above 1 keeps shorter
+lines.
 
 Leaves, masked lines and documents go by 64-bit hashes, so lines are counted without dealing out their texts. Only
-leaves that could recur (enough documents, several masked lines) are taken apart by position; a Bloom filter of
-those leaves sieves the texts' lines first. Every group is summed before it is dealt out. Documents are named by a
-hash of id and text, so repeated rows count once.
+leaves in which rare lines could be alike to others are opened; a Bloom filter of those leaves sieves the texts' lines
+first. Lines near the document-weighted centre of their leaf are settled together; only the others are compared in
+pairs, by their rarest pairs of neighbouring tokens. Every group is summed before it is dealt out. Documents are named
+by a hash of id and text, so repeated rows count once.
 
 Null texts have no lines and stay null. Empty lines are kept. Null ids are ids. Ties don't arise. An empty table
 gives an empty one. Extra columns stay; one named as the result is replaced.
@@ -36,7 +37,7 @@ def masked(line: Column) -> Column:
 
 
 def parsed(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """docs: _doc, _text. Each line that is long enough: _doc, at, m (masked), leaf and mask (hashes)."""
+    """docs: _doc, _text. Each line that is long enough: _doc, at, n (tokens), m (masked), leaf and mask (hashes)."""
     # worked out within the array: as columns, each use of them would work them out again
 
     def keyed(m: Column) -> Column:
@@ -44,30 +45,80 @@ def parsed(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
         return F.struct(m.alias("m"), n.alias("n"), F.xxhash64(n, F.substring_index(m, " ", depth)).alias("leaf"), F.xxhash64(m).alias("mask"))
 
     lines = docs.select("_doc", F.posexplode(F.transform(F.transform(F.split("_text", "\n"), masked), keyed)).alias("at", "x"))
-    return lines.filter((F.col("x.n") >= min_tokens) & (F.col("x.m") != "")).select("_doc", "at", "x.m", "x.leaf", "x.mask")
+    return lines.filter((F.col("x.n") >= min_tokens) & (F.col("x.m") != "")).select("_doc", "at", "x.n", "x.m", "x.leaf", "x.mask")
+
+
+def agreeing(a: Column, b: Column) -> Column:
+    """At how many positions two arrays of one length agree."""
+    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda x: x))
+
+
+def central(open_masks: DataFrame, held: DataFrame) -> DataFrame:
+    """Masks (leaf, mask) that lie so near their leaf's centre that any two of them are alike, if enough documents hold them.
+
+    The centre has the token of most documents at each position. This spares dense leaves a comparison in pairs."""
+    spots = open_masks.select("leaf", "docs", F.posexplode("tok").alias("k", "token")).groupBy("leaf", "k", "token").agg(F.sum("docs").alias("f"))
+    most = spots.groupBy("leaf", "k").agg(F.max_by("token", F.struct("f", "token")).alias("c"))
+    centre = most.groupBy("leaf").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "c"))), lambda x: x["c"]).alias("centre"))  # a line's tokens
+    near = open_masks.join(centre, "leaf").filter(2 * agreeing(F.col("tok"), F.col("centre")) >= F.size("tok") + F.col("need"))
+    docs = held.join(near.select("leaf", "mask", "least"), ["leaf", "mask"]).groupBy("leaf", "least").agg(F.countDistinct("_doc").alias("n_docs"))
+    return near.join(docs.filter(F.col("n_docs") >= F.col("least")).select("leaf"), "leaf", "left_semi").select("leaf", "mask")
+
+
+def paired(open_masks: DataFrame, held: DataFrame, settled: DataFrame) -> DataFrame:
+    """Masks (leaf, mask), rare and not settled, for which enough documents of the leaf hold one that is alike.
+
+    Positions lie on a circle: of r positions, two masks that agree at t share at least 2t - r pairs of neighbours
+    (more than none, as alike > 0.5), so a mask meets all that are alike by its r - (2t - r) + 1 rarest pairs."""
+
+    def pairs(x: Column) -> Column:
+        r = F.size(x)
+        return F.transform(x, lambda v, k: F.xxhash64(F.col("leaf"), k, v, F.get(x, (k + 1) % r)))
+
+    keyed = open_masks.select("leaf", "mask", "docs", F.explode(pairs(F.col("tok"))).alias("key"))
+    weight = keyed.groupBy("key").agg(F.sum("docs").alias("w"))
+    rare = open_masks.filter(F.col("docs") < F.col("least")).join(settled, ["leaf", "mask"], "left_anti").select("leaf", "mask", "docs", "least", "need", F.size("tok").alias("r"), F.explode(pairs(F.col("tok"))).alias("key"))
+    own = rare.join(weight, "key").groupBy("leaf", "mask", "docs", "least", "need", "r").agg(F.sort_array(F.collect_list(F.struct((F.col("w") - F.col("docs")).alias("others"), "key"))).alias("x"))  # a line's tokens
+    probes = own.withColumn("x", F.slice("x", F.lit(1), 2 * (F.col("r") - F.col("need")) + 1))
+    enough = F.col("docs") + F.aggregate("x", F.lit(0).cast("long"), lambda a, y: a + y["others"]) >= F.col("least")
+    probes = probes.filter(enough).select("leaf", "mask", F.explode(F.filter("x", lambda y: y["others"] > 0)["key"]).alias("key"))
+    met = probes.join(keyed.select("key", F.col("mask").alias("other")), "key").filter("mask <> other").select("leaf", "mask", "other").distinct()
+    others = open_masks.select("leaf", F.col("mask").alias("other"), F.col("tok").alias("other_tok"), F.col("docs").alias("other_docs"))
+    met = met.join(open_masks.select("leaf", "mask", "tok", "need", "least"), ["leaf", "mask"]).join(others, ["leaf", "other"])
+    alike = write_table(met.filter(agreeing(F.col("tok"), F.col("other_tok")) >= F.col("need")).select("leaf", "mask", "other", "other_docs", "least"), "alike")
+    few = alike.filter("other_docs < least").select("leaf", "mask", "other", "least")
+    few = few.unionByName(few.select("leaf", "mask", F.col("mask").alias("other"), "least").distinct())
+    docs = few.join(held.withColumnRenamed("mask", "other"), ["leaf", "other"]).groupBy("leaf", "mask", "least").agg(F.countDistinct("_doc").alias("n_docs"))
+    return alike.filter("other_docs >= least").select("leaf", "mask").unionByName(docs.filter("n_docs >= least").select("leaf", "mask"))
 
 
 def templates(docs: DataFrame, lines: DataFrame, depth: int, alike: float, min_docs: int, min_tokens: int) -> DataFrame:
-    """The templates to drop: leaf and mask (null: the whole leaf). lines: the written _doc, at, leaf and mask of every line."""
-    once = lines.groupBy("leaf", "mask", "_doc").agg(F.count(F.lit(1)).alias("_n"))
-    by_mask = write_table(once.groupBy("leaf", "mask").agg(F.count(F.lit(1)).alias("docs")), "masks")
-    # a leaf of one masked line has no variable position; the others are taken apart if they can recur
-    by_leaf = by_mask.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.count(F.lit(1)).alias("masks"))
-    open_leaves = write_table(by_leaf.filter((F.col("docs") >= min_docs) & (F.col("masks") > 1)).select("leaf"), "leaves")
+    """The masked lines to drop: leaf and mask. lines: the written _doc, at, leaf, n and mask of every line."""
+    if alike <= 0.5:
+        raise ValueError("alike must exceed 0.5")
+    least = F.lit(min_docs)
+    r = F.col("n")
+    need = F.ceil(F.round(r * alike, 6)).cast("int")
+    once = lines.select("leaf", "n", "mask", "_doc").distinct()
+    by_mask = write_table(once.groupBy("leaf", "n", "mask").agg(F.count(F.lit(1)).alias("docs")).withColumn("least", least), "masks")
+    often = by_mask.filter(F.col("docs") >= F.col("least")).select("leaf", "mask")
+    # a leaf is open if some of its masked lines are rare, others may be alike, and all of them have enough documents
+    by_leaf = by_mask.groupBy("leaf", "n", "least").agg(F.sum("docs").alias("docs"), F.min("docs").alias("rarest"), F.count(F.lit(1)).alias("masks"))
+    open_leaves = write_table(by_leaf.filter((F.col("docs") >= F.col("least")) & (F.col("rarest") < F.col("least")) & (F.col("masks") > 1) & (need < r)).select("leaf"), "leaves")
     in_open = parsed(docs, depth, min_tokens)
     n = open_leaves.count()
     bits = 64 * (1 + n * BITS_PER_KEY // 64)
     if bits <= 8 * MOST_BYTES:  # texts' lines are sieved before any of them is dealt out; beyond, the join alone sieves
         sieve = write_table(build(open_leaves.select(F.col("leaf").alias("key")), 0, bits), "bloom")
         in_open = in_open.filter(passes(F.col("leaf"), sieve.scalar(), 0, bits))
-    in_open = in_open.groupBy("leaf", "mask").agg(F.min("m").alias("m")).join(open_leaves, "leaf", "left_semi")
-    spots = in_open.select("leaf", F.posexplode(F.split("m", " ")).alias("k", "token"))
-    same = spots.groupBy("leaf", "k").agg((F.min("token") == F.max("token")).alias("same"))
-    whole = write_table(same.groupBy("leaf").agg(F.avg(F.col("same").cast("double")).alias("share")).filter(F.col("share") >= alike).select("leaf"), "whole")
-    in_whole = lines.join(whole, "leaf", "left_semi").select("leaf", "_doc").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("docs"))
-    merged = in_whole.filter(F.col("docs") >= min_docs).select("leaf", F.lit(None).cast("long").alias("mask"))
-    single = by_mask.filter(F.col("docs") >= min_docs).join(whole, "leaf", "left_anti").select("leaf", "mask")
-    return write_table(merged.unionByName(single), "templates")
+    in_open = in_open.groupBy("leaf", "mask").agg(F.min("m").alias("m")).join(open_leaves, "leaf", "left_semi").join(by_mask, ["leaf", "mask"])
+    tok = F.transform(F.split("m", " "), lambda x: F.xxhash64(x))
+    open_masks = write_table(in_open.select("leaf", "mask", "docs", "least", need.alias("need"), tok.alias("tok")), "open")
+    held = write_table(lines.join(open_leaves, "leaf", "left_semi").select("leaf", "mask", "_doc").distinct(), "held")
+    settled = write_table(central(open_masks, held), "central")
+    again = central(open_masks.join(settled, ["leaf", "mask"], "left_anti"), held)
+    settled = settled.unionByName(write_table(again, "central"))
+    return write_table(often.unionByName(settled).unionByName(paired(open_masks, held, settled)).distinct(), "templates")
 
 
 def drop_templates(docs: DataFrame, depth: int = DEPTH, alike: float = ALIKE, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, doc_id: str = "doc_id", text: str = "text", out: str = "lines") -> DataFrame:
@@ -77,9 +128,7 @@ def drop_templates(docs: DataFrame, depth: int = DEPTH, alike: float = ALIKE, mi
     texts = named.select("_doc", F.col("_row")[text].cast("string").alias("_text"))
     lines = write_table(parsed(texts, depth, min_tokens).drop("m"), "lines")
     drop = templates(texts, lines, depth, alike, min_docs, min_tokens)
-    leaves, masks = drop.filter("mask IS NULL").select("leaf"), drop.filter("mask IS NOT NULL")
-    hit = lines.join(leaves, "leaf", "left_semi").select("_doc", "at").unionByName(lines.join(masks, ["leaf", "mask"], "left_semi").select("_doc", "at"))
-    hit = hit.distinct().groupBy(F.col("_doc").alias("_d")).agg(F.sort_array(F.collect_list("at")).alias("_at"))  # at most a document's lines
+    hit = lines.join(drop, ["leaf", "mask"], "left_semi").select("_doc", "at").distinct().groupBy(F.col("_doc").alias("_d")).agg(F.sort_array(F.collect_list("at")).alias("_at"))  # at most a document's lines
     joined = named.join(hit, F.col("_doc") == F.col("_d"), "left").withColumn("_at", F.coalesce("_at", F.array().cast("array<int>")))
     own = F.col("_row")[text].cast("string")
     kept = F.when(F.size("_at") > 0, F.array_join(F.filter(F.split(own, "\n"), lambda x, k: ~F.array_contains(F.col("_at"), k)), "\n")).otherwise(own)

@@ -487,6 +487,50 @@ def test_short_lines_are_counted(spark):
     assert len(got) == 12 and all(list(x.lines.dropped) == [0, 1] for x in got)
 
 
+def brute_alike(rows, min_docs):
+    """Lines of which so many documents hold one in the same leaf that agrees at enough positions."""
+    parsed, leaves = {}, defaultdict(list)
+    for key in {(k, t) for k, t, _ in rows if t is not None}:
+        for at, line in enumerate(key[1].split("\n")):
+            t = ["<*>" if re.search("[0-9]", w) else w for w in WORD.findall(line)]
+            if t:
+                parsed[key, at] = t
+                leaves[(len(t), *t[: line_templates.DEPTH])].append((key, t))
+    drop = defaultdict(set)
+    for (key, at), t in parsed.items():
+        alike = {k for k, u in leaves[(len(t), *t[: line_templates.DEPTH])] if sum(x == y for x, y in zip(t, u)) >= round(line_templates.ALIKE * len(t), 6)}
+        if len(alike) >= min_docs:
+            drop[key].add(at)
+    return drop
+
+
+def test_several_templates_in_a_leaf(spark):
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(3))
+    groups = [(["one", "two", "three"] + [word() for _ in range(r.choice([5, 9, 9, 9]))], r.choice([1, 2, 4])) for _ in range(12)]
+    rows = []
+    for k in range(150):
+        lines = [" ".join(["one", "two", "three"] + [r.choice("xyz") for _ in range(9)])]
+        for g, edits in r.sample(groups, 3):
+            g = list(g)
+            for _ in range(edits):
+                g[r.randrange(3, len(g))] = word()
+            lines.append(" ".join(g))
+        rows.append((k, "\n".join(lines), "s"))
+    for some in (rows[:70], rows):
+        drop = brute_alike(some, 20)
+        got = line_templates.drop_templates(docs_of(spark, some), min_docs=20).collect()
+        assert all(set(x.lines.dropped) == drop[x.doc_id, some[x.doc_id][1]] for x in got)
+        assert 0 < sum(map(len, drop.values())) < sum(t.count("\n") + 1 for _, t, _ in some)
+
+
+def test_foreign_lines_undo_no_template(spark):
+    rows = [(k, f"Read our notice about {'abcdefghijkl'[k]} and the law", "s") for k in range(12)]
+    rows += [(k, f"Read our notice {k * 'q'}u {k * 'q'}v {k * 'q'}w {k * 'q'}x {k * 'q'}y", "s") for k in range(12, 40)]
+    got = line_templates.drop_templates(docs_of(spark, rows)).collect()
+    assert all(x.lines.n_dropped == (x.doc_id < 12) for x in got)
+
+
 # the pipeline
 
 
