@@ -4,7 +4,8 @@ Lines (cut at \\n, trimmed) are parsed as in a fixed-depth log tree: fields that
 digit) become <*>; a line then descends by its number of tokens and its first `depth` tokens to a leaf. Within a
 leaf, two masked lines are alike if they agree on at least `alike` of the positions. Each masked line is a template
 with the lines that are alike, whatever else is in its leaf, and is dropped if at least `min_docs` documents hold one
-of them. More lines can only raise that count, so they never undo a template. `min_tokens` above 1 keeps shorter
+of them (`long_docs` for lines of more than 50 tokens; two are left to the near-duplicate join, as every copy of a
+dropped line goes). More lines can only raise that count, so they never undo a template. `min_tokens` above 1 keeps shorter
 lines.
 
 Leaves, masked lines and documents go by 64-bit hashes, so lines are counted without dealing out their texts. Only
@@ -26,6 +27,8 @@ from almoner.llm.common import write_table
 from almoner.llm.url_filter import BITS_PER_KEY, MOST_BYTES, build, passes
 
 DEPTH, ALIKE, MIN_DOCS, MIN_TOKENS = 3, 0.6, 10, 1
+#: Lines of more tokens than the first are no accident: they go if the second number of documents holds them.
+LONG_TOKENS, LONG_DOCS = 50, 3
 VARIABLE = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -92,11 +95,11 @@ def paired(open_masks: DataFrame, held: DataFrame, settled: DataFrame) -> DataFr
     return alike.filter("other_docs >= least").select("leaf", "mask").unionByName(docs.filter("n_docs >= least").select("leaf", "mask"))
 
 
-def templates(docs: DataFrame, lines: DataFrame, depth: int, alike: float, min_docs: int, min_tokens: int) -> DataFrame:
+def templates(docs: DataFrame, lines: DataFrame, depth: int, alike: float, min_docs: int, min_tokens: int, long_docs: int) -> DataFrame:
     """The masked lines to drop: leaf and mask. lines: the written _doc, at, leaf, n and mask of every line."""
     if alike <= 0.5:
         raise ValueError("alike must exceed 0.5")
-    least = F.lit(min_docs)
+    least = F.when(F.col("n") > LONG_TOKENS, min(min_docs, long_docs)).otherwise(min_docs)
     r = F.col("n")
     need = F.ceil(F.round(r * alike, 6)).cast("int")
     once = lines.select("leaf", "n", "mask", "_doc").distinct()
@@ -121,13 +124,13 @@ def templates(docs: DataFrame, lines: DataFrame, depth: int, alike: float, min_d
     return write_table(often.unionByName(settled).unionByName(paired(open_masks, held, settled)).distinct(), "templates")
 
 
-def drop_templates(docs: DataFrame, depth: int = DEPTH, alike: float = ALIKE, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, doc_id: str = "doc_id", text: str = "text", out: str = "lines") -> DataFrame:
+def drop_templates(docs: DataFrame, depth: int = DEPTH, alike: float = ALIKE, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, long_docs: int = LONG_DOCS, doc_id: str = "doc_id", text: str = "text", out: str = "lines") -> DataFrame:
     """docs whose texts have lost recurring lines, with a struct `out`: n_lines, n_dropped, dropped (line numbers from 0)."""
     body = F.col(f"`{text}`").cast("string")
     named = docs.select(F.xxhash64(F.col(f"`{doc_id}`"), body).alias("_doc"), F.struct("*").alias("_row"))
     texts = named.select("_doc", F.col("_row")[text].cast("string").alias("_text"))
     lines = write_table(parsed(texts, depth, min_tokens).drop("m"), "lines")
-    drop = templates(texts, lines, depth, alike, min_docs, min_tokens)
+    drop = templates(texts, lines, depth, alike, min_docs, min_tokens, long_docs)
     hit = lines.join(drop, ["leaf", "mask"], "left_semi").select("_doc", "at").distinct().groupBy(F.col("_doc").alias("_d")).agg(F.sort_array(F.collect_list("at")).alias("_at"))  # at most a document's lines
     joined = named.join(hit, F.col("_doc") == F.col("_d"), "left").withColumn("_at", F.coalesce("_at", F.array().cast("array<int>")))
     own = F.col("_row")[text].cast("string")

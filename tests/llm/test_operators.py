@@ -531,6 +531,13 @@ def test_foreign_lines_undo_no_template(spark):
     assert all(x.lines.n_dropped == (x.doc_id < 12) for x in got)
 
 
+def test_long_lines_go_from_the_third_document(spark):
+    long, short = " ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(51)), "a short line of six words"
+    rows = [(k, f"{long}\n{short}\n{long[1:] if k < 2 else 'own'}", "s") for k in range(3)]
+    got = line_templates.drop_templates(docs_of(spark, rows)).collect()
+    assert len(got) == 3 and all(list(x.lines.dropped) == [0] for x in got)
+
+
 # the pipeline
 
 
