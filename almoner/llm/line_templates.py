@@ -2,7 +2,7 @@
 
 Lines (cut at \\n, trimmed) are parsed as in a fixed-depth log tree: fields that look variable (any token with a
 digit) become <*>; a line then descends by its number of tokens and its first `depth` tokens to a leaf. Within a
-leaf, two masked lines are alike if they agree on at least `alike` of the positions. Each masked line is a template
+leaf, two masked lines are alike if they agree on at least `alike` of the positions after those first tokens. Each masked line is a template
 with the lines that are alike, whatever else is in its leaf, and is dropped if at least `min_docs` documents hold one
 of them (`long_docs` for lines of more than 50 tokens; two are left to the near-duplicate join, as every copy of a
 dropped line goes). More lines can only raise that count, so they never undo a template. `min_tokens` above 1 keeps shorter
@@ -100,7 +100,7 @@ def templates(docs: DataFrame, lines: DataFrame, depth: int, alike: float, min_d
     if alike <= 0.5:
         raise ValueError("alike must exceed 0.5")
     least = F.when(F.col("n") > LONG_TOKENS, min(min_docs, long_docs)).otherwise(min_docs)
-    r = F.col("n")
+    r = F.col("n") - depth  # the leading tokens say nothing, as a leaf shares them
     need = F.ceil(F.round(r * alike, 6)).cast("int")
     once = lines.select("leaf", "n", "mask", "_doc").distinct()
     by_mask = write_table(once.groupBy("leaf", "n", "mask").agg(F.count(F.lit(1)).alias("docs")).withColumn("least", least), "masks")
@@ -115,7 +115,7 @@ def templates(docs: DataFrame, lines: DataFrame, depth: int, alike: float, min_d
         sieve = write_table(build(open_leaves.select(F.col("leaf").alias("key")), 0, bits), "bloom")
         in_open = in_open.filter(passes(F.col("leaf"), sieve.scalar(), 0, bits))
     in_open = in_open.groupBy("leaf", "mask").agg(F.min("m").alias("m")).join(open_leaves, "leaf", "left_semi").join(by_mask, ["leaf", "mask"])
-    tok = F.transform(F.split("m", " "), lambda x: F.xxhash64(x))
+    tok = F.transform(F.slice(F.split("m", " "), depth + 1, r), lambda x: F.xxhash64(x))
     open_masks = write_table(in_open.select("leaf", "mask", "docs", "least", need.alias("need"), tok.alias("tok")), "open")
     held = write_table(lines.join(open_leaves, "leaf", "left_semi").select("leaf", "mask", "_doc").distinct(), "held")
     settled = write_table(central(open_masks, held), "central")

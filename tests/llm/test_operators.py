@@ -498,7 +498,7 @@ def brute_alike(rows, min_docs):
                 leaves[(len(t), *t[: line_templates.DEPTH])].append((key, t))
     drop = defaultdict(set)
     for (key, at), t in parsed.items():
-        alike = {k for k, u in leaves[(len(t), *t[: line_templates.DEPTH])] if sum(x == y for x, y in zip(t, u)) >= round(line_templates.ALIKE * len(t), 6)}
+        alike = {k for k, u in leaves[(len(t), *t[: line_templates.DEPTH])] if t == u or (rest := t[line_templates.DEPTH :]) and sum(x == y for x, y in zip(rest, u[line_templates.DEPTH :])) >= round(line_templates.ALIKE * len(rest), 6)}
         if len(alike) >= min_docs:
             drop[key].add(at)
     return drop
@@ -538,6 +538,12 @@ def test_long_lines_go_from_the_third_document(spark):
     assert len(got) == 3 and all(list(x.lines.dropped) == [0] for x in got)
 
 
+def test_leading_tokens_alone_are_no_template(spark):
+    rows = [(k, f"See also our {'abcdefghijkl'[k]}\nSee also our {'abcdefghijkl'[k]} {'mnopqrstuvwx'[k]}", "s") for k in range(12)]
+    got = line_templates.drop_templates(docs_of(spark, rows)).collect()
+    assert len(got) == 12 and all(x.lines.n_dropped == 0 for x in got)
+
+
 # the pipeline
 
 
