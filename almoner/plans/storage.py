@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from almoner.operators import filings as fil
@@ -85,19 +87,57 @@ def s05(spark, sf_dir):
     return tables.index(spark, path).select("object_id", "ein", "tax_period", "return_type", "sub_date")
 
 
-def _zips(spark, sf_dir) -> tuple[str, list[tuple[str, str]]]:
-    """Archives of a few hundred small filings (the archives are this query's fixture)."""
-    folder = tempfile.mkdtemp()
-    rows = analog(spark, sf_dir, "members").orderBy("zip_file", "object_id").limit(300).collect()
-    by: dict[str, list[str]] = {}
-    for r in rows:
-        by.setdefault(r.zip_file, []).append(r.object_id)
-    for name, ids in by.items():
-        with zipfile.ZipFile(Path(folder) / name, "w", zipfile.ZIP_DEFLATED) as z:
-            for i in ids:
+def _zips(spark, sf_dir) -> str:
+    """A shared folder with the archives of all members, each written by one task (the archives are these queries' fixture)."""
+    folder = scratch(spark)
+    local = folder.removeprefix("file:")  # the folder is mounted on every machine
+    local = "/" + local.lstrip("/")
+
+    def write(batches):
+        os.makedirs(local, exist_ok=True)
+        name = z = part = None
+
+        def close():
+            if z is not None:
+                z.writestr("part/readme.txt", "not a filing")
+                z.close()
+                os.replace(part, f"{local}/{name}")
+
+        for batch in batches:
+            for zip_file, i in zip(batch["zip_file"], batch["object_id"], strict=True):
+                if zip_file != name:
+                    close()
+                    name, part = zip_file, f"{local}/.{uuid.uuid4().hex}"
+                    z = zipfile.ZipFile(part, "w", zipfile.ZIP_DEFLATED)
                 z.writestr(f"part/{i}_public.xml", f"<Return id='{i}'/>")
-            z.writestr("part/readme.txt", "not a filing")
-    return folder, [(r.object_id, r.zip_file) for r in rows]
+        close()
+        yield pd.DataFrame({"n": [0]})
+
+    rows = analog(spark, sf_dir, "members").select("zip_file", "object_id")
+    rows.repartition("zip_file").sortWithinPartitions("zip_file", "object_id").mapInPandas(write, "n long").count()
+    return "file://" + local
+
+
+def _in_sql(df, spark, sf_dir):
+    """The rows of df that the SQL's LIMIT leaves; df itself has every archive's members."""
+    z = analog(spark, sf_dir, "members").orderBy("zip_file", "object_id").limit(300).select("object_id")
+    return df.join(z, "object_id", "left_semi")
+
+
+def all_members(spark, sf_dir):
+    return archives.members(spark, _zips(spark, sf_dir))
+
+
+def all_wanted(spark, sf_dir):
+    wanted = analog(spark, sf_dir, "filing_index").select("object_id")
+    return archives.documents(spark, _zips(spark, sf_dir), wanted).select("object_id", "xml")
+
+
+def all_from_source(spark, sf_dir):
+    spark.dataSource.register(archives.ZipFilings)
+    folder = Path(_zips(spark, sf_dir).removeprefix("file://"))
+    paths = ",".join(sorted(str(p) for p in folder.glob("*.zip")))
+    return spark.read.format("zip_filings").option("paths", paths).load().select("object_id", "xml")
 
 
 ZIPPED = ctes("members") + ", z AS (SELECT * FROM members ORDER BY zip_file, object_id LIMIT 300)"
@@ -105,21 +145,17 @@ ZIPPED = ctes("members") + ", z AS (SELECT * FROM members ORDER BY zip_file, obj
 
 @query("s06_archive_members", ZIPPED + " SELECT object_id, zip_file, 'part/' || object_id || '_public.xml' AS member, CAST(length(object_id) + 15 AS BIGINT) AS bytes FROM z")
 def s06(spark, sf_dir):
-    return archives.members(spark, "file://" + _zips(spark, sf_dir)[0])
+    return _in_sql(all_members(spark, sf_dir), spark, sf_dir)
 
 
 @query("s07_p02_wanted_members", ZIPPED + " SELECT object_id, '<Return id=''' || object_id || '''/>' AS xml FROM z WHERE object_id NOT LIKE 'X%'")
 def s07(spark, sf_dir):
-    folder, _ = _zips(spark, sf_dir)
-    wanted = analog(spark, sf_dir, "filing_index").select("object_id")
-    return archives.documents(spark, "file://" + folder, wanted).select("object_id", "xml")
+    return _in_sql(all_wanted(spark, sf_dir), spark, sf_dir)
 
 
 @query("s07_zip_data_source", ZIPPED + " SELECT object_id, '<Return id=''' || object_id || '''/>' AS xml FROM z")
 def s07b(spark, sf_dir):
-    spark.dataSource.register(archives.ZipFilings)
-    paths = ",".join(sorted(str(p) for p in Path(_zips(spark, sf_dir)[0]).glob("*.zip")))
-    return spark.read.format("zip_filings").option("paths", paths).load().select("object_id", "xml")
+    return _in_sql(all_from_source(spark, sf_dir), spark, sf_dir)
 
 
 @query("s13_registry_csv", "SELECT lpad(CAST(s_suppkey + 1 AS VARCHAR), 9, '0') AS ein, s_name AS name, trim(replace(upper(s_name), '#', ' ')) AS name_normalized, '94022' AS zip5 FROM supplier")
