@@ -47,10 +47,10 @@ def draw(doc_id: Column, seed: str) -> Column:
     return (F.conv(digits, 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
-def mix(docs: DataFrame, seed: str = "", doc_id: str = "doc_id", text: str = "text", source: str = "source", carry: bool = False, **how) -> DataFrame:
-    """doc_id, source, size, source_size, target and copies of every row; with carry, _row (a hash of the row) besides."""
+def mix(docs: DataFrame, seed: str = "", doc_id: str = "doc_id", text: str = "text", source: str = "source", carry: str | None = None, **how) -> DataFrame:
+    """doc_id, source, size, source_size, target and copies of every row; with carry, that column too, as _row (it settles ties)."""
     size = F.coalesce(F.regexp_count(F.col(f"`{text}`").cast("string"), F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
-    thin = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").cast("string").alias("source"), size.alias("size"), *([F.xxhash64(F.struct("*")).alias("_row")] if carry else []))
+    thin = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").cast("string").alias("source"), size.alias("size"), *([F.col(f"`{carry}`").alias("_row")] if carry else []))
     thin = write_table(thin, "sizes")
     t = targets(thin, **how)
     u = draw(F.col("doc_id"), seed)
@@ -58,7 +58,7 @@ def mix(docs: DataFrame, seed: str = "", doc_id: str = "doc_id", text: str = "te
     ranks = thin.join(t, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_whole", F.floor(q)).withColumn("_f", q - F.col("_whole"))
     odds = F.when(F.col("_f") > 0, (u / (1 - u)) / (F.col("_f") / (1 - F.col("_f"))))
     ranks = ranks.withColumn("_odds", odds).withColumn("_left", F.col("target") - F.col("_whole") * F.col("source_size")).drop("_source", "_f")
-    order = [F.col("source").asc_nulls_first(), F.col("_odds"), F.col("doc_id").asc_nulls_first(), F.col("size")]
+    order = [F.col("source").asc_nulls_first(), F.col("_odds"), F.col("doc_id").asc_nulls_first(), F.col("size"), *([F.col("_row")] if carry else [])]
     table = with_starts(ranged(ranks, order, "odds"), order, "size", ["source"])
     table = write_table(table.withColumn("_in", F.col("_odds").isNotNull() & (F.col("_start") + F.col("size") <= F.col("_left"))), "taken")
     gap = table.groupBy("source").agg(F.sum(F.when(F.col("_in"), F.col("size")).otherwise(0)).alias("_got"), F.first("_left").alias("_want"))
