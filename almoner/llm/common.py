@@ -19,7 +19,9 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Bytes of text that a Python worker takes apart at once; only a single longer text exceeds it.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
+#: Bytes of an Arrow batch between the JVM and a Python worker; only a single longer row exceeds it.
+BATCH_BYTES = 4 << 20
 
 _written: list[tuple[SparkSession, str]] = []
 
@@ -34,11 +36,26 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches in bytes (Spark bounds their rows only), unless the cluster's settings do."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.sparkContext.getConf().get(key) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def write_table(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it again: lost executors cost one stage, not the lineage."""
+    """Write df to the shared folder and read it again: lost executors cost one stage, not the lineage.
+
+    The write's own shuffle files go with its end, as nothing but the table is read afterwards."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(key, before)
     _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
@@ -89,7 +106,7 @@ def partitions(spark: SparkSession) -> int:
 
 
 def slices(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[pa.Array]:
-    """Runs of whole texts of about `limit` bytes each; nulls become empty texts."""
+    """Runs of whole texts of about `limit` bytes each; nulls become empty texts. Arrow's free memory goes back at the end."""
     texts = pc.fill_null(texts, "")
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
@@ -98,6 +115,7 @@ def slices(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[pa.Array]:
         stop = max(at + 1, int(np.searchsorted(ends, base + limit, side="right")))
         yield texts.slice(at, stop - at)
         at = stop
+    pa.default_memory_pool().release_unused()
 
 
 class Words:

@@ -23,7 +23,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from almoner.llm.common import Words, add_result, mix, slices, translate_bytes
+from almoner.llm.common import Words, add_result, mix, slices, small_batches, translate_bytes
 
 #: Bytes that aren't in a word become spaces, A-Z become a-z.
 TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -142,6 +142,7 @@ def scans(grams: Broadcast, later: bool) -> Callable:
 
 def find_benchmark(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = 8, block_words: int = 1_000_000, out: str = "benchmark") -> DataFrame:
     """docs with a struct `out`: n_words, spans of hit words, items (ids as text, sorted), n_hit."""
+    small_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     for k, block in enumerate(blocks(items, item_id, item_text, block_words)):
         grams = sc.broadcast(Grams(block, n))  # at most block_words words, or one item

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from almoner.llm.common import Words, add_result, fold, mix, slices
+from almoner.llm.common import BATCH_BYTES, Words, add_result, fold, mix, slices, small_batches
 
 ORDER, DOCS_PER_LANGUAGE, UND = 4, 1500, "und"
 #: Temperatures tried in calibration, and how many deviations above the mean entropy are still accepted.
@@ -191,6 +191,7 @@ def build(counts: pd.DataFrame, order: int = ORDER) -> Models:
 
 def fit(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER, docs_per_language: int = DOCS_PER_LANGUAGE) -> Models:
     """Models from the rows where `learn` holds and the language isn't null."""
+    small_batches(docs.sparkSession)
     rows = docs.filter(learn & F.col(f"`{lang}`").isNotNull()).select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
     sizes = rows.groupBy("lang").count()  # a row for each language
     share = sizes.select(F.col("lang").alias("_lang"), (F.lit(float(docs_per_language)) / F.col("count")).alias("_share"))
@@ -246,12 +247,13 @@ def calibrate(models: Models, held: DataFrame) -> None:
 
 def identify(docs: DataFrame, models: Models, text: str = "text", out: str = "language") -> DataFrame:
     """docs with a struct `out`: lang_pred, score, cross_entropy, accepted."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
     @F.arrow_udf("lang_pred string, score double, cross_entropy double, accepted boolean")
     def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.concat_arrays([shared.value.judge(part) for part in slices(texts)])
+            yield pa.concat_arrays([shared.value.judge(part) for part in slices(texts, BATCH_BYTES)])
 
     return add_result(docs, out, judge.asNondeterministic()(F.col(f"`{text}`").cast("string")))
 

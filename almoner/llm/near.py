@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from almoner.llm.common import Words, drop_table, mix, release, slices, window_hashes, write_table
+from almoner.llm.common import Words, drop_table, mix, release, slices, small_batches, window_hashes, write_table
 from almoner.llm.components import components
 
 SHINGLE, PERCENT, ROUNDS, MAX_LIGHT, LONG_LIST, BITMAP_BITS = 5, 80, 3, 10, 8, 1 << 26
@@ -202,6 +202,7 @@ class Join:
     def __init__(self, docs: DataFrame, n: int, percent: int, rounds: int):
         self.docs, self.n, self.percent, self.rounds = docs, n, percent, rounds
         self.spark = docs.sparkSession
+        small_batches(self.spark)
 
     def long_lists(self) -> tuple[np.ndarray, float]:
         """The members whose inverted lists are long, as a bitmap; the mean list length that a key sees."""

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from almoner.llm.common import Words, add_result, slices
+from almoner.llm.common import Words, add_result, slices, small_batches
 
 FIELDS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, repeat_chars long, longest_repeat long, repeat_spans array<struct<start:int,end:int>>"
 SYMBOLS = "[#*$%&|<>]"
@@ -31,16 +31,17 @@ def suffix_array(symbols: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, lis
 
     ends[i] is where the text of position i stops; symbols of different texts must differ."""
     n = len(symbols)
-    order = np.argsort(symbols, kind="stable")
+    place = np.int32 if n < 1 << 31 else np.int64
+    order = np.argsort(symbols, kind="stable").astype(place)
     first = np.r_[True, np.diff(symbols[order]) != 0]
-    rank = np.empty(n, np.int64)
-    rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0))
+    rank = np.empty(n, place)
+    rank[order] = np.maximum.accumulate(np.where(first, np.arange(n, dtype=place), 0))
     levels, width = [rank], 1
     while len(slots := np.flatnonzero(~(first & np.r_[first[1:], True]))):
         pos = order[slots]
-        after = pos + width
+        after = pos.astype(np.int64) + width
         second = np.where(after < ends[pos], rank[np.minimum(after, n - 1)] + 1, 0)
-        key = rank[pos] * (n + 1) + second
+        key = rank[pos].astype(np.int64) * (n + 1) + second
         by = np.argsort(key, kind="stable")
         order[slots], key = pos[by], key[by]
         new = np.r_[True, np.diff(key) != 0]
@@ -57,7 +58,7 @@ def longest_repeats(order: np.ndarray, levels: list[np.ndarray], ends: np.ndarra
     k = min(least.bit_length() - 1, len(levels) - 1)
     same = levels[k][order]
     r = np.flatnonzero(same[1:] == same[:-1])
-    a, b = order[r], order[r + 1]
+    a, b = order[r].astype(np.int64), order[r + 1].astype(np.int64)
     lcp = np.zeros(len(r), np.int64)
     for k in range(len(levels) - 1, -1, -1):
         x, y = a + lcp, b + lcp
@@ -119,6 +120,7 @@ def repetition_quality(docs: DataFrame, text: str = "text", min_words: int = 8,
         for texts in batches:
             yield pa.concat_arrays([measure(part, min_words) for part in slices(texts)])
 
+    small_batches(docs.sparkSession)
     found = add_result(docs, out, measured.asNondeterministic()(F.col(f"`{text}`").cast("string")))
     r = F.col(f"`{out}`")
     ok = (r["repeat_chars"] <= F.lit(max_covered) * r["word_chars"]) & (r["longest_repeat"] <= max_longest)

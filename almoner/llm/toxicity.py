@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from almoner.llm.common import Words, add_result, fold, slices, translate_bytes
+from almoner.llm.common import Words, add_result, fold, slices, small_batches, translate_bytes
 from almoner.llm.decontaminate import TABLE
 
 POSITIVES, UNLABELLED = 2000, 8000
@@ -99,6 +99,7 @@ def fit_rows(sets: list[np.ndarray], positive: np.ndarray, prior: float) -> Clas
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Classifier:
     """docs: doc_id and text; labels: doc_id and toxic; learn: which doc_ids may be learned from."""
+    small_batches(docs.sparkSession)
     known = labels.filter(learn & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     n, toxic = known.agg(F.count(F.lit(1)), F.sum((F.col("toxic") == 1).cast("long"))).first()
     prior = min(0.9, max(0.001, (toxic or 0) / n)) if n else 0.5
@@ -131,6 +132,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, positives: int = POSI
 
 def score(docs: DataFrame, model: Classifier, text: str = "text", out: str = "toxicity") -> DataFrame:
     """docs with the probability of toxicity as column `out`."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
