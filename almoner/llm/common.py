@@ -11,7 +11,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -138,9 +137,16 @@ class Words:
         self.doc = np.repeat(np.arange(self.n), lens)
 
     def hashes(self) -> np.ndarray:
-        """64 hash bits of each word of the vocabulary."""
-        h = xxhash.xxh3_64_intdigest
-        return np.fromiter((h(w) for w in self.vocab.cast(pa.binary()).to_pylist()), np.uint64, len(self.vocab))
+        """64 hash bits of each word of the vocabulary: the sum of its bytes, each mixed with its place, mixed with its length."""
+        if not len(self.vocab):
+            return np.zeros(0, np.uint64)
+        _, offsets, data = self.vocab.buffers()
+        at = np.frombuffer(offsets, np.int32)[self.vocab.offset : self.vocab.offset + len(self.vocab) + 1].astype(np.int64)
+        body, at = np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
+        lens = np.diff(at)
+        place = (np.arange(len(body)) - np.repeat(at[:-1], lens)).astype(np.uint64)
+        each = mix(body + (place + np.uint64(1)) * np.uint64(ODD))
+        return mix(np.add.reduceat(each, at[:-1]) + lens.astype(np.uint64))  # words aren't empty
 
 
 def translate_bytes(texts: pa.Array, table: bytes) -> pa.Array:
