@@ -262,4 +262,4 @@ def op3(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     held = fold(F.col("doc_id"), 4) == 2
     r = identify(docs.select("doc_id", "text"), fit(docs, ~held))
-    return r.select("doc_id", held.alias("held_out"), F.col("language.lang_pred").alias("lang_pred"), F.col("language.score").alias("score"))
+    return r.select("doc_id", held.alias("held_out"), F.col("language.lang_pred").alias("lang_pred"), F.col("language.score").alias("score"), F.col("language.cross_entropy").alias("cross_entropy"), F.col("language.accepted").alias("accepted"))

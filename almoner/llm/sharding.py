@@ -38,5 +38,17 @@ def contract(docs: DataFrame) -> DataFrame:
     return s.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+#: The CRC goes over each byte's two halves, with the table of the 16 halves.
+ORACLE = r"""
+WITH t AS (SELECT list_transform(range(0, 16), lambda x: list_reduce([x] || range(0, 4), lambda c, k: xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END))) AS t),
+d AS (SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS BIGINT) AS size,
+  list_transform(string_split(hex(encode(coalesce(text, ''))), ''), lambda x: CAST(strpos('0123456789ABCDEF', x) - 1 AS BIGINT)) AS h FROM documents),
+c AS (SELECT doc_id, size, CASE WHEN size = 1 THEN 0 ELSE xor(list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(range(0, len(h)), lambda k: h[k + 2 - 2 * (k % 2)]), lambda c, x: xor(c >> 4, t[xor(c % 16, x) + 1])), 4294967295) END AS text_crc32 FROM d, t),
+p AS (SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS UNBOUNDED PRECEDING) - size AS start, sum(size) OVER () AS total FROM c),
+s AS (SELECT *, CAST(least(7, ((2 * start + size) * 8) // (2 * total)) AS INTEGER) AS shard FROM p)
+SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, shard, CAST(row_number() OVER (PARTITION BY shard ORDER BY start) - 1 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s
+"""
+
+
 def op5(spark, sf_dir: str) -> DataFrame:
     return contract(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))

@@ -54,6 +54,25 @@ class Classifier:
         return 1 / (1 + np.exp(-total))
 
 
+def sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-z))
+
+
+def risk(w: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float) -> tuple[float, float]:
+    """pi R_P+ and R_U- - pi R_P- of a linear classifier; p, u: rows of positives and unlabelled."""
+    fp, fu = p @ w, u @ w
+    return prior * np.logaddexp(0, -fp).mean(), np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
+
+
+def gradient(w: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float) -> np.ndarray:
+    """What to go down along: the gradient of the sum of both parts, or, where the second is negative, that of its opposite."""
+    fp, fu = p @ w, u @ w
+    second = u.T @ sigmoid(fu) / len(u) - prior * (p.T @ sigmoid(fp)) / len(p)
+    if risk(w, p, u, prior)[1] < 0:
+        return -second
+    return second - prior * (p.T @ sigmoid(-fp)) / len(p)
+
+
 def train(x: np.ndarray, positive: np.ndarray, prior: float, steps: int = STEPS) -> tuple[np.ndarray, float]:
     """Weights and bias from a presence matrix whose rows are positives or unlabelled."""
     x = np.c_[x, np.ones(len(x))].astype(np.float64)
@@ -61,14 +80,8 @@ def train(x: np.ndarray, positive: np.ndarray, prior: float, steps: int = STEPS)
     w = np.zeros(x.shape[1])
     w[-1] = np.log(prior / (1 - prior))
     m, v = np.zeros_like(w), np.zeros_like(w)
-    sigmoid = lambda z: 1 / (1 + np.exp(-z))
     for t in range(1, steps + 1):
-        fp, fu = p @ w, u @ w
-        grad_pos = -p.T @ sigmoid(-fp) / len(p)  # of mean log(1 + exp(-f)) over positives
-        as_neg = p.T @ sigmoid(fp) / len(p)  # of mean log(1 + exp(f)) over positives
-        negative = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
-        grad_neg = u.T @ sigmoid(fu) / len(u) - prior * as_neg
-        grad = prior * grad_pos + grad_neg if negative >= 0 else -grad_neg
+        grad = gradient(w, p, u, prior)
         grad[:-1] += DECAY * w[:-1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         w = w - RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)

@@ -9,7 +9,7 @@ A level is an array of 64-bit words in a scalar subquery; its size follows from
 `most_bytes`, listed hosts are marked by a semi-join instead (same answer).
 
 Null urls and urls without "://" have an empty host and path: no rule fits, and the empty host is never listed. An
-empty list or table gives empty levels. Repeated pages are judged alike. A column named as the result is replaced.
+empty list or table gives empty levels. Hosts of any length and number of labels are taken whole. Repeated pages are judged alike. A column named as the result is replaced.
 """
 
 from __future__ import annotations
@@ -105,8 +105,9 @@ class Cascade:
 def marked_hosts(pages: DataFrame, listed: DataFrame) -> DataFrame:
     """key (distinct hosts) and listed: whether the host or a domain above it is in `listed` (column domain)."""
     hosts = pages.select(F.col("host").alias("key")).filter("key != ''").distinct()
-    parts = F.split("key", r"\.")
-    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, k, F.size(parts)), "."))
+    parts, labels = F.split("key", r"\."), listed.agg(F.max(F.size(F.split("domain", r"\.")))).first()[0] or 1
+    # no listed domain has more labels, so a host of many labels makes no more names than that
+    above = F.transform(F.sequence(F.lit(1), F.least(F.size(parts), F.lit(labels))), lambda k: F.array_join(F.slice(parts, F.size(parts) - k + 1, k), "."))
     hits = hosts.select("key", F.explode(above).alias("domain")).join(listed.select("domain").distinct(), "domain", "left_semi").select("key").distinct()
     return hosts.join(hits.withColumn("_hit", F.lit(True)), "key", "left").select("key", F.col("_hit").isNotNull().alias("listed"))
 
