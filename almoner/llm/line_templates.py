@@ -10,8 +10,8 @@ lines.
 
 Leaves, masked lines and documents go by 64-bit hashes, so lines are counted without dealing out their texts. Only
 leaves in which rare lines could be alike to others are opened; a Bloom filter of those leaves sieves the texts' lines
-first. Lines near the document-weighted centre of their leaf are settled together; only the others are compared in
-pairs, by their rarest pairs of neighbouring tokens. Every group is summed before it is dealt out. Documents are named
+first. Lines near a document-weighted centre of their leaf are settled together, in several rounds; only the others are
+compared in pairs, by their rarest pairs of neighbouring tokens. Every group is summed before it is dealt out. Documents are named
 by a hash of id and text, so repeated rows count once.
 
 Null texts have no lines and stay null. Empty lines are kept. Null ids are ids. Ties don't arise. An empty table
@@ -20,7 +20,7 @@ gives an empty one. Extra columns stay; one named as the result is replaced.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from almoner.llm.common import write_table
@@ -29,7 +29,10 @@ from almoner.llm.url_filter import BITS_PER_KEY, MOST_BYTES, build, passes
 DEPTH, ALIKE, MIN_DOCS, MIN_TOKENS = 3, 0.6, 10, 1
 #: Lines of more tokens than the first are no accident: they go if the second number of documents holds them.
 LONG_TOKENS, LONG_DOCS = 50, 3
-VARIABLE = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
+#: How often lines are held against their leaf's centre before pairs are compared; more rounds change times, never results.
+ROUNDS = 4
+#: A token with a digit, tried only where a token begins and read without going back.
+VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -56,20 +59,29 @@ def agreeing(a: Column, b: Column) -> Column:
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda x: x))
 
 
-def central(open_masks: DataFrame, held: DataFrame) -> DataFrame:
-    """Masks (leaf, mask) that lie so near their leaf's centre that any two of them are alike, if enough documents hold them.
+def central(open_masks: DataFrame, held: DataFrame, left: DataFrame, every: bool) -> DataFrame:
+    """Masks (leaf, mask) of `left` that the nearness to their leaf's centre shows to be alike to enough others.
 
-    The centre has the token of most documents at each position. This spares dense leaves a comparison in pairs."""
-    spots = open_masks.select("leaf", "docs", F.posexplode("tok").alias("k", "token")).groupBy("leaf", "k", "token").agg(F.sum("docs").alias("f"))
+    The centre has the token of most documents at each position (of all the leaf's masks, or of those left). With r
+    positions, masks that agree with it at a and b of them agree with each other at a + b - r or more. So if enough
+    documents hold a mask that agrees at b or more, all masks that agree at need + r - b are settled, and none of
+    them is compared in pairs."""
+    live = open_masks.join(left.select("leaf").distinct(), "leaf", "left_semi")
+    own = live if every else live.join(left, ["leaf", "mask"], "left_semi")
+    spots = own.select("leaf", "docs", F.posexplode("tok").alias("k", "token")).groupBy("leaf", "k", "token").agg(F.sum("docs").alias("f"))
     most = spots.groupBy("leaf", "k").agg(F.max_by("token", F.struct("f", "token")).alias("c"))
     centre = most.groupBy("leaf").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "c"))), lambda x: x["c"]).alias("centre"))  # a line's tokens
-    near = open_masks.join(centre, "leaf").filter(2 * agreeing(F.col("tok"), F.col("centre")) >= F.size("tok") + F.col("need"))
-    docs = held.join(near.select("leaf", "mask", "least"), ["leaf", "mask"]).groupBy("leaf", "least").agg(F.countDistinct("_doc").alias("n_docs"))
-    return near.join(docs.filter(F.col("n_docs") >= F.col("least")).select("leaf"), "leaf", "left_semi").select("leaf", "mask")
+    near = live.join(write_table(centre, "centre"), "leaf")
+    near = write_table(near.select("leaf", "mask", "least", (F.col("need") + F.size("tok")).alias("both"), agreeing(F.col("tok"), F.col("centre")).alias("a")), "near")
+    docs = held.join(near, ["leaf", "mask"]).groupBy("leaf", "least", "_doc").agg(F.max("a").alias("a"))
+    levels = docs.groupBy("leaf", "least", "a").agg(F.count(F.lit(1)).alias("docs"))  # as many rows as a line has tokens
+    levels = levels.withColumn("docs", F.sum("docs").over(Window.partitionBy("leaf").orderBy(F.col("a").desc())))
+    least = levels.filter("docs >= least").groupBy("leaf").agg(F.max("a").alias("b"))
+    return write_table(near.join(left, ["leaf", "mask"], "left_semi").join(least, "leaf").filter("a + b >= both").select("leaf", "mask"), "central")
 
 
-def paired(open_masks: DataFrame, held: DataFrame, settled: DataFrame) -> DataFrame:
-    """Masks (leaf, mask), rare and not settled, for which enough documents of the leaf hold one that is alike.
+def paired(open_masks: DataFrame, held: DataFrame, left: DataFrame) -> DataFrame:
+    """Masks (leaf, mask) of `left` for which enough documents of the leaf hold one that is alike.
 
     Positions lie on a circle: of r positions, two masks that agree at t share at least 2t - r pairs of neighbours
     (more than none, as alike > 0.5), so a mask meets all that are alike by its r - (2t - r) + 1 rarest pairs."""
@@ -78,9 +90,10 @@ def paired(open_masks: DataFrame, held: DataFrame, settled: DataFrame) -> DataFr
         r = F.size(x)
         return F.transform(x, lambda v, k: F.xxhash64(F.col("leaf"), k, v, F.get(x, (k + 1) % r)))
 
+    open_masks = open_masks.join(left.select("leaf").distinct(), "leaf", "left_semi")
     keyed = open_masks.select("leaf", "mask", "docs", F.explode(pairs(F.col("tok"))).alias("key"))
     weight = keyed.groupBy("key").agg(F.sum("docs").alias("w"))
-    rare = open_masks.filter(F.col("docs") < F.col("least")).join(settled, ["leaf", "mask"], "left_anti").select("leaf", "mask", "docs", "least", "need", F.size("tok").alias("r"), F.explode(pairs(F.col("tok"))).alias("key"))
+    rare = open_masks.join(left, ["leaf", "mask"], "left_semi").select("leaf", "mask", "docs", "least", "need", F.size("tok").alias("r"), F.explode(pairs(F.col("tok"))).alias("key"))
     own = rare.join(weight, "key").groupBy("leaf", "mask", "docs", "least", "need", "r").agg(F.sort_array(F.collect_list(F.struct((F.col("w") - F.col("docs")).alias("others"), "key"))).alias("x"))  # a line's tokens
     probes = own.withColumn("x", F.slice("x", F.lit(1), 2 * (F.col("r") - F.col("need")) + 1))
     enough = F.col("docs") + F.aggregate("x", F.lit(0).cast("long"), lambda a, y: a + y["others"]) >= F.col("least")
@@ -118,10 +131,17 @@ def templates(docs: DataFrame, lines: DataFrame, depth: int, alike: float, min_d
     tok = F.transform(F.slice(F.split("m", " "), depth + 1, r), lambda x: F.xxhash64(x))
     open_masks = write_table(in_open.select("leaf", "mask", "docs", "least", need.alias("need"), tok.alias("tok")), "open")
     held = write_table(lines.join(open_leaves, "leaf", "left_semi").select("leaf", "mask", "_doc").distinct(), "held")
-    settled = write_table(central(open_masks, held), "central")
-    again = central(open_masks.join(settled, ["leaf", "mask"], "left_anti"), held)
-    settled = settled.unionByName(write_table(again, "central"))
-    return write_table(often.unionByName(settled).unionByName(paired(open_masks, held, settled)).distinct(), "templates")
+    found = often
+    left = write_table(open_masks.filter(F.col("docs") < F.col("least")).select("leaf", "mask"), "left")
+    for k in range(ROUNDS):
+        if left.isEmpty():
+            break
+        settled = central(open_masks, held, left, not k)
+        found = found.unionByName(settled)
+        left = write_table(left.join(settled, ["leaf", "mask"], "left_anti"), "left")
+    if not left.isEmpty():
+        found = found.unionByName(paired(open_masks, held, left))
+    return write_table(found.distinct(), "templates")
 
 
 def drop_templates(docs: DataFrame, depth: int = DEPTH, alike: float = ALIKE, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, long_docs: int = LONG_DOCS, doc_id: str = "doc_id", text: str = "text", out: str = "lines") -> DataFrame:
@@ -145,3 +165,17 @@ def op10(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     r = drop_templates(docs)
     return r.select("doc_id", F.col("lines.n_lines").alias("n_lines"), F.col("lines.n_dropped").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+ORACLE = rf"""
+WITH l AS (SELECT doc_id, line, place FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS place FROM documents WHERE text IS NOT NULL)),
+m AS (SELECT *, trim(regexp_replace(regexp_replace(line, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS m FROM l),
+t AS (SELECT doc_id, place, m, string_split(m, ' ') AS t FROM m WHERE m <> ''),
+k AS (SELECT DISTINCT m, len(t) AS n, array_to_string(t[1:{DEPTH}], ' ') AS lead, t[{DEPTH + 1}:] AS rest, CAST(ceil(round((len(t) - {DEPTH}) * {ALIKE}, 6)) AS BIGINT) AS need, CASE WHEN len(t) > {LONG_TOKENS} THEN {LONG_DOCS} ELSE {MIN_DOCS} END AS least FROM t),
+d AS (SELECT DISTINCT m, doc_id FROM t),
+a AS (SELECT x.m, x.least, y.m AS other FROM k x JOIN k y ON x.n = y.n AND x.lead = y.lead WHERE x.m = y.m OR (x.n > {DEPTH} AND len(list_filter(range(1, x.n - {DEPTH} + 1), lambda i: x.rest[i] = y.rest[i])) >= x.need)),
+gone AS (SELECT a.m FROM a JOIN d ON a.other = d.m GROUP BY a.m, a.least HAVING count(DISTINCT d.doc_id) >= a.least),
+x AS (SELECT m.doc_id, m.place, m.line, g.m IS NOT NULL AS gone FROM m LEFT JOIN gone g ON m.m = g.m AND m.m <> ''),
+s AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS kept FROM x GROUP BY 1)
+SELECT documents.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_dropped, 0) AS BIGINT) AS n_dropped, sha256(coalesce(kept, '')) AS kept_sha256 FROM documents LEFT JOIN s USING (doc_id)
+"""
