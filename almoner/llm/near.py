@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almoner.llm.common import Words, drop_table, mix, release, slices, small_batches, window_hashes, write_table
@@ -263,11 +263,8 @@ class Join:
     def lists(self, keyed: DataFrame) -> DataFrame:
         """key, fp and n of the members of lists that have two classes or more, once each."""
         entries = keyed.filter(F.size("keys") > 0).select(F.explode("keys").alias("key"), "fp", F.col("n_shingles").alias("n"))
-        by = Window.partitionBy("key").orderBy("fp")
-        near = entries.withColumn("_next", F.lead("fp").over(by)).withColumn("_low", F.min("fp").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        last = F.col("_next").isNull() | (F.col("_next") != F.col("fp"))
-        near = near.filter(last & ((F.col("_low") != F.col("fp")) | F.col("_next").isNotNull()))
-        return write_table(near.select("key", "fp", "n"), "lists")
+        shared = entries.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low <> high").select("key")
+        return write_table(entries.join(write_table(shared, "shared"), "key", "left_semi").distinct(), "lists")
 
     def sets(self, keyed: DataFrame, wanted: DataFrame) -> DataFrame:
         """fp and set of the classes in `wanted`, from one document of each; its id's hash picks it before its text is taken apart."""
@@ -343,9 +340,9 @@ class Join:
         fits = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
         open_lists = self._open(lists)
         for k in range(self.rounds):
-            order = Window.partitionBy("key").orderBy(F.xxhash64("fp", F.lit(k)) if k else F.col("fp")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            pivot = F.first(F.struct("fp", "n", "c")).over(order)
-            pairs = open_lists.withColumn("p", pivot).filter((F.col("p.c") != F.col("c")) & fits(F.col("p.n"), F.col("n")))
+            order = F.xxhash64("fp", F.lit(k)) if k else F.col("fp")
+            pivots = write_table(open_lists.groupBy("key").agg(F.min_by(F.struct("fp", "n", "c"), F.struct(order, "fp")).alias("p")), "pivots")
+            pairs = open_lists.join(pivots, "key").filter((F.col("p.c") != F.col("c")) & fits(F.col("p.n"), F.col("n")))
             if self._compare(keyed, counts, pairs.select(F.least("fp", "p.fp").alias("u"), F.greatest("fp", "p.fp").alias("v")).distinct()):
                 open_lists = self._open(lists)
             release(self.spark)
@@ -361,7 +358,8 @@ class Join:
         blocks are compared in tasks of their own; a pair is looked at only in the first long list that it shares,
         and only what its signatures allow comes out."""
         percent = self.percent
-        sized = write_table(open_lists.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("key"))), "open")
+        sizes = write_table(open_lists.groupBy("key").agg(F.count(F.lit(1)).alias("k")), "sizes")
+        sized = write_table(open_lists.join(sizes, "key"), "open")
         short, long = sized.filter(F.col("k") <= LIST), sized.filter(F.col("k") > LIST)
         a = short.select("key", F.col("fp").alias("u"), F.col("n").alias("_n"), F.col("c").alias("_c"))
         b = short.select("key", F.col("fp").alias("v"), "n", "c")
@@ -398,8 +396,9 @@ class Join:
     def _open(self, lists: DataFrame) -> DataFrame:
         """Lists that still have members of two components or more, each member with its component c."""
         known = lists.join(self.roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("c", F.coalesce("root", "fp")).drop("root")
-        own = Window.partitionBy("key")
-        return write_table(known.withColumn("_a", F.min("c").over(own)).withColumn("_b", F.max("c").over(own)).filter("_a <> _b").drop("_a", "_b"), "open")
+        known = write_table(known, "known")
+        several = known.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("key")
+        return write_table(known.join(write_table(several, "several"), "key", "left_semi"), "open")
 
 
 def near_components(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, rounds: int = ROUNDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -416,5 +415,18 @@ def near_components(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, r
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS i FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT u, v FROM p JOIN n a ON u = a.doc_id JOIN n b ON v = b.doc_id WHERE 100 * i >= 80 * (a.n + b.n - i)),
+e AS (SELECT u, v FROM l UNION ALL SELECT v, u FROM l),
+r AS (SELECT u AS doc_id, v AS reached FROM e UNION SELECT r.doc_id, e.v FROM r JOIN e ON r.reached = e.u),
+m AS (SELECT doc_id, min(reached) AS low FROM r GROUP BY 1)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(least(low, w.doc_id), w.doc_id) AS component_id FROM w LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
+
 def op8(spark, sf_dir: str) -> DataFrame:
     return near_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
