@@ -26,9 +26,11 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none."""
+    """The folder that driver and executors share; where the session names none, a local one, and only if all tasks run on this machine."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         where = "file://" + tempfile.gettempdir() + "/almoner-shared"
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(where)

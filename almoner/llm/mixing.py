@@ -10,12 +10,13 @@ sample of fixed size in words. One more document, the one nearest the words stil
 that brings the sum nearer. The hash is fixed by `seed`, so reruns agree.
 
 Null text or no words: size 0, nothing to take. Null ids draw as the empty id. Rows that agree in id and size are
-interchangeable. A source without words has target 0. An empty table gives an empty one.
+interchangeable. A source without words has target 0. An empty table gives an empty one. Sources may be as many as
+documents (no task holds them all), texts of any length count as a whole.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almoner.llm.common import WORD_PATTERN, write_table
@@ -31,14 +32,17 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     With sources sorted by cap/weight, level_k = (budget - caps before k) / (weights from k on) never exceeds the
     common level, and meets it at the first source that isn't capped; so the level is the largest of them."""
     by_source = sizes.groupBy(F.col("source").alias("_source")).agg(F.sum("size").alias("source_size"))
-    place = F.row_number().over(Window.orderBy(F.col("_source").asc_nulls_last())) - 1
-    by_source = by_source.withColumn("_w", F.element_at(F.array(*map(F.lit, weights)), (place % len(weights) + 1).cast("int")).cast("long"))
-    by_source = by_source.withColumn("_cap", most * F.col("source_size"))
-    order = Window.orderBy(F.col("_cap") / F.col("_w"), F.col("_source").asc_nulls_last())
-    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    level = (F.sum("source_size").over(Window.partitionBy()) * F.lit(share) - F.coalesce(F.sum("_cap").over(before), F.lit(0))) / F.sum("_w").over(after)
-    levelled = by_source.withColumn("_level", level).withColumn("_level", F.max("_level").over(Window.partitionBy()))
-    return levelled.select("_source", "source_size", F.least(F.col("_cap").cast("double"), F.col("_level") * F.col("_w")).alias("target"))
+    order = [F.col("_source").asc_nulls_last()]
+    placed = with_starts(ranged(by_source, order, "sources"), order, "source_size", [])
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("_at") % len(weights) + 1).cast("int")).cast("long")
+    capped = placed.select("_source", "source_size", weight.alias("_w"), (most * F.col("source_size")).alias("_cap"))
+    order = [F.col("_cap") / F.col("_w"), *order]
+    capped = with_starts(ranged(capped, order, "sources"), order, "_cap", []).withColumnRenamed("_start", "_caps").drop("_at")
+    capped = write_table(with_starts(capped, order, "_w", []), "targets")  # _start: the weights before
+    total, w = capped.agg(F.sum("source_size"), F.sum("_w")).first()
+    level = (F.lit(float(total or 0) * share) - F.col("_caps")) / (F.lit(w or 0) - F.col("_start"))
+    top = capped.agg(F.max(level)).first()[0]
+    return capped.select("_source", "source_size", F.least(F.col("_cap").cast("double"), F.lit(top).cast("double") * F.col("_w")).alias("target"))
 
 
 def draw(doc_id: Column, seed: str) -> Column:

@@ -22,4 +22,7 @@ ORACLES = {
     "op2_bloom_cascade_urls": url_filter.ORACLE,
     "op6_benchmark_decontamination": decontaminate.ORACLE,
     "op7_pareto_mixing": mixing.ORACLE,
+    "op5_byte_prefix_sharding": sharding.ORACLE,
+    "op8_heavy_light_jaccard": near.ORACLE,
+    "op10_line_templates": line_templates.ORACLE,
 }
