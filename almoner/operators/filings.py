@@ -79,7 +79,8 @@ ORGANIZATION = r"(?i)\b(" + "|".join(ORGANIZATION_WORDS) + r")\b"
 GOVERNMENT = r"(?i)\b(CITY|COUNTY|TOWN|TOWNSHIP|VILLAGE|BOROUGH|PARISH|STATE) OF\b|\b(DEPARTMENT|DEPT|BUREAU|OFFICE) OF\b|\bSCHOOL DISTRICT\b|\bPUBLIC SCHOOLS?\b|\bUNITED STATES\b|\bU\.?S\.? (ARMY|NAVY|AIR FORCE|MARINE|COAST GUARD|TREASURY)\b"
 PLACEHOLDER = r"(?i)\b(VARIOUS|MISCELLANEOUS|MISC|MULTIPLE|NUMEROUS|SEVERAL|N/?A|NONE)\b|\bSEE (ATTACHED|ATTACHMENT|SCHEDULE|STATEMENT|LIST)\b|\bATTACHED (SCHEDULE|LIST)\b"
 
-FIRST_ELEMENT = r"(?s)^(?:\s|﻿|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>]*>)*<([A-Za-z_][\w.:-]*)"
+#: The root's name without a prefix. Possessive, as a repeated choice that may go back recurses for each character.
+FIRST_ELEMENT = r"(?s)^(?:\s++|﻿|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>]*+>)*+<(?:[A-Za-z_][\w.-]*+:)?+([A-Za-z_][\w.-]*+)"
 NOT_A_RETURN, MALFORMED, OTHER_FORM = "the root element is not Return", "malformed XML", "form carries no grants: "
 
 
@@ -135,18 +136,18 @@ def unprefixed(xml: Column) -> Column:
 
 
 def parsed(filings: DataFrame, xml: str = "xml") -> DataFrame:
-    """filings with `_doc` (null where unreadable) and `error`: a bad document is a recorded error, never a failure or an empty filing."""
-    clean = unprefixed(F.col(xml))
-    root = F.regexp_extract(clean, FIRST_ELEMENT, 1)
-    doc = F.from_xml(clean, SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "attributePrefix": "_"})
-    with_doc = filings.withColumn("_doc", doc).withColumn("_root", root)
+    """filings with `_doc` (null where unreadable) and `error`: a bad document is a recorded error, never a failure or an empty filing.
+
+    The parser stands in a generator, which neither filters nor projections above it can copy or pass: one parse for each document."""
+    doc = F.from_xml(unprefixed(F.col(xml)), SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "attributePrefix": "_"})
+    with_doc = filings.select("*", F.inline_outer(F.array(F.struct(doc.alias("_doc"), F.regexp_extract(xml, FIRST_ELEMENT, 1).alias("_root")))))
     error = F.when(F.col(xml).isNull() | F.col("_doc._corrupt").isNotNull(), MALFORMED).when(F.col("_root") != "Return", NOT_A_RETURN)
     out = with_doc.withColumn("error", error)
     return out.withColumn("_doc", F.when(F.col("error").isNull(), F.col("_doc"))).drop("_root")
 
 
-def headers(docs: DataFrame) -> DataFrame:
-    """object_id, header columns, stated totals and errors of each filing."""
+def filed(docs: DataFrame) -> DataFrame:
+    """One row for each filing: object_id, header columns, stated totals, errors, and its grant rows, as they stand, in an array `rows`."""
     d = F.col("_doc")
     h = {k: first_of(d, p) for k, p in HEADER.items()}
     kind = h["return_type"]
@@ -158,12 +159,17 @@ def headers(docs: DataFrame) -> DataFrame:
         F.concat_ws(" ", h["name1"], h["name2"]).alias("funder_name"), h["state"].alias("funder_state"), iso_date(h["period_end"]).alias("tax_period_end"),
         *[amount(v).alias(k) for k, v in totals.items()],
         F.filter(F.array(F.col("error"), form_error, *[amount_error(v, k) for k, v in totals.items()]), lambda x: x.isNotNull()).alias("errors"),
+        _rows(d).alias("rows"),
     )
 
 
-def raw_rows(docs: DataFrame) -> DataFrame:
-    """Every row of every repeating group with its 0-based ordinal and RAW values, from one parse."""
-    d = F.col("_doc")
+def headers(docs: DataFrame) -> DataFrame:
+    """object_id, header columns, stated totals and errors of each filing."""
+    return filed(docs).drop("rows")
+
+
+def _rows(d: Column) -> Column:
+    """Every row of every repeating group with its 0-based ordinal and RAW values."""
     kind = first_of(d, HEADER["return_type"])
 
     def of(group: str) -> Column:
@@ -179,8 +185,7 @@ def raw_rows(docs: DataFrame) -> DataFrame:
         # a filing without the group has no rows
         return F.when(wanted, F.transform(F.coalesce(at_path(d, GROUPS[group]), F.array()), row)).otherwise(F.array())
 
-    keep = [c for c in docs.columns if c not in ("_doc", "error", "xml")]
-    return docs.filter(F.col("error").isNull()).select(*keep, F.explode(F.concat(*map(of, GROUPS))).alias("r")).select(*keep, "r.*")
+    return F.concat(*map(of, GROUPS))
 
 
 def recipient_type(business: Column, person: Column, line1: Column) -> Column:
@@ -195,23 +200,32 @@ def recipient_type(business: Column, person: Column, line1: Column) -> Column:
     )
 
 
-def grant_rows(docs: DataFrame) -> DataFrame:
-    """Grant rows as filed: amounts, names, type, country, errors."""
-    business = F.nullif(F.concat_ws(" ", "name1", "name2"), F.lit(""))
-    rows = raw_rows(docs).withColumn("_business", business)
-    digits = F.regexp_replace("ein", r"\D", "")
-    stand_in = F.coalesce(F.coalesce("_business", "person").rlike(PLACEHOLDER), F.lit(False)) | F.coalesce(F.col("line1").rlike(PLACEHOLDER), F.lit(False))
-    errors = F.array(amount_error(F.col("amount"), "amount"), amount_error(F.col("noncash"), "noncash"), F.when(F.col("ein").isNotNull() & (F.length(digits) != 9), F.concat(F.lit("recipient EIN is not nine digits: "), "ein")))
-    keep = [c for c in docs.columns if c not in ("_doc", "error", "xml")]
+def as_filed(r: Column) -> dict[str, Column]:
+    """What a raw row says: names, amounts, type, whether it stands in for a list."""
+    business = F.nullif(F.concat_ws(" ", r["name1"], r["name2"]), F.lit(""))
+    name = F.coalesce(business, r["person"])
+    return {
+        "amount_type": F.when(r["group"] == "pf_future", "approved_future").otherwise("paid"), "amount_usd": amount(r["amount"]), "noncash_amount_usd": amount(r["noncash"]),
+        "grant_purpose": r["purpose"], "recipient_name_raw": F.coalesce(name, F.lit("")), "recipient_ein_reported": F.when(F.length(F.regexp_replace(r["ein"], r"\D", "")) == 9, F.regexp_replace(r["ein"], r"\D", "")),
+        "recipient_address_line1": r["line1"], "recipient_city": r["city"], "recipient_state": r["state"], "recipient_zip": r["zip"],
+        "recipient_country": F.when(r["us"], "US").otherwise(r["country"]), "recipient_type": recipient_type(business, r["person"], r["line1"]),
+        "is_placeholder": F.coalesce(name.rlike(PLACEHOLDER), F.lit(False)) | F.coalesce(r["line1"].rlike(PLACEHOLDER), F.lit(False)),
+        "recipient_relationship": r["relationship"], "recipient_foundation_status": r["status"], "irc_section": r["irc"],
+    }
+
+
+def grant_rows(filings: DataFrame) -> DataFrame:
+    """Grant rows as filed (amounts, names, type, country, errors), from filed() or parsed() documents; the filings' columns come along."""
+    filings = filed(filings) if "_doc" in filings.columns else filings
+    keep = [c for c in filings.columns if c not in ("rows", "errors")]
+    rows = filings.select(*keep, F.explode("rows").alias("_r"))
+    r = F.col("_r")
+    odd_ein = r["ein"].isNotNull() & (F.length(F.regexp_replace(r["ein"], r"\D", "")) != 9)
+    errors = F.array(amount_error(r["amount"], "amount"), amount_error(r["noncash"], "noncash"), F.when(odd_ein, F.concat(F.lit("recipient EIN is not nine digits: "), r["ein"])))
     return rows.select(
-        *keep, "group", "ordinal", grant_id(F.col("object_id"), F.col("group"), F.col("ordinal")).alias("grant_id"),
-        F.when(F.col("group") == "pf_future", "approved_future").otherwise("paid").alias("amount_type"), amount(F.col("amount")).alias("amount_usd"), amount(F.col("noncash")).alias("noncash_amount_usd"),
-        F.col("purpose").alias("grant_purpose"), F.coalesce("_business", "person", F.lit("")).alias("recipient_name_raw"), F.when(F.length(digits) == 9, digits).alias("recipient_ein_reported"),
-        F.col("line1").alias("recipient_address_line1"), F.col("city").alias("recipient_city"), F.col("state").alias("recipient_state"), F.col("zip").alias("recipient_zip"),
-        F.when(F.col("us"), "US").otherwise(F.col("country")).alias("recipient_country"), recipient_type(F.col("_business"), F.col("person"), F.col("line1")).alias("recipient_type"),
-        stand_in.alias("is_placeholder"), F.col("relationship").alias("recipient_relationship"), F.col("status").alias("recipient_foundation_status"), F.col("irc").alias("irc_section"),
-        F.filter(errors, lambda x: x.isNotNull()).alias("errors"),
-    )
+        *keep, r["group"].alias("group"), r["ordinal"].alias("ordinal"), grant_id(F.col("object_id"), r["group"], r["ordinal"]).alias("grant_id"),
+        *[v.alias(k) for k, v in as_filed(r).items()], F.filter(errors, lambda x: x.isNotNull()).alias("errors"),
+    )
 
 
 #: The published columns, in order.
@@ -227,10 +241,13 @@ GRANTS = (
 def grants(filings: DataFrame, index: DataFrame, dataset_version: str, concordance_version: str = "own-paths-1", zero_unparsed: bool = False) -> DataFrame:
     """The edge list. filings: object_id, filing_year, xml; index: object_id, sub_date. An amount that can't be read is null
     (0 with zero_unparsed)."""
-    docs = parsed(filings)
-    head = headers(docs.drop("filing_year")).select("object_id", "return_version", "return_type", "funder_ein", "funder_name", "funder_state", "tax_period_end")
+    return edges_of(filed(parsed(filings)), index, dataset_version, concordance_version, zero_unparsed)
+
+
+def edges_of(filings: DataFrame, index: DataFrame, dataset_version: str, concordance_version: str = "own-paths-1", zero_unparsed: bool = False) -> DataFrame:
+    """The same from filed() documents."""
     subs = index.select("object_id", submission_date(F.col("sub_date")).alias("filing_submission_date"))
-    g = grant_rows(docs).join(head, "object_id").join(subs, "object_id", "left").dropDuplicates(["grant_id"])
+    g = grant_rows(filings).join(subs, "object_id", "left").dropDuplicates(["grant_id"])
     null = F.lit(None).cast("string")
     g = g.withColumns({
         "funder_form_type": F.col("return_type"), "tax_year": F.year("tax_period_end"), "recipient_name_normalized": normalize_name(F.col("recipient_name_raw")), "recipient_zip5": zip5(F.col("recipient_zip")),

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almoner.functions.values import percent_off, share
+from almoner.operators.filings import as_filed
 
 # Tolerance, gates and targets.
 TOLERANCE, COVERAGE_GATE, TOTALS_GATE, LEAST_PAIRS = 1.0, 95.0, 95.0, 1000
@@ -14,14 +17,16 @@ EXIT_COVERAGE, EXIT_TOTALS, EXIT_MATCHING = 2, 3, 4
 PF_FIELDS = ("amount", "purpose", "name", "city", "state", "zip", "relationship", "status")
 
 
-def filing_sums(headers: DataFrame, rows: DataFrame) -> DataFrame:
-    """Each filing with sums over its grant rows."""
-    sums = rows.groupBy("object_id").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("amount_type") == "paid").alias("paid_rows"), F.count_if("is_placeholder").alias("placeholder_rows"),
-        F.sum(F.when(F.col("amount_type") == "paid", F.coalesce("amount_usd", F.lit(0))).otherwise(0)).alias("parsed_paid"),
+def filing_sums(filings: DataFrame) -> DataFrame:
+    """Each filing (of filed()) with sums over its own rows, without dealing any out."""
+    graded = F.transform("rows", lambda r: F.struct(*[as_filed(r)[c].alias(c) for c in ("amount_type", "amount_usd", "is_placeholder")]))
+    out = filings.withColumn("rows", graded)
+    paid = F.filter("rows", lambda r: r["amount_type"] == "paid")
+    return out.select(
+        *[c for c in out.columns if c != "rows"], F.size("rows").cast("long").alias("n_rows"), F.size(paid).cast("long").alias("paid_rows"),
+        F.size(F.filter("rows", lambda r: r["is_placeholder"])).cast("long").alias("placeholder_rows"),
+        F.aggregate(paid, F.lit(0).cast("long"), lambda a, r: a + F.coalesce(r["amount_usd"], F.lit(0))).alias("parsed_paid"),
     )
-    out = headers.join(sums, "object_id", "left")
-    return out.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n_rows", "paid_rows", "placeholder_rows", "parsed_paid")})
 
 
 def pf_totals(filings: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
@@ -63,12 +68,16 @@ def summary(totals: DataFrame, counts: DataFrame) -> DataFrame:
     return both.withColumns({"pf_share": share(F.col("pf_within"), F.col("pf_with_total")), "table_share": share(F.col("table_exact"), F.col("table_filings") - F.col("table_no_count"))})
 
 
-def coverage(headers: DataFrame, rows: DataFrame, fields: dict[str, Column], required: Column) -> DataFrame:
+def coverage(filings: DataFrame, fields: dict[str, Callable[[dict[str, Column]], Column]], required: Column) -> DataFrame:
     """For each version and form: filings, filings with rows, how many have each field at least once, and how many have all that is required.
 
-    fields: what makes a row have a field; required: over the per-filing flags named as the fields."""
-    flags = rows.groupBy("object_id").agg(*[F.coalesce(F.bool_or(c), F.lit(False)).alias(k) for k, c in fields.items()]).withColumn("_has", F.lit(True))
-    per = headers.select("object_id", "return_version", "return_type").join(flags, "object_id", "left").withColumn("_full", F.coalesce(required, F.lit(False)))
+    filings: of filed(); fields: what makes a row (its as_filed() columns) have a field; required: over the per-filing flags named as the fields."""
+    def any_row(has: Callable[[dict[str, Column]], Column]) -> Column:
+        return F.coalesce(F.exists("rows", lambda r: F.coalesce(has(as_filed(r)), F.lit(False))), F.lit(False))
+
+    some = {k: any_row(has) for k, has in fields.items()}
+    flags = filings.select("return_version", "return_type", (F.size("rows") > 0).alias("_has"), *[v.alias(k) for k, v in some.items()])
+    per = flags.withColumn("_full", F.coalesce(required, F.lit(False)))
     every = F.lit(True)
     for k in fields:
         every = every & F.col(k)
@@ -117,6 +126,11 @@ def overall(answered: DataFrame) -> DataFrame:
     return n.withColumns({"recall": F.try_divide(F.col("recalled").cast("double"), "with_expected"), "abstention": F.try_divide(F.col("abstained").cast("double"), "without_expected")})
 
 
+def misses(answered: DataFrame) -> DataFrame:
+    """Labelled pairs that were resolved, but to something else than expected."""
+    return answered.filter(F.col("ein").isNotNull() & ~F.col("ein").eqNullSafe(F.col("expected_ein")))
+
+
 def matching_failures(tiers: dict[str, float | None], pairs: int, targets: dict[str, float] = TARGETS, least: int = LEAST_PAIRS) -> list[str]:
     """Why matching may not be published; a tier without rows doesn't fail."""
     out = [f"{pairs} labelled pairs, {least} needed"] if pairs < least else []

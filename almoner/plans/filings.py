@@ -98,13 +98,46 @@ def e15(spark, sf_dir):
     return g.select("grant_id", "object_id", "tax_year", "filing_year", "recipient_name_normalized", "recipient_zip5", "match_tier")
 
 
-@query("e16_element_paths")
+def _paths(at: str, *under: str) -> str:
+    return ", ".join(f"'{at}/{x}'" if x else f"'{at}'" for x in under)
+
+
+_BASE = _paths("/Return", "", "ReturnHeader", "ReturnHeader/ReturnTypeCd", "ReturnHeader/TaxPeriodEndDt", "ReturnHeader/Filer", "ReturnHeader/Filer/EIN", "ReturnHeader/Filer/BusinessName", "ReturnHeader/Filer/BusinessName/BusinessNameLine1Txt", "ReturnHeader/Filer/BusinessName/BusinessNameLine2Txt", "ReturnData")
+_PF, _SI = "/Return/ReturnData/IRS990PF/SupplementaryInformationGrp", "/Return/ReturnData/IRS990ScheduleI"
+_FOREIGN, _HERE = ("RecipientForeignAddress", "RecipientForeignAddress/AddressLine1Txt", "RecipientForeignAddress/CityNm", "RecipientForeignAddress/CountryCd"), ("RecipientUSAddress", "RecipientUSAddress/AddressLine1Txt", "RecipientUSAddress/CityNm", "RecipientUSAddress/StateAbbreviationCd", "RecipientUSAddress/ZIPCd")
+_TABLE = _paths(f"{_SI}/RecipientTable", "", "RecipientBusinessName", "RecipientBusinessName/BusinessNameLine1Txt", "USAddress", "USAddress/StateAbbreviationCd", "RecipientEIN", "CashGrantAmt", "PurposeOfGrantTxt")
+
+
+def _group(name: str) -> str:
+    """The paths below a repeating group of a line, as a SQL list."""
+    g = f"{_PF}/{name}"
+    person = f"CASE WHEN s_suppkey % 10 IN (3, 4) THEN [{_paths(g, 'RecipientPersonNm')}] ELSE [{_paths(g, 'RecipientBusinessName', 'RecipientBusinessName/BusinessNameLine1Txt')}] END"
+    place = f"CASE WHEN s_suppkey % 4 = 0 THEN [{_paths(g, *_FOREIGN)}] ELSE [{_paths(g, *_HERE)}] END"
+    return f"[{_paths(g, '', 'GrantOrContributionPurposeTxt', 'Amt')}] || {person} || {place}"
+
+
+#: Every element path of each order's document, by how xml_filings() makes it.
+ELEMENTS = f"""{DUCK_LINES},
+kinds AS (SELECT DISTINCT object_id, o_orderkey FROM lines),
+elements AS (
+  SELECT object_id, o_orderkey, unnest([{_BASE}]) AS path FROM kinds WHERE {READABLE}
+  UNION SELECT object_id, o_orderkey, unnest([{_paths("/html", "", "body")}]) FROM kinds WHERE o_orderkey % 103 = 0 AND o_orderkey % 101 <> 0
+  UNION SELECT object_id, o_orderkey, unnest([{_paths("/Return/ReturnData/IRS990PF", "")}, '{_PF}']) FROM kinds WHERE {READABLE} AND o_orderkey % 3 <> 0
+  UNION SELECT object_id, o_orderkey, '{_PF}/TotalGrantOrContriPdDurYrAmt' FROM kinds WHERE {READABLE} AND o_orderkey % 3 <> 0 AND o_orderkey % 7 <> 1
+  UNION SELECT object_id, o_orderkey, unnest([{_paths(_SI, "", "Total501c3OrgCnt", "TotalOtherOrgCnt")}, {_TABLE}]) FROM kinds WHERE {READABLE} AND o_orderkey % 3 = 0
+  UNION SELECT object_id, o_orderkey, unnest({_group("GrantOrContributionPdDurYrGrp")}) FROM lines WHERE {READABLE} AND grp = 'pf_paid'
+  UNION SELECT object_id, o_orderkey, unnest({_group("GrantOrContriApprvForFutGrp")}) FROM lines WHERE {READABLE} AND grp = 'pf_future'),
+versioned AS (SELECT path, string_agg(DISTINCT v, ';;' ORDER BY v) AS versions, count(DISTINCT object_id) AS filings
+  FROM (SELECT *, CASE WHEN starts_with(path, '/html') THEN '' WHEN o_orderkey % 2 = 0 THEN '2022v5.0' ELSE '2021v4.0' END AS v FROM elements) GROUP BY path)"""
+
+
+@query("e16_element_paths", ELEMENTS + " SELECT object_id, count(path) AS n_paths, string_agg(path, ',' ORDER BY path) AS paths FROM elements GROUP BY 1 UNION ALL SELECT object_id, -1, NULL FROM kinds WHERE o_orderkey % 101 = 0")
 def e16(spark, sf_dir):
     paths = xml_filings(spark, sf_dir).select("object_id", fil.element_paths(F.col("xml")).alias("paths"))
-    return paths.select("object_id", F.size("paths").alias("n_paths"), F.array_join("paths", ",").alias("paths"))
+    return paths.select("object_id", F.coalesce(F.size("paths"), F.lit(-1)).cast("long").alias("n_paths"), F.array_join("paths", ",").alias("paths"))
 
 
-@query("e17_a13_unread_paths")
+@query("e17_a13_unread_paths", ELEMENTS + " SELECT * FROM versioned WHERE path NOT IN (" + ", ".join(f"'{p}'" for p in sorted(fil.consumed_paths())) + ")")
 def e17(spark, sf_dir):
     from almoner.operators.quality import path_versions, unmapped
 
@@ -120,10 +153,11 @@ def e02(spark, sf_dir):
     return spark.createDataFrame(list(enumerate(paths)), "place int, path string")
 
 
-@query("q20_diagnose")
+@query("q20_diagnose", f"""{DUCK_LINES} SELECT object_id, CASE WHEN o_orderkey % 3 = 0 THEN '990' ELSE '990PF' END AS return_type, '{{"funder_ein":"0' || lpad(CAST(o_custkey AS VARCHAR), 8, '1') || '","funder_name":"Giving House","errors":[]}}' AS header, n AS rows, dollars
+FROM (SELECT object_id, o_orderkey, count(*) AS n, CAST(sum(CASE WHEN grp = 'sched_i' OR s_suppkey % 10 <> 7 THEN dollars END) AS BIGINT) AS dollars FROM lines WHERE {READABLE} GROUP BY 1, 2) JOIN orders USING (o_orderkey) WHERE object_id IN ('7', '33', '66')""")
 def q20(spark, sf_dir):
-    """One filing: its header, rows and errors."""
-    docs = fil.parsed(xml_filings(spark, sf_dir).filter("object_id = '2'"))
-    head = fil.headers(docs).select("object_id", "return_type", F.to_json(F.struct("funder_ein", "funder_name", "total_paid", "errors")).alias("header"))
+    """A few filings: their headers, rows and errors."""
+    docs = fil.filed(fil.parsed(xml_filings(spark, sf_dir).filter("object_id IN ('7', '33', '66')")).filter("error IS NULL"))
+    head = docs.select("object_id", "return_type", F.to_json(F.struct("funder_ein", "funder_name", "errors")).alias("header"))
     rows = fil.grant_rows(docs).groupBy("object_id").agg(F.count(F.lit(1)).alias("rows"), F.sum("amount_usd").alias("dollars"))
     return head.join(rows, "object_id", "left")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from almoner.operators import filings as fil
 from almoner.operators import quality as q
-from almoner.plans.filings import DUCK_LINES, READABLE, xml_filings
+from almoner.plans.filings import DUCK_LINES, ELEMENTS, READABLE, xml_filings
 from almoner.plans.register import query
 
 FILED = f"""{DUCK_LINES}, f AS (SELECT object_id, o_orderkey, count(*) AS n, CAST(sum(CASE WHEN grp = 'pf_paid' AND s_suppkey % 10 <> 7 THEN dollars ELSE 0 END) AS BIGINT) AS parsed, sum(CASE WHEN grp = 'pf_paid' THEN dollars ELSE 0 END) AS listed,
@@ -18,12 +18,11 @@ c AS (SELECT object_id, n AS parsed_rows, n - CASE WHEN o_orderkey % 2 = 0 THEN
 
 
 def _docs(spark, sf_dir):
-    docs = fil.parsed(xml_filings(spark, sf_dir)).filter("error IS NULL")
-    return fil.headers(docs), fil.grant_rows(docs)
+    return fil.filed(fil.parsed(xml_filings(spark, sf_dir)).filter("error IS NULL"))
 
 
 def _filings(spark, sf_dir):
-    return q.filing_sums(*_docs(spark, sf_dir))
+    return q.filing_sums(_docs(spark, sf_dir))
 
 
 @query("v07_pf_totals", FILED + " SELECT object_id, parsed AS parsed_paid, reported AS reported_paid, parsed - reported AS delta, pct AS delta_pct, status FROM s")
@@ -61,8 +60,8 @@ def a12(spark, sf_dir):
 
 
 def _coverage(spark, sf_dir):
-    has = {"amount": F.col("amount_usd").isNotNull(), "name": F.col("recipient_name_raw") != "", "zip": F.col("recipient_zip").isNotNull()}
-    return q.coverage(*_docs(spark, sf_dir), has, F.col("amount") & F.col("name"))
+    has = {"amount": lambda r: r["amount_usd"].isNotNull(), "name": lambda r: r["recipient_name_raw"] != "", "zip": lambda r: r["recipient_zip"].isNotNull()}
+    return q.coverage(_docs(spark, sf_dir), has, F.col("amount") & F.col("name"))
 
 
 @query("a15_v06_headline", f"{DUCK_LINES}, k AS ({COVERED}) SELECT coalesce(100.0::DOUBLE * count(*) FILTER (WHERE amount AND name) / nullif(count(*), 0), 0) AS percent FROM k")
@@ -70,7 +69,7 @@ def a15(spark, sf_dir):
     return q.headline(_coverage(spark, sf_dir))
 
 
-@query("v04_u04_path_versions")
+@query("v04_u04_path_versions", ELEMENTS + " SELECT * FROM versioned")
 def v04(spark, sf_dir):
     docs = xml_filings(spark, sf_dir).withColumn("paths", fil.element_paths(F.col("xml"))).filter("paths IS NOT NULL")
     return q.path_versions(docs.select("object_id", F.regexp_extract("xml", 'returnVersion="([^"]*)"', 1).alias("return_version"), "paths"))
