@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 import zipfile
 from pathlib import Path
@@ -11,21 +10,17 @@ from pathlib import Path
 import pandas as pd
 from pyspark.sql import functions as F
 
+from almoner.functions.values import quoted
 from almoner.operators import filings as fil
 from almoner.operators import publish as pub
 from almoner.operators import relational as rel
 from almoner.plans.analogs import analog, ctes, edges, table
 from almoner.plans.register import query
 from almoner.sources import archives, tables
+from almoner.sources.shared import put, scratch
 from almoner.streaming import postings
 
 
-def scratch(spark) -> str:
-    """A new folder that driver and executors share."""
-    root = (spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()).rstrip("/")
-    return f"{root}/almoner-{uuid.uuid4().hex}"
-
-
 def _grants(spark, sf_dir):
     return edges(spark, sf_dir).withColumn("dataset_version", F.lit("2026.08.1"))
 
@@ -66,10 +61,29 @@ def k06(spark, sf_dir):
     return spark.read.text(path)
 
 
-@query("k14_sitemap", ctes("registry") + " SELECT CAST((row_number() OVER (ORDER BY ein) - 1) // 30 AS INTEGER) AS chunk, '<url><loc>/org/' || ein || '</loc><lastmod>2026-08-01</lastmod></url>' AS value FROM registry")
+SITEMAPS = """, f AS (SELECT DISTINCT funder_ein AS ein FROM edges), u AS (SELECT 'recipients' AS series, ein FROM registry UNION ALL SELECT 'funders', ein FROM f),
+n AS (SELECT series, CAST((row_number() OVER (PARTITION BY series ORDER BY ein) - 1) // 30 + 1 AS INTEGER) AS number, ein FROM u)
+SELECT series, number, '<url><loc>/' || series || '/' || ein || '</loc><lastmod>2026-08-01</lastmod></url>' AS value FROM n
+UNION ALL SELECT DISTINCT series, number, unnest(['<?xml version="1.0" encoding="UTF-8"?>', '<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">', '</urlset>']) FROM n
+UNION ALL SELECT DISTINCT 'index', 0, '<sitemap><loc>/' || series || '/number=' || lpad(CAST(number AS VARCHAR), 5, '0') || '</loc><lastmod>2026-08-01</lastmod></sitemap>' FROM n"""
+
+
+@query("k14_sitemaps", ctes("edges", "registry") + SITEMAPS)
 def k14(spark, sf_dir):
     path = scratch(spark)
-    pub.sitemap(analog(spark, sf_dir, "registry").select(F.concat(F.lit("/org/"), "ein").alias("url")), path, "2026-08-01", 30)
+    series = {"funders": edges(spark, sf_dir).select(F.col("funder_ein").alias("ein")).distinct(), "recipients": analog(spark, sf_dir, "registry").select("ein")}
+    pub.sitemaps({k: v.select(F.concat(F.lit(f"/{k}/"), "ein").alias("url")) for k, v in series.items()}, path, "2026-08-01", "", 30)
+    index = spark.read.text(f"{path}/sitemap-index.xml").filter("value LIKE '<sitemap>%'").select(F.lit("index").alias("series"), F.lit(0).alias("number"), "value")
+    for k in series:
+        index = index.unionByName(spark.read.text(f"{path}/{k}").select(F.lit(k).alias("series"), "number", "value"))
+    return index
+
+
+@query("k13_insert_files", ctes("registry") + " SELECT CAST((row_number() OVER (ORDER BY ein) - 1) // 30 AS INTEGER) AS chunk, 'INSERT INTO r VALUES (''' || ein || ''');' AS value FROM registry")
+def k13(spark, sf_dir):
+    path = scratch(spark)
+    rows = analog(spark, sf_dir, "registry").select("ein", F.concat(F.lit("INSERT INTO r VALUES ("), quoted(F.col("ein")), F.lit(");")).alias("statement"))
+    pub.write_inserts(rows, path, [F.col("ein")], 30)
     return spark.read.text(path).select("chunk", "value")
 
 
@@ -118,44 +132,37 @@ def _zips(spark, sf_dir) -> str:
     return "file://" + local
 
 
-def _in_sql(df, spark, sf_dir):
-    """The rows of df that the SQL's LIMIT leaves; df itself has every archive's members."""
-    z = analog(spark, sf_dir, "members").orderBy("zip_file", "object_id").limit(300).select("object_id")
-    return df.join(z, "object_id", "left_semi")
-
-
-def all_members(spark, sf_dir):
+@query("s06_archive_members", ctes("members") + " SELECT object_id, zip_file, 'part/' || object_id || '_public.xml' AS member, CAST(length(object_id) + 15 AS BIGINT) AS bytes FROM members")
+def s06(spark, sf_dir):
     return archives.members(spark, _zips(spark, sf_dir))
 
 
-def all_wanted(spark, sf_dir):
+@query("s07_p02_wanted_members", ctes("members") + " SELECT object_id, '<Return id=''' || object_id || '''/>' AS xml FROM members WHERE object_id NOT LIKE 'X%'")
+def s07(spark, sf_dir):
     wanted = analog(spark, sf_dir, "filing_index").select("object_id")
     return archives.documents(spark, _zips(spark, sf_dir), wanted).select("object_id", "xml")
 
 
-def all_from_source(spark, sf_dir):
+@query("s07_zip_data_source", ctes("members") + " SELECT object_id, '<Return id=''' || object_id || '''/>' AS xml FROM members")
+def s07b(spark, sf_dir):
     spark.dataSource.register(archives.ZipFilings)
     folder = Path(_zips(spark, sf_dir).removeprefix("file://"))
     paths = ",".join(sorted(str(p) for p in folder.glob("*.zip")))
     return spark.read.format("zip_filings").option("paths", paths).load().select("object_id", "xml")
 
 
-ZIPPED = ctes("members") + ", z AS (SELECT * FROM members ORDER BY zip_file, object_id LIMIT 300)"
-
-
-@query("s06_archive_members", ZIPPED + " SELECT object_id, zip_file, 'part/' || object_id || '_public.xml' AS member, CAST(length(object_id) + 15 AS BIGINT) AS bytes FROM z")
-def s06(spark, sf_dir):
-    return _in_sql(all_members(spark, sf_dir), spark, sf_dir)
-
-
-@query("s07_p02_wanted_members", ZIPPED + " SELECT object_id, '<Return id=''' || object_id || '''/>' AS xml FROM z WHERE object_id NOT LIKE 'X%'")
-def s07(spark, sf_dir):
-    return _in_sql(all_wanted(spark, sf_dir), spark, sf_dir)
-
-
-@query("s07_zip_data_source", ZIPPED + " SELECT object_id, '<Return id=''' || object_id || '''/>' AS xml FROM z")
-def s07b(spark, sf_dir):
-    return _in_sql(all_from_source(spark, sf_dir), spark, sf_dir)
+@query("s05_index_of_two_headers", ctes("filing_index") + " SELECT object_id, ein, sub_date, CASE WHEN filing_year >= 1996 THEN 'b' || object_id END AS xml_batch_id FROM filing_index")
+def s05b(spark, sf_dir):
+    folder, rows = scratch(spark), analog(spark, sf_dir, "filing_index")
+    cols = {"RETURN_ID": F.concat(F.lit("r"), "object_id"), "EIN": F.col("ein"), "TAX_PERIOD": F.col("tax_period"), "SUB_DATE": F.col("sub_date")}
+    cols |= {"TAXPAYER_NAME": F.concat("ein", F.lit("\nand, co")), "RETURN_TYPE": F.col("return_type"), "OBJECT_ID": F.col("object_id")}
+    later = ("OBJECT_ID", "RETURN_TYPE", "EIN", "TAX_PERIOD", "SUB_DATE", "TAXPAYER_NAME")
+    old = rows.filter("filing_year < 1996").select(*[v.alias(k) for k, v in cols.items()])
+    new = rows.filter("filing_year >= 1996").select(*[cols[k].alias(k) for k in later], F.concat(F.lit("b"), "object_id").alias("XML_BATCH_ID"))
+    old.write.csv(f"{folder}/old", header=True, quote='"', escape='"')
+    new.write.csv(f"{folder}/new", header=True, quote='"', escape='"')
+    index = tables.index(spark, [f"{folder}/old", f"{folder}/new"])
+    return index.filter(F.col("taxpayer_name").endswith("\nand, co")).select("object_id", "ein", "sub_date", "xml_batch_id")
 
 
 @query("s13_registry_csv", "SELECT lpad(CAST(s_suppkey + 1 AS VARCHAR), 9, '0') AS ein, s_name AS name, trim(replace(upper(s_name), '#', ' ')) AS name_normalized, '94022' AS zip5 FROM supplier")
@@ -167,9 +174,12 @@ def s13(spark, sf_dir):
     return good.select("ein", "name", "name_normalized", "zip5")
 
 
-@query("s14_s18_registry_view", "SELECT 'a' AS ein WHERE false")
+@query("s14_s18_registry_view", ctes("registry") + " SELECT ein, name, city, state, ntee_code AS ntee_cd, subsection_code AS subsection FROM registry")
 def s14(spark, sf_dir):
-    return tables.registry_view(spark, scratch(spark) + "/none.csv").select("ein")
+    path = scratch(spark)
+    names = {"EIN": "ein", "NAME": "name", "CITY": "city", "STATE": "state", "NTEE_CD": "ntee_code", "SUBSECTION": "subsection_code"}
+    analog(spark, sf_dir, "registry").select(*[F.col(c).alias(k) for k, c in names.items()], F.lit("x").alias("OTHER")).write.csv(path, header=True)
+    return tables.registry_view(spark, path).unionByName(tables.registry_view(spark, f"{path}/none.csv"))  # the second isn't there: no rows, the same columns
 
 
 @query("s01_landing_links", "SELECT * FROM (VALUES ('http://x/2023_A.csv', '2023_A.csv', 2023, true), ('http://x/a/2023_B.zip', '2023_B.zip', 2023, false), ('http://y/2024_C.zip', '2024_C.zip', 2024, false)) t(url, filename, year, is_index)")
@@ -180,10 +190,10 @@ def s01(spark, sf_dir):
 
 @query("s24_single_filings", "SELECT CAST(k AS VARCHAR) AS object_id, '990' AS return_type FROM range(3) t(k)")
 def s24(spark, sf_dir):
-    folder = Path(tempfile.mkdtemp())
+    folder = scratch(spark)
     for k, name in enumerate(("2022v5.0__0.xml", "1_public.xml", "2.xml")):
-        (folder / name).write_text(f"<Return><ReturnHeader><ReturnTypeCd>990</ReturnTypeCd></ReturnHeader><n>{k}</n></Return>")
-    docs = fil.parsed(fil.from_files(spark, f"file://{folder}"))
+        put(spark, f"{folder}/{name}", f"<Return><ReturnHeader><ReturnTypeCd>990</ReturnTypeCd></ReturnHeader><n>{k}</n></Return>")
+    docs = fil.parsed(fil.from_files(spark, folder))
     return fil.headers(docs).select("object_id", "return_type")
 
 
@@ -206,9 +216,32 @@ def s20(spark, sf_dir):
 
 @query("s11_inventories", "SELECT * FROM (VALUES ('2022v5.0', '/a'), ('2022v5.0', '/b')) t(return_version, path)")
 def s11(spark, sf_dir):
-    folder = Path(tempfile.mkdtemp())
-    (folder / "mapping_2022v5.0.csv").write_text("xpath,other\n/a,1\n/b,2\n/a,3\n")
-    return tables.inventories(spark, f"file://{folder}/mapping_*.csv")
+    folder = scratch(spark)
+    put(spark, f"{folder}/mapping_2022v5.0.csv", "xpath,other\n/a,1\n/b,2\n/a,3\n")
+    return tables.inventories(spark, f"{folder}/mapping_*.csv")
+
+
+FIELDS = """SELECT p_partkey AS k, CASE WHEN p_partkey % 3 <> 0 THEN 'NEW_' || CAST(p_partkey % 7 AS {string}) END AS new, 'OLD_' || CAST(p_partkey % 5 AS {string}) AS old, '/a/b' || CAST(p_partkey AS {string}) AS xpath FROM {part}"""
+
+
+@query("s10_field_entries", "WITH f AS (" + FIELDS.format(string="VARCHAR", part="part") + """), n AS (SELECT coalesce(new, old) AS variable, xpath, k FROM f),
+o AS (SELECT old AS variable, xpath, k FROM f WHERE old NOT IN (SELECT variable FROM n)),
+e AS (SELECT * FROM n UNION ALL SELECT * FROM o UNION ALL SELECT 'X_' || variable, xpath, k FROM n WHERE k % 9 = 0)
+SELECT variable, xpath, CASE WHEN k % 2 = 0 THEN '2020v4.0|2021v4.0' ELSE '' END AS versions, k % 4 = 0 AS current FROM e""")
+def s10(spark, sf_dir):
+    folder, parts = scratch(spark), table(spark, sf_dir, "part")
+    rows = spark.sql(FIELDS.format(string="STRING", part="{part}"), part=parts)
+    rest = [F.when(F.col("k") % 2 == 0, "2020v4.0; 2021v4.0;").alias("versions"), F.when(F.col("k") % 4 == 0, "t").otherwise("F").alias("current_version")]
+    rows.select(F.col("new").alias("variable_name_new"), F.col("old").alias("variable_name"), "xpath", *rest).write.csv(f"{folder}/pf", header=True)
+    rows.filter("k % 9 = 0").select(F.concat(F.lit("X_"), F.coalesce("new", "old")).alias("variable_name"), "xpath", *rest).write.csv(f"{folder}/main", header=True)
+    return tables.field_entries(spark, f"{folder}/pf", f"{folder}/main").select("variable", "xpath", F.array_join("versions", "|").alias("versions"), "current")
+
+
+@query("k15_site_manifest", ctes("edges") + """, f AS (SELECT funder_ein, count(*) AS n FROM edges GROUP BY 1), s AS (SELECT string_agg(DISTINCT funder_state, ',' ORDER BY funder_state) AS states FROM edges)
+SELECT count(*) AS funders, count(*) FILTER (WHERE n > 60) AS funders_chunked, CAST(sum(n) AS BIGINT) AS grant_rows, (SELECT count(DISTINCT recipient_ein_resolved) FROM edges) AS recipients, (SELECT states FROM s) AS states, '2026.08.1' AS dataset_version FROM f""")
+def k15(spark, sf_dir):
+    m = pub.site_manifest(edges(spark, sf_dir), "2026.08.1", "2026-08-01", 60)
+    return m.select("funders", "funders_chunked", "grant_rows", "recipients", F.array_join("states", ",").alias("states"), "dataset_version")
 
 
 @query("q07_f27_versions", "SELECT * FROM (VALUES ('2026.08.1'), ('2025.12.0')) t(version)")
@@ -226,9 +259,39 @@ def t01(spark, sf_dir):
     return postings.state(spark, f"{root}/state").select("object_id", "ein", "tax_period", "return_type")
 
 
-@query("q21_version_delta", ctes("filing_index") + " SELECT CASE WHEN filing_year >= 1998 THEN 'added' ELSE 'kept' END AS change, count(*) AS n FROM filing_index GROUP BY 1")
+CHANGED = ctes("filing_index") + """, p AS (SELECT object_id, filing_year FROM filing_index WHERE CAST(object_id AS BIGINT) % 3 <> 0), i AS (SELECT * FROM filing_index WHERE CAST(object_id AS BIGINT) % 10 <> 1),
+w AS (SELECT *, row_number() OVER (PARTITION BY ein, tax_period, return_type ORDER BY coalesce(sub_date, '') DESC, object_id DESC) AS k FROM i),
+c AS (SELECT coalesce(p.object_id, w.object_id) AS object_id, coalesce(w.filing_year, p.filing_year) AS filing_year,
+  CASE WHEN p.object_id IS NOT NULL AND w.k = 1 THEN 'kept' WHEN p.object_id IS NOT NULL AND w.object_id IS NULL THEN 'removed' WHEN p.object_id IS NOT NULL THEN 'superseded' WHEN w.k = 1 THEN 'added' END AS change
+  FROM p FULL JOIN w ON p.object_id = w.object_id)"""
+
+
+def _changes(spark, sf_dir):
+    """Two thirds of the filings have been processed; a tenth is listed no more."""
+    index, n = analog(spark, sf_dir, "filing_index"), F.col("object_id").cast("long")
+    return rel.filing_changes(index.filter(n % 3 != 0).select("object_id", "filing_year"), index.filter(n % 10 != 1))
+
+
+@query("q21_filing_changes", CHANGED + " SELECT object_id, filing_year, change FROM c WHERE change IS NOT NULL")
 def q21(spark, sf_dir):
-    new = analog(spark, sf_dir, "filing_index").select("object_id", "filing_year")
-    old = new.filter("filing_year < 1998").select("object_id")
-    added = rel.anti_null_safe(new, old, ["object_id"]).select(F.lit("added").alias("change"))
-    return added.unionByName(new.join(old, "object_id", "left_semi").select(F.lit("kept").alias("change"))).groupBy("change").agg(F.count(F.lit(1)).alias("n"))
+    return _changes(spark, sf_dir)
+
+
+@query("q21_version_delta", CHANGED + """ SELECT filing_year, count(*) FILTER (WHERE change = 'added') AS added, count(*) FILTER (WHERE change = 'kept') AS kept, count(*) FILTER (WHERE change = 'superseded') AS superseded,
+  count(*) FILTER (WHERE change = 'removed') AS removed, count(*) FILTER (WHERE change <> 'kept') > 0 AS touched FROM c WHERE change IS NOT NULL GROUP BY 1""")
+def q21b(spark, sf_dir):
+    return rel.version_delta(_changes(spark, sf_dir))
+
+
+@query("q21_incremental_build", CHANGED.replace("WITH ", ctes("edges") + ", ") + """ SELECT e.grant_id, e.filing_year FROM (SELECT grant_id, CAST(year(tax_period_end) AS INTEGER) AS filing_year, object_id FROM edges) e JOIN c USING (object_id) WHERE change IN ('added', 'kept')""")
+def q21c(spark, sf_dir):
+    """A version's edges after a month's postings: rows of filings that went are retired, added ones come, only touched years are rewritten."""
+    changes = _changes(spark, sf_dir)
+    every = edges(spark, sf_dir).withColumn("filing_year", F.year("tax_period_end"))
+    before = changes.filter("change <> 'added'").select("object_id")
+    root = scratch(spark)
+    every.join(before, "object_id", "left_semi").write.partitionBy("filing_year").parquet(root)
+    added = every.join(changes.filter("change = 'added'").select("object_id"), "object_id", "left_semi")
+    old = spark.read.schema(every.schema).parquet(root)
+    pub.rewrite_years(spark, rel.carried_over(old, added, changes), root, f"{root}-staged")
+    return spark.read.schema(every.schema).parquet(root).select("grant_id", "filing_year")

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-import io
 import zipfile
+import zlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pandas as pd
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SUFFIX = "_public.xml"
 LISTED = "object_id string, zip_file string, member string, bytes long"
+#: Bytes of documents that are handed over at once.
+BATCH_BYTES = 4 << 20
 READ = "object_id string, zip_file string, xml string, error string"
 
 
@@ -28,7 +32,7 @@ def read_member(archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> tuple[str |
     """A member's text, or why it can't be read (a method without a decoder, a broken header, a wrong size)."""
     try:
         body = archive.read(info)
-    except (NotImplementedError, zipfile.BadZipFile, RuntimeError, EOFError, OSError) as e:
+    except (NotImplementedError, zipfile.BadZipFile, zlib.error, RuntimeError, EOFError, OSError) as e:
         return None, f"{info.filename}: {e} (compression method {info.compress_type})"
     if len(body) != info.file_size:
         return None, f"{info.filename}: {len(body)} bytes inflated, {info.file_size} stated"
@@ -39,39 +43,54 @@ def archives(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
 
 
-def members(spark: SparkSession, path: str) -> DataFrame:
-    """What the archives' central directories list, by any file system that Spark reads."""
+def opened(path: str) -> BinaryIO:
+    """A file that can be read from any place on, by its own file system: an archive is never held as a whole."""
+    if path.startswith("file:/"):
+        return open("/" + path[5:].lstrip("/"), "rb")  # noqa: SIM115
+    system, inside = pyarrow.fs.FileSystem.from_uri(path)
+    return system.open_input_file(inside)
+
 
+def _listed(spark: SparkSession, path: str) -> DataFrame:
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, content in zip(batch["path"], batch["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    rows = [(object_id(i.filename), name.rpartition("/")[2], i.filename, i.file_size) for i in filings_in(z)]
-                yield pd.DataFrame(rows, columns=["object_id", "zip_file", "member", "bytes"])
+            for name in batch["path"]:
+                with opened(name) as f, zipfile.ZipFile(f) as z:
+                    rows = [(object_id(i.filename), name.rpartition("/")[2], i.filename, i.file_size, name) for i in filings_in(z)]
+                yield pd.DataFrame(rows, columns=["object_id", "zip_file", "member", "bytes", "path"])
+
+    return archives(spark, path).select("path").mapInPandas(listed, LISTED + ", path string")
 
-    return archives(spark, path).select("path", "content").mapInPandas(listed, LISTED)
+
+def members(spark: SparkSession, path: str) -> DataFrame:
+    """What the archives' central directories list; nothing else of them is read."""
+    return _listed(spark, path).drop("path")
 
 
 def documents(spark: SparkSession, path: str, wanted: DataFrame | None = None) -> DataFrame:
-    """object_id, zip_file, xml and error of the wanted members; others are never inflated.
+    """object_id, zip_file, xml and error of the wanted members; others are never read or inflated.
 
-    The ids travel with their archive: members() lists what each holds, and only the wanted ones' names reach it."""
-    names = members(spark, path)
+    Only names are joined: what an archive holds is listed, and the wanted ones' names go to a task that opens it."""
+    names = _listed(spark, path)
     if wanted is not None:
         names = names.join(wanted.select("object_id").distinct(), "object_id", "left_semi")
-    names = names.groupBy("zip_file").agg(F.collect_list("member").alias("wanted"))  # an archive's directory at most
+    names = names.groupBy("path").agg(F.collect_list("member").alias("wanted"))  # an archive's directory at most
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["object_id", "zip_file", "xml", "error"]
         for batch in batches:
-            for name, content, keep in zip(batch["zip_file"], batch["content"], batch["wanted"], strict=True):
-                keep = set(keep)
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for i in filings_in(z):
-                        if i.filename in keep:
-                            yield pd.DataFrame([(object_id(i.filename), name, *read_member(z, i))], columns=["object_id", "zip_file", "xml", "error"])
-
-    both = archives(spark, path).select(F.substring_index("path", "/", -1).alias("zip_file"), "content").join(names, "zip_file")
-    return both.select("zip_file", "content", "wanted").mapInPandas(read, READ)
+            for name, keep in zip(batch["path"], batch["wanted"], strict=True):
+                with opened(name) as f, zipfile.ZipFile(f) as z:
+                    rows, size = [], 0
+                    for member in sorted(keep):
+                        rows.append((object_id(member), name.rpartition("/")[2], *read_member(z, z.getinfo(member))))
+                        size += z.getinfo(member).file_size
+                        if size >= BATCH_BYTES:
+                            yield pd.DataFrame(rows, columns=columns)
+                            rows, size = [], 0
+                    yield pd.DataFrame(rows, columns=columns)
+
+    return names.mapInPandas(read, READ)
 
 
 class ZipFilings(DataSource):
