@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from almoner.functions.names import search_tokens
@@ -121,32 +121,68 @@ def gathered(rows: DataFrame, key: str, rank: str, columns: list[str], name: str
     return rows.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(item)), lambda x: F.struct(*[x[c].alias(c) for c in columns])).alias(name))
 
 
-def funder_payloads(edges: DataFrame, registry: DataFrame, top: int = TOP, recent: int = RECENT) -> DataFrame:
-    """One compact JSON document for each funder: totals, years, top recipients, recent grants, filings."""
-    years = edges.groupBy("funder_ein", "tax_year").agg(dollars(paid()).alias("paid_usd"), dollars(future()).alias("future_usd"))
-    years = years.groupBy("funder_ein").agg(F.sort_array(F.collect_list(F.struct("tax_year", "paid_usd", "future_usd"))).alias("years"))
-    filings = edges.select("funder_ein", "object_id", "tax_year", "return_version").distinct()
-    filings = filings.groupBy("funder_ein").agg(F.sort_array(F.collect_list(F.struct("object_id", "tax_year", "return_version"))).alias("filings"))
-    largest = gathered(funder_recipients(edges, top), "funder_ein", "rn", ["recipient", "name", "total_usd", "grants"], "top_recipients")
-    latest = gathered(recent_grants(edges, "funder_ein", recent), "funder_ein", "rn", ["grant_id", "tax_year", "amount_usd", "amount_type", "recipient_name_raw"], "recent_grants")
-    doc = funder_totals(edges, registry).join(years, "funder_ein", "left").join(filings, "funder_ein", "left").join(largest, "funder_ein", "left").join(latest, "funder_ein", "left")
+#: What a document says of each grant, and under which names.
+GRANT = {
+    "grant_id": "grant_id", "tax_year": "tax_year", "amount_type": "amount_type", "amount_usd": "amount_usd", "noncash_amount_usd": "noncash_amount_usd", "recipient_name_raw": "recipient_name",
+    "recipient_ein_resolved": "recipient_ein", "match_tier": "match_tier", "match_confidence": "match_confidence", "match_method": "match_method", "grant_purpose": "purpose",
+    "recipient_city": "city", "recipient_state": "state", "recipient_type": "recipient_type", "object_id": "object_id",
+}
+
+
+def _grant(edges: DataFrame, *more: str) -> list[Column]:
+    return [F.col(c).alias(n) for c, n in GRANT.items() if c in edges.columns] + [F.col(c) for c in more]
+
+
+def _latest(edges: DataFrame, by: str, most: int, *more: str) -> DataFrame:
+    """Each key's latest grants as one array (at most `most`), under GRANT's names."""
+    rows = recent_grants(edges, by, most).select(F.col(by).alias("_key"), "rn", F.struct(*_grant(edges, *more)).alias("g"))
+    return rows.groupBy("_key").agg(F.transform(F.sort_array(F.collect_list(F.struct("rn", "g"))), lambda x: x["g"]).alias("recent_grants")).withColumnRenamed("_key", by)
+
+
+def funder_payloads(edges: DataFrame, registry: DataFrame, top: int = TOP, recent: int = RECENT, about: dict[str, str] | None = None) -> DataFrame:
+    """One compact JSON document for each funder: totals, years, top recipients, recent grants, filings; `about`: fixed values,
+    such as the version. An organization files once a year and form, so its years and filings are few."""
+    years = edges.groupBy("funder_ein", "tax_year").agg(dollars(paid()).alias("paid_usd"), dollars(future()).alias("future_usd"), F.count(F.lit(1)).alias("grants"), F.count_distinct("object_id").alias("filings"))
+    years = years.groupBy("funder_ein").agg(F.sort_array(F.collect_list(F.struct("tax_year", "paid_usd", "future_usd", "grants", "filings"))).alias("years"))
+    filings = edges.select("funder_ein", "object_id", "tax_year", "tax_period_end", "filing_year", "return_version", F.col("funder_form_type").alias("form_type")).distinct()
+    filings = filings.groupBy("funder_ein").agg(F.sort_array(F.collect_list(F.struct("object_id", "tax_year", "tax_period_end", "filing_year", "return_version", "form_type"))).alias("filings"))
+    largest = gathered(funder_recipients(edges, top), "funder_ein", "rn", ["recipient", "name", "total_usd", "grants", "last_year"], "top_recipients")
+    doc = funder_totals(edges, registry)
+    for part in (years, largest, filings, _latest(edges, "funder_ein", recent)):
+        doc = doc.join(part, "funder_ein", "left")
     chunked = F.col("rows") > CHUNK_ABOVE
     doc = doc.withColumn("chunked", chunked).withColumn("recent_grants", F.when(chunked, F.slice("recent_grants", 1, PREVIEW)).otherwise(F.col("recent_grants")))
-    return doc.select("funder_ein", F.to_json(F.struct(*[c for c in doc.columns])).alias("payload"))
+    return doc.select("funder_ein", F.to_json(F.struct(*doc.columns, *_about(about))).alias("payload"))
+
+
+def recipient_payloads(edges: DataFrame, registry: DataFrame, top: int = TOP, recent: int = RECENT, about: dict[str, str] | None = None) -> DataFrame:
+    """The same for each resolved recipient: identity and place, totals, largest funders with the matches' tiers, recent grants."""
+    key = "recipient_ein_resolved"
+    place = registry.select(F.col("ein").alias(key), *[c for c in ("city", "state", "subsection_code") if c in registry.columns])
+    names = edges.groupBy("funder_ein").agg(F.min("funder_name").alias("funder_name"), F.min("funder_state").alias("funder_state"))
+    largest = recipient_funders(edges, top).join(names, "funder_ein")
+    largest = gathered(largest, key, "rn", ["funder_ein", "funder_name", "funder_state", "total_usd", "grants", "last_year", "tiers"], "funders_by_total")
+    doc = recipient_totals(edges, registry).join(place, key, "left").join(largest, key, "left").join(_latest(edges, key, recent, "funder_ein", "funder_name"), key, "left")
+    return doc.select(key, F.to_json(F.struct(*doc.columns, *_about(about))).alias("payload"))
+
+
+def _about(about: dict[str, str] | None) -> list[Column]:
+    return [F.lit(v).alias(k) for k, v in (about or {}).items()]
 
 
 def year_pages(edges: DataFrame, chunk_above: int = CHUNK_ABOVE, size: int = PAGE) -> DataFrame:
-    """Pages of grants by funder and year for funders with more than `chunk_above` rows; rows without a year have pages of their own."""
+    """Pages of grants by funder and year for funders with more than `chunk_above` rows; rows without a year are in none."""
     large = edges.groupBy("funder_ein").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > chunk_above).select("funder_ein")
-    own = edges.join(large, "funder_ein", "left_semi")
-    ranked = top_per_group(own, ["funder_ein", "tax_year"], [F.col("amount_usd").desc_nulls_last(), F.col("grant_id")], (1 << 31) - 1)
+    own = edges.filter(F.col("tax_year").isNotNull()).join(large, "funder_ein", "left_semi")
+    place = F.row_number().over(Window.partitionBy("funder_ein", "tax_year").orderBy(F.col("amount_usd").desc_nulls_last(), "grant_id"))
+    ranked = own.withColumn("rn", place)
     return ranked.withColumn("page", F.ceil(F.col("rn") / size).cast("int"))
 
 
 def page_counts(pages: DataFrame) -> DataFrame:
     """How many pages each year of a chunked funder has, as a map."""
     n = pages.groupBy("funder_ein", "tax_year").agg(F.max("page").alias("pages"))
-    return n.groupBy("funder_ein").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.coalesce(F.col("tax_year").cast("string"), F.lit("null")), "pages")))).alias("pages"))
+    return n.groupBy("funder_ein").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col("tax_year").cast("string"), "pages")))).alias("pages"))
 
 
 def browse(totals: DataFrame, condition: Column, page: int, size: int = 100) -> tuple[DataFrame, int]:

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from almoner.sources.shared import written
+
 
 def all_equal_null_safe(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
     """Equality that matches null with null; planned as a hash or merge join on every column."""
@@ -21,7 +23,8 @@ def anti_null_safe(left: DataFrame, right: DataFrame, columns: list[str]) -> Dat
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row for each key: the first in `order`."""
-    return df.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_k = 1").drop("_k")
+    k = unused(df, "k")
+    return df.withColumn(k, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(k) == 1).drop(k)
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -58,19 +61,30 @@ def page_of(df: DataFrame, order: list[Column], page: int, size: int = 100) -> D
     return df.orderBy(*order).offset((max(1, page) - 1) * size).limit(size)
 
 
+def unused(df: DataFrame, name: str, *also: str) -> str:
+    """A column name that df doesn't have, and that is none of `also`."""
+    while name.lower() in {c.lower() for c in (*df.columns, *also)}:
+        name += "_"
+    return name
+
+
 def global_row_number(df: DataFrame, order: list[Column], name: str = "rn") -> DataFrame:
-    """Row numbers over the whole table: ranges of `order` are numbered by themselves and shifted by what precedes them."""
-    spread = df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()).persist()
-    sizes = spread.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sizes = sizes.select("_pid", before.alias("_before"))  # a row for each range
-    inside = F.row_number().over(Window.partitionBy("_pid").orderBy(*order))
-    return spread.withColumn("_in", inside).join(F.broadcast(sizes), "_pid").withColumn(name, F.col("_before") + F.col("_in")).drop("_pid", "_in", "_before")
+    """Row numbers over the whole table: ranges of `order` are numbered by themselves and shifted by what precedes them.
+
+    The ranges are written first, so that both uses of them see the same. df must not have a column of that name."""
+    own, before, place = (unused(df, x, name) for x in ("range", "before", "place"))
+    spread = written(df.repartitionByRange(*order).withColumn(own, F.spark_partition_id()))
+    sizes = spread.groupBy(own).agg(F.count(F.lit(1)).alias("n"))
+    earlier = F.coalesce(F.sum("n").over(Window.orderBy(own).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select(own, earlier.alias(before))  # a row for each range
+    inside = F.row_number().over(Window.partitionBy(own).orderBy(*order))
+    return spread.withColumn(place, inside).join(F.broadcast(sizes), own).withColumn(name, F.col(before) + F.col(place)).drop(own, before, place)
 
 
 def chunk_numbers(df: DataFrame, order: list[Column], size: int, name: str = "chunk") -> DataFrame:
     """Which chunk of `size` rows, from 0, each row falls into."""
-    return global_row_number(df, order, "_row").withColumn(name, F.floor((F.col("_row") - 1) / size).cast("int")).drop("_row")
+    row = unused(df, "row")
+    return global_row_number(df, order, row).withColumn(name, F.floor((F.col(row) - 1) / size).cast("int")).drop(row)
 
 
 def stratified(df: DataFrame, stratum: str, key: Column, n: int, seed: str) -> DataFrame:
@@ -78,5 +92,32 @@ def stratified(df: DataFrame, stratum: str, key: Column, n: int, seed: str) -> D
     from almoner.functions.values import seeded_order
 
     strata = df.select(stratum).distinct().count()
-    share = max(1, n // max(1, strata))
-    return top_per_group(df.withColumn("_h", seeded_order(key, seed)), [stratum], [F.col("_h")], share, "place").drop("_h")
+    share, h = max(1, n // max(1, strata)), unused(df, "h")
+    return top_per_group(df.withColumn(h, seeded_order(key, seed)), [stratum], [F.col(h)], share, "place").drop(h)
+
+
+def filing_changes(processed: DataFrame, index: DataFrame) -> DataFrame:
+    """object_id, filing_year and change of each filing that was processed before (object_id, filing_year) or is listed now.
+
+    added: listed, the newest of its kind, not processed; kept: processed and still that; superseded: processed, but a
+    newer one is listed; removed: processed and not listed any more."""
+    now = superseded(index).select("object_id", F.col("filing_year").alias("_year"), (F.col("rank") == 1).alias("_newest"))
+    both = processed.select("object_id", F.col("filing_year").alias("_old")).join(now, "object_id", "full")
+    old, newest = F.col("_old").isNotNull(), F.coalesce("_newest", F.lit(False))
+    change = F.when(old & newest, "kept").when(old & F.col("_newest").isNull(), "removed").when(old, "superseded").when(newest, "added")
+    return both.select("object_id", F.coalesce("_year", "_old").alias("filing_year"), change.alias("change")).filter("change IS NOT NULL")
+
+
+def version_delta(changes: DataFrame) -> DataFrame:
+    """How many filings of each year were added, kept, superseded and removed; years with nothing but kept ones need no rewriting."""
+    kinds = ("added", "kept", "superseded", "removed")
+    out = changes.groupBy("filing_year").agg(*[F.count_if(F.col("change") == c).alias(c) for c in kinds])
+    return out.withColumn("touched", F.col("added") + F.col("superseded") + F.col("removed") > 0)
+
+
+def carried_over(edges: DataFrame, added: DataFrame, changes: DataFrame) -> DataFrame:
+    """The edges of a new version's touched years: those of filings that are kept, and the added filings'."""
+    gone = changes.filter("change IN ('superseded', 'removed')").select("object_id")
+    years = version_delta(changes).filter("touched").select("filing_year")
+    kept = edges.join(years, "filing_year", "left_semi").join(gone, "object_id", "left_anti")
+    return kept.unionByName(added, allowMissingColumns=True)

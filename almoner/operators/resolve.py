@@ -8,16 +8,23 @@ recipient_type.
 
 from __future__ import annotations
 
+import operator
+from datetime import datetime
+from functools import reduce
+
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almoner.functions.names import first_token, is_chapter, squash, valid_ein
 from almoner.functions.similarity import jaro_winkler, phonetic_key
-from almoner.operators.relational import anti_null_safe
+from almoner.operators.relational import anti_null_safe, latest_per_key
+from almoner.sources.shared import exists, replace, written
 
 TUPLE = ["name_normalized", "name_raw", "city", "state", "zip5", "ein_reported", "recipient_type"]
+#: How edges name a tuple's columns.
+EDGE_COLUMNS = {"name_normalized": "recipient_name_normalized", "name_raw": "recipient_name_raw", "city": "recipient_city", "state": "recipient_state", "zip5": "recipient_zip5", "ein_reported": "recipient_ein_reported"}
 ANSWER = ["ein", "source", "confidence", "tier", "method", "bmf_name", "ntee_code", "subsection_code"]
 
 # Thresholds, bands and steps of confidence.
@@ -47,7 +54,8 @@ def with_aliases(tuples: DataFrame, aliases: DataFrame | None) -> DataFrame:
     """The canonical name of each name that has one, from alias_normalized and canonical_normalized."""
     if aliases is None:
         return tuples.withColumn("alias", F.lit(None).cast("string"))
-    known = aliases.select(F.col("alias_normalized").alias("name_normalized"), F.col("canonical_normalized").alias("alias")).dropDuplicates(["name_normalized"])
+    known = last_of(aliases, ["alias_normalized"], "canonical_normalized")
+    known = known.select(F.col("alias_normalized").alias("name_normalized"), F.col("canonical_normalized").alias("alias"))
     return tuples.join(known, "name_normalized", "left")
 
 
@@ -77,6 +85,17 @@ def candidates(probes: DataFrame, registry: DataFrame, phonetic: bool = True) ->
     return found.dropDuplicates(["idx", "ein"])
 
 
+def may_reach(a: Column, b: Column, least: float) -> Column:
+    """Whether the lengths and common first letters of two names allow a Jaro-Winkler similarity of `least`.
+
+    With l common first letters (4 at most) the Jaro similarity j must be (least - 0.1 l) / (1 - 0.1 l) or more, and j is at
+    most (2 + shorter/longer) / 3."""
+    same = lambda n: (F.substring(a, 1, n) == F.substring(b, 1, n)) & (F.length(a) >= n) & (F.length(b) >= n)
+    common = F.when(same(4), 4).when(same(3), 3).when(same(2), 2).when(same(1), 1).otherwise(0)
+    jaro = (F.lit(least) - 0.1 * common) / (F.lit(1.0) - 0.1 * common)
+    return 3 * jaro <= 2 + F.least(F.length(a), F.length(b)) / F.greatest(F.length(a), F.length(b), F.lit(1)) + 1e-9
+
+
 def compared(pairs: DataFrame, probes: DataFrame, registry: DataFrame, most: int = CANDIDATES) -> DataFrame:
     """Pairs whose names are similar enough, at most `most` for each probe, with both sides' columns."""
     c = registry.select(*[F.col(x).alias(f"c_{x}") for x in ("ein", "name", "name_normalized", "sort_name_normalized", "city", "state", "zip5", "ntee_code", "subsection_code")])
@@ -87,7 +106,10 @@ def compared(pairs: DataFrame, probes: DataFrame, registry: DataFrame, most: int
         F.coalesce(jaro_winkler(F.col("name_normalized"), F.col("c_sort_name_normalized")), zero),
         F.coalesce(jaro_winkler(F.col("alias"), F.col("c_name_normalized")), zero),
     )
-    near = both.withColumn("sim", sim).filter(F.col("sim") >= PROBABLE)
+    # most pairs of a block can't be similar enough by their lengths and first letters, and never reach Python
+    forms = [("name_normalized", "c_name_normalized"), ("name_normalized", "c_sort_name_normalized"), ("alias", "c_name_normalized")]
+    may = reduce(operator.or_, [F.coalesce(may_reach(F.col(a), F.col(b), PROBABLE), F.lit(False)) for a, b in forms])
+    near = both.filter(may).withColumn("sim", sim).filter(F.col("sim") >= PROBABLE)
     w = Window.partitionBy("idx").orderBy(F.col("sim").desc(), "c_ein")
     return near.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= most).drop("_k")
 
@@ -173,18 +195,24 @@ def resolve(
         pick(null, F.col("_r_ntee"), null, F.col("_ntee_code")).alias("ntee_code"),
         pick(null, F.col("_r_sub"), null, F.col("_subsection_code")).alias("subsection_code"),
     )
-    return corrected(out, corrections, registry) if corrections is not None else out
+    return corrected(out, corrections) if corrections is not None else out
+
 
+def last_of(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """One row for each key: the last by `row` where df has it, else the largest value."""
+    return latest_per_key(df, keys, [F.col("row" if "row" in df.columns else value).desc_nulls_last()])
 
-def corrected(answers: DataFrame, corrections: DataFrame, registry: DataFrame) -> DataFrame:
-    """Manual corrections by (name, state, zip5), null for null, override everything; the registry fills in the rest."""
-    fix = corrections.select(F.col("recipient_name_normalized").alias("_name"), F.col("state").alias("_state"), F.col("zip5").alias("_zip"), F.col("ein").alias("_fix")).dropDuplicates(["_name", "_state", "_zip"])
+
+def corrected(answers: DataFrame, corrections: DataFrame) -> DataFrame:
+    """Manual corrections by (name, state, zip5), null for null, override everything. What the registry says of the number
+    isn't filled in, as nobody has checked that it has it. Of several corrections the last counts (by `row`, else by number)."""
+    fix = last_of(corrections, ["recipient_name_normalized", "state", "zip5"], "ein")
+    fix = fix.select(F.col("recipient_name_normalized").alias("_name"), F.col("state").alias("_state"), F.col("zip5").alias("_zip"), F.col("ein").alias("_fix"))
     on = F.col("name_normalized").eqNullSafe(F.col("_name")) & F.col("state").eqNullSafe(F.col("_state")) & F.col("zip5").eqNullSafe(F.col("_zip"))
-    r = registry.select(F.col("ein").alias("_e"), F.col("name").alias("_n"), F.col("ntee_code").alias("_c"), F.col("subsection_code").alias("_s"))
-    t = answers.join(fix, on, "left").join(r, F.col("_fix") == F.col("_e"), "left")
+    t = answers.join(fix, on, "left")
     hit = F.col("_fix").isNotNull()
-    new = {"ein": F.col("_fix"), "source": F.lit("manual_correction"), "confidence": F.lit(1.0), "tier": F.lit("A"), "method": F.lit("manual_correction"), "bmf_name": F.col("_n"), "ntee_code": F.col("_c"), "subsection_code": F.col("_s")}
-    return t.select(*TUPLE, *[F.when(hit, new[c]).otherwise(F.col(c)).alias(c) for c in ANSWER])
+    new = {"ein": F.col("_fix"), "source": F.lit("manual_correction"), "confidence": F.lit(1.0), "tier": F.lit("A"), "method": F.lit("manual_correction")}
+    return t.select(*TUPLE, *[F.when(hit, new.get(c, F.lit(None))).otherwise(F.col(c)).alias(c) for c in ANSWER])
 
 
 def apply_answers(edges: DataFrame, answers: DataFrame, renamed: dict[str, str]) -> DataFrame:
@@ -200,6 +228,55 @@ def apply_answers(edges: DataFrame, answers: DataFrame, renamed: dict[str, str])
     return joined.select(*[values.pop(c).alias(c) if c in values else F.col(c) for c in edges.columns], *[v.alias(c) for c, v in list(values.items())])
 
 
+#: A stored answer: the tuple, what was answered, from which registry, and when.
+STORED = ", ".join([*[f"{c} string" for c in TUPLE], *[f"{c} {'double' if c == 'confidence' else 'string'}" for c in ANSWER], "bmf_vintage string", "resolved_at timestamp"])
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """The answers stored so far (none: an empty table)."""
+    if exists(spark, path):
+        return spark.read.schema(STORED).parquet(path)
+    return spark.createDataFrame([], STORED)
+
+
+def store(answers: DataFrame, path: str, vintage: str, at: datetime) -> None:
+    """Append answers. Nothing is stored twice, as pending() leaves out what is there."""
+    stamped = answers.withColumns({"bmf_vintage": F.lit(vintage), "resolved_at": F.lit(at)})
+    stamped.select(*[F.col(c).cast(t) for c, t in (x.split() for x in STORED.split(", "))]).write.mode("append").parquet(path)
+
+
+def forget_unresolved(spark: SparkSession, path: str) -> None:
+    """Drop stored answers of tier U, so that they are asked again: the others are written beside, then take the place."""
+    if exists(spark, path):
+        stored(spark, path).filter("tier <> 'U'").write.parquet(f"{path}.next")
+        replace(spark, f"{path}.next", path)
+
+
+def tuples_of(edges: DataFrame, renamed: dict[str, str]) -> DataFrame:
+    """The distinct tuples of edges; `renamed` maps a tuple's columns to the edges'."""
+    return edges.select(*[F.col(renamed.get(c, c)).alias(c) for c in TUPLE]).withColumn("name_normalized", F.coalesce("name_normalized", F.lit(""))).distinct()
+
+
+def resolve_edges(
+    edges: DataFrame, registry: DataFrame, answers: str, vintage: str, at: datetime, renamed: dict[str, str] = EDGE_COLUMNS, aliases: DataFrame | None = None, corrections: DataFrame | None = None,
+    again_unresolved: bool = False, phonetic: bool = True, chunks: int = 1,
+) -> DataFrame:
+    """Edges with the answers to all their tuples; what isn't stored yet (at `answers`) is resolved and stored.
+
+    Tuples are resolved in `chunks` jobs by hash, each stored as it ends: a run that dies resumes after the last one.
+    An empty registry is refused. The edges' rows stay as many as they were."""
+    spark = edges.sparkSession
+    require_registry(registry)
+    if again_unresolved:
+        forget_unresolved(spark, answers)
+    open_ = written(with_id(pending(tuples_of(edges, renamed), stored(spark, answers))))
+    for k in range(chunks):
+        part = open_.filter(F.pmod(F.col("idx"), F.lit(chunks)) == k) if chunks > 1 else open_
+        store(resolve(part.drop("idx"), registry, aliases, corrections, phonetic=phonetic), answers, vintage, at)
+    name = renamed.get("name_normalized", "name_normalized")
+    return apply_answers(edges.withColumn(name, F.coalesce(name, F.lit(""))), stored(spark, answers), renamed)
+
+
 def require_registry(registry: DataFrame) -> None:
     if registry.isEmpty():
         raise ValueError("the registry is empty: load one before resolving recipients")

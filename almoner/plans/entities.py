@@ -97,11 +97,12 @@ FIX = " CASE WHEN CAST(zip5 AS BIGINT) % 4 = 0 THEN '000000001' END"
 
 
 @query("j12_m11_corrections", RESOLVED + """, fix AS (SELECT DISTINCT name_normalized, state, zip5 FROM answers WHERE zip5 LIKE '%0')
-SELECT a.name_raw, CASE WHEN f.zip5 IS NOT NULL THEN '000000001' ELSE a.ein END AS ein, CASE WHEN f.zip5 IS NOT NULL THEN 'manual_correction' ELSE a.source END AS source, CASE WHEN f.zip5 IS NOT NULL THEN 'A' ELSE a.tier END AS tier
+SELECT a.name_raw, CASE WHEN f.zip5 IS NOT NULL THEN '000000001' ELSE a.ein END AS ein, CASE WHEN f.zip5 IS NOT NULL THEN 'manual_correction' ELSE a.source END AS source, CASE WHEN f.zip5 IS NOT NULL THEN 'A' ELSE a.tier END AS tier,
+  CASE WHEN f.zip5 IS NULL THEN a.bmf_name END AS bmf_name, CASE WHEN f.zip5 IS NULL THEN a.ntee_code END AS ntee_code, CASE WHEN f.zip5 IS NULL THEN a.subsection_code END AS subsection_code
 FROM answers a LEFT JOIN fix f ON a.name_normalized IS NOT DISTINCT FROM f.name_normalized AND a.state IS NOT DISTINCT FROM f.state AND a.zip5 IS NOT DISTINCT FROM f.zip5""")
 def j12(spark, sf_dir):
     fix = _tuples(spark, sf_dir).filter("zip5 LIKE '%0'").select(F.col("name_normalized").alias("recipient_name_normalized"), "state", "zip5", F.lit("000000001").alias("ein"))
-    return _answers(spark, sf_dir, phonetic=False, corrections=fix).select("name_raw", "ein", "source", "tier")
+    return _answers(spark, sf_dir, phonetic=False, corrections=fix).select("name_raw", "ein", "source", "tier", "bmf_name", "ntee_code", "subsection_code")
 
 
 @query("j11_m02_aliases", ctes("probes") + " SELECT name_raw, CASE WHEN name_normalized LIKE 'UNHEARD%' THEN 'HARBOR YOUTH FDN' END AS alias FROM (SELECT DISTINCT " + T + " FROM probes)")
@@ -127,6 +128,49 @@ def q10(spark, sf_dir):
     return near.filter("rn = 1").select("name_raw", "candidate_count", F.col("c_ein").alias("best"), F.round("sim", 6).alias("sim"))
 
 
+@query("m12_m14_k08_resolved_edges", RESOLVED + f""" SELECT p.expected_ein AS grant_id, 2001 + CAST(p.expected_ein AS BIGINT) % 3 AS filing_year, a.ein, a.tier, a.source, a.confidence, a.method, a.bmf_name
+FROM probes p JOIN answers a ON {" AND ".join(f"p.{c} IS NOT DISTINCT FROM a.{c}" for c in res.TUPLE)}""")
+def m12(spark, sf_dir):
+    """Pending tuples resolved in chunks, stored, applied to the edges, their years rewritten; then once more, when nothing is pending."""
+    from datetime import datetime
+
+    from almoner.operators.publish import rewrite_years
+    from almoner.sources.shared import scratch
+
+    registry, root, answers = analog(spark, sf_dir, "registry"), scratch(spark), scratch(spark)
+    none = F.lit(None).cast("string")
+    own = analog(spark, sf_dir, "probes").select(
+        F.col("expected_ein").alias("grant_id"), (F.lit(2001) + F.col("expected_ein").cast("long") % 3).alias("filing_year"), *[F.col(c).alias(res.EDGE_COLUMNS.get(c, c)) for c in res.TUPLE],
+        none.alias("recipient_ein_resolved"), F.lit("unresolved").alias("recipient_ein_source"), F.lit(None).cast("double").alias("match_confidence"), F.lit("U").alias("match_tier"), none.alias("match_method"),
+        *[none.alias(f"recipient_{c}") for c in ("bmf_name", "ntee_code", "subsection_code")],
+    )
+    own.write.partitionBy("filing_year").parquet(root)
+    for k in range(2):
+        edges = spark.read.schema(own.schema).parquet(root)
+        done = res.resolve_edges(edges, registry, answers, "2026-08", datetime(2026, 8, 1), again_unresolved=bool(k), phonetic=False, chunks=2)
+        rewrite_years(spark, done, root, f"{root}-staged-{k}")
+    out = spark.read.schema(own.schema).parquet(root)
+    return out.select("grant_id", "filing_year", F.col("recipient_ein_resolved").alias("ein"), F.col("match_tier").alias("tier"), F.col("recipient_ein_source").alias("source"), F.col("match_confidence").alias("confidence"), F.col("match_method").alias("method"), F.col("recipient_bmf_name").alias("bmf_name"))
+
+
+@query("v12_recall_and_abstention", RESOLVED + """, e AS (SELECT CASE WHEN p.name_normalized LIKE 'UNHEARD%' THEN NULL ELSE p.expected_ein END AS expected_ein, a.ein, a.tier FROM probes p JOIN answers a ON p.name_raw = a.name_raw),
+n AS (SELECT count(*) FILTER (WHERE ein = expected_ein) AS recalled, count(*) FILTER (WHERE expected_ein IS NOT NULL) AS with_expected, count(*) FILTER (WHERE expected_ein IS NULL AND tier = 'U') AS abstained, count(*) FILTER (WHERE expected_ein IS NULL) AS without_expected FROM e)
+SELECT *, CAST(recalled AS DOUBLE) / nullif(with_expected, 0) AS recall, CAST(abstained AS DOUBLE) / nullif(without_expected, 0) AS abstention FROM n""")
+def v12b(spark, sf_dir):
+    from almoner.operators.quality import overall
+
+    pairs = analog(spark, sf_dir, "probes").select("name_raw", F.when(~F.col("name_normalized").startswith("UNHEARD"), F.col("expected_ein")).alias("expected_ein"))
+    return overall(_answers(spark, sf_dir, phonetic=False).join(pairs, "name_raw"))
+
+
+@query("v12_misses", RESOLVED + " SELECT p.name_raw, a.ein, p.expected_ein FROM probes p JOIN answers a ON p.name_raw = a.name_raw WHERE a.ein IS NOT NULL AND a.ein IS DISTINCT FROM p.expected_ein")
+def v12c(spark, sf_dir):
+    from almoner.operators.quality import misses
+
+    pairs = analog(spark, sf_dir, "probes").select("name_raw", "expected_ein")
+    return misses(_answers(spark, sf_dir, phonetic=False).join(pairs, "name_raw")).select("name_raw", "ein", "expected_ein")
+
+
 @query("v12_a17_evaluation", RESOLVED + """, e AS (SELECT p.expected_ein, a.ein, a.tier FROM probes p JOIN answers a ON p.name_raw = a.name_raw)
 SELECT tier, count(*) AS pairs, count(*) FILTER (WHERE ein IS NOT NULL) AS resolved, count(*) FILTER (WHERE ein = expected_ein) AS correct,
   CASE WHEN count(*) FILTER (WHERE ein IS NOT NULL) > 0 THEN CAST(count(*) FILTER (WHERE ein = expected_ein) AS DOUBLE) / count(*) FILTER (WHERE ein IS NOT NULL) END AS precision FROM e GROUP BY 1""")

@@ -84,15 +84,59 @@ def a22(spark, sf_dir):
 
 @query(
     "q04_k11_q19_funder_payloads",
-    f"""{BOTH}, f AS ({FUNDERS}), y AS (SELECT funder_ein, count(DISTINCT tax_year) AS years FROM edges GROUP BY 1), o AS (SELECT funder_ein, count(DISTINCT object_id) AS filings FROM edges GROUP BY 1)
-SELECT funder_ein, paid_usd, future_usd, years, filings, least(recipients, 5) AS top, least(rows, 10) AS recent FROM f JOIN y USING (funder_ein) JOIN o USING (funder_ein)""",
+    f"""{BOTH}, f AS ({FUNDERS}),
+y AS (SELECT funder_ein, string_agg(concat_ws('/', tax_year, paid, future, n, filings), ' ' ORDER BY tax_year) AS years FROM (
+  SELECT funder_ein, tax_year, CAST(coalesce(sum(amount_usd) FILTER (WHERE amount_type = 'paid'), 0) AS BIGINT) AS paid, CAST(coalesce(sum(amount_usd) FILTER (WHERE amount_type = 'approved_future'), 0) AS BIGINT) AS future,
+    count(*) AS n, count(DISTINCT object_id) AS filings FROM edges GROUP BY 1, 2) GROUP BY 1),
+o AS (SELECT funder_ein, string_agg(object_id || '/' || tax_year || '/' || return_version, ' ' ORDER BY object_id, tax_year, filing_year) AS filings FROM (SELECT DISTINCT funder_ein, object_id, tax_year, filing_year, return_version FROM edges) GROUP BY 1),
+t AS (SELECT funder_ein, string_agg(recipient || '/' || total || '/' || n, ' ' ORDER BY rn) AS top FROM (SELECT *, row_number() OVER (PARTITION BY funder_ein ORDER BY total DESC, recipient) AS rn FROM (
+  SELECT funder_ein, {KEY} AS recipient, CAST(sum(amount_usd) AS BIGINT) AS total, count(*) AS n FROM edges WHERE amount_type = 'paid' GROUP BY 1, 2)) WHERE rn <= 5 GROUP BY 1),
+g AS (SELECT funder_ein, string_agg(concat_ws('/', grant_id, tax_year, amount_type, amount_usd, recipient_name_raw, coalesce(recipient_ein_resolved, '-'), match_tier, grant_purpose, recipient_city, recipient_type), ' ' ORDER BY rn) AS recent
+  FROM (SELECT *, row_number() OVER (PARTITION BY funder_ein ORDER BY tax_year DESC NULLS LAST, amount_usd DESC NULLS LAST, grant_id) AS rn FROM edges) WHERE rn <= 10 GROUP BY 1)
+SELECT funder_ein, paid_usd, future_usd, recipients, years, filings, coalesce(top, '') AS top, recent, '2026.08.1' AS version FROM f JOIN y USING (funder_ein) JOIN o USING (funder_ein) JOIN g USING (funder_ein) LEFT JOIN t USING (funder_ein)""",
 )
 def q04(spark, sf_dir):
-    docs = pro.funder_payloads(edges(spark, sf_dir), analog(spark, sf_dir, "registry"), 5, 10)
-    shape = "paid_usd long, future_usd long, years array<struct<tax_year:int>>, filings array<struct<object_id:string>>, top_recipients array<struct<name:string>>, recent_grants array<struct<grant_id:string>>"
+    docs = pro.funder_payloads(edges(spark, sf_dir), analog(spark, sf_dir, "registry"), 5, 10, {"dataset_version": "2026.08.1"})
+    grant = "struct<grant_id:string,tax_year:int,amount_type:string,amount_usd:long,recipient_name:string,recipient_ein:string,match_tier:string,purpose:string,city:string,recipient_type:string>"
+    shape = f"""paid_usd long, future_usd long, recipients long, years array<struct<tax_year:int,paid_usd:long,future_usd:long,grants:long,filings:long>>, dataset_version string,
+      filings array<struct<object_id:string,tax_year:int,filing_year:int,return_version:string>>, top_recipients array<struct<recipient:string,total_usd:long,grants:long>>, recent_grants array<{grant}>"""
     p = F.from_json("payload", shape)
-    long = lambda c, n: F.coalesce(F.size(p[c]), F.lit(0)).cast("long").alias(n)
-    return docs.select("funder_ein", p["paid_usd"].alias("paid_usd"), p["future_usd"].alias("future_usd"), long("years", "years"), long("filings", "filings"), F.greatest(long("top_recipients", "x"), F.lit(0).cast("long")).alias("top"), long("recent_grants", "recent"))
+    return docs.select(
+        "funder_ein", p["paid_usd"].alias("paid_usd"), p["future_usd"].alias("future_usd"), p["recipients"].alias("recipients"),
+        _shown(p["years"], "tax_year", "paid_usd", "future_usd", "grants", "filings").alias("years"), _shown(p["filings"], "object_id", "tax_year", "return_version").alias("filings"),
+        _shown(p["top_recipients"], "recipient", "total_usd", "grants").alias("top"),
+        _shown(p["recent_grants"], "grant_id", "tax_year", "amount_type", "amount_usd", "recipient_name", "recipient_ein", "match_tier", "purpose", "city", "recipient_type").alias("recent"),
+        p["dataset_version"].alias("version"),
+    )
+
+
+def _shown(rows, *fields):
+    """A document's array as one text."""
+    return F.coalesce(F.array_join(F.transform(rows, lambda x: F.concat_ws("/", *[F.coalesce(x[f].cast("string"), F.lit("-")) for f in fields])), " "), F.lit(""))
+
+
+@query(
+    "q05_recipient_payloads",
+    f"""{BOTH}, r AS ({RECIPIENTS}), n AS (SELECT funder_ein, min(funder_name) AS funder_name FROM edges GROUP BY 1),
+t AS (SELECT recipient_ein_resolved, string_agg(concat_ws('/', funder_ein, funder_name, total, n, last, tiers), ' ' ORDER BY rn) AS funders_by_total FROM (SELECT *, row_number() OVER (PARTITION BY recipient_ein_resolved ORDER BY total DESC, funder_ein) AS rn FROM (
+  SELECT recipient_ein_resolved, funder_ein, CAST(sum(amount_usd) AS BIGINT) AS total, count(*) AS n, max(tax_year) AS last, string_agg(DISTINCT match_tier, '' ORDER BY match_tier) AS tiers FROM edges
+  WHERE amount_type = 'paid' AND recipient_ein_resolved IS NOT NULL GROUP BY 1, 2)) JOIN n USING (funder_ein) WHERE rn <= 5 GROUP BY 1),
+g AS (SELECT recipient_ein_resolved, string_agg(concat_ws('/', grant_id, funder_ein, funder_name, tax_year, amount_usd, match_tier), ' ' ORDER BY rn) AS recent
+  FROM (SELECT *, row_number() OVER (PARTITION BY recipient_ein_resolved ORDER BY tax_year DESC NULLS LAST, amount_usd DESC NULLS LAST, grant_id) AS rn FROM edges WHERE recipient_ein_resolved IS NOT NULL) WHERE rn <= 10 GROUP BY 1)
+SELECT r.recipient_ein_resolved, r.name, r.paid_usd, r.future_usd, r.funders, r.first_year, r.last_year, b.city, b.state, coalesce(t.funders_by_total, '') AS funders_by_total, g.recent
+FROM r JOIN g USING (recipient_ein_resolved) LEFT JOIN t USING (recipient_ein_resolved) LEFT JOIN registry b ON r.recipient_ein_resolved = b.ein""",
+)
+def q05b(spark, sf_dir):
+    docs = pro.recipient_payloads(edges(spark, sf_dir), analog(spark, sf_dir, "registry"), 5, 10)
+    shape = """name string, paid_usd long, future_usd long, funders long, first_year int, last_year int, city string, state string,
+      funders_by_total array<struct<funder_ein:string,funder_name:string,total_usd:long,grants:long,last_year:int,tiers:string>>,
+      recent_grants array<struct<grant_id:string,funder_ein:string,funder_name:string,tax_year:int,amount_usd:long,match_tier:string>>"""
+    p = F.from_json("payload", shape)
+    return docs.select(
+        "recipient_ein_resolved", *[p[c].alias(c) for c in ("name", "paid_usd", "future_usd", "funders", "first_year", "last_year", "city", "state")],
+        _shown(p["funders_by_total"], "funder_ein", "funder_name", "total_usd", "grants", "last_year", "tiers").alias("funders_by_total"),
+        _shown(p["recent_grants"], "grant_id", "funder_ein", "funder_name", "tax_year", "amount_usd", "match_tier").alias("recent"),
+    )
 
 
 @query("q05_recipient_profile", f"{BOTH}, r AS ({RECIPIENTS}) SELECT recipient_ein_resolved, name, paid_usd, funders FROM r WHERE recipient_ein_resolved = '000000005'")
@@ -108,24 +152,25 @@ def k12(spark, sf_dir):
     return pro.year_pages(edges(spark, sf_dir), 60, 4).select("funder_ein", "tax_year", "grant_id", "page")
 
 
-@query("k12_page_counts")
+@query("k12_page_counts", PAGED + " SELECT funder_ein, string_agg(tax_year || ':' || pages, ' ' ORDER BY tax_year) AS pages FROM (SELECT funder_ein, tax_year, max(page) AS pages FROM p GROUP BY 1, 2) GROUP BY 1")
 def k12b(spark, sf_dir):
-    return pro.page_counts(pro.year_pages(edges(spark, sf_dir), 60, 4))
+    pages = pro.page_counts(pro.year_pages(edges(spark, sf_dir), 60, 4))
+    return pages.select("funder_ein", F.array_join(F.transform(F.sort_array(F.map_entries("pages")), lambda x: F.concat_ws(":", x["key"], x["value"].cast("string"))), " ").alias("pages"))
 
 
-def _browse(where: str) -> str:
-    return f"{BOTH}, f AS ({FUNDERS}) SELECT funder_ein, funder_name, paid_usd FROM f WHERE {where} ORDER BY paid_usd DESC, funder_ein LIMIT 10 OFFSET 10"
+def _browse(where: str, page: int, size: int) -> str:
+    return f"{BOTH}, f AS ({FUNDERS}) SELECT funder_ein, funder_name, paid_usd FROM f WHERE {where} ORDER BY paid_usd DESC, funder_ein LIMIT {size} OFFSET {(page - 1) * size}"
 
 
-@query("q12_browse_by_state", _browse("funder_state = 'NATION_3'"))
+@query("q12_browse_by_state", _browse("funder_state = 'NATION_19'", 2, 4))
 def q12(spark, sf_dir):
-    page, _ = pro.browse(pro.funder_totals(edges(spark, sf_dir), analog(spark, sf_dir, "registry")), F.col("funder_state") == "NATION_3", 2, 10)
+    page, _ = pro.browse(pro.funder_totals(edges(spark, sf_dir), analog(spark, sf_dir, "registry")), F.col("funder_state") == "NATION_19", 2, 4)
     return page.select("funder_ein", "funder_name", "paid_usd")
 
 
-@query("q13_browse_by_field", _browse("ntee_code LIKE 'B%'"))
+@query("q13_browse_by_field", _browse("ntee_code LIKE 'B%'", 1, 10))
 def q13(spark, sf_dir):
-    page, _ = pro.browse(pro.funder_totals(edges(spark, sf_dir), analog(spark, sf_dir, "registry")), F.col("ntee_code").startswith("B"), 2, 10)
+    page, _ = pro.browse(pro.funder_totals(edges(spark, sf_dir), analog(spark, sf_dir, "registry")), F.col("ntee_code").startswith("B"), 1, 10)
     return page.select("funder_ein", "funder_name", "paid_usd")
 
 

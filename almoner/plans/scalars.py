@@ -162,11 +162,27 @@ def f21(spark, sf_dir):
     return d.select("id", formats.money(F.col("v")).alias("money"), formats.counted(F.col("v")).alias("counted"), formats.plural(F.col("id"), "grant").alias("plural"), formats.year_span(F.col("a"), F.col("b")).alias("span"))
 
 
-@query("f21_compact_and_nice")
+def _tenths(unit: int) -> str:
+    """x in tenths of the unit, ties away from zero, as text with one decimal place."""
+    t = f"((x * 10 + {unit // 2}) // {unit})"
+    return f"'$' || CAST({t} // 10 AS VARCHAR) || '.' || CAST({t} % 10 AS VARCHAR)"
+
+
+def _wholes(unit: int) -> str:
+    return f"'$' || CAST((x + {unit // 2}) // {unit} AS VARCHAR)"
+
+
+@query("f21_compact", f"""WITH o AS (SELECT o_orderkey, CAST(floor(o_totalprice) AS HUGEINT) * CAST(pow(10, o_orderkey % 6) AS HUGEINT) AS x FROM orders)
+SELECT o_orderkey, CASE WHEN x >= 10000000000 THEN {_wholes(10**9)} || 'B' WHEN x >= 1000000000 THEN {_tenths(10**9)} || 'B' WHEN x >= 10000000 THEN {_wholes(10**6)} || 'M' WHEN x >= 1000000 THEN {_tenths(10**6)} || 'M'
+  WHEN x >= 1000 THEN {_wholes(1000)} || 'K' ELSE '$' || CAST(x AS VARCHAR) END AS compact FROM o""")
 def f21b(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select("o_orderkey", formats.compact_money((F.floor("o_totalprice") * F.pow(F.lit(10), F.col("o_orderkey") % 6)).cast("long")).alias("compact"))
-    n = raw_names(spark, sf_dir).select("id", formats.nice_name(F.col("raw")).alias("nice"), formats.shown_date(F.col("stamp")).alias("shown_date"))
-    return n.join(o, F.col("id") == F.col("o_orderkey")).select("id", "compact", "nice", "shown_date")
+    amount = (F.floor("o_totalprice") * F.pow(F.lit(10), F.col("o_orderkey") % 6)).cast("long")
+    return table(spark, sf_dir, "orders").select("o_orderkey", formats.compact_money(amount).alias("compact"))
+
+
+@query("f21_nice_names")
+def f21c(spark, sf_dir):
+    return raw_names(spark, sf_dir).select("id", formats.nice_name(F.col("raw")).alias("nice"), formats.shown_date(F.col("stamp")).alias("shown_date"))
 
 
 @query("f22_sum_of_known", ctes("edges") + " SELECT funder_ein, CAST(coalesce(sum(CASE WHEN recipient_ein_resolved IS NOT NULL THEN amount_usd END), 0) AS BIGINT) AS total FROM edges GROUP BY 1")
