@@ -1,11 +1,15 @@
 """Resolution, filings, quality, sources, sinks and streams on small inputs of our own."""
 
+import random
 import zipfile
+from datetime import datetime
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from almoner import __main__ as commands
+from almoner.functions.similarity import jaro_winkler
 from almoner.operators import filings as fil
 from almoner.operators import profiles, publish, quality, relational, resolve
 from almoner.sources import archives, tables
@@ -55,7 +59,10 @@ def test_corrections_and_pending(spark, registry):
     t = spark.createDataFrame([("TWIN OAKS", "t", None, "TX", None, None, "organization"), ("NOBODY", "n", None, None, None, None, "organization")], TUPLES)
     fix = spark.createDataFrame([("TWIN OAKS", "TX", None, "100000003")], "recipient_name_normalized string, state string, zip5 string, ein string")
     answers = resolve.resolve(t, registry, corrections=fix)
-    assert {(r.name_normalized, r.tier, r.ein, r.bmf_name) for r in answers.collect()} == {("TWIN OAKS", "A", "100000003", "Twin Oaks"), ("NOBODY", "U", None, None)}
+    assert {(r.name_normalized, r.tier, r.ein, r.bmf_name) for r in answers.collect()} == {("TWIN OAKS", "A", "100000003", None), ("NOBODY", "U", None, None)}
+    again = fix.unionByName(spark.createDataFrame([("TWIN OAKS", "TX", None, "100000002")], fix.schema)).withColumn("row", F.col("ein").cast("int") * -1)
+    last = resolve.resolve(t, registry, corrections=again).filter("tier = 'A'").first()  # the last row counts
+    assert last.ein == "100000002"
     assert resolve.pending(t, answers).count() == 0
     assert resolve.pending(t, answers, again_unresolved=True).count() == 1
     with pytest.raises(ValueError):
@@ -84,12 +91,52 @@ def test_filings(spark):
     heads = fil.headers(parsed.filter("error IS NULL"))
     head = {r.object_id: r for r in heads.collect()}
     assert head["1"].funder_ein == "012345678" and head["1"].total_paid == 41 and head["4"]["errors"]
-    sums = quality.filing_sums(heads, fil.grant_rows(parsed))
+    sums = quality.filing_sums(fil.filed(parsed.filter("error IS NULL")))
     assert {r.object_id: r.status for r in quality.pf_totals(sums).collect()} == {"1": "within_tolerance", "5": "within_tolerance", "7": "no_rows"}
     assert quality.missing_detail(sums).count() == 0
     assert fil.unresolved_fields(fil.PF_FIELDS) == [] and "/Return/ReturnData" in fil.consumed_paths()
 
 
+def test_odd_documents(spark):
+    odd = {
+        "blanks": " \n" * 50_000 + FILING.format("").partition("?>")[2], "comments": "<?xml version='1.0'?>" + "<!-- x -->" * 20_000 + FILING.format("").partition("?>")[2],
+        "prefixed": "<a:Return xmlns:a='urn:x'><a:ReturnHeader><a:ReturnTypeCd>990</a:ReturnTypeCd></a:ReturnHeader></a:Return>", "nothing": "", "text": "<" * 30_000,
+    }
+    got = {r.object_id: r.error for r in fil.parsed(spark.createDataFrame(list(odd.items()), "object_id string, xml string")).collect()}
+    assert got["blanks"] is None and got["comments"] is None and got["prefixed"] is None
+    assert got["nothing"] is not None and got["text"] is not None
+
+
+def test_one_parse(spark):
+    docs = fil.filed(fil.parsed(spark.createDataFrame([("1", FILING.format(""))], "object_id string, xml string")).filter("error IS NULL"))
+    plans = [quality.pf_totals(quality.filing_sums(docs)), quality.coverage(docs, {"name": lambda r: r["recipient_name_raw"] != ""}, F.col("name")), fil.grant_rows(docs)]
+    for df in plans:
+        assert df._jdf.queryExecution().executedPlan().toString().count("from_xml") == 1
+
+
+def test_index_files_of_two_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("RETURN_ID,EIN,TAX_PERIOD,SUB_DATE,TAXPAYER_NAME,RETURN_TYPE,OBJECT_ID\nr1,1,202212,2023,\"a\nb\",990,7\n")
+    (tmp_path / "b.csv").write_text("\ufeffEIN,TAX_PERIOD,SUB_DATE,TAXPAYER_NAME,RETURN_TYPE,OBJECT_ID,XML_BATCH_ID\n2,202312,2024,c,990PF,8,x\n", encoding="utf-8")
+    got = {r.object_id: r for r in tables.index(spark, str(tmp_path)).collect()}
+    assert {k: (r.ein, r.tax_period, r.taxpayer_name, r.return_id, r.xml_batch_id) for k, r in got.items()} == {"7": ("1", "202212", "a\nb", "r1", None), "8": ("2", "202312", "c", None, "x")}
+    with pytest.raises(ValueError):
+        tables.index(spark, str(tmp_path / "none*.csv"))
+
+
+def test_no_edge_is_lost(spark, tmp_path):
+    rows = [(f"g{k}", "1", None if k % 5 == 0 else 2000 + k % 2, k, "individual" if k % 3 == 0 else None if k % 3 == 1 else "organization", 2001 + k % 2) for k in range(50)]
+    g = spark.createDataFrame(rows, "grant_id string, funder_ein string, tax_year int, amount_usd long, recipient_type string, filing_year int")
+    for files in (1, 3, None):
+        assert publish.write_edges(g, str(tmp_path / str(files)), files) == {"grants": 33, "grants_individuals": 17}
+
+
+def test_year_pages_leave_out_rows_without_a_year(spark):
+    rows = [(f"g{k}", "1", None if k < 3 else 2001, k) for k in range(10)]
+    pages = profiles.year_pages(spark.createDataFrame(rows, "grant_id string, funder_ein string, tax_year int, amount_usd long"), 5, 4)
+    assert sorted((r.grant_id, r.page) for r in pages.collect()) == [(f"g{k}", 1 if k > 5 else 2) for k in range(3, 10)]
+    assert [r.pages for r in profiles.page_counts(pages).collect()] == [{"2001": 2}]
+
+
 def test_gates():
     assert quality.matching_failures({"A": 1.0, "B": 0.667, "D": None}, 1000) == ["tier B: precision 0.667, target 0.99"]
     assert quality.matching_failures({}, 3)
@@ -127,6 +174,18 @@ def test_archives(spark, tmp_path):
     assert {r.object_id for r in archives.members(spark, url).collect()} == {"0", "1", "2"}
     got = archives.documents(spark, url, spark.createDataFrame([("1",)], "object_id string")).collect()
     assert [(r.object_id, r.xml, r.error) for r in got] == [("1", "<Return>1</Return>", None)]
+    body = bytearray((tmp_path / "2023_A.zip").read_bytes())
+    at = body.index(b"<Return>2")
+    body[at : at + 9] = b"?" * 9
+    (tmp_path / "2024_B.zip").write_bytes(bytes(body))
+    with zipfile.ZipFile(tmp_path / "2025_C.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("x/9_public.xml", "<Return>" + "9" * 500 + "</Return>")
+    body = bytearray((tmp_path / "2025_C.zip").read_bytes())
+    start = 30 + len("x/9_public.xml")
+    body[start : start + 4] = b"\xff\xff\xff\xff"
+    (tmp_path / "2025_C.zip").write_bytes(bytes(body))
+    broken = {r.object_id + r.zip_file[:4]: r for r in archives.documents(spark, url).collect()}
+    assert len(broken) == 7 and {k for k, r in broken.items() if r.error} == {"22024", "92025"} and broken["92025"].xml is None
     spark.dataSource.register(archives.ZipFilings)
     read = spark.read.format("zip_filings").option("paths", str(tmp_path / "2023_A.zip")).option("wanted", "2").load()
     assert [r.object_id for r in read.collect()] == ["2"]
@@ -152,6 +211,53 @@ def test_publish(spark, tmp_path):
     assert publish.prune(str(Path(tmp_path) / "up"), 1e12) > 0
 
 
+def test_stored_answers_resume(spark, registry, tmp_path):
+    columns = "grant_id string, filing_year int, recipient_name_normalized string, recipient_name_raw string, recipient_city string, recipient_state string, recipient_zip5 string, recipient_ein_reported string, recipient_type string, recipient_ein_resolved string, recipient_ein_source string, match_confidence double, match_tier string, match_method string, recipient_bmf_name string, recipient_ntee_code string, recipient_subsection_code string"
+    none = (None, "unresolved", None, "U", None, None, None, None)
+    rows = [("g1", 2001, "HARBOR ARTS FDN", "Harbor", "Bay", "CA", "94000", None, "organization", *none), ("g2", 2001, None, "?", None, None, None, None, "unknown", *none), ("g3", 2002, "HARBOR ARTS FDN", "Harbor", "Bay", "CA", "94000", None, "organization", *none)]
+    edges, path, now = spark.createDataFrame(rows, columns), str(tmp_path / "answers"), datetime(2026, 8, 1)
+    with pytest.raises(ValueError):
+        resolve.resolve_edges(edges, registry.limit(0), path, "2026-08", now)
+    for k in range(3):  # first everything, then nothing, then the unresolved again
+        done = resolve.resolve_edges(edges, registry, path, f"2026-{k}", now, again_unresolved=k == 2, chunks=3 - k).collect()
+        assert {(r.grant_id, r.match_tier, r.recipient_ein_resolved, r.recipient_bmf_name) for r in done} == {("g1", "B", "100000001", "Harbor Arts Fdn"), ("g2", "U", None, None), ("g3", "B", "100000001", "Harbor Arts Fdn")}
+        assert {(r.name_raw, r.bmf_vintage) for r in resolve.stored(spark, path).collect()} == {("Harbor", "2026-0"), ("?", "2026-2" if k == 2 else "2026-0")}
+
+
+def test_filing_changes(spark):
+    index = spark.createDataFrame([("1", "a", "p", "990", "2020", 2001), ("2", "a", "p", "990", "2021", 2001), ("4", "b", "p", "990", "2021", 2002), ("5", "c", "p", "990", None, 2003)], "object_id string, ein string, tax_period string, return_type string, sub_date string, filing_year int")
+    processed = spark.createDataFrame([("1", 2001), ("3", 2002), ("5", 2003)], "object_id string, filing_year int")
+    changes = relational.filing_changes(processed, index)
+    assert {(r.object_id, r.change) for r in changes.collect()} == {("1", "superseded"), ("2", "added"), ("3", "removed"), ("4", "added"), ("5", "kept")}
+    assert {r.filing_year for r in relational.version_delta(changes).filter("touched").collect()} == {2001, 2002}
+
+
+def test_commands(spark, tmp_path, capsys):
+    root = f"file://{tmp_path}/work"
+    row = "<RecipientBusinessName><BusinessNameLine1Txt>{}</BusinessNameLine1Txt></RecipientBusinessName><RecipientUSAddress><CityNm>Bay</CityNm><StateAbbreviationCd>CA</StateAbbreviationCd><ZIPCd>94000</ZIPCd></RecipientUSAddress><Amt>40</Amt>"
+    with zipfile.ZipFile(tmp_path / "2023_A.zip", "w") as z:
+        for k, name in enumerate(("Harbor Arts Fdn", "Nobody Knows")):
+            z.writestr(f"x/{k}_public.xml", FILING.format(PAID.format(row.format(name)) + "<TotalGrantOrContriPdDurYrAmt>40</TotalGrantOrContriPdDurYrAmt>"))
+    (tmp_path / "index.csv").write_text("EIN,TAX_PERIOD,SUB_DATE,TAXPAYER_NAME,RETURN_TYPE,OBJECT_ID\n" + "".join(f"{k},202212,2023-01-0{k + 1},x,990PF,{k}\n" for k in range(2)))
+    (tmp_path / "eo.csv").write_text("EIN,NAME,STREET,CITY,STATE,ZIP,GROUP,SUBSECTION,AFFILIATION,FOUNDATION,STATUS,NTEE_CD,SORT_NAME\n100000001,Harbor Arts Fdn,1 Main,Bay,CA,94000-1,0,03,3,15,01,A20,\nx,bad,,,,,,,,,,,\n")
+    (tmp_path / "labels.csv").write_text(",".join(tables.LABEL_COLUMNS) + "\nHarbor Arts Fdn,Bay,CA,94000,,100000001,me,2026-08-01,site,\n")
+    call = lambda *args: commands.run(spark, commands.arguments().parse_args(["--root", root, *args]))
+    assert call("index", str(tmp_path / "index.csv"), "--year", "2023") == call("index", str(tmp_path / "index.csv"), "--year", "2023") == 0
+    assert call("filings", f"file://{tmp_path}", "--years", "2023") == 0
+    assert call("edges", "--version", "2026.08.1") == 0
+    assert call("resolve") == 1  # no registry
+    assert call("registry", str(tmp_path / "eo.csv"), "--vintage", "2026-08") == 0
+    known = spark.read.parquet(f"{root}/registry").first()
+    assert (known.street, known.group_exemption, known.affiliation, known.foundation, known.zip, known.zip5) == ("1 Main", "0", "3", "15", "94000-1", "94000")
+    assert call("resolve") == call("resolve", "--again-unresolved", "--chunks", "2") == 0
+    tiers = {r.recipient_name_raw: r.match_tier for r in spark.read.parquet(f"{root}/edges/grants").collect()}
+    assert tiers == {"Harbor Arts Fdn": "B", "Nobody Knows": "U"}
+    assert call("evaluate", str(tmp_path / "labels.csv")) == quality.EXIT_MATCHING  # too few pairs
+    assert call("sample", "--n", "2") == call("publish", "2026.08.1") == call("info") == 0
+    out = capsys.readouterr().out
+    assert '"rows": 2' in out and "1 organizations, 1 rows" in out
+
+
 def test_stream_supersedes(spark, tmp_path):
     rows = [("1", "a", "p", "990", "2023"), ("2", "a", "p", "990", "2024")]
     for k, batch in enumerate((rows[1:], rows[:1])):
@@ -160,6 +266,24 @@ def test_stream_supersedes(spark, tmp_path):
         assert [r.object_id for r in postings.state(spark, str(tmp_path / "state")).collect()] == ["2"], k
 
 
+def test_bound_of_similarity_loses_nothing(spark):
+    r = random.Random(7)
+    words = ["".join(r.choice("ABC ") for _ in range(r.randint(0, 14))) for _ in range(400)]
+    rows = spark.createDataFrame([(r.choice(words), r.choice(words)) for _ in range(4000)], "a string, b string")
+    got = rows.select("a", "b", jaro_winkler(F.col("a"), F.col("b")).alias("sim"), resolve.may_reach(F.col("a"), F.col("b"), 0.9).alias("may")).collect()
+    assert all(x.may for x in got if x.sim >= 0.9) and sum(x.sim >= 0.9 for x in got) > 20 and sum(not x.may for x in got) > 1000
+
+
+def test_field_map(spark, tmp_path):
+    (tmp_path / "pf.csv").write_text("variable_name_new,variable_name,xpath,versions,current_version\nA,OLD,/g/Amount,2019v1;2020v1,\nA,OLD,/g/Amt,2021v1,T\n,B,/x/Name,,\n,B,/x/Nm,,\n,B,/x/Nm,,\n")
+    (tmp_path / "main.csv").write_text("variable_name,xpath,versions,current_version\nB,/y/Nm,,\nC,/z,,\nD,,,T\n")
+    entries = tables.field_entries(spark, str(tmp_path / "pf.csv"), str(tmp_path / "main.csv"))
+    assert {(r.variable, r.xpath): r.versions for r in entries.collect()}["A", "/g/Amount"] == ["2019v1", "2020v1"]
+    found = tables.field_map(entries)
+    assert found["A"] == ["/g/Amt"] and found["OLD"] == ["/g/Amt"] and found["C"] == ["/z"] and found["B"][-1] == "/x/Name" and set(found["B"]) == {"/x/Nm", "/y/Nm", "/x/Name"}
+    assert fil.unresolved_fields(found | {"E": []}) == ["E"]
+
+
 def test_search_and_numbers(spark):
     e = spark.createDataFrame([("000000001", "funder", "Hill House"), ("000000001", "recipient", "Hill House"), ("000000002", "recipient", "House on the Hill")], "ein string, kind string, name string")
     index = profiles.search_index(e)

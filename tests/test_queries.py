@@ -26,7 +26,7 @@ def duck(data):
 def test_query(spark, data, duck, name):
     df = QUERIES[name](spark, data)
     rows = df.collect()
-    assert rows or name == "s14_s18_registry_view"
+    assert rows
     if name in ORACLES:
         found = duck.execute(ORACLES[name])
         columns = [d[0] for d in found.description]
@@ -40,14 +40,3 @@ def test_entry_points(spark):
 
     assert set(e.oracle_sql()) <= set(e.queries())
     assert e.entry(spark).count() > 0
-
-
-def test_archives_hold_every_member(spark, data):
-    from almoner.plans import storage
-    from almoner.plans.analogs import analog
-
-    members = {(r.object_id, r.zip_file) for r in analog(spark, data, "members").collect()}
-    assert len(members) > 300
-    assert sorted((r.object_id, r.zip_file) for r in storage.all_members(spark, data).collect()) == sorted(members)
-    assert sorted(r.object_id for r in storage.all_wanted(spark, data).collect()) == sorted(i for i, _ in members if not i.startswith("X"))
-    assert sorted(r.object_id for r in storage.all_from_source(spark, data).collect()) == sorted(i for i, _ in members)
