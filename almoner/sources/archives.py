@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-SUFFIX = "_public.xml"
+from almoner.sources.inflate64 import inflate64
+
+SUFFIX, DEFLATE64 = "_public.xml", 9
 LISTED = "object_id string, zip_file string, member string, bytes long"
 #: Bytes of documents that are handed over at once.
 BATCH_BYTES = 4 << 20
@@ -28,11 +30,26 @@ def filings_in(archive: zipfile.ZipFile) -> Iterator[zipfile.ZipInfo]:
     return (i for i in archive.infolist() if i.filename.lower().endswith(SUFFIX))
 
 
+def raw_member(archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> bytes:
+    """A member's bytes as they stand, by its own header."""
+    archive.fp.seek(info.header_offset)
+    head = archive.fp.read(30)
+    if head[:4] != b"PK\x03\x04":
+        raise zipfile.BadZipFile("a member's header is broken")
+    archive.fp.seek(info.header_offset + 30 + int.from_bytes(head[26:28], "little") + int.from_bytes(head[28:30], "little"))
+    return archive.fp.read(info.compress_size)
+
+
 def read_member(archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> tuple[str | None, str | None]:
-    """A member's text, or why it can't be read (a method without a decoder, a broken header, a wrong size)."""
+    """A member's text, or why it can't be read (a method without a decoder, a broken header, a wrong size or sum)."""
     try:
-        body = archive.read(info)
-    except (NotImplementedError, zipfile.BadZipFile, zlib.error, RuntimeError, EOFError, OSError) as e:
+        if info.compress_type == DEFLATE64:
+            body = inflate64(raw_member(archive, info), info.file_size)
+            if zlib.crc32(body) != info.CRC:
+                raise zipfile.BadZipFile("bad CRC-32")
+        else:
+            body = archive.read(info)
+    except (ValueError, NotImplementedError, zipfile.BadZipFile, zlib.error, RuntimeError, EOFError, OSError) as e:
         return None, f"{info.filename}: {e} (compression method {info.compress_type})"
     if len(body) != info.file_size:
         return None, f"{info.filename}: {len(body)} bytes inflated, {info.file_size} stated"

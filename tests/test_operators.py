@@ -1,7 +1,9 @@
 """Resolution, filings, quality, sources, sinks and streams on small inputs of our own."""
 
 import random
+import struct
 import zipfile
+import zlib
 from datetime import datetime
 from pathlib import Path
 
@@ -12,7 +14,7 @@ from almoner import __main__ as commands
 from almoner.functions.similarity import jaro_winkler
 from almoner.operators import filings as fil
 from almoner.operators import profiles, publish, quality, relational, resolve
-from almoner.sources import archives, tables
+from almoner.sources import archives, inflate64, tables
 from almoner.streaming import postings
 
 REGISTRY = "ein string, name string, name_normalized string, sort_name_normalized string, city string, state string, zip5 string, ntee_code string, subsection_code string, first_token string"
@@ -47,20 +49,32 @@ def test_ladder(spark, registry):
         ("", "d", None, None, None, None, "organization"),
         ("HARBOR ARTS FDN", "w", None, "NY", "94000", None, "organization"),
     ]
-    got = {(r.name_normalized, r.name_raw, r.city): (r.tier, r.confidence, r.method) for r in resolve.resolve(spark.createDataFrame(t, TUPLES), registry).collect()}
+    got = {
+        (r.name_normalized, r.name_raw, r.city): (r.tier, r.confidence, r.method) for r in resolve.resolve(
+            spark.createDataFrame(t, TUPLES), registry
+        ).collect()
+    }
     assert list(got[tuple(x[:3])] for x in t) == [
         ("B", 0.94, "name_zip5_state_exact"), ("C", 0.77, "name_state_exact"), ("D", 0.7, "name_exact_no_state"), ("C", 0.81, "name_jw_zip5"),
         ("U", None, "ambiguous_2_candidates"), ("C", 0.85, "name_state_exact"), ("C", 0.8, "name_state_exact"), ("B", 0.9, "name_zip5_state_exact"),
-        ("A", 1.0, "reported_ein_in_bmf"), ("A", 0.95, "reported_ein_not_in_bmf"), ("U", None, "recipient_type_individual"), ("U", None, "no_candidates"), ("U", None, "no_candidate_above_threshold"),
+        ("A", 1.0, "reported_ein_in_bmf"), ("A", 0.95, "reported_ein_not_in_bmf"), ("U", None, "recipient_type_individual"),
+        ("U", None, "no_candidates"), ("U", None, "no_candidate_above_threshold"),
     ]
 
 
 def test_corrections_and_pending(spark, registry):
-    t = spark.createDataFrame([("TWIN OAKS", "t", None, "TX", None, None, "organization"), ("NOBODY", "n", None, None, None, None, "organization")], TUPLES)
+    t = spark.createDataFrame(
+        [("TWIN OAKS", "t", None, "TX", None, None, "organization"), ("NOBODY", "n", None, None, None, None, "organization")],
+        TUPLES
+    )
     fix = spark.createDataFrame([("TWIN OAKS", "TX", None, "100000003")], "recipient_name_normalized string, state string, zip5 string, ein string")
     answers = resolve.resolve(t, registry, corrections=fix)
-    assert {(r.name_normalized, r.tier, r.ein, r.bmf_name) for r in answers.collect()} == {("TWIN OAKS", "A", "100000003", None), ("NOBODY", "U", None, None)}
-    again = fix.unionByName(spark.createDataFrame([("TWIN OAKS", "TX", None, "100000002")], fix.schema)).withColumn("row", F.col("ein").cast("int") * -1)
+    assert {
+        (r.name_normalized, r.tier, r.ein, r.bmf_name) for r in answers.collect()
+    } == {("TWIN OAKS", "A", "100000003", None), ("NOBODY", "U", None, None)}
+    again = fix.unionByName(
+        spark.createDataFrame([("TWIN OAKS", "TX", None, "100000002")], fix.schema)
+    ).withColumn("row", F.col("ein").cast("int") * -1)
     last = resolve.resolve(t, registry, corrections=again).filter("tier = 'A'").first()  # the last row counts
     assert last.ein == "100000002"
     assert resolve.pending(t, answers).count() == 0
@@ -75,13 +89,24 @@ PAID = "<GrantOrContributionPdDurYrGrp>{}</GrantOrContributionPdDurYrGrp>"
 
 
 def test_filings(spark):
-    body = PAID.format("<RecipientBusinessName><BusinessNameLine1Txt>Hill</BusinessNameLine1Txt></RecipientBusinessName><RecipientUSAddress><CityNm>A</CityNm></RecipientUSAddress><Amt>40</Amt>")
-    body += PAID.format("<RecipientPersonNm>Ann Example</RecipientPersonNm><RecipientForeignAddress><CountryCd>FR</CountryCd></RecipientForeignAddress><Amt>x</Amt>")
+    body = PAID.format(
+        "<RecipientBusinessName><BusinessNameLine1Txt>Hill</BusinessNameLine1Txt></RecipientBusinessName><RecipientUSAddress><CityNm>A</CityNm></RecipientUSAddress><Amt>40</Amt>"
+    )
+    body += PAID.format(
+        "<RecipientPersonNm>Ann Example</RecipientPersonNm><RecipientForeignAddress><CountryCd>FR</CountryCd></RecipientForeignAddress><Amt>x</Amt>"
+    )
     body += PAID.format("<RecipientPersonNm>Community Food Pantry</RecipientPersonNm><Amt>1</Amt>")
     body += "<GrantOrContriApprvForFutGrp><RecipientPersonNm>VARIOUS</RecipientPersonNm><Amt>9</Amt></GrantOrContriApprvForFutGrp><TotalGrantOrContriPdDurYrAmt>41</TotalGrantOrContriPdDurYrAmt>"
-    docs = [("1", FILING.format(body)), ("2", "<not xml"), ("3", "<html></html>"), ("4", FILING.format("").replace("990PF", "990EZ", 1)), ("5", FILING.format(body).replace("<", "<e:").replace("<e:/", "</e:").replace("<e:?", "<?")), ("6", None), ("7", FILING.format(""))]
+    docs = [
+        ("1", FILING.format(body)), ("2", "<not xml"), ("3", "<html></html>"),
+        ("4", FILING.format("").replace("990PF", "990EZ", 1)),
+        ("5", FILING.format(body).replace("<", "<e:").replace("<e:/", "</e:").replace("<e:?", "<?")), ("6", None),
+        ("7", FILING.format(""))
+    ]
     parsed = fil.parsed(spark.createDataFrame(docs, "object_id string, xml string"))
-    assert {r.object_id: r.error for r in parsed.filter("error IS NOT NULL").collect()} == {"2": fil.MALFORMED, "3": fil.NOT_A_RETURN, "6": fil.MALFORMED}
+    assert {
+        r.object_id: r.error for r in parsed.filter("error IS NOT NULL").collect()
+    } == {"2": fil.MALFORMED, "3": fil.NOT_A_RETURN, "6": fil.MALFORMED}
     rows = {(r.object_id, r.group, r.ordinal): r for r in fil.grant_rows(parsed).collect()}
     assert len(rows) == 8 and {k[0] for k in rows} == {"1", "5"}
     of = [rows["1", g, i] for g, i in (("pf_paid", 0), ("pf_paid", 1), ("pf_paid", 2), ("pf_future", 0))]
@@ -99,8 +124,10 @@ def test_filings(spark):
 
 def test_odd_documents(spark):
     odd = {
-        "blanks": " \n" * 50_000 + FILING.format("").partition("?>")[2], "comments": "<?xml version='1.0'?>" + "<!-- x -->" * 20_000 + FILING.format("").partition("?>")[2],
-        "prefixed": "<a:Return xmlns:a='urn:x'><a:ReturnHeader><a:ReturnTypeCd>990</a:ReturnTypeCd></a:ReturnHeader></a:Return>", "nothing": "", "text": "<" * 30_000,
+        "blanks": " \n" * 50_000 + FILING.format("").partition("?>")[2],
+        "comments": "<?xml version='1.0'?>" + "<!-- x -->" * 20_000 + FILING.format("").partition("?>")[2],
+        "prefixed": "<a:Return xmlns:a='urn:x'><a:ReturnHeader><a:ReturnTypeCd>990</a:ReturnTypeCd></a:ReturnHeader></a:Return>",
+        "nothing": "", "text": "<" * 30_000,
     }
     got = {r.object_id: r.error for r in fil.parsed(spark.createDataFrame(list(odd.items()), "object_id string, xml string")).collect()}
     assert got["blanks"] is None and got["comments"] is None and got["prefixed"] is None
@@ -109,22 +136,35 @@ def test_odd_documents(spark):
 
 def test_one_parse(spark):
     docs = fil.filed(fil.parsed(spark.createDataFrame([("1", FILING.format(""))], "object_id string, xml string")).filter("error IS NULL"))
-    plans = [quality.pf_totals(quality.filing_sums(docs)), quality.coverage(docs, {"name": lambda r: r["recipient_name_raw"] != ""}, F.col("name")), fil.grant_rows(docs)]
+    plans = [
+        quality.pf_totals(quality.filing_sums(docs)),
+        quality.coverage(docs, {"name": lambda r: r["recipient_name_raw"] != ""}, F.col("name")), fil.grant_rows(docs)
+    ]
     for df in plans:
         assert df._jdf.queryExecution().executedPlan().toString().count("from_xml") == 1
 
 
 def test_index_files_of_two_headers(spark, tmp_path):
     (tmp_path / "a.csv").write_text("RETURN_ID,EIN,TAX_PERIOD,SUB_DATE,TAXPAYER_NAME,RETURN_TYPE,OBJECT_ID\nr1,1,202212,2023,\"a\nb\",990,7\n")
-    (tmp_path / "b.csv").write_text("\ufeffEIN,TAX_PERIOD,SUB_DATE,TAXPAYER_NAME,RETURN_TYPE,OBJECT_ID,XML_BATCH_ID\n2,202312,2024,c,990PF,8,x\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text(
+        "\ufeffEIN,TAX_PERIOD,SUB_DATE,TAXPAYER_NAME,RETURN_TYPE,OBJECT_ID,XML_BATCH_ID\n2,202312,2024,c,990PF,8,x\n",
+        encoding="utf-8"
+    )
     got = {r.object_id: r for r in tables.index(spark, str(tmp_path)).collect()}
-    assert {k: (r.ein, r.tax_period, r.taxpayer_name, r.return_id, r.xml_batch_id) for k, r in got.items()} == {"7": ("1", "202212", "a\nb", "r1", None), "8": ("2", "202312", "c", None, "x")}
+    assert {
+        k: (r.ein, r.tax_period, r.taxpayer_name, r.return_id, r.xml_batch_id) for k, r in got.items()
+    } == {"7": ("1", "202212", "a\nb", "r1", None), "8": ("2", "202312", "c", None, "x")}
     with pytest.raises(ValueError):
         tables.index(spark, str(tmp_path / "none*.csv"))
 
 
 def test_no_edge_is_lost(spark, tmp_path):
-    rows = [(f"g{k}", "1", None if k % 5 == 0 else 2000 + k % 2, k, "individual" if k % 3 == 0 else None if k % 3 == 1 else "organization", 2001 + k % 2) for k in range(50)]
+    rows = [
+        (
+            f"g{k}", "1", None if k % 5 == 0 else 2000 + k % 2, k,
+            "individual" if k % 3 == 0 else None if k % 3 == 1 else "organization", 2001 + k % 2
+        ) for k in range(50)
+    ]
     g = spark.createDataFrame(rows, "grant_id string, funder_ein string, tax_year int, amount_usd long, recipient_type string, filing_year int")
     for files in (1, 3, None):
         assert publish.write_edges(g, str(tmp_path / str(files)), files) == {"grants": 33, "grants_individuals": 17}
@@ -191,6 +231,78 @@ def test_archives(spark, tmp_path):
     assert [r.object_id for r in read.collect()] == ["2"]
 
 
+def fixed_block(symbols):
+    """A Deflate64 stream of one block with fixed codes, from literals (bytes) and (length code, its bits, distance code, its bits)."""
+    bits = []
+
+    def code(value, size):  # a code's first bit comes first
+        bits.extend(int(x) for x in format(value, f"0{size}b"))
+
+    def number(value, size):  # a number's lowest bit comes first
+        bits.extend((value >> k) & 1 for k in range(size))
+
+    def literal(v):
+        if v < 144:
+            code(0x30 + v, 8)
+        elif v < 256:
+            code(0x190 + v - 144, 9)
+        elif v < 280:
+            code(v - 256, 7)
+        else:
+            code(0xC0 + v - 280, 8)
+
+    number(1, 1)
+    number(1, 2)
+    for s in symbols:
+        if isinstance(s, int):
+            literal(s)
+        else:
+            (length, extra), (distance, more) = s
+            literal(length)
+            number(extra, inflate64.LENGTHS[length - 257][1])
+            code(distance, 5)
+            number(more, inflate64.DISTANCES[distance][1])
+    literal(256)
+    bits += [0] * (-len(bits) % 8)
+    return bytes(sum(b << k for k, b in enumerate(bits[i : i + 8])) for i in range(0, len(bits), 8))
+
+
+def test_inflate64():
+    r = random.Random(2)
+    for n in (0, 1, 50, 5000, 60_000):
+        text = "".join(r.choice("abcdefghij <>") for _ in range(n)).encode()  # no matches of 258 bytes, where the methods differ
+        for level in (0, 1, 9):
+            packed = zlib.compressobj(level, zlib.DEFLATED, -15)
+            assert inflate64.inflate64(packed.compress(text) + packed.flush(), n) == text
+    # 285: 3 and 16 bits; distance codes 30 and 31: 14 bits
+    long = fixed_block([97, 200, ((285, 65_000), (1, 0)), ((257, 0), (30, 100)), ((260, 0), (31, 5))])
+    body = bytearray(b"a\xc8") + b"a\xc8" * 32_501 + b"a"
+    for base, extra, size in ((32_769, 100, 3), (49_153, 5, 6)):
+        back = base + extra
+        body += body[-back : len(body) - back + size]
+    assert inflate64.inflate64(long, 10**6) == bytes(body)
+    for broken in (b"", long[:6], b"\x07", fixed_block([((257, 0), (3, 0))])):
+        with pytest.raises(ValueError):
+            inflate64.inflate64(broken, 10**6)
+    with pytest.raises(ValueError):
+        inflate64.inflate64(long, 100)
+
+
+def test_deflate64_members(spark, tmp_path):
+    body = f"<Return>{'x' * 40}</Return>".encode()
+    packed = zlib.compressobj(9, zlib.DEFLATED, -15)
+    stream = packed.compress(body) + packed.flush()
+    for name, crc in (("a", zlib.crc32(body)), ("b", 1)):
+        member = f"x/{name}_public.xml".encode()
+        common = struct.pack("<HHHHHIIIHH", 21, 0, 9, 0, 0, crc, len(stream), len(body), len(member), 0)
+        local = b"PK\x03\x04" + common + member + stream
+        central = b"PK\x01\x02" + struct.pack("<H", 21) + common + struct.pack("<HHHII", 0, 0, 0, 0, 0) + member
+        end = b"PK\x05\x06" + struct.pack("<HHHHIIH", 0, 0, 1, 1, len(central), len(local), 0)
+        (tmp_path / f"{name}.zip").write_bytes(local + central + end)
+    got = {r.object_id: (r.xml, r.error) for r in archives.documents(spark, f"file://{tmp_path}").collect()}
+    assert got["a"] == (body.decode(), None) and got["b"][0] is None and "CRC" in got["b"][1]
+
+
 def test_publish(spark, tmp_path):
     from almoner.plans.analogs import edges
 
@@ -214,21 +326,37 @@ def test_publish(spark, tmp_path):
 def test_stored_answers_resume(spark, registry, tmp_path):
     columns = "grant_id string, filing_year int, recipient_name_normalized string, recipient_name_raw string, recipient_city string, recipient_state string, recipient_zip5 string, recipient_ein_reported string, recipient_type string, recipient_ein_resolved string, recipient_ein_source string, match_confidence double, match_tier string, match_method string, recipient_bmf_name string, recipient_ntee_code string, recipient_subsection_code string"
     none = (None, "unresolved", None, "U", None, None, None, None)
-    rows = [("g1", 2001, "HARBOR ARTS FDN", "Harbor", "Bay", "CA", "94000", None, "organization", *none), ("g2", 2001, None, "?", None, None, None, None, "unknown", *none), ("g3", 2002, "HARBOR ARTS FDN", "Harbor", "Bay", "CA", "94000", None, "organization", *none)]
+    rows = [
+        ("g1", 2001, "HARBOR ARTS FDN", "Harbor", "Bay", "CA", "94000", None, "organization", *none),
+        ("g2", 2001, None, "?", None, None, None, None, "unknown", *none),
+        ("g3", 2002, "HARBOR ARTS FDN", "Harbor", "Bay", "CA", "94000", None, "organization", *none)
+    ]
     edges, path, now = spark.createDataFrame(rows, columns), str(tmp_path / "answers"), datetime(2026, 8, 1)
     with pytest.raises(ValueError):
         resolve.resolve_edges(edges, registry.limit(0), path, "2026-08", now)
     for k in range(3):  # first everything, then nothing, then the unresolved again
         done = resolve.resolve_edges(edges, registry, path, f"2026-{k}", now, again_unresolved=k == 2, chunks=3 - k).collect()
-        assert {(r.grant_id, r.match_tier, r.recipient_ein_resolved, r.recipient_bmf_name) for r in done} == {("g1", "B", "100000001", "Harbor Arts Fdn"), ("g2", "U", None, None), ("g3", "B", "100000001", "Harbor Arts Fdn")}
-        assert {(r.name_raw, r.bmf_vintage) for r in resolve.stored(spark, path).collect()} == {("Harbor", "2026-0"), ("?", "2026-2" if k == 2 else "2026-0")}
+        assert {(r.grant_id, r.match_tier, r.recipient_ein_resolved, r.recipient_bmf_name) for r in done} == {
+            ("g1", "B", "100000001", "Harbor Arts Fdn"), ("g2", "U", None, None), ("g3", "B", "100000001", "Harbor Arts Fdn")
+        }
+        assert {
+            (r.name_raw, r.bmf_vintage) for r in resolve.stored(spark, path).collect()
+        } == {("Harbor", "2026-0"), ("?", "2026-2" if k == 2 else "2026-0")}
 
 
 def test_filing_changes(spark):
-    index = spark.createDataFrame([("1", "a", "p", "990", "2020", 2001), ("2", "a", "p", "990", "2021", 2001), ("4", "b", "p", "990", "2021", 2002), ("5", "c", "p", "990", None, 2003)], "object_id string, ein string, tax_period string, return_type string, sub_date string, filing_year int")
+    index = spark.createDataFrame(
+        [
+            ("1", "a", "p", "990", "2020", 2001), ("2", "a", "p", "990", "2021", 2001), ("4", "b", "p", "990", "2021", 2002),
+            ("5", "c", "p", "990", None, 2003)
+        ],
+        "object_id string, ein string, tax_period string, return_type string, sub_date string, filing_year int"
+    )
     processed = spark.createDataFrame([("1", 2001), ("3", 2002), ("5", 2003)], "object_id string, filing_year int")
     changes = relational.filing_changes(processed, index)
-    assert {(r.object_id, r.change) for r in changes.collect()} == {("1", "superseded"), ("2", "added"), ("3", "removed"), ("4", "added"), ("5", "kept")}
+    assert {(r.object_id, r.change) for r in changes.collect()} == {
+        ("1", "superseded"), ("2", "added"), ("3", "removed"), ("4", "added"), ("5", "kept")
+    }
     assert {r.filing_year for r in relational.version_delta(changes).filter("touched").collect()} == {2001, 2002}
 
 
@@ -237,9 +365,16 @@ def test_commands(spark, tmp_path, capsys):
     row = "<RecipientBusinessName><BusinessNameLine1Txt>{}</BusinessNameLine1Txt></RecipientBusinessName><RecipientUSAddress><CityNm>Bay</CityNm><StateAbbreviationCd>CA</StateAbbreviationCd><ZIPCd>94000</ZIPCd></RecipientUSAddress><Amt>40</Amt>"
     with zipfile.ZipFile(tmp_path / "2023_A.zip", "w") as z:
         for k, name in enumerate(("Harbor Arts Fdn", "Nobody Knows")):
-            z.writestr(f"x/{k}_public.xml", FILING.format(PAID.format(row.format(name)) + "<TotalGrantOrContriPdDurYrAmt>40</TotalGrantOrContriPdDurYrAmt>"))
-    (tmp_path / "index.csv").write_text("EIN,TAX_PERIOD,SUB_DATE,TAXPAYER_NAME,RETURN_TYPE,OBJECT_ID\n" + "".join(f"{k},202212,2023-01-0{k + 1},x,990PF,{k}\n" for k in range(2)))
-    (tmp_path / "eo.csv").write_text("EIN,NAME,STREET,CITY,STATE,ZIP,GROUP,SUBSECTION,AFFILIATION,FOUNDATION,STATUS,NTEE_CD,SORT_NAME\n100000001,Harbor Arts Fdn,1 Main,Bay,CA,94000-1,0,03,3,15,01,A20,\nx,bad,,,,,,,,,,,\n")
+            z.writestr(
+                f"x/{k}_public.xml",
+                FILING.format(PAID.format(row.format(name)) + "<TotalGrantOrContriPdDurYrAmt>40</TotalGrantOrContriPdDurYrAmt>")
+            )
+    (tmp_path / "index.csv").write_text(
+        "EIN,TAX_PERIOD,SUB_DATE,TAXPAYER_NAME,RETURN_TYPE,OBJECT_ID\n" + "".join(f"{k},202212,2023-01-0{k + 1},x,990PF,{k}\n" for k in range(2))
+    )
+    (tmp_path / "eo.csv").write_text(
+        "EIN,NAME,STREET,CITY,STATE,ZIP,GROUP,SUBSECTION,AFFILIATION,FOUNDATION,STATUS,NTEE_CD,SORT_NAME\n100000001,Harbor Arts Fdn,1 Main,Bay,CA,94000-1,0,03,3,15,01,A20,\nx,bad,,,,,,,,,,,\n"
+    )
     (tmp_path / "labels.csv").write_text(",".join(tables.LABEL_COLUMNS) + "\nHarbor Arts Fdn,Bay,CA,94000,,100000001,me,2026-08-01,site,\n")
     call = lambda *args: commands.run(spark, commands.arguments().parse_args(["--root", root, *args]))
     assert call("index", str(tmp_path / "index.csv"), "--year", "2023") == call("index", str(tmp_path / "index.csv"), "--year", "2023") == 0
@@ -248,7 +383,9 @@ def test_commands(spark, tmp_path, capsys):
     assert call("resolve") == 1  # no registry
     assert call("registry", str(tmp_path / "eo.csv"), "--vintage", "2026-08") == 0
     known = spark.read.parquet(f"{root}/registry").first()
-    assert (known.street, known.group_exemption, known.affiliation, known.foundation, known.zip, known.zip5) == ("1 Main", "0", "3", "15", "94000-1", "94000")
+    assert (
+        known.street, known.group_exemption, known.affiliation, known.foundation, known.zip, known.zip5
+    ) == ("1 Main", "0", "3", "15", "94000-1", "94000")
     assert call("resolve") == call("resolve", "--again-unresolved", "--chunks", "2") == 0
     tiers = {r.recipient_name_raw: r.match_tier for r in spark.read.parquet(f"{root}/edges/grants").collect()}
     assert tiers == {"Harbor Arts Fdn": "B", "Nobody Knows": "U"}
@@ -270,12 +407,16 @@ def test_bound_of_similarity_loses_nothing(spark):
     r = random.Random(7)
     words = ["".join(r.choice("ABC ") for _ in range(r.randint(0, 14))) for _ in range(400)]
     rows = spark.createDataFrame([(r.choice(words), r.choice(words)) for _ in range(4000)], "a string, b string")
-    got = rows.select("a", "b", jaro_winkler(F.col("a"), F.col("b")).alias("sim"), resolve.may_reach(F.col("a"), F.col("b"), 0.9).alias("may")).collect()
+    got = rows.select(
+        "a", "b", jaro_winkler(F.col("a"), F.col("b")).alias("sim"), resolve.may_reach(F.col("a"), F.col("b"), 0.9).alias("may")
+    ).collect()
     assert all(x.may for x in got if x.sim >= 0.9) and sum(x.sim >= 0.9 for x in got) > 20 and sum(not x.may for x in got) > 1000
 
 
 def test_field_map(spark, tmp_path):
-    (tmp_path / "pf.csv").write_text("variable_name_new,variable_name,xpath,versions,current_version\nA,OLD,/g/Amount,2019v1;2020v1,\nA,OLD,/g/Amt,2021v1,T\n,B,/x/Name,,\n,B,/x/Nm,,\n,B,/x/Nm,,\n")
+    (tmp_path / "pf.csv").write_text(
+        "variable_name_new,variable_name,xpath,versions,current_version\nA,OLD,/g/Amount,2019v1;2020v1,\nA,OLD,/g/Amt,2021v1,T\n,B,/x/Name,,\n,B,/x/Nm,,\n,B,/x/Nm,,\n"
+    )
     (tmp_path / "main.csv").write_text("variable_name,xpath,versions,current_version\nB,/y/Nm,,\nC,/z,,\nD,,,T\n")
     entries = tables.field_entries(spark, str(tmp_path / "pf.csv"), str(tmp_path / "main.csv"))
     assert {(r.variable, r.xpath): r.versions for r in entries.collect()}["A", "/g/Amount"] == ["2019v1", "2020v1"]
@@ -285,7 +426,10 @@ def test_field_map(spark, tmp_path):
 
 
 def test_search_and_numbers(spark):
-    e = spark.createDataFrame([("000000001", "funder", "Hill House"), ("000000001", "recipient", "Hill House"), ("000000002", "recipient", "House on the Hill")], "ein string, kind string, name string")
+    e = spark.createDataFrame(
+        [("000000001", "funder", "Hill House"), ("000000001", "recipient", "Hill House"), ("000000002", "recipient", "House on the Hill")],
+        "ein string, kind string, name string"
+    )
     index = profiles.search_index(e)
     assert [r.ein for r in profiles.search(index, "hill hou").collect()] == ["000000001", "000000001", "000000002"]
     assert [r.kind for r in profiles.search(index, "00-0000001").collect()] == ["funder"]
