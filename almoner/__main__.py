@@ -27,19 +27,28 @@ from almoner.sources import archives, tables
 from almoner.sources.shared import exists, get, put, replace, scratch
 
 #: What a row of a filing must have, and what is counted besides.
-FIELDS = {"amount": lambda r: r["amount_usd"].isNotNull(), "name": lambda r: r["recipient_name_raw"] != "", "purpose": lambda r: r["grant_purpose"].isNotNull(), "zip": lambda r: r["recipient_zip"].isNotNull()}
+FIELDS = {
+    "amount": lambda r: r["amount_usd"].isNotNull(), "name": lambda r: r["recipient_name_raw"] != "",
+    "purpose": lambda r: r["grant_purpose"].isNotNull(), "zip": lambda r: r["recipient_zip"].isNotNull()
+}
 
 
 def arguments() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="almoner", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("--root", required=True)
     c = p.add_subparsers(dest="command", required=True)
-    add = lambda name, *args: [x := c.add_parser(name), *[x.add_argument(*([a] if isinstance(a, str) else a[0]), **({} if isinstance(a, str) else a[1])) for a in args]]
+    add = lambda name, *args: [
+        x := c.add_parser(name),
+        *[x.add_argument(*([a] if isinstance(a, str) else a[0]), **({} if isinstance(a, str) else a[1])) for a in args]
+    ]
     add("index", (["files"], {"nargs": "+"}), (["--year"], {"type": int, "required": True}))
     add("filings", "archives", (["--years"], {"default": None}))
     add("edges", (["--version"], {"required": True}))
     add("registry", (["files"], {"nargs": "+"}), (["--vintage"], {"required": True}))
-    add("resolve", (["--again-unresolved"], {"action": "store_true"}), (["--aliases"], {"default": ""}), (["--corrections"], {"default": ""}), (["--chunks"], {"type": int, "default": 1}))
+    add(
+        "resolve", (["--again-unresolved"], {"action": "store_true"}), (["--aliases"], {"default": ""}),
+        (["--corrections"], {"default": ""}), (["--chunks"], {"type": int, "default": 1})
+    )
     add("evaluate", "labels")
     add("sample", (["--n"], {"type": int, "default": 1000}), (["--seed"], {"default": "0"}))
     add("publish", "version")
@@ -64,7 +73,12 @@ def answered(spark: SparkSession, root: str, labels: DataFrame) -> DataFrame:
     from almoner.functions.names import normalize_name
 
     pairs = labels.select("*", normalize_name(F.col("recipient_name_raw")).alias("name_normalized"), F.lit("organization").alias("recipient_type"))
-    pairs = pairs.withColumnsRenamed({"recipient_name_raw": "name_raw", "recipient_city": "city", "recipient_state": "state", "recipient_zip5": "zip5", "recipient_ein_reported": "ein_reported"})
+    pairs = pairs.withColumnsRenamed(
+        {
+            "recipient_name_raw": "name_raw", "recipient_city": "city", "recipient_state": "state", "recipient_zip5": "zip5",
+            "recipient_ein_reported": "ein_reported"
+        }
+    )
     answers = resolve.resolve(pairs.select(*resolve.TUPLE).distinct(), spark.read.parquet(f"{root}/registry"))
     a = answers.select(*[F.col(c).alias(f"_{c}") for c in resolve.TUPLE], "ein", "tier")
     same = F.lit(True)
@@ -79,7 +93,10 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
     if a.command == "index":
         rows = tables.index(spark, a.files).withColumn("filing_year", F.lit(a.year))
         old = read("index").filter(F.col("filing_year") != a.year) if exists(spark, f"{root}/index") else rows.limit(0)
-        print(renewed(old.unionByName(rows, allowMissingColumns=True), f"{root}/index").filter(F.col("filing_year") == a.year).count(), "filings listed")
+        print(
+            renewed(old.unionByName(rows, allowMissingColumns=True), f"{root}/index").filter(F.col("filing_year") == a.year).count(),
+            "filings listed"
+        )
     elif a.command == "filings":
         wanted = relational.superseded(read("index")).filter("rank = 1").filter(F.col("return_type").isin("990", "990O", "990PF", "990PR"))
         if a.years:
@@ -95,7 +112,12 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
         if not quality.coverage_passes(quality.headline(cov).first()[0]):
             return quality.EXIT_COVERAGE
         years = totals.join(done.select("object_id", "filing_year"), "object_id").groupBy("filing_year")
-        good = years.agg(F.try_divide(100.0 * F.count_if(F.col("status") == "within_tolerance"), F.count_if(F.col("status").isin("within_tolerance", "over_tolerance"))).alias("share"))
+        good = years.agg(
+            F.try_divide(
+                100.0 * F.count_if(F.col("status") == "within_tolerance"),
+                F.count_if(F.col("status").isin("within_tolerance", "over_tolerance"))
+            ).alias("share")
+        )
         return 0 if quality.totals_pass([r.share for r in good.collect()]) else quality.EXIT_TOTALS  # a row for each year
     elif a.command == "edges":
         counts = publish.write_edges(filings.edges_of(read("filings"), read("index"), a.version), f"{root}/edges")
@@ -113,7 +135,10 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
         if not vintage:
             print("load a registry first", file=sys.stderr)
             return 1
-        done = resolve.resolve_edges(edges, read("registry"), f"{root}/answers", vintage, datetime.now(), aliases=aliases, corrections=fixes, again_unresolved=a.again_unresolved, chunks=a.chunks)
+        done = resolve.resolve_edges(
+            edges, read("registry"), f"{root}/answers", vintage, datetime.now(), aliases=aliases, corrections=fixes,
+            again_unresolved=a.again_unresolved, chunks=a.chunks
+        )
         print(publish.rewrite_years(spark, done, f"{root}/edges/grants", scratch(spark)), "rows rewritten")
     elif a.command == "evaluate":
         pairs = answered(spark, root, tables.labelled_pairs(spark, a.labels))
@@ -124,7 +149,10 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
     elif a.command == "sample":
         rows = resolve.stored(spark, f"{root}/answers").filter("recipient_type = 'organization' AND name_raw IS NOT NULL")
         key = F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in resolve.TUPLE])
-        publish.report(relational.stratified(rows, "tier", key, a.n, a.seed).drop("resolved_at"), f"{root}/reports/to-label", [F.col("tier"), F.col("place")])
+        publish.report(
+            relational.stratified(rows, "tier", key, a.n, a.seed).drop("resolved_at"), f"{root}/reports/to-label",
+            [F.col("tier"), F.col("place")]
+        )
     elif a.command == "publish":
         edges = spark.read.option("basePath", f"{root}/edges/grants").parquet(f"{root}/edges/grants").withColumn("dataset_version", F.lit(a.version))
         out = publish.stage(edges, f"{root}/published", a.version, files=None)

@@ -120,4 +120,7 @@ def phonetic_key(name: pa.Array) -> pa.Array:
 def best_similarity(name: Column, sort_name: Column, alias: Column, candidate: Column) -> Column:
     """The greatest of the similarities; missing forms count as 0."""
     zero = F.lit(0.0)
-    return F.greatest(jaro_winkler(candidate, name), F.coalesce(jaro_winkler(sort_name, name), zero), F.coalesce(jaro_winkler(candidate, alias), zero))
+    return F.greatest(
+        jaro_winkler(candidate, name), F.coalesce(jaro_winkler(sort_name, name), zero),
+        F.coalesce(jaro_winkler(candidate, alias), zero)
+    )

@@ -61,7 +61,10 @@ TABLE_FIELDS = {
     "purpose": ["PurposeOfGrantTxt", "PurposeOfGrant"],
 }
 FIELDS = {"pf_paid": PF_FIELDS, "pf_future": PF_FIELDS, "sched_i": TABLE_FIELDS}
-US_ADDRESS = {"pf_paid": ["RecipientUSAddress", "RecipientAddressUS"], "pf_future": ["RecipientUSAddress", "RecipientAddressUS"], "sched_i": ["USAddress"]}
+US_ADDRESS = {
+    "pf_paid": ["RecipientUSAddress", "RecipientAddressUS"], "pf_future": ["RecipientUSAddress", "RecipientAddressUS"],
+    "sched_i": ["USAddress"]
+}
 RAW = sorted({f for x in FIELDS.values() for f in x})
 MODERN_ENDINGS = ("Txt", "Amt", "Nm", "Cd", "Ind", "Dt", "Cnt")
 
@@ -151,12 +154,17 @@ def filed(docs: DataFrame) -> DataFrame:
     d = F.col("_doc")
     h = {k: first_of(d, p) for k, p in HEADER.items()}
     kind = h["return_type"]
-    form_error = F.when(F.col("error").isNull() & ~F.coalesce(kind.isin("990PF", "990"), F.lit(False)), F.concat(F.lit(OTHER_FORM), F.coalesce(kind, F.lit("none"))))
+    form_error = F.when(
+        F.col("error").isNull() & ~F.coalesce(kind.isin("990PF", "990"), F.lit(False)),
+        F.concat(F.lit(OTHER_FORM), F.coalesce(kind, F.lit("none")))
+    )
     totals = {k: first_of(d, p) for k, p in TOTALS.items()}
     keep = [c for c in docs.columns if c not in ("_doc", "error", "xml")]
     return docs.select(
-        *keep, F.coalesce(d["_returnVersion"], F.lit("")).alias("return_version"), kind.alias("return_type"), padded_ein(h["ein"]).alias("funder_ein"),
-        F.concat_ws(" ", h["name1"], h["name2"]).alias("funder_name"), h["state"].alias("funder_state"), iso_date(h["period_end"]).alias("tax_period_end"),
+        *keep, F.coalesce(d["_returnVersion"], F.lit("")).alias("return_version"), kind.alias("return_type"),
+        padded_ein(h["ein"]).alias("funder_ein"),
+        F.concat_ws(" ", h["name1"], h["name2"]).alias("funder_name"), h["state"].alias("funder_state"),
+        iso_date(h["period_end"]).alias("tax_period_end"),
         *[amount(v).alias(k) for k, v in totals.items()],
         F.filter(F.array(F.col("error"), form_error, *[amount_error(v, k) for k, v in totals.items()]), lambda x: x.isNotNull()).alias("errors"),
         _rows(d).alias("rows"),
@@ -179,7 +187,10 @@ def _rows(d: Column) -> Column:
             us = F.lit(False)
             for name in US_ADDRESS[group]:
                 us = us | g[name].isNotNull()
-            return F.struct(F.lit(group).alias("group"), i.alias("ordinal"), us.alias("us"), *[(first_of(g, fields[f]) if f in fields else F.lit(None).cast("string")).alias(f) for f in RAW])
+            return F.struct(
+                F.lit(group).alias("group"), i.alias("ordinal"), us.alias("us"),
+                *[(first_of(g, fields[f]) if f in fields else F.lit(None).cast("string")).alias(f) for f in RAW]
+            )
 
         wanted = kind == ("990" if group == "sched_i" else "990PF")
         # a filing without the group has no rows
@@ -205,8 +216,10 @@ def as_filed(r: Column) -> dict[str, Column]:
     business = F.nullif(F.concat_ws(" ", r["name1"], r["name2"]), F.lit(""))
     name = F.coalesce(business, r["person"])
     return {
-        "amount_type": F.when(r["group"] == "pf_future", "approved_future").otherwise("paid"), "amount_usd": amount(r["amount"]), "noncash_amount_usd": amount(r["noncash"]),
-        "grant_purpose": r["purpose"], "recipient_name_raw": F.coalesce(name, F.lit("")), "recipient_ein_reported": F.when(F.length(F.regexp_replace(r["ein"], r"\D", "")) == 9, F.regexp_replace(r["ein"], r"\D", "")),
+        "amount_type": F.when(r["group"] == "pf_future", "approved_future").otherwise("paid"), "amount_usd": amount(r["amount"]),
+        "noncash_amount_usd": amount(r["noncash"]),
+        "grant_purpose": r["purpose"], "recipient_name_raw": F.coalesce(name, F.lit("")),
+        "recipient_ein_reported": F.when(F.length(F.regexp_replace(r["ein"], r"\D", "")) == 9, F.regexp_replace(r["ein"], r"\D", "")),
         "recipient_address_line1": r["line1"], "recipient_city": r["city"], "recipient_state": r["state"], "recipient_zip": r["zip"],
         "recipient_country": F.when(r["us"], "US").otherwise(r["country"]), "recipient_type": recipient_type(business, r["person"], r["line1"]),
         "is_placeholder": F.coalesce(name.rlike(PLACEHOLDER), F.lit(False)) | F.coalesce(r["line1"].rlike(PLACEHOLDER), F.lit(False)),
@@ -221,7 +234,10 @@ def grant_rows(filings: DataFrame) -> DataFrame:
     rows = filings.select(*keep, F.explode("rows").alias("_r"))
     r = F.col("_r")
     odd_ein = r["ein"].isNotNull() & (F.length(F.regexp_replace(r["ein"], r"\D", "")) != 9)
-    errors = F.array(amount_error(r["amount"], "amount"), amount_error(r["noncash"], "noncash"), F.when(odd_ein, F.concat(F.lit("recipient EIN is not nine digits: "), r["ein"])))
+    errors = F.array(
+        amount_error(r["amount"], "amount"), amount_error(r["noncash"], "noncash"),
+        F.when(odd_ein, F.concat(F.lit("recipient EIN is not nine digits: "), r["ein"]))
+    )
     return rows.select(
         *keep, r["group"].alias("group"), r["ordinal"].alias("ordinal"), grant_id(F.col("object_id"), r["group"], r["ordinal"]).alias("grant_id"),
         *[v.alias(k) for k, v in as_filed(r).items()], F.filter(errors, lambda x: x.isNotNull()).alias("errors"),
@@ -230,29 +246,42 @@ def grant_rows(filings: DataFrame) -> DataFrame:
 
 #: The published columns, in order.
 GRANTS = (
-    "grant_id", "funder_ein", "funder_name", "funder_state", "funder_form_type", "object_id", "tax_year", "tax_period_end", "filing_submission_date", "filing_year",
-    "return_version", "amount_usd", "noncash_amount_usd", "amount_type", "grant_purpose", "recipient_name_raw", "recipient_name_normalized", "recipient_ein_reported",
-    "recipient_ein_resolved", "recipient_ein_source", "match_confidence", "match_tier", "match_method", "recipient_address_line1", "recipient_city", "recipient_state",
-    "recipient_zip", "recipient_zip5", "recipient_country", "recipient_bmf_name", "recipient_ntee_code", "recipient_subsection_code", "recipient_type",
+    "grant_id", "funder_ein", "funder_name", "funder_state", "funder_form_type", "object_id", "tax_year", "tax_period_end",
+    "filing_submission_date", "filing_year",
+    "return_version", "amount_usd", "noncash_amount_usd", "amount_type", "grant_purpose", "recipient_name_raw",
+    "recipient_name_normalized", "recipient_ein_reported",
+    "recipient_ein_resolved", "recipient_ein_source", "match_confidence", "match_tier", "match_method", "recipient_address_line1",
+    "recipient_city", "recipient_state",
+    "recipient_zip", "recipient_zip5", "recipient_country", "recipient_bmf_name", "recipient_ntee_code",
+    "recipient_subsection_code", "recipient_type",
     "recipient_relationship", "recipient_foundation_status", "concordance_version", "dataset_version", "ingested_at",
 )
 
 
-def grants(filings: DataFrame, index: DataFrame, dataset_version: str, concordance_version: str = "own-paths-1", zero_unparsed: bool = False) -> DataFrame:
+def grants(
+    filings: DataFrame, index: DataFrame, dataset_version: str, concordance_version: str = "own-paths-1",
+    zero_unparsed: bool = False
+) -> DataFrame:
     """The edge list. filings: object_id, filing_year, xml; index: object_id, sub_date. An amount that can't be read is null
     (0 with zero_unparsed)."""
     return edges_of(filed(parsed(filings)), index, dataset_version, concordance_version, zero_unparsed)
 
 
-def edges_of(filings: DataFrame, index: DataFrame, dataset_version: str, concordance_version: str = "own-paths-1", zero_unparsed: bool = False) -> DataFrame:
+def edges_of(
+    filings: DataFrame, index: DataFrame, dataset_version: str, concordance_version: str = "own-paths-1",
+    zero_unparsed: bool = False
+) -> DataFrame:
     """The same from filed() documents."""
     subs = index.select("object_id", submission_date(F.col("sub_date")).alias("filing_submission_date"))
     g = grant_rows(filings).join(subs, "object_id", "left").dropDuplicates(["grant_id"])
     null = F.lit(None).cast("string")
     g = g.withColumns({
-        "funder_form_type": F.col("return_type"), "tax_year": F.year("tax_period_end"), "recipient_name_normalized": normalize_name(F.col("recipient_name_raw")), "recipient_zip5": zip5(F.col("recipient_zip")),
-        "recipient_ein_resolved": null, "recipient_ein_source": F.lit("unresolved"), "match_confidence": F.lit(None).cast("double"), "match_tier": F.lit("U"), "match_method": null,
-        "recipient_bmf_name": null, "recipient_ntee_code": null, "recipient_subsection_code": null, "concordance_version": F.lit(concordance_version), "dataset_version": F.lit(dataset_version),
+        "funder_form_type": F.col("return_type"), "tax_year": F.year("tax_period_end"),
+        "recipient_name_normalized": normalize_name(F.col("recipient_name_raw")), "recipient_zip5": zip5(F.col("recipient_zip")),
+        "recipient_ein_resolved": null, "recipient_ein_source": F.lit("unresolved"),
+        "match_confidence": F.lit(None).cast("double"), "match_tier": F.lit("U"), "match_method": null,
+        "recipient_bmf_name": null, "recipient_ntee_code": null, "recipient_subsection_code": null,
+        "concordance_version": F.lit(concordance_version), "dataset_version": F.lit(dataset_version),
         "ingested_at": F.current_timestamp(), "amount_usd": F.coalesce("amount_usd", F.lit(0)) if zero_unparsed else F.col("amount_usd"),
     })
     return g.select(*GRANTS)
@@ -285,7 +314,9 @@ def from_files(spark: SparkSession, path: str) -> DataFrame:
 
 def consumed_paths() -> set[str]:
     """Paths that extraction reads, and all their ancestors."""
-    leaves = [p for x in [*HEADER.values(), *TOTALS.values()] for p in x] + [f"{g}/{p}" for name, g in GROUPS.items() for x in FIELDS[name].values() for p in x]
+    leaves = [p for x in [*HEADER.values(), *TOTALS.values()] for p in x] + [
+        f"{g}/{p}" for name, g in GROUPS.items() for x in FIELDS[name].values() for p in x
+    ]
     return {"/" + "/".join(["Return", *p.split("/")][: k + 1]) for p in leaves for k in range(len(p.split("/")) + 1)}
 
 

@@ -33,8 +33,13 @@ def pf_totals(filings: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """Status of each foundation filing: what its rows sum to against the paid total it states."""
     parsed, stated = F.col("parsed_paid"), F.col("total_paid")
     pct = percent_off(parsed, stated)
-    status = F.when((F.col("paid_rows") == 0) & stated.isNull(), "no_rows").when(stated.isNull(), "no_total").when(pct <= tolerance, "within_tolerance").otherwise("over_tolerance")
-    return filings.filter("return_type = '990PF'").select("object_id", "funder_ein", "return_version", parsed, stated.alias("reported_paid"), (parsed - stated).alias("delta"), pct.alias("delta_pct"), status.alias("status"))
+    status = F.when(
+        (F.col("paid_rows") == 0) & stated.isNull(), "no_rows"
+    ).when(stated.isNull(), "no_total").when(pct <= tolerance, "within_tolerance").otherwise("over_tolerance")
+    return filings.filter("return_type = '990PF'").select(
+        "object_id", "funder_ein", "return_version", parsed, stated.alias("reported_paid"), (parsed - stated).alias("delta"),
+        pct.alias("delta_pct"), status.alias("status")
+    )
 
 
 def table_counts(filings: DataFrame) -> DataFrame:
@@ -43,7 +48,10 @@ def table_counts(filings: DataFrame) -> DataFrame:
     total = F.when(a.isNull() & b.isNull(), None).otherwise(F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
     delta = F.col("n_rows") - total
     status = F.when(total.isNull(), "no_count").when(delta == 0, "exact").otherwise("mismatch")
-    return filings.filter("return_type = '990'").select("object_id", "funder_ein", "return_version", F.col("n_rows").alias("parsed_rows"), total.alias("reported_total"), delta.alias("delta"), status.alias("status"))
+    return filings.filter("return_type = '990'").select(
+        "object_id", "funder_ein", "return_version", F.col("n_rows").alias("parsed_rows"), total.alias("reported_total"),
+        delta.alias("delta"), status.alias("status")
+    )
 
 
 def missing_detail(filings: DataFrame) -> DataFrame:
@@ -56,16 +64,28 @@ def missing_detail(filings: DataFrame) -> DataFrame:
         .when(stand_ins > 0, "only aggregate placeholder rows, no stated total")
     )
     out = filings.filter("return_type = '990PF'").withColumn("reason", reason).filter("reason IS NOT NULL")
-    return out.select("object_id", "funder_ein", "funder_name", "return_version", F.col("total_paid").alias("reported_paid"), rows.alias("structured_rows"), stand_ins, "reason")
+    return out.select(
+        "object_id", "funder_ein", "funder_name", "return_version", F.col("total_paid").alias("reported_paid"),
+        rows.alias("structured_rows"), stand_ins, "reason"
+    )
 
 
 def summary(totals: DataFrame, counts: DataFrame) -> DataFrame:
     """One row of counters and shares (null without a denominator)."""
     of = lambda s: F.count_if(F.col("status") == s)
-    t = totals.agg(F.count(F.lit(1)).alias("pf_filings"), F.count_if(F.col("status").isin("within_tolerance", "over_tolerance")).alias("pf_with_total"), of("within_tolerance").alias("pf_within"), of("no_total").alias("pf_no_total"))
+    t = totals.agg(
+        F.count(F.lit(1)).alias("pf_filings"),
+        F.count_if(F.col("status").isin("within_tolerance", "over_tolerance")).alias("pf_with_total"),
+        of("within_tolerance").alias("pf_within"), of("no_total").alias("pf_no_total")
+    )
     c = counts.agg(F.count(F.lit(1)).alias("table_filings"), of("exact").alias("table_exact"), of("no_count").alias("table_no_count"))
     both = t.join(F.broadcast(c))  # one row each
-    return both.withColumns({"pf_share": share(F.col("pf_within"), F.col("pf_with_total")), "table_share": share(F.col("table_exact"), F.col("table_filings") - F.col("table_no_count"))})
+    return both.withColumns(
+        {
+            "pf_share": share(F.col("pf_within"), F.col("pf_with_total")),
+            "table_share": share(F.col("table_exact"), F.col("table_filings") - F.col("table_no_count"))
+        }
+    )
 
 
 def coverage(filings: DataFrame, fields: dict[str, Callable[[dict[str, Column]], Column]], required: Column) -> DataFrame:
@@ -108,22 +128,35 @@ def present_in_version(paths: DataFrame, inventories: DataFrame) -> DataFrame:
     """paths (path, return_version) with `present`: true, false, or null where no inventory of the version exists."""
     known = inventories.select(F.col("return_version").alias("_v")).distinct()
     hits = inventories.select(F.col("path").alias("_p"), F.col("return_version").alias("_hv")).distinct()
-    j = paths.join(known, F.col("return_version") == F.col("_v"), "left").join(hits, (F.col("path") == F.col("_p")) & (F.col("return_version") == F.col("_hv")), "left")
+    j = paths.join(known, F.col("return_version") == F.col("_v"), "left").join(
+        hits, (F.col("path") == F.col("_p")) & (F.col("return_version") == F.col("_hv")), "left"
+    )
     return j.select("path", "return_version", F.when(F.col("_v").isNotNull(), F.col("_p").isNotNull()).alias("present"))
 
 
 def evaluation(answered: DataFrame) -> DataFrame:
     """For each tier: pairs, resolved, correct, precision. answered: tier, ein, expected_ein."""
     resolved = F.col("ein").isNotNull()
-    out = answered.groupBy("tier").agg(F.count(F.lit(1)).alias("pairs"), F.count_if(resolved).alias("resolved"), F.count_if(F.col("ein") == F.col("expected_ein")).alias("correct"))
+    out = answered.groupBy("tier").agg(
+        F.count(F.lit(1)).alias("pairs"), F.count_if(resolved).alias("resolved"),
+        F.count_if(F.col("ein") == F.col("expected_ein")).alias("correct")
+    )
     return out.withColumn("precision", F.try_divide(F.col("correct").cast("double"), F.col("resolved")))
 
 
 def overall(answered: DataFrame) -> DataFrame:
     """Recall over pairs that expect a number, abstention over those that don't."""
     hit, expects, none = F.col("ein") == F.col("expected_ein"), F.col("expected_ein").isNotNull(), F.col("expected_ein").isNull()
-    n = answered.agg(F.count_if(hit).alias("recalled"), F.count_if(expects).alias("with_expected"), F.count_if(none & (F.col("tier") == "U")).alias("abstained"), F.count_if(none).alias("without_expected"))
-    return n.withColumns({"recall": F.try_divide(F.col("recalled").cast("double"), "with_expected"), "abstention": F.try_divide(F.col("abstained").cast("double"), "without_expected")})
+    n = answered.agg(
+        F.count_if(hit).alias("recalled"), F.count_if(expects).alias("with_expected"),
+        F.count_if(none & (F.col("tier") == "U")).alias("abstained"), F.count_if(none).alias("without_expected")
+    )
+    return n.withColumns(
+        {
+            "recall": F.try_divide(F.col("recalled").cast("double"), "with_expected"),
+            "abstention": F.try_divide(F.col("abstained").cast("double"), "without_expected")
+        }
+    )
 
 
 def misses(answered: DataFrame) -> DataFrame:
@@ -134,7 +167,10 @@ def misses(answered: DataFrame) -> DataFrame:
 def matching_failures(tiers: dict[str, float | None], pairs: int, targets: dict[str, float] = TARGETS, least: int = LEAST_PAIRS) -> list[str]:
     """Why matching may not be published; a tier without rows doesn't fail."""
     out = [f"{pairs} labelled pairs, {least} needed"] if pairs < least else []
-    return out + [f"tier {t}: precision {p:.3f}, target {targets[t]:.2f}" for t, p in sorted(tiers.items()) if t in targets and p is not None and p < targets[t]]
+    return out + [
+        f"tier {t}: precision {p:.3f}, target {targets[t]:.2f}" for t,
+        p in sorted(tiers.items()) if t in targets and p is not None and p < targets[t]
+    ]
 
 
 def coverage_passes(percent: float) -> bool:
@@ -160,5 +196,8 @@ def evaluation_report(tiers: list[dict], recall: float | None, abstention: float
         if target is not None:
             status = "no rows" if t["precision"] is None else "meets" if t["precision"] >= target else "**BELOW**"
             lines.append(f"| {t['tier']} | {t['resolved']:,} | {t['correct']:,} | {pct(t['precision'])} | {target:.0%} | {status} |")
-    lines += ["", f"- Recall: {pct(recall)}", f"- Abstention: {pct(abstention)}", "", "## Gate: " + ("FAIL" if failures else "PASS"), *[f"- {f}" for f in failures]]
+    lines += [
+        "", f"- Recall: {pct(recall)}", f"- Abstention: {pct(abstention)}", "", "## Gate: " + ("FAIL" if failures else "PASS"),
+        *[f"- {f}" for f in failures]
+    ]
     return "\n".join(lines) + "\n"

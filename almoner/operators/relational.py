@@ -36,7 +36,9 @@ def superseded(index: DataFrame) -> DataFrame:
     """Filings with `superseded_by` (the next newer filing of the same organization, period and form; null for the
     newest), `rank` (1: newest) and `final_winner`."""
     w = Window.partitionBy("ein", "tax_period", "return_type").orderBy(F.coalesce("sub_date", F.lit("")).desc(), F.col("object_id").desc())
-    return index.withColumn("rank", F.row_number().over(w)).withColumn("superseded_by", F.lag("object_id").over(w)).withColumn("final_winner", F.first("object_id").over(w))
+    return index.withColumn("rank", F.row_number().over(w)).withColumn("superseded_by", F.lag("object_id").over(w)).withColumn(
+        "final_winner", F.first("object_id").over(w)
+    )
 
 
 def reconcile(index: DataFrame, members: DataFrame, year: int | None = None) -> DataFrame:

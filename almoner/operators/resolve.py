@@ -24,7 +24,10 @@ from almoner.sources.shared import exists, replace, written
 
 TUPLE = ["name_normalized", "name_raw", "city", "state", "zip5", "ein_reported", "recipient_type"]
 #: How edges name a tuple's columns.
-EDGE_COLUMNS = {"name_normalized": "recipient_name_normalized", "name_raw": "recipient_name_raw", "city": "recipient_city", "state": "recipient_state", "zip5": "recipient_zip5", "ein_reported": "recipient_ein_reported"}
+EDGE_COLUMNS = {
+    "name_normalized": "recipient_name_normalized", "name_raw": "recipient_name_raw", "city": "recipient_city",
+    "state": "recipient_state", "zip5": "recipient_zip5", "ein_reported": "recipient_ein_reported"
+}
 ANSWER = ["ein", "source", "confidence", "tier", "method", "bmf_name", "ntee_code", "subsection_code"]
 
 # Thresholds, bands and steps of confidence.
@@ -98,7 +101,13 @@ def may_reach(a: Column, b: Column, least: float) -> Column:
 
 def compared(pairs: DataFrame, probes: DataFrame, registry: DataFrame, most: int = CANDIDATES) -> DataFrame:
     """Pairs whose names are similar enough, at most `most` for each probe, with both sides' columns."""
-    c = registry.select(*[F.col(x).alias(f"c_{x}") for x in ("ein", "name", "name_normalized", "sort_name_normalized", "city", "state", "zip5", "ntee_code", "subsection_code")])
+    c = registry.select(
+        *[
+            F.col(x).alias(f"c_{x}") for x in (
+                "ein", "name", "name_normalized", "sort_name_normalized", "city", "state", "zip5", "ntee_code", "subsection_code"
+            )
+        ]
+    )
     both = pairs.join(probes, "idx").join(c, F.col("ein") == F.col("c_ein")).drop("ein")
     zero = F.lit(0.0)
     sim = F.greatest(
@@ -118,7 +127,9 @@ def scored(pairs: DataFrame) -> DataFrame:
     """tier, confidence and method of each compared pair; pairs that earn none are dropped."""
     stated = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
     both = lambda c: stated(c) & stated(f"c_{c}")
-    name_in = lambda c: F.coalesce((F.col(c) == F.col("c_name_normalized")) | F.col(c).eqNullSafe(F.col("c_sort_name_normalized")), F.lit(False)) & F.col(c).isNotNull()
+    name_in = lambda c: F.coalesce(
+        (F.col(c) == F.col("c_name_normalized")) | F.col(c).eqNullSafe(F.col("c_sort_name_normalized")), F.lit(False)
+    ) & F.col(c).isNotNull()
     exact = name_in("name_normalized") | name_in("alias")
     zip_agrees, zip_differs = both("zip5") & (F.col("zip5") == F.col("c_zip5")), both("zip5") & (F.col("zip5") != F.col("c_zip5"))
     city_agrees = both("city") & (squash(F.col("city")) == squash(F.col("c_city")))
@@ -129,10 +140,21 @@ def scored(pairs: DataFrame) -> DataFrame:
     sim = F.col("sim")
     rules = [
         (exact & zip_agrees & in_state, "B", B_BAND, 0.90 + step(city_agrees, 0.02) + step(raw_exact, 0.02), "name_zip5_state_exact"),
-        (exact & in_state, "C", C_BAND, 0.80 + step(city_agrees, 0.05) + step(raw_exact, 0.04) + step(zip_differs, -0.03) + step(city_differs, -0.02), "name_state_exact"),
+        (
+            exact & in_state, "C", C_BAND,
+            0.80 + step(city_agrees, 0.05) + step(raw_exact, 0.04) + step(zip_differs, -0.03) + step(city_differs, -0.02),
+            "name_state_exact"
+        ),
         (exact, "D", D_BAND, 0.70 + step(zip_differs, -0.03), "name_exact_no_state"),
-        ((sim >= STRONG) & zip_agrees & in_state, "C", C_BAND, 0.75 + (sim - STRONG) / F.lit(1.0 - STRONG) * 0.08 + step(city_agrees, 0.06), "name_jw_zip5"),
-        (in_state, "D", D_BAND, 0.50 + (sim - PROBABLE) / F.lit(1.0 - PROBABLE) * 0.24 + step(zip_differs, -0.03) + step(city_differs, -0.02), "name_jw_state"),
+        (
+            (sim >= STRONG) & zip_agrees & in_state, "C", C_BAND,
+            0.75 + (sim - STRONG) / F.lit(1.0 - STRONG) * 0.08 + step(city_agrees, 0.06), "name_jw_zip5"
+        ),
+        (
+            in_state, "D", D_BAND,
+            0.50 + (sim - PROBABLE) / F.lit(1.0 - PROBABLE) * 0.24 + step(zip_differs, -0.03) + step(city_differs, -0.02),
+            "name_jw_state"
+        ),
     ]
     tier = confidence = method = F.lit(None)
     for condition, t, (low, high), value, how in reversed(rules):
@@ -140,9 +162,13 @@ def scored(pairs: DataFrame) -> DataFrame:
         confidence = F.when(condition, F.least(F.greatest(value, F.lit(low)), F.lit(high))).otherwise(confidence)
         method = F.when(condition, how).otherwise(method)
     out = pairs.filter(~(both("state") & (F.col("state") != F.col("c_state"))))
-    out = out.withColumns({"tier": tier, "confidence": confidence, "method": method, "_placed": zip_agrees | city_agrees}).filter(F.col("tier").isNotNull())
+    out = out.withColumns(
+        {"tier": tier, "confidence": confidence, "method": method, "_placed": zip_agrees | city_agrees}
+    ).filter(F.col("tier").isNotNull())
     out = out.withColumn("confidence", round2(F.col("confidence")))
-    capped = is_chapter(F.col("name_normalized")) & ~F.col("_placed") & ((F.col("tier") == "B") | ((F.col("tier") == "C") & (F.col("confidence") > CHAPTER_CONFIDENCE)))
+    capped = is_chapter(F.col("name_normalized")) & ~F.col("_placed") & (
+        (F.col("tier") == "B") | ((F.col("tier") == "C") & (F.col("confidence") > CHAPTER_CONFIDENCE))
+    )
     return out.withColumns({
         "tier": F.when(capped, "C").otherwise(F.col("tier")),
         "confidence": F.when(capped, CHAPTER_CONFIDENCE).otherwise(F.col("confidence")),
@@ -159,10 +185,18 @@ def resolve(
     open_ = probes.filter(~F.coalesce(guarded, F.lit(False)) & (F.coalesce("name_normalized", F.lit("")) != ""))
     near = compared(candidates(open_, registry, phonetic), open_, registry)
     w = Window.partitionBy("idx").orderBy(F.col("confidence").desc(), "c_ein")
-    ranked = scored(near).withColumns({"_n": F.count(F.lit(1)).over(Window.partitionBy("idx")), "_rn": F.row_number().over(w), "_second": F.lead("confidence").over(w)})
-    best = ranked.filter("_rn = 1").select("idx", "_n", "_second", *[F.col(c).alias(f"_{c}") for c in ("tier", "confidence", "method")], *[F.col(f"c_{c}").alias(f"_{c}") for c in ("ein", "name", "ntee_code", "subsection_code")])
+    ranked = scored(near).withColumns(
+        {"_n": F.count(F.lit(1)).over(Window.partitionBy("idx")), "_rn": F.row_number().over(w), "_second": F.lead("confidence").over(w)}
+    )
+    best = ranked.filter("_rn = 1").select(
+        "idx", "_n", "_second", *[F.col(c).alias(f"_{c}") for c in ("tier", "confidence", "method")],
+        *[F.col(f"c_{c}").alias(f"_{c}") for c in ("ein", "name", "ntee_code", "subsection_code")]
+    )
     some = near.select("idx").distinct().withColumn("_near", F.lit(True))
-    reported = registry.select(F.col("ein").alias("_r_ein"), F.col("name").alias("_r_name"), F.col("ntee_code").alias("_r_ntee"), F.col("subsection_code").alias("_r_sub"))
+    reported = registry.select(
+        F.col("ein").alias("_r_ein"), F.col("name").alias("_r_name"), F.col("ntee_code").alias("_r_ntee"),
+        F.col("subsection_code").alias("_r_sub")
+    )
     t = probes.withColumn("_valid", valid_ein(F.col("ein_reported")))
     t = t.join(reported, F.col("_valid") == F.col("_r_ein"), "left").join(best, "idx", "left").join(some, "idx", "left")
     if revoked is not None:
@@ -176,7 +210,10 @@ def resolve(
         .when(stated, None)
         .when((F.coalesce("name_normalized", F.lit("")) == "") | F.col("_near").isNull(), "no_candidates")
         .when(F.col("_n").isNull(), "no_candidate_above_threshold")
-        .when((F.col("_n") > 1) & (F.col("_confidence") - F.col("_second") < MARGIN), F.concat(F.lit("ambiguous_"), F.col("_n").cast("string"), F.lit("_candidates")))
+        .when(
+            (F.col("_n") > 1) & (F.col("_confidence") - F.col("_second") < MARGIN),
+            F.concat(F.lit("ambiguous_"), F.col("_n").cast("string"), F.lit("_candidates"))
+        )
         .when((F.col("_n") > 1) & (F.col("_tier") == "D"), "probable_not_unique")
     )
     t = t.withColumn("_why", why_not)
@@ -190,7 +227,10 @@ def resolve(
         pick(F.lit("unresolved"), F.lit("reported_verified"), F.lit("reported_unverified"), F.element_at(sources, F.col("_tier"))).alias("source"),
         pick(null, F.lit(1.0), F.lit(0.95), F.col("_confidence")).alias("confidence"),
         pick(F.lit("U"), F.lit("A"), F.lit("A"), F.col("_tier")).alias("tier"),
-        pick(F.col("_why"), F.lit("reported_ein_in_bmf"), F.when(F.col("_revoked"), "reported_ein_revoked").otherwise("reported_ein_not_in_bmf"), F.col("_method")).alias("method"),
+        pick(
+            F.col("_why"), F.lit("reported_ein_in_bmf"),
+            F.when(F.col("_revoked"), "reported_ein_revoked").otherwise("reported_ein_not_in_bmf"), F.col("_method")
+        ).alias("method"),
         pick(null, F.col("_r_name"), null, F.col("_name")).alias("bmf_name"),
         pick(null, F.col("_r_ntee"), null, F.col("_ntee_code")).alias("ntee_code"),
         pick(null, F.col("_r_sub"), null, F.col("_subsection_code")).alias("subsection_code"),
@@ -207,11 +247,17 @@ def corrected(answers: DataFrame, corrections: DataFrame) -> DataFrame:
     """Manual corrections by (name, state, zip5), null for null, override everything. What the registry says of the number
     isn't filled in, as nobody has checked that it has it. Of several corrections the last counts (by `row`, else by number)."""
     fix = last_of(corrections, ["recipient_name_normalized", "state", "zip5"], "ein")
-    fix = fix.select(F.col("recipient_name_normalized").alias("_name"), F.col("state").alias("_state"), F.col("zip5").alias("_zip"), F.col("ein").alias("_fix"))
+    fix = fix.select(
+        F.col("recipient_name_normalized").alias("_name"), F.col("state").alias("_state"), F.col("zip5").alias("_zip"),
+        F.col("ein").alias("_fix")
+    )
     on = F.col("name_normalized").eqNullSafe(F.col("_name")) & F.col("state").eqNullSafe(F.col("_state")) & F.col("zip5").eqNullSafe(F.col("_zip"))
     t = answers.join(fix, on, "left")
     hit = F.col("_fix").isNotNull()
-    new = {"ein": F.col("_fix"), "source": F.lit("manual_correction"), "confidence": F.lit(1.0), "tier": F.lit("A"), "method": F.lit("manual_correction")}
+    new = {
+        "ein": F.col("_fix"), "source": F.lit("manual_correction"), "confidence": F.lit(1.0), "tier": F.lit("A"),
+        "method": F.lit("manual_correction")
+    }
     return t.select(*TUPLE, *[F.when(hit, new.get(c, F.lit(None))).otherwise(F.col(c)).alias(c) for c in ANSWER])
 
 
@@ -223,13 +269,29 @@ def apply_answers(edges: DataFrame, answers: DataFrame, renamed: dict[str, str])
         same = F.col(renamed.get(c, c)).eqNullSafe(F.col(f"_t_{c}"))
         on = same if on is None else on & same
     joined = edges.join(a, on, "left")
-    into = {"ein": "recipient_ein_resolved", "source": "recipient_ein_source", "confidence": "match_confidence", "tier": "match_tier", "method": "match_method", "bmf_name": "recipient_bmf_name", "ntee_code": "recipient_ntee_code", "subsection_code": "recipient_subsection_code"}
-    values = {into[c]: F.when(F.col("_a_tier").isNull(), F.col(into[c]) if into[c] in edges.columns else F.lit(None)).otherwise(F.col(f"_a_{c}")) for c in ANSWER}
-    return joined.select(*[values.pop(c).alias(c) if c in values else F.col(c) for c in edges.columns], *[v.alias(c) for c, v in list(values.items())])
+    into = {
+        "ein": "recipient_ein_resolved", "source": "recipient_ein_source", "confidence": "match_confidence", "tier": "match_tier",
+        "method": "match_method", "bmf_name": "recipient_bmf_name", "ntee_code": "recipient_ntee_code",
+        "subsection_code": "recipient_subsection_code"
+    }
+    values = {
+        into[c]: F.when(
+            F.col("_a_tier").isNull(), F.col(into[c]) if into[c] in edges.columns else F.lit(None)
+        ).otherwise(F.col(f"_a_{c}")) for c in ANSWER
+    }
+    return joined.select(
+        *[values.pop(c).alias(c) if c in values else F.col(c) for c in edges.columns],
+        *[v.alias(c) for c, v in list(values.items())]
+    )
 
 
 #: A stored answer: the tuple, what was answered, from which registry, and when.
-STORED = ", ".join([*[f"{c} string" for c in TUPLE], *[f"{c} {'double' if c == 'confidence' else 'string'}" for c in ANSWER], "bmf_vintage string", "resolved_at timestamp"])
+STORED = ", ".join(
+    [
+        *[f"{c} string" for c in TUPLE], *[f"{c} {'double' if c == 'confidence' else 'string'}" for c in ANSWER],
+        "bmf_vintage string", "resolved_at timestamp"
+    ]
+)
 
 
 def stored(spark: SparkSession, path: str) -> DataFrame:
@@ -254,11 +316,14 @@ def forget_unresolved(spark: SparkSession, path: str) -> None:
 
 def tuples_of(edges: DataFrame, renamed: dict[str, str]) -> DataFrame:
     """The distinct tuples of edges; `renamed` maps a tuple's columns to the edges'."""
-    return edges.select(*[F.col(renamed.get(c, c)).alias(c) for c in TUPLE]).withColumn("name_normalized", F.coalesce("name_normalized", F.lit(""))).distinct()
+    return edges.select(*[F.col(renamed.get(c, c)).alias(c) for c in TUPLE]).withColumn(
+        "name_normalized", F.coalesce("name_normalized", F.lit(""))
+    ).distinct()
 
 
 def resolve_edges(
-    edges: DataFrame, registry: DataFrame, answers: str, vintage: str, at: datetime, renamed: dict[str, str] = EDGE_COLUMNS, aliases: DataFrame | None = None, corrections: DataFrame | None = None,
+    edges: DataFrame, registry: DataFrame, answers: str, vintage: str, at: datetime, renamed: dict[str, str] = EDGE_COLUMNS,
+    aliases: DataFrame | None = None, corrections: DataFrame | None = None,
     again_unresolved: bool = False, phonetic: bool = True, chunks: int = 1,
 ) -> DataFrame:
     """Edges with the answers to all their tuples; what isn't stored yet (at `answers`) is resolved and stored.

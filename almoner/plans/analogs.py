@@ -89,7 +89,10 @@ FROM {orders} WHERE o_orderkey % 10 <> 0
 """
 
 ANALOGS = {"edges": EDGES, "registry": REGISTRY, "registry_later": REGISTRY_LATER, "probes": PROBES, "filing_index": INDEX, "members": MEMBERS}
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "benchmark", "pages", "labels", "conversations", "events")
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "benchmark", "pages", "labels",
+    "conversations", "events"
+)
 
 
 def _dialect(sql: str, kind: dict[str, str]) -> str:

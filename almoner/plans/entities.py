@@ -101,14 +101,23 @@ SELECT a.name_raw, CASE WHEN f.zip5 IS NOT NULL THEN '000000001' ELSE a.ein END
   CASE WHEN f.zip5 IS NULL THEN a.bmf_name END AS bmf_name, CASE WHEN f.zip5 IS NULL THEN a.ntee_code END AS ntee_code, CASE WHEN f.zip5 IS NULL THEN a.subsection_code END AS subsection_code
 FROM answers a LEFT JOIN fix f ON a.name_normalized IS NOT DISTINCT FROM f.name_normalized AND a.state IS NOT DISTINCT FROM f.state AND a.zip5 IS NOT DISTINCT FROM f.zip5""")
 def j12(spark, sf_dir):
-    fix = _tuples(spark, sf_dir).filter("zip5 LIKE '%0'").select(F.col("name_normalized").alias("recipient_name_normalized"), "state", "zip5", F.lit("000000001").alias("ein"))
-    return _answers(spark, sf_dir, phonetic=False, corrections=fix).select("name_raw", "ein", "source", "tier", "bmf_name", "ntee_code", "subsection_code")
-
-
-@query("j11_m02_aliases", ctes("probes") + " SELECT name_raw, CASE WHEN name_normalized LIKE 'UNHEARD%' THEN 'HARBOR YOUTH FDN' END AS alias FROM (SELECT DISTINCT " + T + " FROM probes)")
+    fix = _tuples(spark, sf_dir).filter("zip5 LIKE '%0'").select(
+        F.col("name_normalized").alias("recipient_name_normalized"), "state", "zip5", F.lit("000000001").alias("ein")
+    )
+    return _answers(spark, sf_dir, phonetic=False, corrections=fix).select(
+        "name_raw", "ein", "source", "tier", "bmf_name", "ntee_code", "subsection_code"
+    )
+
+
+@query(
+    "j11_m02_aliases",
+    ctes("probes") + " SELECT name_raw, CASE WHEN name_normalized LIKE 'UNHEARD%' THEN 'HARBOR YOUTH FDN' END AS alias FROM (SELECT DISTINCT " + T + " FROM probes)"
+)
 def j11(spark, sf_dir):
     t = _tuples(spark, sf_dir)
-    aliases = t.filter("name_normalized LIKE 'UNHEARD%'").select(F.col("name_normalized").alias("alias_normalized"), F.lit("HARBOR YOUTH FDN").alias("canonical_normalized"))
+    aliases = t.filter("name_normalized LIKE 'UNHEARD%'").select(
+        F.col("name_normalized").alias("alias_normalized"), F.lit("HARBOR YOUTH FDN").alias("canonical_normalized")
+    )
     return res.with_aliases(t, aliases).select("name_raw", "alias")
 
 
@@ -117,7 +126,10 @@ def m13(spark, sf_dir):
     return res.pending(_tuples(spark, sf_dir), _answers(spark, sf_dir, phonetic=False), again_unresolved=True)
 
 
-@query("q10_best_candidates", NEAR + ", b AS (SELECT name_raw, c_ein, round(sim, 6) AS sim, count(*) OVER (PARTITION BY idx) AS candidate_count, row_number() OVER (PARTITION BY idx ORDER BY sim DESC, c_ein) AS rn FROM near) SELECT name_raw, candidate_count, c_ein AS best, sim FROM b WHERE rn = 1")
+@query(
+    "q10_best_candidates",
+    NEAR + ", b AS (SELECT name_raw, c_ein, round(sim, 6) AS sim, count(*) OVER (PARTITION BY idx) AS candidate_count, row_number() OVER (PARTITION BY idx ORDER BY sim DESC, c_ein) AS rn FROM near) SELECT name_raw, candidate_count, c_ein AS best, sim FROM b WHERE rn = 1"
+)
 def q10(spark, sf_dir):
     from pyspark.sql import Window
 
@@ -140,8 +152,10 @@ def m12(spark, sf_dir):
     registry, root, answers = analog(spark, sf_dir, "registry"), scratch(spark), scratch(spark)
     none = F.lit(None).cast("string")
     own = analog(spark, sf_dir, "probes").select(
-        F.col("expected_ein").alias("grant_id"), (F.lit(2001) + F.col("expected_ein").cast("long") % 3).alias("filing_year"), *[F.col(c).alias(res.EDGE_COLUMNS.get(c, c)) for c in res.TUPLE],
-        none.alias("recipient_ein_resolved"), F.lit("unresolved").alias("recipient_ein_source"), F.lit(None).cast("double").alias("match_confidence"), F.lit("U").alias("match_tier"), none.alias("match_method"),
+        F.col("expected_ein").alias("grant_id"), (F.lit(2001) + F.col("expected_ein").cast("long") % 3).alias("filing_year"),
+        *[F.col(c).alias(res.EDGE_COLUMNS.get(c, c)) for c in res.TUPLE],
+        none.alias("recipient_ein_resolved"), F.lit("unresolved").alias("recipient_ein_source"),
+        F.lit(None).cast("double").alias("match_confidence"), F.lit("U").alias("match_tier"), none.alias("match_method"),
         *[none.alias(f"recipient_{c}") for c in ("bmf_name", "ntee_code", "subsection_code")],
     )
     own.write.partitionBy("filing_year").parquet(root)
@@ -150,7 +164,11 @@ def m12(spark, sf_dir):
         done = res.resolve_edges(edges, registry, answers, "2026-08", datetime(2026, 8, 1), again_unresolved=bool(k), phonetic=False, chunks=2)
         rewrite_years(spark, done, root, f"{root}-staged-{k}")
     out = spark.read.schema(own.schema).parquet(root)
-    return out.select("grant_id", "filing_year", F.col("recipient_ein_resolved").alias("ein"), F.col("match_tier").alias("tier"), F.col("recipient_ein_source").alias("source"), F.col("match_confidence").alias("confidence"), F.col("match_method").alias("method"), F.col("recipient_bmf_name").alias("bmf_name"))
+    return out.select(
+        "grant_id", "filing_year", F.col("recipient_ein_resolved").alias("ein"), F.col("match_tier").alias("tier"),
+        F.col("recipient_ein_source").alias("source"), F.col("match_confidence").alias("confidence"),
+        F.col("match_method").alias("method"), F.col("recipient_bmf_name").alias("bmf_name")
+    )
 
 
 @query("v12_recall_and_abstention", RESOLVED + """, e AS (SELECT CASE WHEN p.name_normalized LIKE 'UNHEARD%' THEN NULL ELSE p.expected_ein END AS expected_ein, a.ein, a.tier FROM probes p JOIN answers a ON p.name_raw = a.name_raw),
@@ -159,11 +177,16 @@ SELECT *, CAST(recalled AS DOUBLE) / nullif(with_expected, 0) AS recall, CAST(ab
 def v12b(spark, sf_dir):
     from almoner.operators.quality import overall
 
-    pairs = analog(spark, sf_dir, "probes").select("name_raw", F.when(~F.col("name_normalized").startswith("UNHEARD"), F.col("expected_ein")).alias("expected_ein"))
+    pairs = analog(spark, sf_dir, "probes").select(
+        "name_raw", F.when(~F.col("name_normalized").startswith("UNHEARD"), F.col("expected_ein")).alias("expected_ein")
+    )
     return overall(_answers(spark, sf_dir, phonetic=False).join(pairs, "name_raw"))
 
 
-@query("v12_misses", RESOLVED + " SELECT p.name_raw, a.ein, p.expected_ein FROM probes p JOIN answers a ON p.name_raw = a.name_raw WHERE a.ein IS NOT NULL AND a.ein IS DISTINCT FROM p.expected_ein")
+@query(
+    "v12_misses",
+    RESOLVED + " SELECT p.name_raw, a.ein, p.expected_ein FROM probes p JOIN answers a ON p.name_raw = a.name_raw WHERE a.ein IS NOT NULL AND a.ein IS DISTINCT FROM p.expected_ein"
+)
 def v12c(spark, sf_dir):
     from almoner.operators.quality import misses
 

@@ -23,25 +23,95 @@ def xml_filings(spark, sf_dir):
     lines = spark.sql(LINES, **{t: table(spark, sf_dir, t) for t in ("lineitem", "orders", "supplier", "part")})
     tag = lambda name, c: F.concat(F.lit(f"<{name}>"), c, F.lit(f"</{name}>"))
     s = F.col("s_suppkey")
-    foreign = tag("RecipientForeignAddress", F.concat(tag("AddressLine1Txt", F.lit("1 Rue")), tag("CityNm", F.lit("Paris")), tag("CountryCd", F.lit("FR"))))
-    here = tag("RecipientUSAddress", F.concat(tag("AddressLine1Txt", F.lit("9 Main St")), tag("CityNm", F.concat(F.lit("City"), (s % 7).cast("string"))), tag("StateAbbreviationCd", F.lit("CA")), tag("ZIPCd", F.lit("94022-1234"))))
-    person = F.when(s % 10 == 3, tag("RecipientPersonNm", F.col("name"))).when(s % 10 == 4, tag("RecipientPersonNm", F.concat(F.lit("Fund "), "name")))
-    person = person.otherwise(tag("RecipientBusinessName", tag("BusinessNameLine1Txt", F.when(s % 10 == 5, F.concat(F.lit("City of "), "name")).when(s % 10 == 6, "See attached list").otherwise(F.col("name")))))
-    amount = F.when(s % 10 == 7, F.lit("N/A")).when(s % 10 == 8, F.concat(F.lit("$"), F.format_number("dollars", 0))).otherwise(F.col("dollars").cast("string"))
+    foreign = tag(
+        "RecipientForeignAddress",
+        F.concat(tag("AddressLine1Txt", F.lit("1 Rue")), tag("CityNm", F.lit("Paris")), tag("CountryCd", F.lit("FR")))
+    )
+    here = tag(
+        "RecipientUSAddress",
+        F.concat(
+            tag("AddressLine1Txt", F.lit("9 Main St")), tag("CityNm", F.concat(F.lit("City"), (s % 7).cast("string"))),
+            tag("StateAbbreviationCd", F.lit("CA")), tag("ZIPCd", F.lit("94022-1234"))
+        )
+    )
+    person = F.when(s % 10 == 3, tag("RecipientPersonNm", F.col("name"))).when(
+        s % 10 == 4, tag("RecipientPersonNm", F.concat(F.lit("Fund "), "name"))
+    )
+    person = person.otherwise(
+        tag(
+            "RecipientBusinessName",
+            tag(
+                "BusinessNameLine1Txt",
+                F.when(s % 10 == 5, F.concat(F.lit("City of "), "name")).when(s % 10 == 6, "See attached list").otherwise(F.col("name"))
+            )
+        )
+    )
+    amount = F.when(s % 10 == 7, F.lit("N/A")).when(
+        s % 10 == 8, F.concat(F.lit("$"), F.format_number("dollars", 0))
+    ).otherwise(F.col("dollars").cast("string"))
     pf = F.concat(person, F.when(s % 4 == 0, foreign).otherwise(here), tag("GrantOrContributionPurposeTxt", F.col("purpose")), tag("Amt", amount))
-    tables = F.concat(tag("RecipientBusinessName", tag("BusinessNameLine1Txt", F.col("name"))), tag("USAddress", tag("StateAbbreviationCd", F.lit("NY"))), tag("RecipientEIN", F.when(s % 5 == 0, F.lit("12345")).otherwise(F.col("ein"))), tag("CashGrantAmt", F.col("dollars").cast("string")), tag("PurposeOfGrantTxt", F.col("purpose")))
-    item = F.when(F.col("grp") == "sched_i", tag("RecipientTable", tables)).when(F.col("grp") == "pf_paid", tag("GrantOrContributionPdDurYrGrp", pf)).otherwise(tag("GrantOrContriApprvForFutGrp", pf))
-    joined = lambda g: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("grp") == g, F.struct("k", item.alias("x"))))), lambda r: r["x"]), "")
+    tables = F.concat(
+        tag("RecipientBusinessName", tag("BusinessNameLine1Txt", F.col("name"))),
+        tag("USAddress", tag("StateAbbreviationCd", F.lit("NY"))),
+        tag("RecipientEIN", F.when(s % 5 == 0, F.lit("12345")).otherwise(F.col("ein"))),
+        tag("CashGrantAmt", F.col("dollars").cast("string")), tag("PurposeOfGrantTxt", F.col("purpose"))
+    )
+    item = F.when(F.col("grp") == "sched_i", tag("RecipientTable", tables)).when(
+        F.col("grp") == "pf_paid", tag("GrantOrContributionPdDurYrGrp", pf)
+    ).otherwise(tag("GrantOrContriApprvForFutGrp", pf))
+    joined = lambda g: F.array_join(
+        F.transform(F.sort_array(F.collect_list(F.when(F.col("grp") == g, F.struct("k", item.alias("x"))))), lambda r: r["x"]), ""
+    )
     paid = F.sum(F.when(F.col("grp") == "pf_paid", F.col("dollars")).otherwise(0))
-    body = lines.groupBy("object_id").agg(joined("pf_paid").alias("paid"), joined("pf_future").alias("future"), joined("sched_i").alias("tables"), paid.alias("total"), F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("o"))
-    head = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("object_id"), "o_custkey", F.col("o_orderdate").cast("date").alias("day"))
+    body = lines.groupBy("object_id").agg(
+        joined("pf_paid").alias("paid"), joined("pf_future").alias("future"), joined("sched_i").alias("tables"),
+        paid.alias("total"), F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("o")
+    )
+    head = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("object_id"), "o_custkey", F.col("o_orderdate").cast("date").alias("day")
+    )
     d = body.join(head, "object_id")
     is_table = F.col("o") % 3 == 0
-    header = tag("ReturnHeader", F.concat(tag("ReturnTypeCd", F.when(is_table, "990").otherwise("990PF")), tag("TaxPeriodEndDt", F.col("day").cast("string")), tag("Filer", F.concat(tag("EIN", F.lpad(F.col("o_custkey").cast("string"), 8, "1")), tag("BusinessName", F.concat(tag("BusinessNameLine1Txt", F.lit(" Giving ")), tag("BusinessNameLine2Txt", F.lit("House"))))))))
-    pf_body = tag("IRS990PF", tag("SupplementaryInformationGrp", F.concat("paid", "future", F.when(F.col("o") % 7 == 1, "").otherwise(tag("TotalGrantOrContriPdDurYrAmt", F.when(F.col("o") % 7 == 2, F.floor(F.col("total") * 0.9)).otherwise(F.col("total")).cast("string"))))))
-    si_body = tag("IRS990ScheduleI", F.concat("tables", tag("Total501c3OrgCnt", (F.col("n") - F.when(F.col("o") % 2 == 0, 1).otherwise(0)).cast("string")), tag("TotalOtherOrgCnt", F.lit("0"))))
+    header = tag(
+        "ReturnHeader",
+        F.concat(
+            tag("ReturnTypeCd", F.when(is_table, "990").otherwise("990PF")), tag("TaxPeriodEndDt", F.col("day").cast("string")),
+            tag(
+                "Filer",
+                F.concat(
+                    tag("EIN", F.lpad(F.col("o_custkey").cast("string"), 8, "1")),
+                    tag("BusinessName", F.concat(tag("BusinessNameLine1Txt", F.lit(" Giving ")), tag("BusinessNameLine2Txt", F.lit("House"))))
+                )
+            )
+        )
+    )
+    pf_body = tag(
+        "IRS990PF",
+        tag(
+            "SupplementaryInformationGrp",
+            F.concat(
+                "paid", "future",
+                F.when(F.col("o") % 7 == 1, "").otherwise(
+                    tag(
+                        "TotalGrantOrContriPdDurYrAmt",
+                        F.when(F.col("o") % 7 == 2, F.floor(F.col("total") * 0.9)).otherwise(F.col("total")).cast("string")
+                    )
+                )
+            )
+        )
+    )
+    si_body = tag(
+        "IRS990ScheduleI",
+        F.concat(
+            "tables", tag("Total501c3OrgCnt", (F.col("n") - F.when(F.col("o") % 2 == 0, 1).otherwise(0)).cast("string")),
+            tag("TotalOtherOrgCnt", F.lit("0"))
+        )
+    )
     version = F.when(F.col("o") % 2 == 0, "2022v5.0").otherwise("2021v4.0")
-    doc = F.concat(F.lit('<?xml version="1.0" encoding="utf-8"?><Return xmlns="http://www.irs.gov/efile" returnVersion="'), version, F.lit('">'), header, tag("ReturnData", F.when(is_table, si_body).otherwise(pf_body)), F.lit("</Return>"))
+    doc = F.concat(
+        F.lit('<?xml version="1.0" encoding="utf-8"?><Return xmlns="http://www.irs.gov/efile" returnVersion="'), version,
+        F.lit('">'), header, tag("ReturnData", F.when(is_table, si_body).otherwise(pf_body)), F.lit("</Return>")
+    )
     xml = F.when(F.col("o") % 101 == 0, F.substring(doc, 1, 60)).when(F.col("o") % 103 == 0, "<html><body>gone</body></html>").otherwise(doc)
     return d.select("object_id", F.year("day").alias("filing_year"), xml.alias("xml"))
 
@@ -49,7 +119,10 @@ def xml_filings(spark, sf_dir):
 READABLE = "o_orderkey % 101 <> 0 AND o_orderkey % 103 <> 0"
 
 
-@query("s09_e14_bad_documents", f"{DUCK_LINES} SELECT object_id, CASE WHEN o_orderkey % 101 = 0 THEN '{fil.MALFORMED}' ELSE '{fil.NOT_A_RETURN}' END AS error FROM (SELECT DISTINCT object_id, o_orderkey FROM lines) WHERE NOT ({READABLE})")
+@query(
+    "s09_e14_bad_documents",
+    f"{DUCK_LINES} SELECT object_id, CASE WHEN o_orderkey % 101 = 0 THEN '{fil.MALFORMED}' ELSE '{fil.NOT_A_RETURN}' END AS error FROM (SELECT DISTINCT object_id, o_orderkey FROM lines) WHERE NOT ({READABLE})"
+)
 def s09(spark, sf_dir):
     return fil.parsed(xml_filings(spark, sf_dir)).filter("error IS NOT NULL").select("object_id", "error")
 
@@ -77,7 +150,10 @@ NAME = "CASE WHEN grp <> 'sched_i' AND s_suppkey % 10 = 4 THEN 'Fund ' || name W
 )
 def e05(spark, sf_dir):
     rows = fil.grant_rows(fil.parsed(xml_filings(spark, sf_dir)))
-    return rows.select("object_id", "group", "ordinal", "amount_usd", "amount_type", "recipient_name_raw", "grant_purpose", "recipient_ein_reported", "recipient_country")
+    return rows.select(
+        "object_id", "group", "ordinal", "amount_usd", "amount_type", "recipient_name_raw", "grant_purpose",
+        "recipient_ein_reported", "recipient_country"
+    )
 
 
 @query(
@@ -102,10 +178,20 @@ def _paths(at: str, *under: str) -> str:
     return ", ".join(f"'{at}/{x}'" if x else f"'{at}'" for x in under)
 
 
-_BASE = _paths("/Return", "", "ReturnHeader", "ReturnHeader/ReturnTypeCd", "ReturnHeader/TaxPeriodEndDt", "ReturnHeader/Filer", "ReturnHeader/Filer/EIN", "ReturnHeader/Filer/BusinessName", "ReturnHeader/Filer/BusinessName/BusinessNameLine1Txt", "ReturnHeader/Filer/BusinessName/BusinessNameLine2Txt", "ReturnData")
+_BASE = _paths(
+    "/Return", "", "ReturnHeader", "ReturnHeader/ReturnTypeCd", "ReturnHeader/TaxPeriodEndDt", "ReturnHeader/Filer",
+    "ReturnHeader/Filer/EIN", "ReturnHeader/Filer/BusinessName", "ReturnHeader/Filer/BusinessName/BusinessNameLine1Txt",
+    "ReturnHeader/Filer/BusinessName/BusinessNameLine2Txt", "ReturnData"
+)
 _PF, _SI = "/Return/ReturnData/IRS990PF/SupplementaryInformationGrp", "/Return/ReturnData/IRS990ScheduleI"
-_FOREIGN, _HERE = ("RecipientForeignAddress", "RecipientForeignAddress/AddressLine1Txt", "RecipientForeignAddress/CityNm", "RecipientForeignAddress/CountryCd"), ("RecipientUSAddress", "RecipientUSAddress/AddressLine1Txt", "RecipientUSAddress/CityNm", "RecipientUSAddress/StateAbbreviationCd", "RecipientUSAddress/ZIPCd")
-_TABLE = _paths(f"{_SI}/RecipientTable", "", "RecipientBusinessName", "RecipientBusinessName/BusinessNameLine1Txt", "USAddress", "USAddress/StateAbbreviationCd", "RecipientEIN", "CashGrantAmt", "PurposeOfGrantTxt")
+_FOREIGN, _HERE = ("RecipientForeignAddress", "RecipientForeignAddress/AddressLine1Txt", "RecipientForeignAddress/CityNm", "RecipientForeignAddress/CountryCd"), (
+    "RecipientUSAddress", "RecipientUSAddress/AddressLine1Txt", "RecipientUSAddress/CityNm",
+    "RecipientUSAddress/StateAbbreviationCd", "RecipientUSAddress/ZIPCd"
+)
+_TABLE = _paths(
+    f"{_SI}/RecipientTable", "", "RecipientBusinessName", "RecipientBusinessName/BusinessNameLine1Txt", "USAddress",
+    "USAddress/StateAbbreviationCd", "RecipientEIN", "CashGrantAmt", "PurposeOfGrantTxt"
+)
 
 
 def _group(name: str) -> str:
@@ -131,13 +217,19 @@ versioned AS (SELECT path, string_agg(DISTINCT v, ';;' ORDER BY v) AS versions,
   FROM (SELECT *, CASE WHEN starts_with(path, '/html') THEN '' WHEN o_orderkey % 2 = 0 THEN '2022v5.0' ELSE '2021v4.0' END AS v FROM elements) GROUP BY path)"""
 
 
-@query("e16_element_paths", ELEMENTS + " SELECT object_id, count(path) AS n_paths, string_agg(path, ',' ORDER BY path) AS paths FROM elements GROUP BY 1 UNION ALL SELECT object_id, -1, NULL FROM kinds WHERE o_orderkey % 101 = 0")
+@query(
+    "e16_element_paths",
+    ELEMENTS + " SELECT object_id, count(path) AS n_paths, string_agg(path, ',' ORDER BY path) AS paths FROM elements GROUP BY 1 UNION ALL SELECT object_id, -1, NULL FROM kinds WHERE o_orderkey % 101 = 0"
+)
 def e16(spark, sf_dir):
     paths = xml_filings(spark, sf_dir).select("object_id", fil.element_paths(F.col("xml")).alias("paths"))
     return paths.select("object_id", F.coalesce(F.size("paths"), F.lit(-1)).cast("long").alias("n_paths"), F.array_join("paths", ",").alias("paths"))
 
 
-@query("e17_a13_unread_paths", ELEMENTS + " SELECT * FROM versioned WHERE path NOT IN (" + ", ".join(f"'{p}'" for p in sorted(fil.consumed_paths())) + ")")
+@query(
+    "e17_a13_unread_paths",
+    ELEMENTS + " SELECT * FROM versioned WHERE path NOT IN (" + ", ".join(f"'{p}'" for p in sorted(fil.consumed_paths())) + ")"
+)
 def e17(spark, sf_dir):
     from almoner.operators.quality import path_versions, unmapped
 

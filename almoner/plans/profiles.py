@@ -23,22 +23,36 @@ RECIPIENTS = """SELECT recipient_ein_resolved, paid_usd, paid_grants, future_usd
 BOTH = ctes("edges", "registry")
 
 
-@query("q01_funder_grants", ctes("edges") + " SELECT grant_id, amount_usd, tax_year, recipient_name_raw FROM edges WHERE funder_ein = '000000007' AND amount_type = 'paid' AND amount_usd >= 1000 AND match_confidence >= 0.6 ORDER BY amount_usd DESC, grant_id LIMIT 25")
+@query(
+    "q01_funder_grants",
+    ctes("edges") + " SELECT grant_id, amount_usd, tax_year, recipient_name_raw FROM edges WHERE funder_ein = '000000007' AND amount_type = 'paid' AND amount_usd >= 1000 AND match_confidence >= 0.6 ORDER BY amount_usd DESC, grant_id LIMIT 25"
+)
 def q01(spark, sf_dir):
-    return pro.funder_grants(edges(spark, sf_dir), "000000007", min_amount=1000, min_confidence=0.6, limit=25).select("grant_id", "amount_usd", "tax_year", "recipient_name_raw")
+    return pro.funder_grants(
+        edges(spark, sf_dir), "000000007", min_amount=1000, min_confidence=0.6, limit=25
+    ).select("grant_id", "amount_usd", "tax_year", "recipient_name_raw")
 
 
-@query("q02_funders_of_recipient", ctes("edges") + " SELECT recipient_ein_resolved, funder_ein, funder_name, CAST(sum(amount_usd) AS BIGINT) AS total_usd, count(*) AS grants, max(tax_year) AS last_year FROM edges WHERE amount_type = 'paid' AND match_confidence >= 0.9 AND recipient_ein_resolved IS NOT NULL GROUP BY 1, 2, 3")
+@query(
+    "q02_funders_of_recipient",
+    ctes("edges") + " SELECT recipient_ein_resolved, funder_ein, funder_name, CAST(sum(amount_usd) AS BIGINT) AS total_usd, count(*) AS grants, max(tax_year) AS last_year FROM edges WHERE amount_type = 'paid' AND match_confidence >= 0.9 AND recipient_ein_resolved IS NOT NULL GROUP BY 1, 2, 3"
+)
 def q02(spark, sf_dir):
     return pro.funders_of_recipients(edges(spark, sf_dir))
 
 
-@query("a20_p07_one_recipient", ctes("edges") + " SELECT funder_ein, CAST(sum(amount_usd) AS BIGINT) AS total_usd, count(*) AS grants, max(tax_year) AS last_year FROM edges WHERE amount_type = 'paid' AND match_confidence >= 0.9 AND recipient_ein_resolved = '000000003' GROUP BY funder_ein")
+@query(
+    "a20_p07_one_recipient",
+    ctes("edges") + " SELECT funder_ein, CAST(sum(amount_usd) AS BIGINT) AS total_usd, count(*) AS grants, max(tax_year) AS last_year FROM edges WHERE amount_type = 'paid' AND match_confidence >= 0.9 AND recipient_ein_resolved = '000000003' GROUP BY funder_ein"
+)
 def a20(spark, sf_dir):
     return pro.funders_of_recipients(edges(spark, sf_dir), recipient_ein="000000003").select("funder_ein", "total_usd", "grants", "last_year")
 
 
-@query("q03_funders_by_keyword", ctes("edges") + " SELECT funder_ein, funder_name, CAST(sum(amount_usd) AS BIGINT) AS total_usd, count(*) AS grants FROM edges WHERE amount_type = 'paid' AND (contains(upper(grant_purpose), 'RING') OR contains(upper(recipient_name_raw), 'RING')) AND amount_usd >= 500 GROUP BY 1, 2 ORDER BY total_usd DESC, funder_ein LIMIT 25")
+@query(
+    "q03_funders_by_keyword",
+    ctes("edges") + " SELECT funder_ein, funder_name, CAST(sum(amount_usd) AS BIGINT) AS total_usd, count(*) AS grants FROM edges WHERE amount_type = 'paid' AND (contains(upper(grant_purpose), 'RING') OR contains(upper(recipient_name_raw), 'RING')) AND amount_usd >= 500 GROUP BY 1, 2 ORDER BY total_usd DESC, funder_ein LIMIT 25"
+)
 def q03(spark, sf_dir):
     return pro.funders_by_keyword(edges(spark, sf_dir), "ring", min_amount=500)
 
@@ -48,7 +62,10 @@ def a02(spark, sf_dir):
     return pro.funder_totals(edges(spark, sf_dir), analog(spark, sf_dir, "registry"))
 
 
-@query("a04_w02_funder_recipients", ctes("edges") + f" SELECT * EXCLUDE (rn), CAST(rn AS INTEGER) AS rn FROM (SELECT *, row_number() OVER (PARTITION BY funder_ein ORDER BY total_usd DESC, recipient) AS rn FROM (SELECT funder_ein, {KEY} AS recipient, min(recipient_name_raw) AS name, CAST(sum(amount_usd) AS BIGINT) AS total_usd, count(*) AS grants, max(tax_year) AS last_year FROM edges WHERE amount_type = 'paid' GROUP BY 1, 2)) WHERE rn <= 5")
+@query(
+    "a04_w02_funder_recipients",
+    ctes("edges") + f" SELECT * EXCLUDE (rn), CAST(rn AS INTEGER) AS rn FROM (SELECT *, row_number() OVER (PARTITION BY funder_ein ORDER BY total_usd DESC, recipient) AS rn FROM (SELECT funder_ein, {KEY} AS recipient, min(recipient_name_raw) AS name, CAST(sum(amount_usd) AS BIGINT) AS total_usd, count(*) AS grants, max(tax_year) AS last_year FROM edges WHERE amount_type = 'paid' GROUP BY 1, 2)) WHERE rn <= 5"
+)
 def a04(spark, sf_dir):
     return pro.funder_recipients(edges(spark, sf_dir), 5)
 
@@ -58,7 +75,10 @@ def a05(spark, sf_dir):
     return pro.recipient_totals(edges(spark, sf_dir), analog(spark, sf_dir, "registry"))
 
 
-@query("a06_w04_recipient_funders", ctes("edges") + " SELECT * EXCLUDE (rn), CAST(rn AS INTEGER) AS rn FROM (SELECT *, row_number() OVER (PARTITION BY recipient_ein_resolved ORDER BY total_usd DESC, funder_ein) AS rn FROM (SELECT recipient_ein_resolved, funder_ein, CAST(sum(amount_usd) AS BIGINT) AS total_usd, count(*) AS grants, max(tax_year) AS last_year, string_agg(DISTINCT match_tier, '' ORDER BY match_tier) AS tiers FROM edges WHERE amount_type = 'paid' AND recipient_ein_resolved IS NOT NULL GROUP BY 1, 2)) WHERE rn <= 5")
+@query(
+    "a06_w04_recipient_funders",
+    ctes("edges") + " SELECT * EXCLUDE (rn), CAST(rn AS INTEGER) AS rn FROM (SELECT *, row_number() OVER (PARTITION BY recipient_ein_resolved ORDER BY total_usd DESC, funder_ein) AS rn FROM (SELECT recipient_ein_resolved, funder_ein, CAST(sum(amount_usd) AS BIGINT) AS total_usd, count(*) AS grants, max(tax_year) AS last_year, string_agg(DISTINCT match_tier, '' ORDER BY match_tier) AS tiers FROM edges WHERE amount_type = 'paid' AND recipient_ein_resolved IS NOT NULL GROUP BY 1, 2)) WHERE rn <= 5"
+)
 def a06(spark, sf_dir):
     return pro.recipient_funders(edges(spark, sf_dir), 5)
 
@@ -77,7 +97,10 @@ def w05(spark, sf_dir):
     return pro.recent_grants(edges(spark, sf_dir), "recipient_ein_resolved", 10).select("recipient_ein_resolved", "grant_id", "rn")
 
 
-@query("a22_q10_unmatched", ctes("edges") + " SELECT recipient_name_normalized, recipient_state, count(*) AS occurrences, CAST(sum(amount_usd) AS BIGINT) AS total_usd FROM edges WHERE recipient_ein_resolved IS NULL GROUP BY 1, 2")
+@query(
+    "a22_q10_unmatched",
+    ctes("edges") + " SELECT recipient_name_normalized, recipient_state, count(*) AS occurrences, CAST(sum(amount_usd) AS BIGINT) AS total_usd FROM edges WHERE recipient_ein_resolved IS NULL GROUP BY 1, 2"
+)
 def a22(spark, sf_dir):
     return pro.unmatched(edges(spark, sf_dir))
 
@@ -103,16 +126,23 @@ def q04(spark, sf_dir):
     p = F.from_json("payload", shape)
     return docs.select(
         "funder_ein", p["paid_usd"].alias("paid_usd"), p["future_usd"].alias("future_usd"), p["recipients"].alias("recipients"),
-        _shown(p["years"], "tax_year", "paid_usd", "future_usd", "grants", "filings").alias("years"), _shown(p["filings"], "object_id", "tax_year", "return_version").alias("filings"),
+        _shown(p["years"], "tax_year", "paid_usd", "future_usd", "grants", "filings").alias("years"),
+        _shown(p["filings"], "object_id", "tax_year", "return_version").alias("filings"),
         _shown(p["top_recipients"], "recipient", "total_usd", "grants").alias("top"),
-        _shown(p["recent_grants"], "grant_id", "tax_year", "amount_type", "amount_usd", "recipient_name", "recipient_ein", "match_tier", "purpose", "city", "recipient_type").alias("recent"),
+        _shown(
+            p["recent_grants"], "grant_id", "tax_year", "amount_type", "amount_usd", "recipient_name", "recipient_ein",
+            "match_tier", "purpose", "city", "recipient_type"
+        ).alias("recent"),
         p["dataset_version"].alias("version"),
     )
 
 
 def _shown(rows, *fields):
     """A document's array as one text."""
-    return F.coalesce(F.array_join(F.transform(rows, lambda x: F.concat_ws("/", *[F.coalesce(x[f].cast("string"), F.lit("-")) for f in fields])), " "), F.lit(""))
+    return F.coalesce(
+        F.array_join(F.transform(rows, lambda x: F.concat_ws("/", *[F.coalesce(x[f].cast("string"), F.lit("-")) for f in fields])), " "),
+        F.lit("")
+    )
 
 
 @query(
@@ -139,9 +169,14 @@ def q05b(spark, sf_dir):
     )
 
 
-@query("q05_recipient_profile", f"{BOTH}, r AS ({RECIPIENTS}) SELECT recipient_ein_resolved, name, paid_usd, funders FROM r WHERE recipient_ein_resolved = '000000005'")
+@query(
+    "q05_recipient_profile",
+    f"{BOTH}, r AS ({RECIPIENTS}) SELECT recipient_ein_resolved, name, paid_usd, funders FROM r WHERE recipient_ein_resolved = '000000005'"
+)
 def q05(spark, sf_dir):
-    return pro.recipient_totals(edges(spark, sf_dir), analog(spark, sf_dir, "registry")).filter("recipient_ein_resolved = '000000005'").select("recipient_ein_resolved", "name", "paid_usd", "funders")
+    return pro.recipient_totals(
+        edges(spark, sf_dir), analog(spark, sf_dir, "registry")
+    ).filter("recipient_ein_resolved = '000000005'").select("recipient_ein_resolved", "name", "paid_usd", "funders")
 
 
 PAGED = ctes("edges") + ", l AS (SELECT funder_ein FROM edges GROUP BY 1 HAVING count(*) > 60), p AS (SELECT funder_ein, tax_year, grant_id, CAST(ceil(row_number() OVER (PARTITION BY funder_ein, tax_year ORDER BY amount_usd DESC, grant_id) / 4.0) AS INTEGER) AS page FROM edges WHERE funder_ein IN (SELECT funder_ein FROM l))"
@@ -152,10 +187,19 @@ def k12(spark, sf_dir):
     return pro.year_pages(edges(spark, sf_dir), 60, 4).select("funder_ein", "tax_year", "grant_id", "page")
 
 
-@query("k12_page_counts", PAGED + " SELECT funder_ein, string_agg(tax_year || ':' || pages, ' ' ORDER BY tax_year) AS pages FROM (SELECT funder_ein, tax_year, max(page) AS pages FROM p GROUP BY 1, 2) GROUP BY 1")
+@query(
+    "k12_page_counts",
+    PAGED + " SELECT funder_ein, string_agg(tax_year || ':' || pages, ' ' ORDER BY tax_year) AS pages FROM (SELECT funder_ein, tax_year, max(page) AS pages FROM p GROUP BY 1, 2) GROUP BY 1"
+)
 def k12b(spark, sf_dir):
     pages = pro.page_counts(pro.year_pages(edges(spark, sf_dir), 60, 4))
-    return pages.select("funder_ein", F.array_join(F.transform(F.sort_array(F.map_entries("pages")), lambda x: F.concat_ws(":", x["key"], x["value"].cast("string"))), " ").alias("pages"))
+    return pages.select(
+        "funder_ein",
+        F.array_join(
+            F.transform(F.sort_array(F.map_entries("pages")), lambda x: F.concat_ws(":", x["key"], x["value"].cast("string"))),
+            " "
+        ).alias("pages")
+    )
 
 
 def _browse(where: str, page: int, size: int) -> str:
@@ -180,7 +224,10 @@ def _entities(spark, sf_dir):
     return funders.unionByName(r.select("ein", F.lit("recipient").alias("kind"), F.col("name_normalized").alias("name")))
 
 
-@query("q14_name_search", ctes("registry") + " SELECT ein, 'recipient' AS kind, name_normalized AS name FROM registry WHERE list_contains(string_split(name_normalized, ' '), 'HARBOR') AND len(list_filter(string_split(name_normalized, ' '), lambda x: starts_with(x, 'YOU'))) > 0 ORDER BY len(string_split(name_normalized, ' ')), name_normalized, ein LIMIT 25")
+@query(
+    "q14_name_search",
+    ctes("registry") + " SELECT ein, 'recipient' AS kind, name_normalized AS name FROM registry WHERE list_contains(string_split(name_normalized, ' '), 'HARBOR') AND len(list_filter(string_split(name_normalized, ' '), lambda x: starts_with(x, 'YOU'))) > 0 ORDER BY len(string_split(name_normalized, ' ')), name_normalized, ein LIMIT 25"
+)
 def q14(spark, sf_dir):
     return pro.search(pro.search_index(_entities(spark, sf_dir)), "harbor you")
 
@@ -190,7 +237,10 @@ def q15(spark, sf_dir):
     return pro.search(pro.search_index(_entities(spark, sf_dir)), "00-0000004")
 
 
-@query("q11_by_recipient_order", ctes("edges") + " SELECT grant_id, row_number() OVER (PARTITION BY filing_year ORDER BY recipient_ein_resolved NULLS LAST, amount_usd DESC, grant_id) AS place FROM edges")
+@query(
+    "q11_by_recipient_order",
+    ctes("edges") + " SELECT grant_id, row_number() OVER (PARTITION BY filing_year ORDER BY recipient_ein_resolved NULLS LAST, amount_usd DESC, grant_id) AS place FROM edges"
+)
 def q11(spark, sf_dir):
     from pyspark.sql import Window
 
@@ -198,13 +248,22 @@ def q11(spark, sf_dir):
     return edges(spark, sf_dir).select("grant_id", F.row_number().over(w).cast("long").alias("place"))
 
 
-@query("k13_sql_literals", ctes("registry") + " SELECT ein, 'INSERT INTO recipients VALUES (' || '''' || ein || '''' || ', ' || '''' || replace(name, '''', '''''') || '''' || ');' AS statement FROM registry")
+@query(
+    "k13_sql_literals",
+    ctes("registry") + " SELECT ein, 'INSERT INTO recipients VALUES (' || '''' || ein || '''' || ', ' || '''' || replace(name, '''', '''''') || '''' || ');' AS statement FROM registry"
+)
 def k13(spark, sf_dir):
     r = analog(spark, sf_dir, "registry")
-    return r.select("ein", F.concat(F.lit("INSERT INTO recipients VALUES ("), quoted(F.col("ein")), F.lit(", "), quoted(F.col("name")), F.lit(");")).alias("statement"))
+    return r.select(
+        "ein",
+        F.concat(F.lit("INSERT INTO recipients VALUES ("), quoted(F.col("ein")), F.lit(", "), quoted(F.col("name")), F.lit(");")).alias("statement")
+    )
 
 
-@query("q_page_values", f"{BOTH}, f AS ({FUNDERS}), m AS (SELECT max(paid_usd) AS m FROM f) SELECT funder_ein, CAST(greatest(1, round(100.0 * paid_usd / m, 0)) AS INTEGER) AS bar, coalesce('$' || format('{{:,}}', paid_usd), '—') AS shown FROM f, m")
+@query(
+    "q_page_values",
+    f"{BOTH}, f AS ({FUNDERS}), m AS (SELECT max(paid_usd) AS m FROM f) SELECT funder_ein, CAST(greatest(1, round(100.0 * paid_usd / m, 0)) AS INTEGER) AS bar, coalesce('$' || format('{{:,}}', paid_usd), '—') AS shown FROM f, m"
+)
 def q_page(spark, sf_dir):
     f = pro.funder_totals(edges(spark, sf_dir), analog(spark, sf_dir, "registry"))
     top = f.agg(F.max("paid_usd").alias("m"))

@@ -25,12 +25,18 @@ def _filings(spark, sf_dir):
     return q.filing_sums(_docs(spark, sf_dir))
 
 
-@query("v07_pf_totals", FILED + " SELECT object_id, parsed AS parsed_paid, reported AS reported_paid, parsed - reported AS delta, pct AS delta_pct, status FROM s")
+@query(
+    "v07_pf_totals",
+    FILED + " SELECT object_id, parsed AS parsed_paid, reported AS reported_paid, parsed - reported AS delta, pct AS delta_pct, status FROM s"
+)
 def v07(spark, sf_dir):
     return q.pf_totals(_filings(spark, sf_dir)).select("object_id", "parsed_paid", "reported_paid", "delta", "delta_pct", "status")
 
 
-@query("v08_table_counts", FILED + " SELECT object_id, parsed_rows, reported_total, parsed_rows - reported_total AS delta, CASE WHEN parsed_rows = reported_total THEN 'exact' ELSE 'mismatch' END AS status FROM c")
+@query(
+    "v08_table_counts",
+    FILED + " SELECT object_id, parsed_rows, reported_total, parsed_rows - reported_total AS delta, CASE WHEN parsed_rows = reported_total THEN 'exact' ELSE 'mismatch' END AS status FROM c"
+)
 def v08(spark, sf_dir):
     return q.table_counts(_filings(spark, sf_dir)).select("object_id", "parsed_rows", "reported_total", "delta", "status")
 
@@ -60,11 +66,17 @@ def a12(spark, sf_dir):
 
 
 def _coverage(spark, sf_dir):
-    has = {"amount": lambda r: r["amount_usd"].isNotNull(), "name": lambda r: r["recipient_name_raw"] != "", "zip": lambda r: r["recipient_zip"].isNotNull()}
+    has = {
+        "amount": lambda r: r["amount_usd"].isNotNull(), "name": lambda r: r["recipient_name_raw"] != "",
+        "zip": lambda r: r["recipient_zip"].isNotNull()
+    }
     return q.coverage(_docs(spark, sf_dir), has, F.col("amount") & F.col("name"))
 
 
-@query("a15_v06_headline", f"{DUCK_LINES}, k AS ({COVERED}) SELECT coalesce(100.0::DOUBLE * count(*) FILTER (WHERE amount AND name) / nullif(count(*), 0), 0) AS percent FROM k")
+@query(
+    "a15_v06_headline",
+    f"{DUCK_LINES}, k AS ({COVERED}) SELECT coalesce(100.0::DOUBLE * count(*) FILTER (WHERE amount AND name) / nullif(count(*), 0), 0) AS percent FROM k"
+)
 def a15(spark, sf_dir):
     return q.headline(_coverage(spark, sf_dir))
 
@@ -86,4 +98,6 @@ def l04(spark, sf_dir):
     from almoner.operators.relational import global_row_number
 
     t = q.pf_totals(_filings(spark, sf_dir)).filter("delta_pct IS NOT NULL")
-    return global_row_number(t, [F.col("status"), -F.col("delta_pct"), F.col("object_id")], "place").select("object_id", F.col("place").cast("long").alias("place"))
+    return global_row_number(
+        t, [F.col("status"), -F.col("delta_pct"), F.col("object_id")], "place"
+    ).select("object_id", F.col("place").cast("long").alias("place"))

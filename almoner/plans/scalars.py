@@ -63,7 +63,8 @@ SELECT id, CASE WHEN length(zd) >= 5 THEN substr(zd, 1, 5) END AS zip5, CASE WHE
 def f04(spark, sf_dir):
     raw = F.col("raw")
     return raw_names(spark, sf_dir).select(
-        "id", names.zip5(F.col("zip")).alias("zip5"), names.valid_ein(F.col("ein")).alias("valid_ein"), names.padded_ein(F.col("ein")).alias("header_ein"),
+        "id", names.zip5(F.col("zip")).alias("zip5"), names.valid_ein(F.col("ein")).alias("valid_ein"),
+        names.padded_ein(F.col("ein")).alias("header_ein"),
         names.squash(raw).alias("squashed"), names.first_token(names.normalize_name(raw)).alias("first_token"), names.clean(raw).alias("cleaned"),
     )
 
@@ -73,7 +74,10 @@ def f05(spark, sf_dir):
     return edges(spark, sf_dir).select("grant_id", names.tax_year(F.col("tax_period_end")).alias("year"))
 
 
-@query("f08_clamp", "SELECT s_suppkey, round(least(greatest(s_acctbal / 10000, 0.5), 0.89), 2) AS clamped FROM (SELECT s_suppkey, CAST(floor(s_acctbal) AS DOUBLE) AS s_acctbal FROM supplier)")
+@query(
+    "f08_clamp",
+    "SELECT s_suppkey, round(least(greatest(s_acctbal / 10000, 0.5), 0.89), 2) AS clamped FROM (SELECT s_suppkey, CAST(floor(s_acctbal) AS DOUBLE) AS s_acctbal FROM supplier)"
+)
 def f08(spark, sf_dir):
     x = F.floor("s_acctbal").cast("double") / 10000
     return table(spark, sf_dir, "supplier").select("s_suppkey", names.clamp(x, F.lit(0.5), F.lit(0.89)).alias("clamped"))
@@ -86,7 +90,9 @@ def f08(spark, sf_dir):
 FROM probes p JOIN registry r ON p.expected_ein = r.ein""",
 )
 def f10(spark, sf_dir):
-    p, r = analog(spark, sf_dir, "probes"), analog(spark, sf_dir, "registry").select("ein", F.col("name_normalized").alias("candidate"), "sort_name_normalized")
+    p, r = analog(spark, sf_dir, "probes"), analog(spark, sf_dir, "registry").select(
+        "ein", F.col("name_normalized").alias("candidate"), "sort_name_normalized"
+    )
     sim = similarity.best_similarity(F.col("name_normalized"), F.col("sort_name_normalized"), F.lit(None).cast("string"), F.col("candidate"))
     return p.join(r, F.col("expected_ein") == F.col("ein")).select("expected_ein", "name_normalized", F.round(sim, 6).alias("sim"))
 
@@ -96,7 +102,10 @@ def f11(spark, sf_dir):
     return analog(spark, sf_dir, "registry").select("ein", similarity.phonetic_key(F.col("name_normalized")).alias("phonetic"))
 
 
-@query("f13_grant_id", "SELECT o_orderkey, substr(sha256(CAST(o_orderkey AS VARCHAR) || ':pf_paid:' || CAST(o_custkey % 5 AS VARCHAR)), 1, 32) AS grant_id FROM orders")
+@query(
+    "f13_grant_id",
+    "SELECT o_orderkey, substr(sha256(CAST(o_orderkey AS VARCHAR) || ':pf_paid:' || CAST(o_custkey % 5 AS VARCHAR)), 1, 32) AS grant_id FROM orders"
+)
 def f13(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     return o.select("o_orderkey", values.grant_id(F.col("o_orderkey").cast("string"), F.lit("pf_paid"), F.col("o_custkey") % 5).alias("grant_id"))
@@ -107,10 +116,15 @@ def f13(spark, sf_dir):
     DUCK_NAMES + r" SELECT id, CASE WHEN regexp_matches(stamp, '^\d{4}-\d{2}-\d{2}$') THEN TRY_CAST(stamp AS DATE) END AS submitted, CASE WHEN regexp_matches(substr(stamp, 1, 10), '^\d{4}-\d{2}-\d{2}$') THEN TRY_CAST(substr(stamp, 1, 10) AS DATE) END AS period_end FROM raw_names",
 )
 def f14(spark, sf_dir):
-    return raw_names(spark, sf_dir).select("id", values.submission_date(F.col("stamp")).alias("submitted"), values.iso_date(F.col("stamp")).alias("period_end"))
+    return raw_names(spark, sf_dir).select(
+        "id", values.submission_date(F.col("stamp")).alias("submitted"), values.iso_date(F.col("stamp")).alias("period_end")
+    )
 
 
-@query("f17_file_year", ctes("members") + r" SELECT object_id, TRY_CAST(nullif(regexp_extract(zip_file, '(\d{4})', 1), '') AS INTEGER) AS year FROM members")
+@query(
+    "f17_file_year",
+    ctes("members") + r" SELECT object_id, TRY_CAST(nullif(regexp_extract(zip_file, '(\d{4})', 1), '') AS INTEGER) AS year FROM members"
+)
 def f17(spark, sf_dir):
     return analog(spark, sf_dir, "members").select("object_id", values.file_year(F.col("zip_file")).alias("year"))
 
@@ -128,7 +142,9 @@ def f18(spark, sf_dir):
     DUCK_NAMES + " SELECT id, trim(regexp_replace(upper(coalesce(raw, '')), '[^A-Z0-9 ]+', ' ', 'g')) AS search_form, list_filter(string_split(regexp_replace(upper(coalesce(raw, '')), '[^A-Z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')[1:8] AS tokens FROM raw_names",
 )
 def f19(spark, sf_dir):
-    return raw_names(spark, sf_dir).select("id", names.search_form(F.col("raw")).alias("search_form"), names.search_tokens(F.col("raw")).alias("tokens"))
+    return raw_names(spark, sf_dir).select(
+        "id", names.search_form(F.col("raw")).alias("search_form"), names.search_tokens(F.col("raw")).alias("tokens")
+    )
 
 
 @query(
@@ -139,7 +155,10 @@ SELECT id, canonical, substr(canonical, 1, 2) || '-' || substr(canonical, 3, 7)
 )
 def f20(spark, sf_dir):
     e = F.col("ein")
-    return raw_names(spark, sf_dir).select("id", names.canonical_ein(e).alias("canonical"), names.display_ein(e).alias("shown"), names.is_canonical_ein(e).alias("is_canonical"))
+    return raw_names(spark, sf_dir).select(
+        "id", names.canonical_ein(e).alias("canonical"), names.display_ein(e).alias("shown"),
+        names.is_canonical_ein(e).alias("is_canonical")
+    )
 
 
 def _duck_scaled(unit: str, plain: str, letter: str) -> str:
@@ -158,8 +177,15 @@ def f21(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     factor = F.element_at(F.array(*map(F.lit, (1, -1, 1000, 1000000, 0))), (F.col("o_orderkey") % 5 + 1).cast("int"))
     v = F.when(F.col("o_orderkey") % 13 == 0, None).otherwise(F.floor("o_totalprice").cast("long") * factor + F.col("o_orderkey") % 900)
-    d = o.select(F.col("o_orderkey").alias("id"), v.alias("v"), F.when(F.col("o_custkey") % 4 != 0, 2010 + F.col("o_custkey") % 3).alias("a"), F.when(F.col("o_custkey") % 5 != 0, F.lit(2012).cast("long")).alias("b"))
-    return d.select("id", formats.money(F.col("v")).alias("money"), formats.counted(F.col("v")).alias("counted"), formats.plural(F.col("id"), "grant").alias("plural"), formats.year_span(F.col("a"), F.col("b")).alias("span"))
+    d = o.select(
+        F.col("o_orderkey").alias("id"), v.alias("v"),
+        F.when(F.col("o_custkey") % 4 != 0, 2010 + F.col("o_custkey") % 3).alias("a"),
+        F.when(F.col("o_custkey") % 5 != 0, F.lit(2012).cast("long")).alias("b")
+    )
+    return d.select(
+        "id", formats.money(F.col("v")).alias("money"), formats.counted(F.col("v")).alias("counted"),
+        formats.plural(F.col("id"), "grant").alias("plural"), formats.year_span(F.col("a"), F.col("b")).alias("span")
+    )
 
 
 def _tenths(unit: int) -> str:
@@ -182,23 +208,36 @@ def f21b(spark, sf_dir):
 
 @query("f21_nice_names")
 def f21c(spark, sf_dir):
-    return raw_names(spark, sf_dir).select("id", formats.nice_name(F.col("raw")).alias("nice"), formats.shown_date(F.col("stamp")).alias("shown_date"))
+    return raw_names(spark, sf_dir).select(
+        "id", formats.nice_name(F.col("raw")).alias("nice"), formats.shown_date(F.col("stamp")).alias("shown_date")
+    )
 
 
-@query("f22_sum_of_known", ctes("edges") + " SELECT funder_ein, CAST(coalesce(sum(CASE WHEN recipient_ein_resolved IS NOT NULL THEN amount_usd END), 0) AS BIGINT) AS total FROM edges GROUP BY 1")
+@query(
+    "f22_sum_of_known",
+    ctes("edges") + " SELECT funder_ein, CAST(coalesce(sum(CASE WHEN recipient_ein_resolved IS NOT NULL THEN amount_usd END), 0) AS BIGINT) AS total FROM edges GROUP BY 1"
+)
 def f22(spark, sf_dir):
     known = F.when(F.col("recipient_ein_resolved").isNotNull(), F.col("amount_usd"))
     return edges(spark, sf_dir).groupBy("funder_ein").agg(F.coalesce(F.sum(known), F.lit(0)).alias("total"))
 
 
-@query("f23_joined_name", DUCK_NAMES + " SELECT id, nullif(concat_ws(' ', nullif(trim(raw), ''), nullif(trim(zip), '')), '') AS joined FROM raw_names")
+@query(
+    "f23_joined_name",
+    DUCK_NAMES + " SELECT id, nullif(concat_ws(' ', nullif(trim(raw), ''), nullif(trim(zip), '')), '') AS joined FROM raw_names"
+)
 def f23(spark, sf_dir):
     return raw_names(spark, sf_dir).select("id", names.joined_name(F.col("raw"), F.col("zip")).alias("joined"))
 
 
-@query("f25_json", 'SELECT s_suppkey, \'{"ein":\' || CAST(s_suppkey AS VARCHAR) || \',"name":"\' || s_name || \'"}\' AS body, s_name AS decoded FROM supplier')
+@query(
+    "f25_json",
+    'SELECT s_suppkey, \'{"ein":\' || CAST(s_suppkey AS VARCHAR) || \',"name":"\' || s_name || \'"}\' AS body, s_name AS decoded FROM supplier'
+)
 def f25(spark, sf_dir):
-    s = table(spark, sf_dir, "supplier").select("s_suppkey", values.compact_json(F.struct(F.col("s_suppkey").alias("ein"), F.col("s_name").alias("name"))).alias("body"))
+    s = table(spark, sf_dir, "supplier").select(
+        "s_suppkey", values.compact_json(F.struct(F.col("s_suppkey").alias("ein"), F.col("s_name").alias("name"))).alias("body")
+    )
     return s.withColumn("decoded", F.from_json("body", "ein long, name string")["name"])
 
 
@@ -231,7 +270,10 @@ def _duck_case(column: str, labels: dict[str, str], other: str) -> str:
     return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN '{text(v)}'" for k, v in labels.items()) + f" ELSE {other} END"
 
 
-@query("f29_field_labels", ctes("registry") + f" SELECT ein, {_duck_case('substr(ntee_code, 1, 1)', formats.FIELDS_OF_WORK, 'ntee_code')} AS field FROM registry")
+@query(
+    "f29_field_labels",
+    ctes("registry") + f" SELECT ein, {_duck_case('substr(ntee_code, 1, 1)', formats.FIELDS_OF_WORK, 'ntee_code')} AS field FROM registry"
+)
 def f29(spark, sf_dir):
     return analog(spark, sf_dir, "registry").select("ein", formats.field_of_work(F.col("ntee_code")).alias("field"))
 

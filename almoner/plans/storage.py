@@ -32,7 +32,10 @@ def k01(spark, sf_dir):
     return tables.published(spark, f"{root}/grants", [1998]).select("grant_id", "filing_year", "amount_usd")
 
 
-@query("k02_k10_rewritten_years", ctes("edges") + " SELECT grant_id, CASE WHEN filing_year = 1999 THEN 'X' ELSE match_tier END AS match_tier FROM edges")
+@query(
+    "k02_k10_rewritten_years",
+    ctes("edges") + " SELECT grant_id, CASE WHEN filing_year = 1999 THEN 'X' ELSE match_tier END AS match_tier FROM edges"
+)
 def k02(spark, sf_dir):
     root = scratch(spark)
     pub.write_edges(_grants(spark, sf_dir), root)
@@ -41,7 +44,10 @@ def k02(spark, sf_dir):
     return tables.published(spark, f"{root}/grants").select("grant_id", "match_tier")
 
 
-@query("k03_l01_l03_s16_staged_order", ctes("edges") + " SELECT grant_id, row_number() OVER (PARTITION BY filing_year ORDER BY funder_ein, tax_year NULLS FIRST, amount_usd DESC NULLS LAST, grant_id) - 1 AS row_index FROM edges")
+@query(
+    "k03_l01_l03_s16_staged_order",
+    ctes("edges") + " SELECT grant_id, row_number() OVER (PARTITION BY filing_year ORDER BY funder_ein, tax_year NULLS FIRST, amount_usd DESC NULLS LAST, grant_id) - 1 AS row_index FROM edges"
+)
 def k03(spark, sf_dir):
     out = pub.stage(_grants(spark, sf_dir), scratch(spark), "2026.08.1")
     return tables.files_with_rows(spark, out).select("grant_id", "row_index")
@@ -71,32 +77,48 @@ UNION ALL SELECT DISTINCT 'index', 0, '<sitemap><loc>/' || series || '/number='
 @query("k14_sitemaps", ctes("edges", "registry") + SITEMAPS)
 def k14(spark, sf_dir):
     path = scratch(spark)
-    series = {"funders": edges(spark, sf_dir).select(F.col("funder_ein").alias("ein")).distinct(), "recipients": analog(spark, sf_dir, "registry").select("ein")}
+    series = {
+        "funders": edges(spark, sf_dir).select(F.col("funder_ein").alias("ein")).distinct(),
+        "recipients": analog(spark, sf_dir, "registry").select("ein")
+    }
     pub.sitemaps({k: v.select(F.concat(F.lit(f"/{k}/"), "ein").alias("url")) for k, v in series.items()}, path, "2026-08-01", "", 30)
-    index = spark.read.text(f"{path}/sitemap-index.xml").filter("value LIKE '<sitemap>%'").select(F.lit("index").alias("series"), F.lit(0).alias("number"), "value")
+    index = spark.read.text(f"{path}/sitemap-index.xml").filter("value LIKE '<sitemap>%'").select(
+        F.lit("index").alias("series"), F.lit(0).alias("number"), "value"
+    )
     for k in series:
         index = index.unionByName(spark.read.text(f"{path}/{k}").select(F.lit(k).alias("series"), "number", "value"))
     return index
 
 
-@query("k13_insert_files", ctes("registry") + " SELECT CAST((row_number() OVER (ORDER BY ein) - 1) // 30 AS INTEGER) AS chunk, 'INSERT INTO r VALUES (''' || ein || ''');' AS value FROM registry")
+@query(
+    "k13_insert_files",
+    ctes("registry") + " SELECT CAST((row_number() OVER (ORDER BY ein) - 1) // 30 AS INTEGER) AS chunk, 'INSERT INTO r VALUES (''' || ein || ''');' AS value FROM registry"
+)
 def k13(spark, sf_dir):
     path = scratch(spark)
-    rows = analog(spark, sf_dir, "registry").select("ein", F.concat(F.lit("INSERT INTO r VALUES ("), quoted(F.col("ein")), F.lit(");")).alias("statement"))
+    rows = analog(spark, sf_dir, "registry").select(
+        "ein", F.concat(F.lit("INSERT INTO r VALUES ("), quoted(F.col("ein")), F.lit(");")).alias("statement")
+    )
     pub.write_inserts(rows, path, [F.col("ein")], 30)
     return spark.read.text(path).select("chunk", "value")
 
 
 @query("s04_ledger", "SELECT 'f' || CAST(o_custkey AS VARCHAR) AS url, max(CAST(o_orderdate AS DATE)) AS fetched_at FROM orders GROUP BY 1")
 def s04(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select(F.concat(F.lit("f"), F.col("o_custkey").cast("string")).alias("url"), F.col("o_orderdate").cast("date").alias("fetched_at"), F.lit("00").alias("sha256"), "o_orderkey")
+    o = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("f"), F.col("o_custkey").cast("string")).alias("url"),
+        F.col("o_orderdate").cast("date").alias("fetched_at"), F.lit("00").alias("sha256"), "o_orderkey"
+    )
     return pub.put_ledger(o.filter("o_orderkey % 2 = 0"), o.filter("o_orderkey % 2 = 1")).select("url", "fetched_at")
 
 
 @query("s05_index_csv", ctes("filing_index") + " SELECT object_id, ein, tax_period, return_type, sub_date FROM filing_index")
 def s05(spark, sf_dir):
     path = scratch(spark)
-    cols = {"OBJECT_ID": "object_id", "Ein": "ein", "TAX_PERIOD": "tax_period", "RETURN_TYPE": "return_type", "Sub_Date": "sub_date", "Taxpayer Name": "ein"}
+    cols = {
+        "OBJECT_ID": "object_id", "Ein": "ein", "TAX_PERIOD": "tax_period", "RETURN_TYPE": "return_type", "Sub_Date": "sub_date",
+        "Taxpayer Name": "ein"
+    }
     analog(spark, sf_dir, "filing_index").select(*[F.col(c).alias(k) for k, c in cols.items()]).write.csv(path, header=True)
     return tables.index(spark, path).select("object_id", "ein", "tax_period", "return_type", "sub_date")
 
@@ -132,12 +154,18 @@ def _zips(spark, sf_dir) -> str:
     return "file://" + local
 
 
-@query("s06_archive_members", ctes("members") + " SELECT object_id, zip_file, 'part/' || object_id || '_public.xml' AS member, CAST(length(object_id) + 15 AS BIGINT) AS bytes FROM members")
+@query(
+    "s06_archive_members",
+    ctes("members") + " SELECT object_id, zip_file, 'part/' || object_id || '_public.xml' AS member, CAST(length(object_id) + 15 AS BIGINT) AS bytes FROM members"
+)
 def s06(spark, sf_dir):
     return archives.members(spark, _zips(spark, sf_dir))
 
 
-@query("s07_p02_wanted_members", ctes("members") + " SELECT object_id, '<Return id=''' || object_id || '''/>' AS xml FROM members WHERE object_id NOT LIKE 'X%'")
+@query(
+    "s07_p02_wanted_members",
+    ctes("members") + " SELECT object_id, '<Return id=''' || object_id || '''/>' AS xml FROM members WHERE object_id NOT LIKE 'X%'"
+)
 def s07(spark, sf_dir):
     wanted = analog(spark, sf_dir, "filing_index").select("object_id")
     return archives.documents(spark, _zips(spark, sf_dir), wanted).select("object_id", "xml")
@@ -151,7 +179,10 @@ def s07b(spark, sf_dir):
     return spark.read.format("zip_filings").option("paths", paths).load().select("object_id", "xml")
 
 
-@query("s05_index_of_two_headers", ctes("filing_index") + " SELECT object_id, ein, sub_date, CASE WHEN filing_year >= 1996 THEN 'b' || object_id END AS xml_batch_id FROM filing_index")
+@query(
+    "s05_index_of_two_headers",
+    ctes("filing_index") + " SELECT object_id, ein, sub_date, CASE WHEN filing_year >= 1996 THEN 'b' || object_id END AS xml_batch_id FROM filing_index"
+)
 def s05b(spark, sf_dir):
     folder, rows = scratch(spark), analog(spark, sf_dir, "filing_index")
     cols = {"RETURN_ID": F.concat(F.lit("r"), "object_id"), "EIN": F.col("ein"), "TAX_PERIOD": F.col("tax_period"), "SUB_DATE": F.col("sub_date")}
@@ -165,16 +196,27 @@ def s05b(spark, sf_dir):
     return index.filter(F.col("taxpayer_name").endswith("\nand, co")).select("object_id", "ein", "sub_date", "xml_batch_id")
 
 
-@query("s13_registry_csv", "SELECT lpad(CAST(s_suppkey + 1 AS VARCHAR), 9, '0') AS ein, s_name AS name, trim(replace(upper(s_name), '#', ' ')) AS name_normalized, '94022' AS zip5 FROM supplier")
+@query(
+    "s13_registry_csv",
+    "SELECT lpad(CAST(s_suppkey + 1 AS VARCHAR), 9, '0') AS ein, s_name AS name, trim(replace(upper(s_name), '#', ' ')) AS name_normalized, '94022' AS zip5 FROM supplier"
+)
 def s13(spark, sf_dir):
     path = scratch(spark)
-    s = table(spark, sf_dir, "supplier").select(F.lpad((F.col("s_suppkey") + 1).cast("string"), 9, "0").alias("EIN"), F.col("s_name").alias("NAME"), F.lit(" ").alias("SORT_NAME"), F.lit("Palo, Alto").alias("CITY"), F.lit("CA").alias("STATE"), F.lit("94022-1").alias("ZIP"), F.lit("B20").alias("NTEE_CD"), F.lit("03").alias("SUBSECTION"), F.lit("01").alias("STATUS"), F.lit("").alias("RULING"))
+    s = table(spark, sf_dir, "supplier").select(
+        F.lpad((F.col("s_suppkey") + 1).cast("string"), 9, "0").alias("EIN"), F.col("s_name").alias("NAME"),
+        F.lit(" ").alias("SORT_NAME"), F.lit("Palo, Alto").alias("CITY"), F.lit("CA").alias("STATE"),
+        F.lit("94022-1").alias("ZIP"), F.lit("B20").alias("NTEE_CD"), F.lit("03").alias("SUBSECTION"),
+        F.lit("01").alias("STATUS"), F.lit("").alias("RULING")
+    )
     s.unionByName(s.limit(3)).unionByName(s.limit(1).withColumn("EIN", F.lit("x"))).write.csv(path, header=True, quote='"', escape='"')
     good, _ = tables.registry(spark, path, "2026-08")
     return good.select("ein", "name", "name_normalized", "zip5")
 
 
-@query("s14_s18_registry_view", ctes("registry") + " SELECT ein, name, city, state, ntee_code AS ntee_cd, subsection_code AS subsection FROM registry")
+@query(
+    "s14_s18_registry_view",
+    ctes("registry") + " SELECT ein, name, city, state, ntee_code AS ntee_cd, subsection_code AS subsection FROM registry"
+)
 def s14(spark, sf_dir):
     path = scratch(spark)
     names = {"EIN": "ein", "NAME": "name", "CITY": "city", "STATE": "state", "NTEE_CD": "ntee_code", "SUBSECTION": "subsection_code"}
@@ -182,7 +224,10 @@ def s14(spark, sf_dir):
     return tables.registry_view(spark, path).unionByName(tables.registry_view(spark, f"{path}/none.csv"))  # the second isn't there: no rows, the same columns
 
 
-@query("s01_landing_links", "SELECT * FROM (VALUES ('http://x/2023_A.csv', '2023_A.csv', 2023, true), ('http://x/a/2023_B.zip', '2023_B.zip', 2023, false), ('http://y/2024_C.zip', '2024_C.zip', 2024, false)) t(url, filename, year, is_index)")
+@query(
+    "s01_landing_links",
+    "SELECT * FROM (VALUES ('http://x/2023_A.csv', '2023_A.csv', 2023, true), ('http://x/a/2023_B.zip', '2023_B.zip', 2023, false), ('http://y/2024_C.zip', '2024_C.zip', 2024, false)) t(url, filename, year, is_index)"
+)
 def s01(spark, sf_dir):
     html = '<a href="/a/2023_B.zip#x">b</a> <a href="2023_A.csv"> <a HREF="http://y/2024_C.zip"> <a href="2023_A.csv"><a href="other.pdf">'
     return tables.landing_files(spark, spark.createDataFrame([(html,)], "html string"), "http://x/")
@@ -201,7 +246,9 @@ def s24(spark, sf_dir):
 def s19(spark, sf_dir):
     path = scratch(spark)
     rows = [("A", " ", "94000", "12-3456789", "seen", ""), ("B", "CA", "", "000000012", "seen", "x")]
-    spark.createDataFrame(rows, "recipient_name_normalized string, state string, zip5 string, ein string, source string, note string").write.csv(path, header=True)
+    spark.createDataFrame(
+        rows, "recipient_name_normalized string, state string, zip5 string, ein string, source string, note string"
+    ).write.csv(path, header=True)
     return tables.corrections(spark, path).select(F.col("recipient_name_normalized").alias("name"), "state", "zip5", "ein")
 
 
@@ -209,7 +256,10 @@ def s19(spark, sf_dir):
 def s20(spark, sf_dir):
     path = scratch(spark)
     rows = [("Hill", "123456789"), ("Dale", "")]
-    df = spark.createDataFrame([(n, None, "CA", None, None, e, "me", "2026-08-01", "site", "") for n, e in rows], ", ".join(f"{c} string" for c in tables.LABEL_COLUMNS))
+    df = spark.createDataFrame(
+        [(n, None, "CA", None, None, e, "me", "2026-08-01", "site", "") for n, e in rows],
+        ", ".join(f"{c} string" for c in tables.LABEL_COLUMNS)
+    )
     df.write.csv(path, header=True)
     return tables.labelled_pairs(spark, path).select(F.col("recipient_name_raw").alias("name"), "expected_ein")
 
@@ -231,10 +281,17 @@ SELECT variable, xpath, CASE WHEN k % 2 = 0 THEN '2020v4.0|2021v4.0' ELSE '' END
 def s10(spark, sf_dir):
     folder, parts = scratch(spark), table(spark, sf_dir, "part")
     rows = spark.sql(FIELDS.format(string="STRING", part="{part}"), part=parts)
-    rest = [F.when(F.col("k") % 2 == 0, "2020v4.0; 2021v4.0;").alias("versions"), F.when(F.col("k") % 4 == 0, "t").otherwise("F").alias("current_version")]
+    rest = [
+        F.when(F.col("k") % 2 == 0, "2020v4.0; 2021v4.0;").alias("versions"),
+        F.when(F.col("k") % 4 == 0, "t").otherwise("F").alias("current_version")
+    ]
     rows.select(F.col("new").alias("variable_name_new"), F.col("old").alias("variable_name"), "xpath", *rest).write.csv(f"{folder}/pf", header=True)
-    rows.filter("k % 9 = 0").select(F.concat(F.lit("X_"), F.coalesce("new", "old")).alias("variable_name"), "xpath", *rest).write.csv(f"{folder}/main", header=True)
-    return tables.field_entries(spark, f"{folder}/pf", f"{folder}/main").select("variable", "xpath", F.array_join("versions", "|").alias("versions"), "current")
+    rows.filter("k % 9 = 0").select(
+        F.concat(F.lit("X_"), F.coalesce("new", "old")).alias("variable_name"), "xpath", *rest
+    ).write.csv(f"{folder}/main", header=True)
+    return tables.field_entries(spark, f"{folder}/pf", f"{folder}/main").select(
+        "variable", "xpath", F.array_join("versions", "|").alias("versions"), "current"
+    )
 
 
 @query("k15_site_manifest", ctes("edges") + """, f AS (SELECT funder_ein, count(*) AS n FROM edges GROUP BY 1), s AS (SELECT string_agg(DISTINCT funder_state, ',' ORDER BY funder_state) AS states FROM edges)
@@ -249,7 +306,10 @@ def q07(spark, sf_dir):
     return pub.versions(spark, ["2025.12.0", "latest", "2026.08.1", "2026.8.1"])
 
 
-@query("t01_t03_streamed_postings", ctes("filing_index") + " SELECT object_id, ein, tax_period, return_type FROM (SELECT *, row_number() OVER (PARTITION BY ein, tax_period, return_type ORDER BY coalesce(sub_date, '') DESC, object_id DESC) AS k FROM filing_index) WHERE k = 1")
+@query(
+    "t01_t03_streamed_postings",
+    ctes("filing_index") + " SELECT object_id, ein, tax_period, return_type FROM (SELECT *, row_number() OVER (PARTITION BY ein, tax_period, return_type ORDER BY coalesce(sub_date, '') DESC, object_id DESC) AS k FROM filing_index) WHERE k = 1"
+)
 def t01(spark, sf_dir):
     root = scratch(spark)
     rows = analog(spark, sf_dir, "filing_index").select(*postings.INDEX.names, "filing_year")
@@ -283,7 +343,10 @@ def q21b(spark, sf_dir):
     return rel.version_delta(_changes(spark, sf_dir))
 
 
-@query("q21_incremental_build", CHANGED.replace("WITH ", ctes("edges") + ", ") + """ SELECT e.grant_id, e.filing_year FROM (SELECT grant_id, CAST(year(tax_period_end) AS INTEGER) AS filing_year, object_id FROM edges) e JOIN c USING (object_id) WHERE change IN ('added', 'kept')""")
+@query(
+    "q21_incremental_build",
+    CHANGED.replace("WITH ", ctes("edges") + ", ") + """ SELECT e.grant_id, e.filing_year FROM (SELECT grant_id, CAST(year(tax_period_end) AS INTEGER) AS filing_year, object_id FROM edges) e JOIN c USING (object_id) WHERE change IN ('added', 'kept')"""
+)
 def q21c(spark, sf_dir):
     """A version's edges after a month's postings: rows of filings that went are retired, added ones come, only touched years are rewritten."""
     changes = _changes(spark, sf_dir)

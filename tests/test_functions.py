@@ -32,7 +32,9 @@ def test_normalized_names(spark):
         None: "",
     }
     assert column(spark, pairs, names.normalize_name) == list(pairs.values())
-    assert column(spark, ["Hill House DBA Hill Home", "x d/b/a y, aka z;", None], names.split_aliases) == [["Hill House", "Hill Home"], ["x", "y", "z"], []]
+    assert column(
+        spark, ["Hill House DBA Hill Home", "x d/b/a y, aka z;", None], names.split_aliases
+    ) == [["Hill House", "Hill Home"], ["x", "y", "z"], []]
 
 
 def test_codes(spark):
@@ -49,14 +51,18 @@ def test_amounts(spark):
 
 
 def test_dates(spark):
-    assert [str(x) for x in column(spark, ["2022-12-31", "2023", "2023-02-30", "12/31/2022", None], values.submission_date)] == ["2022-12-31", "None", "None", "None", "None"]
+    assert [
+        str(x) for x in column(spark, ["2022-12-31", "2023", "2023-02-30", "12/31/2022", None], values.submission_date)
+    ] == ["2022-12-31", "None", "None", "None", "None"]
     assert [str(x) for x in column(spark, ["2021-06-30T00:00", "2021-6-30"], values.iso_date)] == ["2021-06-30", "None"]
 
 
 def test_shown(spark):
     number = lambda f: lambda c: f(c.cast("long"))
     assert column(spark, ["2147500", "-5", None], number(formats.money)) == ["$2,147,500", "-$5", "—"]
-    assert column(spark, ["2147500", "21475000", "999", "1500", "3200000000"], number(formats.compact_money)) == ["$2.1M", "$21M", "$999", "$2K", "$3.2B"]
+    assert column(
+        spark, ["2147500", "21475000", "999", "1500", "3200000000"], number(formats.compact_money)
+    ) == ["$2.1M", "$21M", "$999", "$2K", "$3.2B"]
     assert column(spark, ["1", "1200"], number(lambda c: formats.plural(c, "grant"))) == ["1 grant", "1,200 grants"]
     assert column(spark, ["YMCA OF THE HILLS-USA", "the 4th CLUB", None], formats.nice_name) == ["YMCA of the Hills-USA", "The 4th Club", ""]
     assert column(spark, ["B20", "?1", "Z"], formats.field_of_work) == ["Education", "?1", "Unknown"]
@@ -65,7 +71,12 @@ def test_shown(spark):
 
 def test_jaro_winkler_agrees_with_duckdb():
     r = random.Random(7)
-    pairs = [("".join(r.choice("ABCD ") for _ in range(r.randint(0, 12))), "".join(r.choice("ABCD ") for _ in range(r.randint(0, 12)))) for _ in range(3000)]
+    pairs = [
+        (
+            "".join(r.choice("ABCD ") for _ in range(r.randint(0, 12))),
+            "".join(r.choice("ABCD ") for _ in range(r.randint(0, 12)))
+        ) for _ in range(3000)
+    ]
     c = duckdb.connect()
     c.execute("CREATE TABLE p (a VARCHAR, b VARCHAR)")
     c.executemany("INSERT INTO p VALUES (?, ?)", pairs)
