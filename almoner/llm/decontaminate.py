@@ -104,15 +104,21 @@ def merged(found: pa.Array | None, texts: pa.Array, grams: Grams) -> pa.StructAr
     d = w.doc[on] if len(on) else on
     spans = pa.ListArray.from_arrays(
         pa.array(np.r_[0, np.cumsum(np.bincount(d, minlength=w.n))].astype(np.int32)),
-        pa.StructArray.from_arrays([pa.array((on - w.starts[d]).astype(np.int32)), pa.array((off + 1 - w.starts[d]).astype(np.int32))], ["start", "end"]),
+        pa.StructArray.from_arrays(
+            [pa.array((on - w.starts[d]).astype(np.int32)), pa.array((off + 1 - w.starts[d]).astype(np.int32))], ["start", "end"]
+        ),
+    )
+    return pa.StructArray.from_arrays(
+        [pa.array(w.lens), spans, pa.array([sorted(set(x)) for x in items], pa.list_(pa.string()))], ["n_words", "spans", "items"]
     )
-    return pa.StructArray.from_arrays([pa.array(w.lens), spans, pa.array([sorted(set(x)) for x in items], pa.list_(pa.string()))], ["n_words", "spans", "items"])
 
 
 def blocks(items: DataFrame, item_id: str, text: str, block_words: int) -> Iterator[list[tuple[str, str]]]:
     """The items as (name, text), in runs of about block_words words."""
     block, size = [], 0
-    for name, body in items.select(F.coalesce(F.col(f"`{item_id}`").cast("string"), F.lit("")), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))).distinct().toLocalIterator():
+    for name, body in items.select(
+        F.coalesce(F.col(f"`{item_id}`").cast("string"), F.lit("")), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    ).distinct().toLocalIterator():
         n = len(body.split())
         if block and size + n > block_words:
             yield block
@@ -140,7 +146,10 @@ def scans(grams: Broadcast, later: bool) -> Callable:
     return later_scan if later else first_scan
 
 
-def find_benchmark(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = 8, block_words: int = 1_000_000, out: str = "benchmark") -> DataFrame:
+def find_benchmark(
+    docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = 8,
+    block_words: int = 1_000_000, out: str = "benchmark"
+) -> DataFrame:
     """docs with a struct `out`: n_words, spans of hit words, items (ids as text, sorted), n_hit."""
     small_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
@@ -175,9 +184,18 @@ def remove_spans(docs: DataFrame, text: str = "text", result: str = "benchmark")
 
     @F.arrow_udf("string")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        return pa.array([without_spans(t, [(s["start"], s["end"]) for s in x]) if t and x else t for t, x in zip(texts.to_pylist(), spans.to_pylist(), strict=True)], pa.string())
-
-    return docs.withColumn(text, F.when(F.size(F.col(f"`{result}`.spans")) > 0, cut(F.col(f"`{text}`"), F.col(f"`{result}`.spans"))).otherwise(F.col(f"`{text}`")))
+        return pa.array(
+            [
+                without_spans(t, [(s["start"], s["end"]) for s in x]) if t and x else t for t,
+                x in zip(texts.to_pylist(), spans.to_pylist(), strict=True)
+            ],
+            pa.string()
+        )
+
+    return docs.withColumn(
+        text,
+        F.when(F.size(F.col(f"`{result}`.spans")) > 0, cut(F.col(f"`{text}`"), F.col(f"`{result}`.spans"))).otherwise(F.col(f"`{text}`"))
+    )
 
 
 #: As many items make a document contaminated.
@@ -189,7 +207,10 @@ def op6(spark, sf_dir: str) -> DataFrame:
     r = find_benchmark(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     b = F.col("benchmark")
     n_items = F.size(b["items"]).cast("long")
-    return r.select("doc_id", b["n_words"].alias("n_words"), b["n_hit"].alias("n_hit"), n_items.alias("n_items"), F.sha2(F.array_join(b["items"], ","), 256).alias("items_sha256"), (n_items >= CONTAMINATED).alias("contaminated"))
+    return r.select(
+        "doc_id", b["n_words"].alias("n_words"), b["n_hit"].alias("n_hit"), n_items.alias("n_items"),
+        F.sha2(F.array_join(b["items"], ","), 256).alias("items_sha256"), (n_items >= CONTAMINATED).alias("contaminated")
+    )
 
 
 ORACLE = r"""

@@ -89,7 +89,9 @@ class Models:
             at = stop
         length = (sizes + 1)[w.ids] if len(w.ids) else length[:0]
         total = np.bincount(w.doc, length, minlength=w.n) if len(w.ids) else np.zeros(w.n)
-        sums = np.stack([np.bincount(w.doc, logs[w.ids, k], minlength=w.n) if len(w.ids) else np.zeros(w.n) for k in range(n_lang)], 1) if n_lang else np.zeros((w.n, 0))
+        sums = np.stack(
+            [np.bincount(w.doc, logs[w.ids, k], minlength=w.n) if len(w.ids) else np.zeros(w.n) for k in range(n_lang)], 1
+        ) if n_lang else np.zeros((w.n, 0))
         return -sums / np.maximum(total, 1)[:, None], total
 
     def _words(self, words: pa.Array) -> np.ndarray:
@@ -127,7 +129,10 @@ class Models:
             score = np.where(some, 1 / p.sum(1), 0.0)
             lang = np.where(some, np.array(self.languages, object)[best], UND)
             ok = some & (self.limits is None or low <= self.limits[best])
-        return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score), pa.array(low), pa.array(ok)], ["lang_pred", "score", "cross_entropy", "accepted"])
+        return pa.StructArray.from_arrays(
+            [pa.array(lang, pa.string()), pa.array(score), pa.array(low), pa.array(ok)],
+            ["lang_pred", "score", "cross_entropy", "accepted"]
+        )
 
 
 def kneser_ney(words: list[str], counts: np.ndarray, order: int) -> tuple[list, list, float]:
@@ -189,10 +194,16 @@ def build(counts: pd.DataFrame, order: int = ORDER) -> Models:
     )
 
 
-def fit(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER, docs_per_language: int = DOCS_PER_LANGUAGE) -> Models:
+def fit(
+    docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER,
+    docs_per_language: int = DOCS_PER_LANGUAGE
+) -> Models:
     """Models from the rows where `learn` holds and the language isn't null."""
     small_batches(docs.sparkSession)
-    rows = docs.filter(learn & F.col(f"`{lang}`").isNotNull()).select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
+    rows = docs.filter(learn & F.col(f"`{lang}`").isNotNull()).select(
+        F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"),
+        F.col(f"`{lang}`").cast("string").alias("lang")
+    )
     sizes = rows.groupBy("lang").count()  # a row for each language
     share = sizes.select(F.col("lang").alias("_lang"), (F.lit(float(docs_per_language)) / F.col("count")).alias("_share"))
     drawn = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30).cast("long")) < F.col("_share") * (1 << 30)
@@ -208,9 +219,14 @@ def fit(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "tex
                 at += len(part)
                 if len(w.ids):
                     key, n = np.unique(own[w.doc] * len(w.vocab) + w.ids, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([langs.dictionary.take(pa.array(key // len(w.vocab))), w.vocab.take(pa.array(key % len(w.vocab))), pa.array(n)], ["lang", "word", "n"])
-
-    counts = sample.filter("NOT held").select("text", "lang").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+                    yield pa.RecordBatch.from_arrays(
+                        [langs.dictionary.take(pa.array(key // len(w.vocab))), w.vocab.take(pa.array(key % len(w.vocab))), pa.array(n)],
+                        ["lang", "word", "n"]
+                    )
+
+    counts = sample.filter("NOT held").select("text", "lang").mapInArrow(
+        count, "lang string, word string, n long"
+    ).groupBy("lang", "word").agg(F.sum("n").alias("n"))
     models = build(counts.toPandas(), order)  # bounded by the sample
     if models.languages:
         calibrate(models, sample.filter("held").select("text", "lang"))
@@ -226,7 +242,10 @@ def calibrate(models: Models, held: DataFrame) -> None:
             for part in slices(batch.column(0)):
                 ce, size = shared.value.entropies(part)
                 rows = np.flatnonzero(size > 0)
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(at, len(part)).take(pa.array(rows)), pa.array(ce[rows].tolist(), pa.list_(pa.float64()))], ["lang", "ce"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(1).slice(at, len(part)).take(pa.array(rows)), pa.array(ce[rows].tolist(), pa.list_(pa.float64()))],
+                    ["lang", "ce"]
+                )
                 at += len(part)
 
     rows = held.mapInArrow(measure, "lang string, ce array<double>").toPandas()  # a fifth of the bounded sample
@@ -262,4 +281,7 @@ def op3(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     held = fold(F.col("doc_id"), 4) == 2
     r = identify(docs.select("doc_id", "text"), fit(docs, ~held))
-    return r.select("doc_id", held.alias("held_out"), F.col("language.lang_pred").alias("lang_pred"), F.col("language.score").alias("score"), F.col("language.cross_entropy").alias("cross_entropy"), F.col("language.accepted").alias("accepted"))
+    return r.select(
+        "doc_id", held.alias("held_out"), F.col("language.lang_pred").alias("lang_pred"), F.col("language.score").alias("score"),
+        F.col("language.cross_entropy").alias("cross_entropy"), F.col("language.accepted").alias("accepted")
+    )

@@ -70,9 +70,14 @@ def central(open_masks: DataFrame, held: DataFrame, left: DataFrame, every: bool
     own = live if every else live.join(left, ["leaf", "mask"], "left_semi")
     spots = own.select("leaf", "docs", F.posexplode("tok").alias("k", "token")).groupBy("leaf", "k", "token").agg(F.sum("docs").alias("f"))
     most = spots.groupBy("leaf", "k").agg(F.max_by("token", F.struct("f", "token")).alias("c"))
-    centre = most.groupBy("leaf").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "c"))), lambda x: x["c"]).alias("centre"))  # a line's tokens
+    centre = most.groupBy("leaf").agg(  # a line's tokens
+        F.transform(F.sort_array(F.collect_list(F.struct("k", "c"))), lambda x: x["c"]).alias("centre")
+    )
     near = live.join(write_table(centre, "centre"), "leaf")
-    near = write_table(near.select("leaf", "mask", "least", (F.col("need") + F.size("tok")).alias("both"), agreeing(F.col("tok"), F.col("centre")).alias("a")), "near")
+    near = write_table(
+        near.select("leaf", "mask", "least", (F.col("need") + F.size("tok")).alias("both"), agreeing(F.col("tok"), F.col("centre")).alias("a")),
+        "near"
+    )
     docs = held.join(near, ["leaf", "mask"]).groupBy("leaf", "least", "_doc").agg(F.max("a").alias("a"))
     levels = docs.groupBy("leaf", "least", "a").agg(F.count(F.lit(1)).alias("docs"))  # as many rows as a line has tokens
     levels = levels.withColumn("docs", F.sum("docs").over(Window.partitionBy("leaf").orderBy(F.col("a").desc())))
@@ -93,18 +98,27 @@ def paired(open_masks: DataFrame, held: DataFrame, left: DataFrame) -> DataFrame
     open_masks = open_masks.join(left.select("leaf").distinct(), "leaf", "left_semi")
     keyed = open_masks.select("leaf", "mask", "docs", F.explode(pairs(F.col("tok"))).alias("key"))
     weight = keyed.groupBy("key").agg(F.sum("docs").alias("w"))
-    rare = open_masks.join(left, ["leaf", "mask"], "left_semi").select("leaf", "mask", "docs", "least", "need", F.size("tok").alias("r"), F.explode(pairs(F.col("tok"))).alias("key"))
-    own = rare.join(weight, "key").groupBy("leaf", "mask", "docs", "least", "need", "r").agg(F.sort_array(F.collect_list(F.struct((F.col("w") - F.col("docs")).alias("others"), "key"))).alias("x"))  # a line's tokens
+    rare = open_masks.join(left, ["leaf", "mask"], "left_semi").select(
+        "leaf", "mask", "docs", "least", "need", F.size("tok").alias("r"), F.explode(pairs(F.col("tok"))).alias("key")
+    )
+    own = rare.join(weight, "key").groupBy("leaf", "mask", "docs", "least", "need", "r").agg(  # a line's tokens
+        F.sort_array(F.collect_list(F.struct((F.col("w") - F.col("docs")).alias("others"), "key"))).alias("x")
+    )
     probes = own.withColumn("x", F.slice("x", F.lit(1), 2 * (F.col("r") - F.col("need")) + 1))
     enough = F.col("docs") + F.aggregate("x", F.lit(0).cast("long"), lambda a, y: a + y["others"]) >= F.col("least")
     probes = probes.filter(enough).select("leaf", "mask", F.explode(F.filter("x", lambda y: y["others"] > 0)["key"]).alias("key"))
     met = probes.join(keyed.select("key", F.col("mask").alias("other")), "key").filter("mask <> other").select("leaf", "mask", "other").distinct()
     others = open_masks.select("leaf", F.col("mask").alias("other"), F.col("tok").alias("other_tok"), F.col("docs").alias("other_docs"))
     met = met.join(open_masks.select("leaf", "mask", "tok", "need", "least"), ["leaf", "mask"]).join(others, ["leaf", "other"])
-    alike = write_table(met.filter(agreeing(F.col("tok"), F.col("other_tok")) >= F.col("need")).select("leaf", "mask", "other", "other_docs", "least"), "alike")
+    alike = write_table(
+        met.filter(agreeing(F.col("tok"), F.col("other_tok")) >= F.col("need")).select("leaf", "mask", "other", "other_docs", "least"),
+        "alike"
+    )
     few = alike.filter("other_docs < least").select("leaf", "mask", "other", "least")
     few = few.unionByName(few.select("leaf", "mask", F.col("mask").alias("other"), "least").distinct())
-    docs = few.join(held.withColumnRenamed("mask", "other"), ["leaf", "other"]).groupBy("leaf", "mask", "least").agg(F.countDistinct("_doc").alias("n_docs"))
+    docs = few.join(
+        held.withColumnRenamed("mask", "other"), ["leaf", "other"]
+    ).groupBy("leaf", "mask", "least").agg(F.countDistinct("_doc").alias("n_docs"))
     return alike.filter("other_docs >= least").select("leaf", "mask").unionByName(docs.filter("n_docs >= least").select("leaf", "mask"))
 
 
@@ -120,7 +134,10 @@ def templates(docs: DataFrame, lines: DataFrame, depth: int, alike: float, min_d
     often = by_mask.filter(F.col("docs") >= F.col("least")).select("leaf", "mask")
     # a leaf is open if some of its masked lines are rare, others may be alike, and all of them have enough documents
     by_leaf = by_mask.groupBy("leaf", "n", "least").agg(F.sum("docs").alias("docs"), F.min("docs").alias("rarest"), F.count(F.lit(1)).alias("masks"))
-    open_leaves = write_table(by_leaf.filter((F.col("docs") >= F.col("least")) & (F.col("rarest") < F.col("least")) & (F.col("masks") > 1) & (need < r)).select("leaf"), "leaves")
+    open_leaves = write_table(
+        by_leaf.filter((F.col("docs") >= F.col("least")) & (F.col("rarest") < F.col("least")) & (F.col("masks") > 1) & (need < r)).select("leaf"),
+        "leaves"
+    )
     in_open = parsed(docs, depth, min_tokens)
     n = open_leaves.count()
     bits = 64 * (1 + n * BITS_PER_KEY // 64)
@@ -144,14 +161,19 @@ def templates(docs: DataFrame, lines: DataFrame, depth: int, alike: float, min_d
     return write_table(found.distinct(), "templates")
 
 
-def drop_templates(docs: DataFrame, depth: int = DEPTH, alike: float = ALIKE, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, long_docs: int = LONG_DOCS, doc_id: str = "doc_id", text: str = "text", out: str = "lines") -> DataFrame:
+def drop_templates(
+    docs: DataFrame, depth: int = DEPTH, alike: float = ALIKE, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS,
+    long_docs: int = LONG_DOCS, doc_id: str = "doc_id", text: str = "text", out: str = "lines"
+) -> DataFrame:
     """docs whose texts have lost recurring lines, with a struct `out`: n_lines, n_dropped, dropped (line numbers from 0)."""
     body = F.col(f"`{text}`").cast("string")
     named = docs.select(F.xxhash64(F.col(f"`{doc_id}`"), body).alias("_doc"), F.struct("*").alias("_row"))
     texts = named.select("_doc", F.col("_row")[text].cast("string").alias("_text"))
     lines = write_table(parsed(texts, depth, min_tokens).drop("m"), "lines")
     drop = templates(texts, lines, depth, alike, min_docs, min_tokens, long_docs)
-    hit = lines.join(drop, ["leaf", "mask"], "left_semi").select("_doc", "at").distinct().groupBy(F.col("_doc").alias("_d")).agg(F.sort_array(F.collect_list("at")).alias("_at"))  # at most a document's lines
+    hit = lines.join(drop, ["leaf", "mask"], "left_semi").select("_doc", "at").distinct().groupBy(F.col("_doc").alias("_d")).agg(  # at most a document's lines
+        F.sort_array(F.collect_list("at")).alias("_at")
+    )
     joined = named.join(hit, F.col("_doc") == F.col("_d"), "left").withColumn("_at", F.coalesce("_at", F.array().cast("array<int>")))
     own = F.col("_row")[text].cast("string")
     kept = F.when(F.size("_at") > 0, F.array_join(F.filter(F.split(own, "\n"), lambda x, k: ~F.array_contains(F.col("_at"), k)), "\n")).otherwise(own)
@@ -164,7 +186,10 @@ def drop_templates(docs: DataFrame, depth: int = DEPTH, alike: float = ALIKE, mi
 def op10(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     r = drop_templates(docs)
-    return r.select("doc_id", F.col("lines.n_lines").alias("n_lines"), F.col("lines.n_dropped").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    return r.select(
+        "doc_id", F.col("lines.n_lines").alias("n_lines"), F.col("lines.n_dropped").alias("n_dropped"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
 
 
 ORACLE = rf"""

@@ -51,10 +51,16 @@ def draw(doc_id: Column, seed: str) -> Column:
     return (F.conv(digits, 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
-def mix(docs: DataFrame, seed: str = "", doc_id: str = "doc_id", text: str = "text", source: str = "source", carry: str | None = None, **how) -> DataFrame:
+def mix(
+    docs: DataFrame, seed: str = "", doc_id: str = "doc_id", text: str = "text", source: str = "source", carry: str | None = None,
+    **how
+) -> DataFrame:
     """doc_id, source, size, source_size, target and copies of every row; with carry, that column too, as _row (it settles ties)."""
     size = F.coalesce(F.regexp_count(F.col(f"`{text}`").cast("string"), F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
-    thin = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").cast("string").alias("source"), size.alias("size"), *([F.col(f"`{carry}`").alias("_row")] if carry else []))
+    thin = docs.select(
+        F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").cast("string").alias("source"), size.alias("size"),
+        *([F.col(f"`{carry}`").alias("_row")] if carry else [])
+    )
     thin = write_table(thin, "sizes")
     t = targets(thin, **how)
     u = draw(F.col("doc_id"), seed)
@@ -68,8 +74,17 @@ def mix(docs: DataFrame, seed: str = "", doc_id: str = "doc_id", text: str = "te
     gap = table.groupBy("source").agg(F.sum(F.when(F.col("_in"), F.col("size")).otherwise(0)).alias("_got"), F.first("_left").alias("_want"))
     gap = gap.select(F.col("source").alias("_source"), (F.col("_want") - F.col("_got")).alias("_gap"))
     off = F.abs(F.col("size") - F.col("_gap"))
-    rest = table.filter(~F.col("_in") & F.col("_odds").isNotNull()).join(gap, F.col("source").eqNullSafe(F.col("_source"))).filter(off < F.col("_gap"))
-    close = rest.groupBy("source").agg(F.min(F.struct(off.alias("off"), F.col("_odds").alias("odds"), F.col("doc_id").alias("id"), F.col("_pid").alias("pid"), F.col("_rank").alias("rank"))).alias("_last"))
+    rest = table.filter(~F.col("_in") & F.col("_odds").isNotNull()).join(
+        gap, F.col("source").eqNullSafe(F.col("_source"))
+    ).filter(off < F.col("_gap"))
+    close = rest.groupBy("source").agg(
+        F.min(
+            F.struct(
+                off.alias("off"), F.col("_odds").alias("odds"), F.col("doc_id").alias("id"), F.col("_pid").alias("pid"),
+                F.col("_rank").alias("rank")
+            )
+        ).alias("_last")
+    )
     close = close.select(F.col("source").alias("_source"), F.col("_last.pid").alias("_p"), F.col("_last.rank").alias("_r"))
     hit = (F.col("_pid") == F.col("_p")) & (F.col("_rank") == F.col("_r"))
     done = table.join(close, hit, "left")

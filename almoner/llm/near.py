@@ -253,7 +253,10 @@ class Join:
                             counts.append(None)
                 flat = pa.array((np.concatenate(keys) if keys else np.zeros(0, np.uint64)).view(np.int64))
                 yield pa.StructArray.from_arrays(
-                    [pa.array(np.array(sizes, np.int64)), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(np.array(lens, np.int32)), flat), pa.array(counts, pa.binary())],
+                    [
+                        pa.array(np.array(sizes, np.int64)), pa.array(np.array(fps, np.uint64).view(np.int64)),
+                        pa.ListArray.from_arrays(pa.array(np.array(lens, np.int32)), flat), pa.array(counts, pa.binary())
+                    ],
                     ["n_shingles", "fp", "keys", "signature"],
                 )
 
@@ -284,9 +287,14 @@ class Join:
                 if held is not None:
                     texts = texts.filter(pa.array(in_bitmap(held.value, batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))))
                 for part in slices(texts):
-                    rows = [(f, s.tobytes()) for s in shingle_sets(part, n) if len(s) and (f := xxhash.xxh3_64_intdigest(s)) not in seen and not seen.add(f)]
+                    rows = [
+                        (f, s.tobytes()) for s in shingle_sets(part, n) if len(s) and (f := xxhash.xxh3_64_intdigest(s)) not in seen and not seen.add(f)
+                    ]
                     if rows:
-                        yield pa.RecordBatch.from_arrays([pa.array(np.array([f for f, _ in rows], np.uint64).view(np.int64)), pa.array([b for _, b in rows], pa.binary())], ["fp", "set"])
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.array([f for f, _ in rows], np.uint64).view(np.int64)), pa.array([b for _, b in rows], pa.binary())],
+                            ["fp", "set"]
+                        )
 
         found = hashed.mapInArrow(take, "fp long, set binary")
         return write_table(found.join(wanted, "fp", "left_semi").dropDuplicates(["fp"]), "sets")
@@ -374,8 +382,12 @@ class Join:
 
         keys = long.groupBy("fp").agg(F.sort_array(F.collect_list("key")).alias("keys"))  # at most a set's keys
         rows = long.join(keys, "fp").join(counts.select("fp", "signature"), "fp").withColumn("_blocks", F.ceil(F.col("k") / BLOCK).cast("long"))
-        rows = rows.withColumn("block", F.pmod(F.xxhash64("fp", F.lit("block")), "_blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
-        rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).select("key", "i", "j", "fp", "n", "c", "keys", "signature", "block")
+        rows = rows.withColumn("block", F.pmod(F.xxhash64("fp", F.lit("block")), "_blocks")).withColumn(
+            "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))
+        )
+        rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).select(
+            "key", "i", "j", "fp", "n", "c", "keys", "signature", "block"
+        )
         return pairs.unionByName(rows.groupBy("key", "i", "j").applyInArrow(compare, "u long, v long").distinct()).distinct()
 
     def _compare(self, keyed: DataFrame, counts: DataFrame, pairs: DataFrame) -> bool:
@@ -401,7 +413,9 @@ class Join:
         return write_table(known.join(write_table(several, "several"), "key", "left_semi"), "open")
 
 
-def near_components(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, rounds: int = ROUNDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_components(
+    docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, rounds: int = ROUNDS, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every row."""
     thin = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     join = Join(thin, n, percent, rounds)

@@ -33,4 +33,6 @@ def with_starts(table: DataFrame, order: list[Column], size: str, group: list[st
         same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
     summed = table.withColumn("_in", F.sum(size).over(inside) - F.col(size)).withColumn("_k", F.count(F.lit(1)).over(inside) - 1)
     joined = summed.join(totals if group else F.broadcast(totals), same)  # without groups: a row for each range
-    return joined.withColumn("_start", F.col("_sums") + F.col("_in")).withColumn("_at", F.col("_ns") + F.col("_k")).drop("_p", "_sums", "_ns", "_in", "_k", *[f"_of_{g}" for g in group])
+    return joined.withColumn("_start", F.col("_sums") + F.col("_in")).withColumn("_at", F.col("_ns") + F.col("_k")).drop(
+        "_p", "_sums", "_ns", "_in", "_k", *[f"_of_{g}" for g in group]
+    )

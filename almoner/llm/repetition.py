@@ -86,18 +86,25 @@ def measure(texts: pa.Array, min_words: int) -> pa.StructArray:
         edge = np.bincount(pos, minlength=len(w.ids) + 1) - np.bincount(pos + best, minlength=len(w.ids) + 1)
         covered = np.cumsum(edge)[:-1] > 0
         np.maximum.at(longest, w.doc[pos], best)
-    on = np.flatnonzero(covered & ~(np.r_[False, covered[:-1]] & np.r_[True, w.doc[1:] == w.doc[:-1]][: len(covered)])) if len(covered) else np.zeros(0, np.int64)
+    on = np.flatnonzero(
+        covered & ~(np.r_[False, covered[:-1]] & np.r_[True, w.doc[1:] == w.doc[:-1]][: len(covered)])
+    ) if len(covered) else np.zeros(0, np.int64)
     off = np.flatnonzero(covered & ~(np.r_[covered[1:], False] & np.r_[w.doc[1:] == w.doc[:-1], True][: len(covered)])) if len(covered) else on
     at = w.doc[on] if len(on) else on
     spans = pa.ListArray.from_arrays(
         pa.array(np.r_[0, np.cumsum(count(at))].astype(np.int32)),
-        pa.StructArray.from_arrays([pa.array((on - w.starts[at]).astype(np.int32)), pa.array((off + 1 - w.starts[at]).astype(np.int32))], ["start", "end"]),
+        pa.StructArray.from_arrays(
+            [pa.array((on - w.starts[at]).astype(np.int32)), pa.array((off + 1 - w.starts[at]).astype(np.int32))],
+            ["start", "end"]
+        ),
     )
     lines = pc.split_pattern(texts, "\n")
     of = np.repeat(np.arange(w.n), pc.list_value_length(lines).to_numpy(zero_copy_only=False))
     coded = lines.flatten().dictionary_encode()
     line = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    worded = (pc.binary_length(pc.ascii_trim_whitespace(coded.dictionary)).to_numpy(zero_copy_only=False) > 0)[line] if len(line) else np.zeros(0, bool)
+    worded = (
+        pc.binary_length(pc.ascii_trim_whitespace(coded.dictionary)).to_numpy(zero_copy_only=False) > 0
+    )[line] if len(line) else np.zeros(0, bool)
     of, line = of[worded], line[worded]
     size = max(1, len(coded.dictionary))
     values = {
@@ -112,7 +119,10 @@ def measure(texts: pa.Array, min_words: int) -> pa.StructArray:
     return pa.StructArray.from_arrays([*map(pa.array, values.values()), spans], [*values, "repeat_spans"])
 
 
-def repetition_quality(docs: DataFrame, text: str = "text", min_words: int = 8, max_covered: float = 0.3, max_longest: int = 100, out: str = "repetition") -> DataFrame:
+def repetition_quality(
+    docs: DataFrame, text: str = "text", min_words: int = 8, max_covered: float = 0.3, max_longest: int = 100,
+    out: str = "repetition"
+) -> DataFrame:
     """docs with a struct `out`: FIELDS and `repeats_kept`, the verdict."""
 
     @F.arrow_udf(FIELDS)
@@ -141,7 +151,10 @@ def judged(docs: DataFrame, out: str = "repetition") -> DataFrame:
 def op1(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     r = judged(docs)
-    return r.select("doc_id", *[F.col(f"repetition.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
+    return r.select(
+        "doc_id",
+        *[F.col(f"repetition.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")]
+    )
 
 
 ORACLE = r"""

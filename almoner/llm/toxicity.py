@@ -131,7 +131,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, positives: int = POSI
                 w = Words(translate_bytes(part, TABLE))
                 h = w.hashes()
                 sets = [h[np.unique(w.ids[a:b])].tobytes() for a, b in zip(w.starts[:-1], w.starts[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(sets, pa.binary()), batch.column(1).slice(at, len(part)), batch.column(2).slice(at, len(part))], ["s", "p", "u"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(sets, pa.binary()), batch.column(1).slice(at, len(part)), batch.column(2).slice(at, len(part))],
+                    ["s", "p", "u"]
+                )
                 at += len(part)
 
     sets, positive = [], []

@@ -107,8 +107,13 @@ def marked_hosts(pages: DataFrame, listed: DataFrame) -> DataFrame:
     hosts = pages.select(F.col("host").alias("key")).filter("key != ''").distinct()
     parts, labels = F.split("key", r"\."), listed.agg(F.max(F.size(F.split("domain", r"\.")))).first()[0] or 1
     # no listed domain has more labels, so a host of many labels makes no more names than that
-    above = F.transform(F.sequence(F.lit(1), F.least(F.size(parts), F.lit(labels))), lambda k: F.array_join(F.slice(parts, F.size(parts) - k + 1, k), "."))
-    hits = hosts.select("key", F.explode(above).alias("domain")).join(listed.select("domain").distinct(), "domain", "left_semi").select("key").distinct()
+    above = F.transform(
+        F.sequence(F.lit(1), F.least(F.size(parts), F.lit(labels))),
+        lambda k: F.array_join(F.slice(parts, F.size(parts) - k + 1, k), ".")
+    )
+    hits = hosts.select("key", F.explode(above).alias("domain")).join(
+        listed.select("domain").distinct(), "domain", "left_semi"
+    ).select("key").distinct()
     return hosts.join(hits.withColumn("_hit", F.lit(True)), "key", "left").select("key", F.col("_hit").isNotNull().alias("listed"))
 
 
@@ -132,7 +137,10 @@ def op2(spark, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     listed = spark.createDataFrame([(d,) for d in LISTED], "domain string")
     r, f = filter_urls(pages, listed), F.col("url_filter")
-    return r.select("page_id", f["host"].alias("host"), f["path"].alias("path"), f["rule"].alias("rule"), F.when(f["allowed"], "allow").otherwise("block").alias("verdict"))
+    return r.select(
+        "page_id", f["host"].alias("host"), f["path"].alias("path"), f["rule"].alias("rule"),
+        F.when(f["allowed"], "allow").otherwise("block").alias("verdict")
+    )
 
 
 def _oracle() -> str:

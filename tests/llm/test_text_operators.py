@@ -77,7 +77,10 @@ def test_repetition_matches_brute_force():
 
 def test_repetition_verdict(spark):
     clean = " ".join(f"word{k}" for k in range(60))
-    rows = [(1, clean, "a"), (2, "short text", "a"), (3, "again and " * 40, "a"), (4, None, "a"), (5, clean + " " + " ".join(f"z{k}" for k in range(800)) + " " + clean, "a")]
+    rows = [
+        (1, clean, "a"), (2, "short text", "a"), (3, "again and " * 40, "a"), (4, None, "a"),
+        (5, clean + " " + " ".join(f"z{k}" for k in range(800)) + " " + clean, "a")
+    ]
     got = {r.doc_id: r.repetition for r in repetition.judged(docs_of(spark, rows).withColumn("repetition", F.lit(1))).collect()}
     assert {k: v.kept for k, v in got.items()} == {1: True, 2: False, 3: False, 4: False, 5: True}
     assert got[5].longest_repeat == 60 and not got[5].base_failed
@@ -154,7 +157,10 @@ def test_language_held_out(spark, data):
 
 
 def test_language_edges(spark):
-    docs = spark.createDataFrame([(1, None, "en"), (2, "12 34 !", "en"), (3, "the then", "en"), (4, "der und", "de"), (5, "", None)], "doc_id long, text string, lang string")
+    docs = spark.createDataFrame(
+        [(1, None, "en"), (2, "12 34 !", "en"), (3, "the then", "en"), (4, "der und", "de"), (5, "", None)],
+        "doc_id long, text string, lang string"
+    )
     models = language.fit(docs, F.lit(True), docs_per_language=10**9)
     got = {r.doc_id: r.language for r in language.identify(docs, models).collect()}
     assert [got[k].lang_pred for k in (1, 2, 5)] == ["und"] * 3 and got[1].score == 0
@@ -202,7 +208,10 @@ def brute_kneser_ney(words, order):
 @pytest.mark.parametrize("order", [1, 2, 4])
 def test_kneser_ney_matches_brute_force(order):
     r = random.Random(6)
-    learned = {lang: Counter("".join(r.choice(letters) for _ in range(r.randint(1, 6))) for _ in range(300)) for lang, letters in (("x", "abcdé"), ("y", "bcdef"))}
+    learned = {
+        lang: Counter("".join(r.choice(letters) for _ in range(r.randint(1, 6))) for _ in range(300)) for lang,
+        letters in (("x", "abcdé"), ("y", "bcdef"))
+    }
     models = language.build(pd.DataFrame([(lang, w, n) for lang, c in learned.items() for w, n in c.items()], columns=["lang", "word", "n"]), order)
     texts = ["abc dé fed", "ABBA b2b", "zzz aéz", "", "12", "c " * 9]
     got, sizes = models.entropies(pa.array(texts))
@@ -280,7 +289,10 @@ def brute_katz(rows, train, order):
 def test_katz_matches_brute_force(spark, order, size):
     rows = [(k, t) for k, t, _ in some_docs()[:-1]]
     train = {k for k, _ in rows if zlib.crc32(str(k).encode()) % 7 != 2}
-    model = katz.Katz(docs_of(spark, rows, "doc_id long, text string"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2, order=order, size=size)
+    model = katz.Katz(
+        docs_of(spark, rows, "doc_id long, text string"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2,
+        order=order, size=size
+    )
     want = brute_katz(rows, train, order)
     got = {r.doc_id: r for r in model.scores().collect()}
     assert got.keys() == want.keys()
@@ -342,7 +354,9 @@ def brute_benchmark(text, items):
 def test_decontamination_matches_brute_force(spark, block):
     r = random.Random(5)
     docs = some_docs(9)
-    items = [(k, " ".join(re.findall(r"\w+", docs[r.randrange(100)][1])[:r.choice([3, 8, 12])])) for k in range(25)] + [(90, ""), (91, None), (3, "the; of"), (92, docs[4][1])]
+    items = [
+        (k, " ".join(re.findall(r"\w+", docs[r.randrange(100)][1])[:r.choice([3, 8, 12])])) for k in range(25)
+    ] + [(90, ""), (91, None), (3, "the; of"), (92, docs[4][1])]
     bench = spark.createDataFrame(items, "item_id long, text string")
     found = decontaminate.find_benchmark(docs_of(spark, docs).withColumn("benchmark", F.lit(0)), bench, block_words=block)
     got = found.collect()
@@ -584,7 +598,12 @@ def brute_alike(rows, min_docs):
                 leaves[(len(t), *t[: line_templates.DEPTH])].append((key, t))
     drop = defaultdict(set)
     for (key, at), t in parsed.items():
-        alike = {k for k, u in leaves[(len(t), *t[: line_templates.DEPTH])] if t == u or (rest := t[line_templates.DEPTH :]) and sum(x == y for x, y in zip(rest, u[line_templates.DEPTH :])) >= round(line_templates.ALIKE * len(rest), 6)}
+        alike = {
+            k for k,
+            u in leaves[(len(t), *t[: line_templates.DEPTH])] if t == u or (rest := t[line_templates.DEPTH :]) and sum(
+                x == y for x, y in zip(rest, u[line_templates.DEPTH :])
+            ) >= round(line_templates.ALIKE * len(rest), 6)
+        }
         if len(alike) >= min_docs:
             drop[key].add(at)
     return drop
@@ -653,12 +672,18 @@ def test_very_long_texts(spark):
     long = " ".join(f"w{k}" for k in range(700_000))
     assert len(long) > max(common.CHUNK_BYTES, common.BATCH_BYTES)
     passage = " ".join(f"bench{k}" for k in range(12))
-    rows = [(1, long + " tail", "a"), (2, "short text here", "a"), (3, long.replace("w350000 ", "edited ") + " tail", "b"), (4, passage + " " + long + " " + passage, "b"), (5, None, "b")]
+    rows = [
+        (1, long + " tail", "a"), (2, "short text here", "a"), (3, long.replace("w350000 ", "edited ") + " tail", "b"),
+        (4, passage + " " + long + " " + passage, "b"), (5, None, "b")
+    ]
     docs = docs_of(spark, rows).repartition(1).cache()
     by = lambda df: {r.doc_id: r for r in df.collect()}
     r = {k: x.repetition for k, x in by(repetition.judged(docs)).items()}
     assert [r[k].n_words for k in range(1, 6)] == [700_001, 3, 700_001, 700_024, 0] and (r[1].n_repeat_words, r[4].n_repeat_words) == (0, 24)
-    b = {k: x.benchmark for k, x in by(decontaminate.find_benchmark(docs, spark.createDataFrame([(7, passage)], "item_id long, text string"))).items()}
+    b = {
+        k: x.benchmark for k,
+        x in by(decontaminate.find_benchmark(docs, spark.createDataFrame([(7, passage)], "item_id long, text string"))).items()
+    }
     assert [b[k].n_hit for k in range(1, 6)] == [0, 0, 0, 24, 0] and [(s.start, s.end) for s in b[4].spans] == [(0, 12), (700_012, 700_024)]
     c = {k: x.component_id for k, x in by(near.near_components(docs)).items()}
     assert c == {1: 1, 2: 2, 3: 1, 4: 1, 5: 5}
@@ -748,7 +773,9 @@ def brute_shards(rows):
 def test_pipeline_matches_brute_force(spark, data):
     pipeline = pytest.importorskip("corpus_pipeline")
     raw = spark.read.parquet(f"{data}/documents.parquet").collect()
-    rows = [(x.doc_id, x.text, x.source) for x in raw if (b := brute_repetition(x.text)) and b["n_words"] >= 20 and 100 * b["n_repeat_words"] <= 30 * b["n_words"] and b["repeat_chars"] <= 0.3 * b["word_chars"] and b["longest_repeat"] <= 100]
+    rows = [
+        (x.doc_id, x.text, x.source) for x in raw if (b := brute_repetition(x.text)) and b["n_words"] >= 20 and 100 * b["n_repeat_words"] <= 30 * b["n_words"] and b["repeat_chars"] <= 0.3 * b["word_chars"] and b["longest_repeat"] <= 100
+    ]
     groups = brute_near([x[:2] for x in rows])
     rows = [x for x in rows if groups[x[0]][1] == x[0]]
     items = [tuple(r) for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()]
@@ -768,8 +795,14 @@ def test_pipeline_matches_brute_force(spark, data):
 def test_stages_on_odd_rows(spark, data):
     pipeline = pytest.importorskip("corpus_pipeline")
     a, b = (" ".join(f"{x}{k}" for k in range(40)) for x in ("alpha", "beta"))
-    rows = [(1, a, "s"), (1, b, "s"), (2, a + " x", "s"), (3, b + " y", "t"), (None, a, None), (None, None, None), (7, "", "t"), (9, a, "s"), (9, a, "s"), (42, "one two three", "t")]
-    odd = docs_of(spark, rows).select("doc_id", "text", F.lit(None).cast("string").alias("lang"), "source", F.length("text").cast("long").alias("n_chars"), *[F.lit(c).alias(c) for c in ("quality", "benchmark", "_row", "row", "doc", "_key", "key", "copies", "size", "_copy")])
+    rows = [
+        (1, a, "s"), (1, b, "s"), (2, a + " x", "s"), (3, b + " y", "t"), (None, a, None), (None, None, None), (7, "", "t"),
+        (9, a, "s"), (9, a, "s"), (42, "one two three", "t")
+    ]
+    odd = docs_of(spark, rows).select(
+        "doc_id", "text", F.lit(None).cast("string").alias("lang"), "source", F.length("text").cast("long").alias("n_chars"),
+        *[F.lit(c).alias(c) for c in ("quality", "benchmark", "_row", "row", "doc", "_key", "key", "copies", "size", "_copy")]
+    )
     stages = dict(pipeline.STAGES)
     out = {}
     for name, stage in pipeline.STAGES[:-1]:
