@@ -57,7 +57,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = decontaminate.find_benchmark(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), out=out)
     clean = decontaminate.remove_spans(found.filter(F.size(F.col(out)["items"]) < decontaminate.CONTAMINATED), result=out)
     cut = F.size(F.col(out)["spans"]) > 0
-    return clean.select(*[F.when(cut, F.length("text").cast(dict(docs.dtypes)[c])).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+    return clean.select(
+        *[
+            F.when(
+                cut, F.length("text").cast(dict(docs.dtypes)[c])
+            ).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns
+        ]
+    )
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
