@@ -71,6 +71,20 @@ def drop_table(df: DataFrame) -> None:
                 return
 
 
+def tables_written() -> int:
+    """How many tables write_table has written so far, as a mark for drop_since()."""
+    return len(_written)
+
+
+def drop_since(mark: int, keep: DataFrame) -> None:
+    """Remove the tables written since a mark, but for the one that is still read."""
+    kept = {f.rpartition("/")[0].rpartition("/")[2] for f in keep.inputFiles()}
+    for spark, path in _written[mark:]:
+        if path.rpartition("/")[2] not in kept:
+            _remove(spark, path)
+    _written[mark:] = [x for x in _written[mark:] if x[1].rpartition("/")[2] in kept]
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of results that have been written and that nothing refers to any more."""
     gc.collect()

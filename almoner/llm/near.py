@@ -19,7 +19,7 @@ c(s, t) = ceil(j (s + t) / (100 + j)) members.
    lacks stands for a member that it lacks, which bounds the intersection from above. What passes is verified on the
    whole sets, which are gathered only for those classes. Links are joined into components.
 
-Nulls and texts without words: empty set, linked with nothing. Rows with one doc_id are one document that has
+Texts of any length are taken whole. Nulls and texts without words: empty set, linked with nothing. Rows with one doc_id are one document that has
 several sets. A null doc_id is never a component's name (null where a component has no other). Extra columns are
 ignored. An empty table gives an empty one.
 """
@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from almoner.llm.common import Words, drop_table, mix, release, slices, small_batches, window_hashes, write_table
+from almoner.llm.common import Words, drop_since, drop_table, mix, release, slices, small_batches, tables_written, window_hashes, write_table
 from almoner.llm.components import components
 
 SHINGLE, PERCENT, ROUNDS, MAX_LIGHT, LONG_LIST, BITMAP_BITS = 5, 80, 3, 10, 8, 1 << 26
@@ -164,10 +164,10 @@ def may_link(a: bytes, b: bytes, s: int, t: int, percent: int) -> bool:
 
 def block_pairs(key: int, rows: dict[str, list], twice: bool, first: list[bool], percent: int) -> list[tuple[int, int]]:
     """Pairs of a long list's members (first: those of the one block, others of the second; twice: both are one block) that
-    are of different components, share no earlier long list, and may link by size and signature."""
+    are of different components, not both of the class below, share no earlier long list, and may link by size and signature."""
     n, fp, c = (np.array(rows[k], np.int64) for k in ("n", "fp", "c"))
     order = np.lexsort((fp, n))
-    n, fp, c, first = n[order], fp[order], c[order], np.array(first)[order]
+    n, fp, c, first, own_class = n[order], fp[order], c[order], np.array(first)[order], np.array(rows["own"])[order]
     earlier = [[k for k in rows["keys"][i] if k < key] for i in order]
     names = {k: i for i, k in enumerate(sorted({k for ks in earlier for k in ks}))}
     has = np.zeros((len(n), len(names)), bool)
@@ -184,7 +184,7 @@ def block_pairs(key: int, rows: dict[str, list], twice: bool, first: list[bool],
             # the larger set of a pair comes later in the order, and its signature is as long or twice as long
             stop = np.searchsorted(n[near], 100 * n[x] // percent, side="right")
             ys = near[at + 1 : stop]
-            ok = c[ys] != c[x]
+            ok = (c[ys] != c[x]) & (own_class[ys] | own_class[x])
             if not twice:
                 ok &= first[ys] != first[x]
             ok &= ~(has[ys] & has[x]).any(1)
@@ -267,12 +267,15 @@ class Join:
         """key, fp and n of the members of lists that have two classes or more, once each."""
         entries = keyed.filter(F.size("keys") > 0).select(F.explode("keys").alias("key"), "fp", F.col("n_shingles").alias("n"))
         shared = entries.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low <> high").select("key")
-        return write_table(entries.join(write_table(shared, "shared"), "key", "left_semi").distinct(), "lists")
+        shared = write_table(shared, "shared")
+        lists = write_table(entries.join(shared, "key", "left_semi").distinct(), "lists")
+        drop_table(shared)
+        return lists
 
     def sets(self, keyed: DataFrame, wanted: DataFrame) -> DataFrame:
         """fp and set of the classes in `wanted`, from one document of each; its id's hash picks it before its text is taken apart."""
         n = self.n
-        ids = keyed.filter("signature IS NOT NULL").join(wanted, "fp", "left_semi")
+        ids = keyed.filter("first").join(wanted, "fp", "left_semi")
         ids = write_table(ids.groupBy("fp").agg(F.min(F.xxhash64("doc_id")).alias("h")).select("h").distinct(), "ids")
         hashed = self.docs.select(F.xxhash64("doc_id").alias("h"), "text")
         if ids.count() <= BROADCAST_IDS:
@@ -297,7 +300,9 @@ class Join:
                         )
 
         found = hashed.mapInArrow(take, "fp long, set binary")
-        return write_table(found.join(wanted, "fp", "left_semi").dropDuplicates(["fp"]), "sets")
+        sets = write_table(found.join(wanted, "fp", "left_semi").dropDuplicates(["fp"]), "sets")
+        drop_table(ids)
+        return sets
 
     def possible(self, pairs: DataFrame, counts: DataFrame) -> DataFrame:
         """Those of the pairs (u, v) whose signatures allow a link."""
@@ -335,11 +340,13 @@ class Join:
         percent = self.percent
         long_lists, mean = self.long_lists()
         release(self.spark)
-        keyed = self.keyed(long_lists, boundary_by_cost(mean, percent))
-        lists = self.lists(keyed)
-        release(self.spark)
-        counts = keyed.filter("signature IS NOT NULL").select("fp", "signature", F.col("n_shingles").alias("n"))
+        signed = self.keyed(long_lists, boundary_by_cost(mean, percent))
+        lists = self.lists(signed)
+        counts = signed.filter("signature IS NOT NULL").select("fp", "signature", F.col("n_shingles").alias("n"))
         counts = write_table(counts.join(lists.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"]), "signatures")
+        keyed = write_table(signed.select("doc_id", "n_shingles", "fp", F.col("signature").isNotNull().alias("first")), "keyed")
+        drop_table(signed)
+        release(self.spark)
         same_doc = keyed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
         first = same_doc.groupBy("doc_id").agg(F.min("fp").alias("u"), F.max("fp").alias("_v")).filter("u <> _v")
         self.links = write_table(same_doc.join(first, "doc_id").select("u", F.col("fp").alias("v")).filter("u <> v").distinct(), "links")
@@ -352,7 +359,9 @@ class Join:
             pivots = write_table(open_lists.groupBy("key").agg(F.min_by(F.struct("fp", "n", "c"), F.struct(order, "fp")).alias("p")), "pivots")
             pairs = open_lists.join(pivots, "key").filter((F.col("p.c") != F.col("c")) & fits(F.col("p.n"), F.col("n")))
             if self._compare(keyed, counts, pairs.select(F.least("fp", "p.fp").alias("u"), F.greatest("fp", "p.fp").alias("v")).distinct()):
+                drop_table(open_lists)
                 open_lists = self._open(lists)
+            drop_table(pivots)
             release(self.spark)
             if open_lists.isEmpty():
                 return keyed
@@ -362,9 +371,10 @@ class Join:
     def _rest(self, open_lists: DataFrame, counts: DataFrame) -> DataFrame:
         """Every pair of list members that are still in different components and may link.
 
-        Short lists are joined with themselves. Long lists are cut into blocks of about BLOCK members, and pairs of
-        blocks are compared in tasks of their own; a pair is looked at only in the first long list that it shares,
-        and only what its signatures allow comes out."""
+        Short lists are joined with themselves. Long lists are cut by size: as linked sets differ by less than one class
+        of sizes, a member is compared with those of its own class and of the next. What is still long is cut into
+        blocks of about BLOCK members, and pairs of blocks are compared in tasks of their own. A pair is looked at only
+        in the first long list that it shares, and only what its signatures allow comes out."""
         percent = self.percent
         sizes = write_table(open_lists.groupBy("key").agg(F.count(F.lit(1)).alias("k")), "sizes")
         sized = write_table(open_lists.join(sizes, "key"), "open")
@@ -375,20 +385,26 @@ class Join:
         pairs = a.join(b, "key").filter((F.col("u") < F.col("v")) & (F.col("_c") != F.col("c")) & fits).select("u", "v").distinct()
 
         def compare(key: tuple, table: pa.Table) -> pa.Table:
-            rows = {c: table.column(c).to_pylist() for c in ("fp", "n", "c", "keys", "signature", "block")}
-            k, i, j = (x.as_py() for x in key)
+            rows = {c: table.column(c).to_pylist() for c in ("fp", "n", "c", "keys", "signature", "block", "own")}
+            k, _, i, j = (x.as_py() for x in key)
             found = block_pairs(k, rows, i == j, [x == i for x in rows["block"]], percent)
             return pa.table({"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())})
 
         keys = long.groupBy("fp").agg(F.sort_array(F.collect_list("key")).alias("keys"))  # at most a set's keys
-        rows = long.join(keys, "fp").join(counts.select("fp", "signature"), "fp").withColumn("_blocks", F.ceil(F.col("k") / BLOCK).cast("long"))
+        rows = long.join(keys, "fp").join(counts.select("fp", "signature"), "fp").drop("k")
+        # a little wider than the largest ratio, so that rounding never puts linked sets two classes apart
+        size_class = F.floor(F.log(F.col("n")) / (1.001 * math.log(100 / percent))).cast("long") if percent < 100 else F.col("n")
+        own = F.array(F.struct(size_class.alias("g"), F.lit(True).alias("own")), F.struct((size_class + 1).alias("g"), F.lit(False).alias("own")))
+        rows = write_table(rows.select("*", F.inline(own)), "classes")
+        sizes = rows.groupBy("key", "g").agg(F.count(F.lit(1)).alias("k"), F.bool_or("own").alias("any")).filter("any").drop("any")
+        rows = rows.join(write_table(sizes, "sizes"), ["key", "g"]).withColumn("_blocks", F.ceil(F.col("k") / BLOCK).cast("long"))
         rows = rows.withColumn("block", F.pmod(F.xxhash64("fp", F.lit("block")), "_blocks")).withColumn(
             "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))
         )
         rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).select(
-            "key", "i", "j", "fp", "n", "c", "keys", "signature", "block"
+            "key", "g", "i", "j", "fp", "n", "c", "keys", "signature", "block", "own"
         )
-        return pairs.unionByName(rows.groupBy("key", "i", "j").applyInArrow(compare, "u long, v long").distinct()).distinct()
+        return pairs.unionByName(rows.groupBy("key", "g", "i", "j").applyInArrow(compare, "u long, v long").distinct()).distinct()
 
     def _compare(self, keyed: DataFrame, counts: DataFrame, pairs: DataFrame) -> bool:
         """Verify pairs; new links go into self.links and self.roots. Sets that are still missing are gathered first."""
@@ -398,7 +414,9 @@ class Join:
         if not wanted.isEmpty():
             more = self.sets(keyed, wanted)
             self.held = self.held.unionByName(more) if self.held else more
-        found = write_table(self.linked(pairs, self.held), "links") if self.held else pairs
+        found = write_table(self.linked(pairs, self.held) if self.held else pairs, "links")
+        drop_table(wanted)
+        drop_table(pairs)
         if found.isEmpty():
             return False
         self.links = self.links.unionByName(found)
@@ -410,13 +428,18 @@ class Join:
         known = lists.join(self.roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("c", F.coalesce("root", "fp")).drop("root")
         known = write_table(known, "known")
         several = known.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("key")
-        return write_table(known.join(write_table(several, "several"), "key", "left_semi"), "open")
+        several = write_table(several, "several")
+        out = write_table(known.join(several, "key", "left_semi"), "open")
+        drop_table(known)
+        drop_table(several)
+        return out
 
 
 def near_components(
     docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, rounds: int = ROUNDS, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every row."""
+    mark = tables_written()
     thin = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     join = Join(thin, n, percent, rounds)
     keyed, roots = join.run(), join.roots
@@ -426,7 +449,10 @@ def near_components(
     classes = write_table(classes.select("fp", "root").join(named, "root").select(F.col("fp").alias("_fp"), "component_id"), "classes")
     own = keyed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("fp")).alias("fp"))
     out = own.join(classes, F.col("fp") == F.col("_fp"), "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    result = write_table(out.select("doc_id", "n_shingles", component.alias("component_id")), "components")
+    drop_since(mark, result)
+    return result
 
 
 ORACLE = r"""
