@@ -7,7 +7,7 @@ verified word by word; hits mark words and items.
 
 The set is broadcast in blocks of at most `block_words` item words, each a scan of its own over the documents; a
 benchmark of any size passes, and no worker holds more than one block. Items are gathered on the driver block by
-block. Null texts have no words. Null item ids are items too, named by the empty text. Rows with one item id are
+block. Texts of any length are searched whole. Null texts have no words. Null item ids are items too, named by the empty text. Rows with one item id are
 one item. Without items nothing is hit. A column named as the result is replaced.
 """
 

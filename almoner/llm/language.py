@@ -3,7 +3,7 @@
 Texts are lower-cased and cut into runs of letters; a run is scored as its characters and an end mark, in the
 context of the characters before it in the run (from a begin mark on). A model needs only how often each run occurs
 in each language, so that is all that training gathers, from a sample bounded by `docs_per_language` (expected rows,
-drawn by hash; whole texts).
+drawn by a hash of id and text; whole texts; rows that agree in both are drawn together).
 
 For order n down to 1: P_n(c|h) = max(a(hc) - D_n, 0)/a(h) + D_n T(h)/a(h) P_(n-1)(c|h'), where a counts occurrences
 at the highest order and after a begin mark, and distinct left extensions elsewhere; T(h) is the number of distinct
@@ -14,7 +14,7 @@ A text gets the language of the lowest cross-entropy for each character (ties: t
 is the softmax of those entropies at a temperature, and it is `accepted` if the entropy is at most a limit; both
 are calibrated on a fifth of the sample that the counts don't use.
 
-Null texts and texts without a letter: `und`, score 0, not accepted; so is every text if nothing was learned. Rows
+Texts of any length are judged whole. Null texts and texts without a letter: `und`, score 0, not accepted; so is every text if nothing was learned. Rows
 are judged one by one. A column named as the result is replaced.
 """
 
@@ -206,9 +206,9 @@ def fit(
     )
     sizes = rows.groupBy("lang").count()  # a row for each language
     share = sizes.select(F.col("lang").alias("_lang"), (F.lit(float(docs_per_language)) / F.col("count")).alias("_share"))
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30).cast("long")) < F.col("_share") * (1 << 30)
+    drawn = F.pmod(F.xxhash64("doc_id", "text", F.lit("sample")), F.lit(1 << 30).cast("long")) < F.col("_share") * (1 << 30)
     sample = rows.join(F.broadcast(share), F.col("lang") == F.col("_lang")).filter(drawn)
-    sample = sample.select("text", "lang", (F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(5)) == 0).alias("held"))
+    sample = sample.select("text", "lang", (F.pmod(F.xxhash64("doc_id", "text", F.lit("calibrate")), F.lit(5)) == 0).alias("held"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -14,7 +14,7 @@ first. Lines near a document-weighted centre of their leaf are settled together,
 compared in pairs, by their rarest pairs of neighbouring tokens. Every group is summed before it is dealt out. Documents are named
 by a hash of id and text, so repeated rows count once.
 
-Null texts have no lines and stay null. Empty lines are kept. Null ids are ids. Ties don't arise. An empty table
+Texts and lines of any length are taken whole. Null texts have no lines and stay null. Empty lines are kept. Null ids are ids. Ties don't arise. An empty table
 gives an empty one. Extra columns stay; one named as the result is replaced.
 """
 

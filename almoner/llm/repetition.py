@@ -6,7 +6,8 @@ deepest in the one of value max(LCP[r], LCP[r+1]). The union of the spans of rep
 words is the repeated part. A text is kept if that part covers at most `max_covered` of its word characters and
 no repeat is longer than `max_longest` words.
 
-Null text: as an empty one. Empty or short texts have no repeats. Rows are judged one by one: repeated rows and
+Null text: as an empty one. Empty or short texts have no repeats. Texts of any length are taken whole (one longer than a
+chunk is a chunk of its own). Rows are judged one by one: repeated rows and
 ties change nothing, an empty table gives an empty table. A column named as the result is replaced.
 """
 

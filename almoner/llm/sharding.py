@@ -4,7 +4,7 @@ Documents are ordered by id (ties by text hash and size). Each range of the orde
 totals give every document's global byte offset, and equal targets cut that line: a document goes where its middle
 byte falls. Only ids, sizes and hashes are dealt out, never texts.
 
-A null text has no bytes (size 1, hash of the empty text). Null ids come first. Rows that agree in id, size and
+Texts of any length count whole. A null text has no bytes (size 1, hash of the empty text). Null ids come first. Rows that agree in id, size and
 hash are interchangeable. An empty table gives an empty one. More shards than documents leave some shards empty.
 """
 

@@ -9,8 +9,8 @@ with the logistic loss, where pi is the class prior (the share of toxic rows amo
 learned from). Where the second part falls below zero its gradient is turned round, as a negative risk of the
 unseen negatives can only be overfitting. Words are picked before by how much more often positives have them.
 
-The fit takes a sample bounded by `positives` and `unlabelled` (expected rows, drawn by hash; whole texts); scoring
-covers every text. Words are runs of [0-9a-z] and non-ASCII characters, A-Z lower-cased.
+The fit takes a sample bounded by `positives` and `unlabelled` (expected rows; positives drawn by a hash of the id, which
+names one document, unlabelled ones by a hash of id and text; whole texts of any length); scoring covers every text. Words are runs of [0-9a-z] and non-ASCII characters, A-Z lower-cased.
 
 Null and empty texts get the score of no words. Without positives or unlabelled texts every score is the prior.
 Null labels count as no label; several labels of one document count one by one. A column named as the result is
@@ -117,10 +117,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, positives: int = POSI
     n, toxic = known.agg(F.count(F.lit(1)), F.sum((F.col("toxic") == 1).cast("long"))).first()
     prior = min(0.9, max(0.001, (toxic or 0) / n)) if n else 0.5
     scale = 1 << 30
-    drawn = lambda salt, share: F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(scale).cast("long")) < int(min(1.0, share) * scale)
-    chosen = known.filter((F.col("toxic") == 1) & drawn("p", positives / max(1, toxic or 0))).select("doc_id").distinct()
+    drawn = lambda share, *by: F.pmod(F.xxhash64(*by), F.lit(scale).cast("long")) < int(min(1.0, share) * scale)
+    chosen = known.filter((F.col("toxic") == 1) & drawn(positives / max(1, toxic or 0), "doc_id", F.lit("p"))).select("doc_id").distinct()
     n_docs = docs.filter(learn).count()
-    rows = docs.filter(learn).select("doc_id", "text", drawn("u", unlabelled / max(1, n_docs)).alias("_u"))
+    rows = docs.filter(learn).select("doc_id", "text", drawn(unlabelled / max(1, n_docs), "doc_id", "text", F.lit("u")).alias("_u"))
     rows = rows.join(F.broadcast(chosen.withColumn("_p", F.lit(True))), "doc_id", "left")  # at most `positives` ids
     rows = rows.select("text", F.coalesce("_p", F.lit(False)).alias("p"), "_u").filter("p OR _u")
 
