@@ -239,10 +239,12 @@ def e17(spark, sf_dir):
     return unmapped(seen, consumed)
 
 
-@query("e02_modern_first", "SELECT * FROM (VALUES (0, 'A/GrantGrp/Amt'), (1, 'A/Amt'), (2, 'A/GrantGrp/Amount'), (3, 'A/Amount')) t(place, path)")
+@query("e02_modern_first", """WITH p AS (SELECT n_nationkey AS k, CASE WHEN n_nationkey % 2 = 1 THEN 'R/GrantGrp/' ELSE 'R/Grant/' END || 'Leaf' || CAST(n_nationkey AS VARCHAR) || ['Amt', 'Amount', 'Txt', 'Name'][CAST(n_nationkey % 4 + 1 AS BIGINT)] AS path FROM nation)
+SELECT CAST(row_number() OVER (ORDER BY k % 4 IN (0, 2) DESC, k % 2 DESC, k) - 1 AS INTEGER) AS place, path FROM p""")
 def e02(spark, sf_dir):
-    paths = fil.modern_first(["A/Amount", "A/Amt", "A/GrantGrp/Amount", "A/GrantGrp/Amt", "A/Amt"])
-    return spark.createDataFrame(list(enumerate(paths)), "place int, path string")
+    keys = sorted(r[0] for r in table(spark, sf_dir, "nation").select("n_nationkey").collect())  # a field's paths are a list
+    paths = [("R/Grant/", "R/GrantGrp/")[k % 2] + f"Leaf{k}" + ("Amt", "Amount", "Txt", "Name")[k % 4] for k in keys]
+    return spark.createDataFrame(list(enumerate(fil.modern_first([*paths, *paths]))), "place int, path string")
 
 
 @query("q20_diagnose", f"""{DUCK_LINES} SELECT object_id, CASE WHEN o_orderkey % 3 = 0 THEN '990' ELSE '990PF' END AS return_type, '{{"funder_ein":"0' || lpad(CAST(o_custkey AS VARCHAR), 8, '1') || '","funder_name":"Giving House","errors":[]}}' AS header, n AS rows, dollars

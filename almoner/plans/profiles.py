@@ -232,7 +232,7 @@ def q14(spark, sf_dir):
     return pro.search(pro.search_index(_entities(spark, sf_dir)), "harbor you")
 
 
-@query("q15_number_search", "SELECT '000000004' AS ein, 'funder' AS kind, 'Customer#000000004' AS name")
+@query("q15_number_search", ctes("edges") + " SELECT DISTINCT funder_ein AS ein, 'funder' AS kind, funder_name AS name FROM edges WHERE funder_ein = '000000004'")
 def q15(spark, sf_dir):
     return pro.search(pro.search_index(_entities(spark, sf_dir)), "00-0000004")
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from almoner.operators import filings as fil
 from almoner.operators import quality as q
+from almoner.plans.analogs import table
 from almoner.plans.filings import DUCK_LINES, ELEMENTS, READABLE, xml_filings
 from almoner.plans.register import query
 
@@ -87,10 +88,13 @@ def v04(spark, sf_dir):
     return q.path_versions(docs.select("object_id", F.regexp_extract("xml", 'returnVersion="([^"]*)"', 1).alias("return_version"), "paths"))
 
 
-@query("e18_present_in_version", "SELECT * FROM (VALUES ('/a', '1', true), ('/b', '1', false), ('/a', '2', NULL)) t(path, return_version, present)")
+@query("e18_present_in_version", """WITH p AS (SELECT DISTINCT '/p' || CAST(p_partkey % 40 AS VARCHAR) AS path, 'v' || CAST(p_partkey % 3 AS VARCHAR) AS return_version FROM part),
+i AS (SELECT DISTINCT '/p' || CAST(p_partkey % 25 AS VARCHAR) AS path, 'v' || CAST(p_partkey % 2 AS VARCHAR) AS return_version FROM part)
+SELECT p.path, p.return_version, CASE WHEN p.return_version IN (SELECT return_version FROM i) THEN (p.path, p.return_version) IN (SELECT (path, return_version) FROM i) END AS present FROM p""")
 def e18(spark, sf_dir):
-    paths = spark.createDataFrame([("/a", "1"), ("/b", "1"), ("/a", "2")], "path string, return_version string")
-    return q.present_in_version(paths, spark.createDataFrame([("/a", "1"), ("/c", "1")], "path string, return_version string"))
+    k, parts = F.col("p_partkey"), table(spark, sf_dir, "part")
+    shown = lambda paths, versions: parts.select(F.concat(F.lit("/p"), (k % paths).cast("string")).alias("path"), F.concat(F.lit("v"), (k % versions).cast("string")).alias("return_version"))
+    return q.present_in_version(shown(40, 3).distinct(), shown(25, 2))
 
 
 @query("l04_report_order", FILED + " SELECT object_id, row_number() OVER (ORDER BY status, -pct, object_id) AS place FROM s WHERE pct IS NOT NULL")

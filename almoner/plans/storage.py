@@ -224,50 +224,53 @@ def s14(spark, sf_dir):
     return tables.registry_view(spark, path).unionByName(tables.registry_view(spark, f"{path}/none.csv"))  # the second isn't there: no rows, the same columns
 
 
-@query(
-    "s01_landing_links",
-    "SELECT * FROM (VALUES ('http://x/2023_A.csv', '2023_A.csv', 2023, true), ('http://x/a/2023_B.zip', '2023_B.zip', 2023, false), ('http://y/2024_C.zip', '2024_C.zip', 2024, false)) t(url, filename, year, is_index)"
-)
+@query("s01_landing_links", """WITH p AS (SELECT s_suppkey AS k, 2015 + s_suppkey % 9 AS y FROM supplier)
+SELECT 'http://x/a/' || y || '_S' || k || '.zip' AS url, y || '_S' || k || '.zip' AS filename, CAST(y AS INTEGER) AS year, false AS is_index FROM p
+UNION ALL SELECT 'http://y/' || y || '_I' || k || '.CSV', y || '_I' || k || '.CSV', CAST(y AS INTEGER), true FROM p WHERE k % 2 = 0""")
 def s01(spark, sf_dir):
-    html = '<a href="/a/2023_B.zip#x">b</a> <a href="2023_A.csv"> <a HREF="http://y/2024_C.zip"> <a href="2023_A.csv"><a href="other.pdf">'
-    return tables.landing_files(spark, spark.createDataFrame([(html,)], "html string"), "http://x/")
+    k, y = F.col("s_suppkey").cast("string"), (F.lit(2015) + F.col("s_suppkey") % 9).cast("string")
+    zipped = F.concat(F.lit('<a href="/a/'), y, F.lit("_S"), k, F.lit('.zip#x">z</a> '))
+    listed = F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit('<A HREF="http://y/'), y, F.lit("_I"), k, F.lit('.CSV">'))).otherwise(F.lit('<a href="none.zip"><a href="2020_x.pdf">'))
+    return tables.landing_files(spark, table(spark, sf_dir, "supplier").select(F.concat(zipped, listed, zipped).alias("html")), "http://x/")
 
 
-@query("s24_single_filings", "SELECT CAST(k AS VARCHAR) AS object_id, '990' AS return_type FROM range(3) t(k)")
+@query("s24_single_filings", "SELECT CAST(n_nationkey AS VARCHAR) AS object_id, CASE WHEN n_nationkey % 2 = 0 THEN '990' ELSE '990PF' END AS return_type FROM nation")
 def s24(spark, sf_dir):
     folder = scratch(spark)
-    for k, name in enumerate(("2022v5.0__0.xml", "1_public.xml", "2.xml")):
-        put(spark, f"{folder}/{name}", f"<Return><ReturnHeader><ReturnTypeCd>990</ReturnTypeCd></ReturnHeader><n>{k}</n></Return>")
-    docs = fil.parsed(fil.from_files(spark, folder))
-    return fil.headers(docs).select("object_id", "return_type")
+    for (k,) in table(spark, sf_dir, "nation").select("n_nationkey").collect():  # the fixture: a file for each nation
+        name = (f"2022v5.0__{k}.xml", f"{k}_public.xml", f"{k}.xml")[k % 3]
+        put(spark, f"{folder}/{name}", f"<Return><ReturnHeader><ReturnTypeCd>{'990PF' if k % 2 else '990'}</ReturnTypeCd></ReturnHeader></Return>")
+    return fil.headers(fil.parsed(fil.from_files(spark, folder))).select("object_id", "return_type")
 
 
-@query("s19_j12_overrides", "SELECT * FROM (VALUES ('A', NULL, '94000', '123456789'), ('B', 'CA', NULL, '000000012')) t(name, state, zip5, ein)")
+@query("s19_j12_overrides", """SELECT s_name AS name, CASE WHEN s_suppkey % 3 <> 0 THEN 'CA' END AS state, CASE WHEN s_suppkey % 4 <> 0 THEN '94000' END AS zip5,
+  lpad(CAST(s_suppkey + 1 AS VARCHAR), 9, '0') AS ein FROM supplier""")
 def s19(spark, sf_dir):
-    path = scratch(spark)
-    rows = [("A", " ", "94000", "12-3456789", "seen", ""), ("B", "CA", "", "000000012", "seen", "x")]
-    spark.createDataFrame(
-        rows, "recipient_name_normalized string, state string, zip5 string, ein string, source string, note string"
+    path, k = scratch(spark), F.col("s_suppkey")
+    ein = F.lpad((k + 1).cast("string"), 9, "0")
+    table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("recipient_name_normalized"), F.when(k % 3 == 0, " ").otherwise("CA").alias("state"),
+        F.when(k % 4 == 0, "").otherwise("94000").alias("zip5"), F.concat(F.substring(ein, 1, 2), F.lit("-"), F.substring(ein, 3, 7)).alias("ein"),
+        F.lit("seen").alias("source"), F.lit("a, b").alias("note"),
     ).write.csv(path, header=True)
     return tables.corrections(spark, path).select(F.col("recipient_name_normalized").alias("name"), "state", "zip5", "ein")
 
 
-@query("s20_labelled_pairs", "SELECT * FROM (VALUES ('Hill', '123456789'), ('Dale', NULL)) t(name, expected_ein)")
+@query("s20_labelled_pairs", "SELECT s_name AS name, CASE WHEN s_suppkey % 2 = 0 THEN lpad(CAST(s_suppkey + 1 AS VARCHAR), 9, '0') END AS expected_ein FROM supplier")
 def s20(spark, sf_dir):
-    path = scratch(spark)
-    rows = [("Hill", "123456789"), ("Dale", "")]
-    df = spark.createDataFrame(
-        [(n, None, "CA", None, None, e, "me", "2026-08-01", "site", "") for n, e in rows],
-        ", ".join(f"{c} string" for c in tables.LABEL_COLUMNS)
-    )
-    df.write.csv(path, header=True)
+    path, k, none = scratch(spark), F.col("s_suppkey"), F.lit(None).cast("string")
+    own = {"recipient_name_raw": F.col("s_name"), "expected_ein": F.when(k % 2 == 0, F.lpad((k + 1).cast("string"), 9, "0")).otherwise(" ")}
+    own |= {"verified_by": F.lit("me"), "verified_on": F.lit("2026-08-01"), "source": F.lit("site")}
+    table(spark, sf_dir, "supplier").select(*[own.get(c, none).alias(c) for c in tables.LABEL_COLUMNS]).write.csv(path, header=True)
     return tables.labelled_pairs(spark, path).select(F.col("recipient_name_raw").alias("name"), "expected_ein")
 
 
-@query("s11_inventories", "SELECT * FROM (VALUES ('2022v5.0', '/a'), ('2022v5.0', '/b')) t(return_version, path)")
+@query("s11_inventories", "SELECT DISTINCT '202' || CAST(p_partkey % 3 AS VARCHAR) || 'v5.0' AS return_version, '/p' || CAST(p_partkey % 40 AS VARCHAR) AS path FROM part")
 def s11(spark, sf_dir):
     folder = scratch(spark)
-    put(spark, f"{folder}/mapping_2022v5.0.csv", "xpath,other\n/a,1\n/b,2\n/a,3\n")
+    for k in range(3):
+        rows = table(spark, sf_dir, "part").filter(F.col("p_partkey") % 3 == k)
+        rows.select(F.concat(F.lit("/p"), (F.col("p_partkey") % 40).cast("string")).alias("xpath"), F.lit("1").alias("other")).write.csv(f"{folder}/mapping_202{k}v5.0.csv", header=True)
     return tables.inventories(spark, f"{folder}/mapping_*.csv")
 
 
@@ -301,9 +304,10 @@ def k15(spark, sf_dir):
     return m.select("funders", "funders_chunked", "grant_rows", "recipients", F.array_join("states", ",").alias("states"), "dataset_version")
 
 
-@query("q07_f27_versions", "SELECT * FROM (VALUES ('2026.08.1'), ('2025.12.0')) t(version)")
+@query("q07_f27_versions", "SELECT CAST(2001 + n_nationkey AS VARCHAR) || '.08.' || CAST(n_nationkey AS VARCHAR) AS version FROM nation WHERE n_nationkey % 3 = 0")
 def q07(spark, sf_dir):
-    return pub.versions(spark, ["2025.12.0", "latest", "2026.08.1", "2026.8.1"])
+    keys = [r[0] for r in table(spark, sf_dir, "nation").select("n_nationkey").collect()]  # names of folders, as listed
+    return pub.versions(spark, [(f"{2001 + k}.08.{k}", f"{2001 + k}.8.{k}", f"latest{k}")[k % 3] for k in keys])
 
 
 @query(

@@ -16,6 +16,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")  # many short queries: quick compilation pays
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp())
         .config("spark.ui.showConsoleProgress", "false")
