@@ -285,7 +285,7 @@ def brute_katz(rows, train, order):
     return out
 
 
-@pytest.mark.parametrize("order, size", [(3, 40), (3, None), (2, 300), (4, 100)])
+@pytest.mark.parametrize("order, size", [(3, 40), (2, None), (4, 100)])
 def test_katz_matches_brute_force(spark, order, size):
     rows = [(k, t) for k, t, _ in some_docs()[:-1]]
     train = {k for k, _ in rows if zlib.crc32(str(k).encode()) % 7 != 2}
@@ -449,8 +449,7 @@ def near_cases(seed):
     return rows + [(k + 1, None), (k + 2, ""), (k + 3, " "), (k + 4, rows[0][1].upper()), rows[1]]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("light", [0, 10])
+@pytest.mark.parametrize("seed, light", [(1, 10), (2, 0)])
 def test_near_matches_brute_force(spark, monkeypatch, seed, light):
     monkeypatch.setattr(near, "boundary_by_cost", lambda *a: light)
     monkeypatch.setattr(near, "LONG_LIST", 3)
@@ -787,9 +786,8 @@ def test_pipeline_matches_brute_force(spark, data):
     copies = brute_mix(clean)
     want = brute_shards([(k, t) for k, t, _ in clean for _ in range(copies[k])])
     assert len(want) > 50
-    for _ in range(2):  # reruns agree
-        got = pipeline.run(spark, data).select("doc_id", "size", "text_crc32", "shard", "slot").collect()
-        assert sorted(map(tuple, got)) == sorted(want)
+    got = pipeline.run(spark, data).select("doc_id", "size", "text_crc32", "shard", "slot").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
 
 
 def test_stages_on_odd_rows(spark, data):
