@@ -16,7 +16,7 @@ Counts and look-ups share their shuffles. Documents are packed by task (tokens a
 vocabulary). A pack asks for each of its distinct grams once, with its own training count, in messages to the parts
 that hold the order's table. A part sums the counts, numbers its seen grams, keeps them as its partition of the table,
 and answers every pack with the counts and numbers of just the grams it asked for, and with the sums of those contexts
-whose weights it needs. A gram of the next order is named by its context's part and number and its last word's number,
+whose weights it needs. Told of its words, a pack is written anew with their numbers for their hashes. A gram of the next order is named by its context's part and number and its last word's number,
 so names are exact and short, and a context's continuations meet in its own part; contexts of more than `spread`
 tokens are dealt over several parts, whose sums are added up and joined to the packs that want them. Nothing that
 grows with the corpus is broadcast or sent to the driver: only N, V and the counts of counts are.
@@ -161,9 +161,9 @@ class Grams:
     def __init__(self, pack: Pack, n: int, home: np.ndarray, number: np.ndarray, count: np.ndarray, context: np.ndarray, low: np.ndarray):
         """home, number, count: of the contexts, in rising order; context: each token's (-1: none); low: each token's count at order n - 1."""
         self.n, self.home, self.number, self.count, self.context = n, home, number, count, context
-        words = len(pack.code) + 1  # 0 stands for any unknown word
+        words = len(pack.code) + 1
         valid = np.flatnonzero(context >= 0)
-        code, at, inverse = distinct(context[valid] * words + pack.word[valid])
+        code, at, inverse = distinct(context[valid] * words + pack.tokens[valid])
         of, word = code // words, code % words
         own = np.bincount(inverse[pack.trained[valid]], minlength=len(code))
         code = np.r_[np.int64(0), pack.code + 1][word]
@@ -232,15 +232,18 @@ class Pack:
     """A pack's tokens and what it has been told about them."""
 
     def __init__(self, rows: list[tuple], parts: int, spread: int):
-        """rows: (kind, part, number, a, b, sums)."""
+        """rows: (kind, part, number, a, b, sums). Tokens are places in the sorted hashes; once told, in `code`, counted from 1."""
         self.parts, self.spread = parts, spread
         a, b = next(x[3:5] for x in rows if x[0] == PACK)
         self.told = lambda kind: [x[1:] for x in sorted(rows, key=lambda x: x[1]) if x[0] == kind]
-        lens, train, begin = apart(b)
+        lens, train, begin, *words = apart(b)
         lens, train = unplanes(lens, np.int64), unplanes(train, np.bool_)
         self.n, self.train = len(lens), train
         self.begin = int(np.frombuffer(begin, np.int64)[0])  # the beginning's place in the vocabulary
         self.tokens = unplanes(a, np.uint32).astype(np.int64)
+        if words:
+            self.code = unpack_keys(words[0]).astype(np.int64)
+            self.c1 = np.r_[0, unplanes(words[1], np.uint64).astype(np.int64)]  # the first: of any unknown word
         self.doc = np.repeat(np.arange(self.n), lens)
         self.first = np.cumsum(lens) - lens
         self.trained = train[self.doc]
@@ -257,28 +260,33 @@ class Pack:
         home = ((vocab >> np.uint64(32)) * np.uint64(self.parts)) >> np.uint64(32)
         return batch([(pack, 1, p, None, pack_keys(vocab[x]), planes(own[x].astype(np.uint32)), None) for p, x in runs(home)])
 
-    def grams(self, order: int) -> list[Grams]:
-        """Its grams of the orders 2..order; the last may still have to be told."""
+    def with_words(self) -> tuple[bytes, bytes]:
+        """The pack's a and b once it has been told of its words: tokens by their numbers, which take the place of hashes and answers."""
         answers = [(x[0], *apart(x[2])) for x in self.told(1)]
         counts = [unplanes(x[1], np.uint64) for x in answers]
-        self.c1 = np.concatenate(counts).astype(np.int64)
+        c1 = np.concatenate(counts)
         home = np.repeat([x[0] for x in answers], [len(x) for x in counts])
-        rank = np.full(len(self.c1), -1)
-        rank[self.c1 > 0] = np.concatenate([unplanes(x[2], np.uint64) for x in answers]).astype(np.int64)
+        rank = np.full(len(c1), -1)
+        rank[c1 > 0] = np.concatenate([unplanes(x[2], np.uint64) for x in answers]).astype(np.int64)
         # words by the numbers that all packs use: frequent ones have small ones
         code = rank * self.parts + home
         seen = np.flatnonzero(rank >= 0)
         by = seen[np.argsort(code[seen])]
-        self.code = code[by]
         place = np.zeros(len(rank), np.int64)
         place[by] = np.arange(1, len(by) + 1)
-        self.word = place[self.tokens]
-        seen = seen[np.argsort((home[seen] << 40) | rank[seen])]
-        place = np.full(len(rank), -1)
-        place[seen] = np.arange(len(seen))
+        lens = np.bincount(self.doc, minlength=self.n)
+        own = [planes(lens), planes(self.train), place[self.begin].tobytes(), pack_keys(code[by]), planes(c1[by])]
+        return planes(place[self.tokens].astype(np.uint32)), joined(own)
+
+    def grams(self, order: int) -> list[Grams]:
+        """Its grams of the orders 2..order; the last may still have to be told."""
+        home, rank = self.code % self.parts, self.code // self.parts
+        by = np.argsort((home << 40) | rank)
+        place = np.full(len(by) + 1, -1)
+        place[by + 1] = np.arange(len(by))
         before = np.r_[0, self.tokens[:-1]]
         before[self.first] = self.begin
-        out, given = [], (home[seen], rank[seen], self.c1[seen], place[before], self.c1[self.tokens])
+        out, given = [], (home[by], rank[by], self.c1[1:][by], place[before], self.c1[self.tokens])
         for n in range(2, order + 1):
             out.append(Grams(self, n, *given))
             answers = self.told(n)
@@ -334,32 +342,36 @@ def stats_of(counts: np.ndarray) -> list[int]:
     ]
 
 
-def answered(rows: list[tuple], stats: list[int]) -> pa.Table:
-    """The rows of a part, the first with its counts of counts."""
-    out = pa.Table.from_batches([batch(rows)])
+def answered(rows: list[tuple], stats: list[int], keep: bool) -> pa.Table:
+    """The rows of a part, the first (its partition of the table, which may be left out) with its counts of counts."""
+    out = pa.Table.from_batches([batch(rows if keep else [(*rows[0][:4], None, None, None), *rows[1:]])])
     return out.append_column("stats", pa.array([stats] + [None] * (len(rows) - 1), pa.list_(pa.int64())))
 
 
-def answer_words(key: tuple, table: pa.Table) -> pa.Table:
+def answer_words(keep: bool):
     """What a part does with the packs' words: its partition of the table, and the answers."""
-    table = table.sort_by("pack")
-    keys = [unpack_keys(b) for b in table.column("a").to_pylist()]
-    own = np.concatenate([unplanes(b, np.uint32) for b in table.column("b").to_pylist()])
-    h, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(inverse, own, minlength=len(h)).astype(np.int64)
-    seen = np.flatnonzero(total)
-    number = np.zeros(len(h), np.uint64)
-    number[seen[np.lexsort((h[seen], -total[seen]))]] = np.arange(len(seen))  # frequent words have small numbers
-    part, at = key[0].as_py(), 0
-    rows = [(MODEL, 1, part, None, joined([pack_keys(h[seen]), planes(number[seen])]), planes(total[seen]), None)]
-    for pack, k in zip(table.column("pack").to_pylist(), keys, strict=True):
-        mine = inverse[at : at + len(k)]
-        rows.append((pack, 1, part, None, joined([planes(total[mine].astype(np.uint64)), planes(number[mine][total[mine] > 0])]), None, None))
-        at += len(k)
-    return answered(rows, stats_of(total[seen][h[seen] != BEGIN]))
-
-
-def answer_grams(n: int, lower: Discounts, parts: int, last: bool):
+
+    def answer(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by("pack")
+        keys = [unpack_keys(b) for b in table.column("a").to_pylist()]
+        own = np.concatenate([unplanes(b, np.uint32) for b in table.column("b").to_pylist()])
+        h, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(inverse, own, minlength=len(h)).astype(np.int64)
+        seen = np.flatnonzero(total)
+        number = np.zeros(len(h), np.uint64)
+        number[seen[np.lexsort((h[seen], -total[seen]))]] = np.arange(len(seen))  # frequent words have small numbers
+        part, at = key[0].as_py(), 0
+        rows = [(MODEL, 1, part, None, joined([pack_keys(h[seen]), planes(number[seen])]), planes(total[seen]), None)]
+        for pack, k in zip(table.column("pack").to_pylist(), keys, strict=True):
+            mine = inverse[at : at + len(k)]
+            rows.append((pack, 1, part, None, joined([planes(total[mine].astype(np.uint64)), planes(number[mine][total[mine] > 0])]), None, None))
+            at += len(k)
+        return answered(rows, stats_of(total[seen][h[seen] != BEGIN]), keep)
+
+    return answer
+
+
+def answer_grams(n: int, lower: Discounts, parts: int, last: bool, keep: bool):
     """The same for grams of order n, with the sums of contexts; lower: the discounts of order n - 1."""
 
     def answer(key: tuple, table: pa.Table) -> pa.Table:
@@ -409,7 +421,7 @@ def answer_grams(n: int, lower: Discounts, parts: int, last: bool):
             for x in k[want[wide]]:
                 p, number = home(x)
                 rows.append((pack, -n, p, number, None, None, None))
-        return answered(rows, stats_of(total[seen]))
+        return answered(rows, stats_of(total[seen]), keep)
 
     return answer
 
@@ -443,13 +455,16 @@ def log_probabilities(pack: Pack, grams: list[Grams], discounts: list[Discounts]
 class Katz:
     """The model of the documents' training rows, and every row's score."""
 
-    def __init__(self, docs: DataFrame, learn: Column, order: int = ORDER, doc_id: str = "doc_id", text: str = "text", size: int | None = None):
-        """size: tokens of a pack and grams of a part, where it shouldn't follow from the corpus."""
+    def __init__(
+        self, docs: DataFrame, learn: Column, order: int = ORDER, doc_id: str = "doc_id", text: str = "text", size: int | None = None, keep: bool = True
+    ):
+        """size: tokens of a pack and grams of a part, where it shouldn't follow from the corpus. keep: the model's tables
+        too; without them the packs are answered, and so scored, just the same."""
         thin = docs.select(
             F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"),
             F.coalesce(learn, F.lit(False)).alias("train")
         )
-        self.spark, self.order = docs.sparkSession, order
+        self.spark, self.order, self.keep = docs.sparkSession, order, keep
         small_batches(self.spark)
         guess = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) / 4  # of packs, whose exact size says nothing
         self.packs = write_table(pack_documents(thin, size or size_for(guess)), "packs")
@@ -457,17 +472,40 @@ class Katz:
         size = size or size_for(tokens)
         self.parts = max(2 * partitions(self.spark), tokens // size)
         self.spread = max(1, size // 8)
-        none = F.lit(None)
-        self.own = self.packs.select(
-            "pack", F.lit(PACK).alias("kind"), F.lit(0).alias("part"), none.cast("long").alias("number"), "a", "b",
-            none.cast("array<double>").alias("sums"), "ids"
-        )
         #: The model's tables by order (rows of MODEL: a part's names and counts), and the answers to the packs.
         self.tables: list[DataFrame] = []
         self.discounts: list[Discounts] = []
-        for n in range(1, order + 1):
+        self._count(1)
+        self._tell_words()
+        for n in range(2, order + 1):
             self._count(n)
 
+    def _own(self) -> DataFrame:
+        """The packs themselves, as messages with their ids."""
+        none = F.lit(None)
+        return self.packs.select(
+            "pack", F.lit(PACK).alias("kind"), F.lit(0).alias("part"), none.cast("long").alias("number"), "a", "b",
+            none.cast("array<double>").alias("sums"), "ids"
+        )
+
+    def _tell_words(self) -> None:
+        """Packs with the numbers of their words, for their hashes and the answers of order 1."""
+        parts, spread = self.parts, self.spread
+
+        def tell(key: tuple, table: pa.Table) -> pa.Table:
+            a, b = Pack(rows_of(table), parts, spread).with_words()
+            ids = pa.concat_arrays(table.column("ids").chunks).flatten()
+            values = [pa.array([key[0].as_py()]), pa.array([a], pa.binary()), pa.array([b], pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)]
+            return pa.table(values, ["pack", "a", "b", "ids"])
+
+        both = self._own().unionByName(self._answers(1, False), allowMissingColumns=True)
+        kind = self.packs.schema["ids"].dataType.simpleString()
+        told = write_table(both.groupBy("pack").applyInArrow(tell, f"pack long, a binary, b binary, ids {kind}"), "packs")
+        drop_table(self.packs)
+        if not self.keep:
+            drop_table(self.tables[0])
+        self.packs = told
+
     def _answers(self, n: int, sums: bool) -> DataFrame:
         """What the packs have been told of order n; counts and numbers only, or with the sums of contexts."""
         rows = self.tables[n - 1].select(*FIELDS)
@@ -481,14 +519,14 @@ class Katz:
         return told.unionByName(wanted.join(totals, ["part", "number"]).select(*FIELDS))
 
     def _messages(self, n: int, sums: bool) -> DataFrame:
-        """The packs, and what they have been told of the orders below n."""
-        out = self.own
-        for k in range(1, n):
+        """The packs, and what they have been told of the orders from 2 to below n."""
+        out = self._own()
+        for k in range(2, n):
             out = out.unionByName(self._answers(k, sums), allowMissingColumns=True)
         return out
 
     def _count(self, n: int) -> None:
-        parts, spread = self.parts, self.spread
+        parts, spread, keep = self.parts, self.spread, self.keep
 
         def ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for x in batches:
@@ -499,10 +537,10 @@ class Katz:
             return pa.Table.from_batches([Pack(rows_of(table), parts, spread).grams(n)[-1].asked(key[0].as_py())])
 
         if n == 1:
-            asked, answer = self.packs.select("pack", "a", "b", "vocab").mapInArrow(ask_words, MESSAGE), answer_words
+            asked, answer = self.packs.select("pack", "a", "b", "vocab").mapInArrow(ask_words, MESSAGE), answer_words(keep)
         else:
             asked = self._messages(n, False).drop("ids").groupBy("pack").applyInArrow(ask_grams, MESSAGE)
-            answer = answer_grams(n, self.discounts[-1], parts, n == self.order)
+            answer = answer_grams(n, self.discounts[-1], parts, n == self.order, keep)
         table = write_table(asked.groupBy("part").applyInArrow(answer, MESSAGE + ", stats array<long>"), f"katz-{n}")
         self.tables.append(table)
         got = table.filter("stats IS NOT NULL").agg(*[F.sum(F.col("stats")[k]) for k in range(MOST_DISCOUNTED + 3)]).first()
@@ -544,6 +582,6 @@ class Katz:
 def op4(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     held = fold(F.col("doc_id"), 7) == 2
-    return Katz(docs, ~held, order=2).scores().select(
+    return Katz(docs, ~held, keep=False).scores().select(
         "doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )

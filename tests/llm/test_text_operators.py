@@ -309,6 +309,18 @@ def test_katz_edges(spark):
     assert katz.Katz(docs.limit(0), F.lit(True)).scores().count() == 0
 
 
+def test_katz_query_backs_off_from_trigrams(spark, tmp_path):
+    rows = [(k, t) for k, t, _ in some_docs()[:-1]]
+    docs_of(spark, rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    train = {k for k, _ in rows if zlib.crc32(str(k).encode()) % 7 != 2}
+    want = brute_katz(rows, train, 3)
+    got = {r.doc_id: r for r in katz.op4(spark, str(tmp_path)).collect()}
+    assert got.keys() == want.keys()
+    for k, r in got.items():
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (k not in train, *want[k][:3])
+        assert r.base_score == pytest.approx(want[k][3]) and r.score == pytest.approx(want[k][4])
+
+
 # sharding
 
 
