@@ -10,8 +10,8 @@ lines.
 
 Leaves, masked lines and documents go by 64-bit hashes, so lines are counted without dealing out their texts. Only
 leaves in which rare lines could be alike to others are opened; a Bloom filter of those leaves sieves the texts' lines
-first. Lines near a document-weighted centre of their leaf are settled together, in several rounds; only the others are
-compared in pairs, by their rarest pairs of neighbouring tokens. Every group is summed before it is dealt out. Documents are named
+first. Lines near a document-weighted centre of their leaf are settled together, in several rounds; lines whose tokens others
+hold too seldom stay; only the rest are compared in pairs, by their rarest pairs of neighbouring tokens. Every group is summed before it is dealt out. Documents are named
 by a hash of id and text, so repeated rows count once.
 
 Texts and lines of any length are taken whole. Null texts have no lines and stay null. Empty lines are kept. Null ids are ids. Ties don't arise. An empty table
@@ -85,6 +85,19 @@ def central(open_masks: DataFrame, held: DataFrame, left: DataFrame, every: bool
     return write_table(near.join(left, ["leaf", "mask"], "left_semi").join(least, "leaf").filter("a + b >= both").select("leaf", "mask"), "central")
 
 
+def hopeful(open_masks: DataFrame, left: DataFrame) -> DataFrame:
+    """Masks (leaf, mask) of `left` but those that no pair can settle.
+
+    Summed over a mask's positions, the documents of other masks with the same token there count each document of an
+    alike one `need` times or more; so where that sum is too small for the documents still wanted, they aren't there."""
+    spot = F.posexplode("tok").alias("k", "token")
+    live = open_masks.join(left.select("leaf").distinct(), "leaf", "left_semi")
+    spots = live.select("leaf", "docs", spot).groupBy("leaf", "k", "token").agg(F.sum("docs").alias("f"))
+    own = live.join(left, ["leaf", "mask"], "left_semi").select("leaf", "mask", "docs", "least", "need", spot)
+    others = own.join(spots, ["leaf", "k", "token"]).groupBy("leaf", "mask", "docs", "least", "need").agg(F.sum(F.col("f") - F.col("docs")).alias("others"))
+    return write_table(others.filter(F.col("others") >= F.col("need") * (F.col("least") - F.col("docs"))).select("leaf", "mask"), "hopeful")
+
+
 def paired(open_masks: DataFrame, held: DataFrame, left: DataFrame) -> DataFrame:
     """Masks (leaf, mask) of `left` for which enough documents of the leaf hold one that is alike.
 
@@ -96,11 +109,10 @@ def paired(open_masks: DataFrame, held: DataFrame, left: DataFrame) -> DataFrame
         return F.transform(x, lambda v, k: F.xxhash64(F.col("leaf"), k, v, F.get(x, (k + 1) % r)))
 
     open_masks = open_masks.join(left.select("leaf").distinct(), "leaf", "left_semi")
-    keyed = open_masks.select("leaf", "mask", "docs", F.explode(pairs(F.col("tok"))).alias("key"))
+    # written, as it is read three times: one row for each position of a mask
+    keyed = write_table(open_masks.select("leaf", "mask", "docs", F.explode(pairs(F.col("tok"))).alias("key")), "keyed")
     weight = keyed.groupBy("key").agg(F.sum("docs").alias("w"))
-    rare = open_masks.join(left, ["leaf", "mask"], "left_semi").select(
-        "leaf", "mask", "docs", "least", "need", F.size("tok").alias("r"), F.explode(pairs(F.col("tok"))).alias("key")
-    )
+    rare = keyed.join(open_masks.join(left, ["leaf", "mask"], "left_semi").select("leaf", "mask", "least", "need", F.size("tok").alias("r")), ["leaf", "mask"])
     own = rare.join(weight, "key").groupBy("leaf", "mask", "docs", "least", "need", "r").agg(  # a line's tokens
         F.sort_array(F.collect_list(F.struct((F.col("w") - F.col("docs")).alias("others"), "key"))).alias("x")
     )
@@ -156,6 +168,8 @@ def templates(docs: DataFrame, lines: DataFrame, depth: int, alike: float, min_d
         settled = central(open_masks, held, left, not k)
         found = found.unionByName(settled)
         left = write_table(left.join(settled, ["leaf", "mask"], "left_anti"), "left")
+        if not k:
+            left = hopeful(open_masks, left)
     if not left.isEmpty():
         found = found.unionByName(paired(open_masks, held, left))
     return write_table(found.distinct(), "templates")

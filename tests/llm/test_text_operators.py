@@ -647,6 +647,31 @@ def test_foreign_lines_undo_no_template(spark):
     assert all(x.lines.n_dropped == (x.doc_id < 12) for x in got)
 
 
+def test_lines_without_hope_are_not_paired(spark, monkeypatch):
+    """Two groups of alike lines, too small and large enough, among many that share a common token at times."""
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    groups = [[word() for _ in range(12)] for _ in range(3)]
+    rows = []
+    for k in range(90):
+        rest = list(groups[0 if k < 6 else 1 if k < 24 else 2]) if k < 42 else [r.choice(["common", word(), word(), word()]) for _ in range(12)]
+        for j in r.sample(range(12), 2 if k < 42 else 0):
+            rest[j] = word()
+        rows.append((k, " ".join(["one", "two", "three", *rest]), "s"))
+    seen, real = [], line_templates.paired
+
+    def spy(open_masks, held, left):
+        seen.append(left.count())
+        return real(open_masks, held, left)
+
+    monkeypatch.setattr(line_templates, "paired", spy)
+    monkeypatch.setattr(line_templates, "ROUNDS", 1)
+    drop = brute_alike(rows, 10)
+    got = line_templates.drop_templates(docs_of(spark, rows)).collect()
+    assert all(set(x.lines.dropped) == drop[x.doc_id, rows[x.doc_id][1]] for x in got)
+    assert sum(map(len, drop.values())) == 36 and sum(seen) <= 40
+
+
 def test_long_lines_go_from_the_third_document(spark):
     long, short = " ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(51)), "a short line of six words"
     rows = [(k, f"{long}\n{short}\n{long[1:] if k < 2 else 'own'}", "s") for k in range(3)]
