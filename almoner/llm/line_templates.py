@@ -9,9 +9,10 @@ dropped line goes). More lines can only raise that count, so they never undo a t
 lines.
 
 Leaves, masked lines and documents go by 64-bit hashes, so lines are counted without dealing out their texts. Only
-leaves in which rare lines could be alike to others are opened; a Bloom filter of those leaves sieves the texts' lines
-first. Lines near a document-weighted centre of their leaf are settled together, in several rounds; lines whose tokens others
-hold too seldom stay; only the rest are compared in pairs, by their rarest pairs of neighbouring tokens. Every group is summed before it is dealt out. Documents are named
+leaves in which rare lines could be alike to others are opened. Their masked lines are read from one document each: a
+Bloom filter sieves the documents before they are parsed again, another the lines by their leaves. Lines near a
+document-weighted centre of their leaf are settled together, in several rounds; lines whose tokens others hold
+too seldom stay; only the rest are compared in pairs, by their rarest pairs of neighbouring tokens. Every group is summed before it is dealt out. Documents are named
 by a hash of id and text, so repeated rows count once.
 
 Texts and lines of any length are taken whole. Null texts have no lines and stay null. Empty lines are kept. Null ids are ids. Ties don't arise. An empty table
@@ -38,22 +39,36 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 def masked(line: Column) -> Column:
     """The line's tokens with <*> for those that have a digit, joined by single spaces; empty for an empty line."""
-    odd = line.rlike(r"[0-9\t\x0B\f\r]|  ")  # most lines have neither digits nor other spaces
+    odd = line.rlike(r"[0-9\t\x0B\f\r]") | line.contains("  ")  # most lines have neither digits nor other spaces
     return F.trim(F.when(odd, F.regexp_replace(F.regexp_replace(line, VARIABLE, "<*>"), SPACE, " ")).otherwise(line))
 
 
+def count_of(text: Column, byte: str) -> Column:
+    """How often an ASCII character stands in the text."""
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(byte), F.lit("")))
+
+
 def parsed(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
     """docs: _doc, _text. Each line that is long enough: _doc, at, n (tokens), m (masked), leaf and mask (hashes)."""
     # worked out within the array: as columns, each use of them would work them out again
 
     def keyed(m: Column) -> Column:
-        n = F.length(m) - F.length(F.replace(m, F.lit(" "), F.lit(""))) + 1
+        n = count_of(m, " ") + 1
         return F.struct(m.alias("m"), n.alias("n"), F.xxhash64(n, F.substring_index(m, " ", depth)).alias("leaf"), F.xxhash64(m).alias("mask"))
 
     lines = docs.select("_doc", F.posexplode(F.transform(F.transform(F.split("_text", "\n"), masked), keyed)).alias("at", "x"))
     return lines.filter((F.col("x.n") >= min_tokens) & (F.col("x.m") != "")).select("_doc", "at", "x.n", "x.m", "x.leaf", "x.mask")
 
 
+def sieved(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """df less rows whose `column` is none of the keys (one column), but for a few; all of it if the filter would be too large."""
+    bits = 64 * (1 + keys.count() * BITS_PER_KEY // 64)
+    if bits > 8 * MOST_BYTES:
+        return df
+    words = write_table(build(keys.toDF("key"), 0, bits), "bloom")
+    return df.filter(passes(F.col(column), words.scalar(), 0, bits))
+
+
 def agreeing(a: Column, b: Column) -> Column:
     """At how many positions two arrays of one length agree."""
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda x: x))
@@ -150,16 +165,13 @@ def templates(docs: DataFrame, lines: DataFrame, depth: int, alike: float, min_d
         by_leaf.filter((F.col("docs") >= F.col("least")) & (F.col("rarest") < F.col("least")) & (F.col("masks") > 1) & (need < r)).select("leaf"),
         "leaves"
     )
-    in_open = parsed(docs, depth, min_tokens)
-    n = open_leaves.count()
-    bits = 64 * (1 + n * BITS_PER_KEY // 64)
-    if bits <= 8 * MOST_BYTES:  # texts' lines are sieved before any of them is dealt out; beyond, the join alone sieves
-        sieve = write_table(build(open_leaves.select(F.col("leaf").alias("key")), 0, bits), "bloom")
-        in_open = in_open.filter(passes(F.col("leaf"), sieve.scalar(), 0, bits))
+    held = write_table(lines.join(open_leaves, "leaf", "left_semi").select("leaf", "mask", "_doc").distinct(), "held")
+    # one document of each masked line is enough to read it; lines are sieved before any of them is dealt out
+    sources = write_table(held.groupBy("leaf", "mask").agg(F.min("_doc").alias("_doc")).select("_doc").distinct(), "sources")
+    in_open = sieved(parsed(sieved(docs, "_doc", sources), depth, min_tokens), "leaf", open_leaves)
     in_open = in_open.groupBy("leaf", "mask").agg(F.min("m").alias("m")).join(open_leaves, "leaf", "left_semi").join(by_mask, ["leaf", "mask"])
     tok = F.transform(F.slice(F.split("m", " "), depth + 1, r), lambda x: F.xxhash64(x))
     open_masks = write_table(in_open.select("leaf", "mask", "docs", "least", need.alias("need"), tok.alias("tok")), "open")
-    held = write_table(lines.join(open_leaves, "leaf", "left_semi").select("leaf", "mask", "_doc").distinct(), "held")
     found = often
     left = write_table(open_masks.filter(F.col("docs") < F.col("least")).select("leaf", "mask"), "left")
     for k in range(ROUNDS):
@@ -191,7 +203,7 @@ def drop_templates(
     joined = named.join(hit, F.col("_doc") == F.col("_d"), "left").withColumn("_at", F.coalesce("_at", F.array().cast("array<int>")))
     own = F.col("_row")[text].cast("string")
     kept = F.when(F.size("_at") > 0, F.array_join(F.filter(F.split(own, "\n"), lambda x, k: ~F.array_contains(F.col("_at"), k)), "\n")).otherwise(own)
-    n_lines = F.coalesce(F.length(own) - F.length(F.replace(own, F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long")
+    n_lines = F.coalesce(count_of(own, "\n") + 1, F.lit(0)).cast("long")
     result = F.struct(n_lines.alias("n_lines"), F.size("_at").cast("long").alias("n_dropped"), F.col("_at").alias("dropped"))
     rest = [kept.alias(c) if c == text else F.col("_row")[c].alias(c) for c in docs.columns if c.lower() != out.lower()]
     return joined.select(*rest, result.alias(out))

@@ -672,6 +672,28 @@ def test_lines_without_hope_are_not_paired(spark, monkeypatch):
     assert sum(map(len, drop.values())) == 36 and sum(seen) <= 40
 
 
+def test_only_documents_of_open_lines_are_parsed_again(spark, monkeypatch):
+    """Lines with digits and odd spaces in open leaves, held by few of many documents."""
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    rows = [(k, "\n".join(" ".join(word() for _ in range(r.randint(1, 9))) for _ in range(3)), "s") for k in range(400)]
+    ends = ["the  law", "the\tlaw", "thé law", "the law", "no law"]
+    rows += [(k, f"own {word()}\n  Read our notice {k} about {word()} and {r.choice(ends)} \r", "s") for k in range(400, 425)]
+    rows += [(k, t, "s") for k, (_, t, _) in enumerate(rows[400:410] * 3, 500)]  # copies: read from one of them
+    seen, real = [], line_templates.parsed
+
+    def spy(docs, *args):
+        seen.append(docs.count())
+        return real(docs, *args)
+
+    monkeypatch.setattr(line_templates, "parsed", spy)
+    drop = brute_alike(rows, 10)
+    got = line_templates.drop_templates(docs_of(spark, rows)).collect()
+    texts = {k: t for k, t, _ in rows}
+    assert len(got) == len(rows) and all(set(x.lines.dropped) == drop[x.doc_id, texts[x.doc_id]] for x in got)
+    assert sum(map(len, drop.values())) >= 55 and seen[0] == len(rows) and len(seen) == 2 and seen[1] <= 40
+
+
 def test_long_lines_go_from_the_third_document(spark):
     long, short = " ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(51)), "a short line of six words"
     rows = [(k, f"{long}\n{short}\n{long[1:] if k < 2 else 'own'}", "s") for k in range(3)]
