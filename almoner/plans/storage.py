@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import shutil
+import struct
+import tempfile
 import uuid
-import zipfile
+import zlib
 from pathlib import Path
 
 import pandas as pd
@@ -123,6 +126,32 @@ def s05(spark, sf_dir):
     return tables.index(spark, path).select("object_id", "ein", "tax_period", "return_type", "sub_date")
 
 
+class _ZipWriter:
+    """An archive that is written as a stream: its directory waits in a file, not in memory."""
+
+    def __init__(self, path: str):
+        self.file, self.index, self.n, self.at = open(path, "wb"), tempfile.TemporaryFile(), 0, 0  # noqa: SIM115
+
+    def add(self, name: str, body: bytes) -> None:
+        deflate, title = zlib.compressobj(wbits=-15), name.encode()
+        packed = deflate.compress(body) + deflate.flush()
+        facts = struct.pack("<HHHHHLLLH", 20, 0x800, 8, 0, 33, zlib.crc32(body), len(packed), len(body), len(title))
+        self.file.write(b"PK\x03\x04" + facts + b"\0\0" + title + packed)
+        wide = struct.pack("<HHQ", 1, 8, self.at) if self.at >= 0xFFFFFFFF else b""
+        self.index.write(b"PK\x01\x02\x14\0" + facts + struct.pack("<HHHHLL", len(wide), 0, 0, 0, 0, min(self.at, 0xFFFFFFFF)) + title + wide)
+        self.n, self.at = self.n + 1, self.at + 30 + len(title) + len(packed)
+
+    def close(self) -> None:
+        size, n, at = self.index.tell(), self.n, self.at
+        self.index.seek(0)
+        shutil.copyfileobj(self.index, self.file)
+        if n >= 0xFFFF or at >= 0xFFFFFFFF or size >= 0xFFFFFFFF:
+            self.file.write(b"PK\x06\x06" + struct.pack("<QHHLLQQQQ", 44, 45, 45, 0, 0, n, n, size, at) + b"PK\x06\x07" + struct.pack("<LQL", 0, at + size, 1))
+        self.file.write(b"PK\x05\x06" + struct.pack("<HHHHLLH", 0, 0, min(n, 0xFFFF), min(n, 0xFFFF), min(size, 0xFFFFFFFF), min(at, 0xFFFFFFFF), 0))
+        self.index.close()
+        self.file.close()
+
+
 def _zips(spark, sf_dir) -> str:
     """A shared folder with the archives of all members, each written by one task (the archives are these queries' fixture)."""
     folder = scratch(spark)
@@ -135,7 +164,7 @@ def _zips(spark, sf_dir) -> str:
 
         def close():
             if z is not None:
-                z.writestr("part/readme.txt", "not a filing")
+                z.add("part/readme.txt", b"not a filing")
                 z.close()
                 os.replace(part, f"{local}/{name}")
 
@@ -144,8 +173,8 @@ def _zips(spark, sf_dir) -> str:
                 if zip_file != name:
                     close()
                     name, part = zip_file, f"{local}/.{uuid.uuid4().hex}"
-                    z = zipfile.ZipFile(part, "w", zipfile.ZIP_DEFLATED)
-                z.writestr(f"part/{i}_public.xml", f"<Return id='{i}'/>")
+                    z = _ZipWriter(part)
+                z.add(f"part/{i}_public.xml", f"<Return id='{i}'/>".encode())
         close()
         yield pd.DataFrame({"n": [0]})
 

@@ -2,6 +2,7 @@
 
 import random
 import struct
+import tracemalloc
 import zipfile
 import zlib
 from datetime import datetime
@@ -436,3 +437,30 @@ def test_search_and_numbers(spark):
     assert profiles.search(index, "hill x").count() == 0 and profiles.search(index, " ;").count() == 0
     df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"))
     assert relational.global_row_number(df, [F.col("k")]).filter("rn <> k + 1").count() == 0
+
+
+def test_a_directory_is_read_as_a_stream(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "2023_A.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for k in range(70_000):  # more than the small form's count
+            z.writestr(f"x/{k}_public.xml", f"<Return>{k}</Return>")
+    reader = archives._ZipReader({"paths": str(tmp_path / "2023_A.zip")})
+    tracemalloc.start()
+    n = sum(getattr(x, "num_rows", 1) for p in reader.partitions() for x in reader.read(p))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 70_000 and peak < 16 << 20
+    url = "file://" + str(tmp_path)
+    assert archives.members(spark, url).agg(F.count_distinct("object_id")).first()[0] == 70_000
+    wanted = spark.range(0, 70_000, 1000).select(F.col("id").cast("string").alias("object_id"))
+    assert {(r.object_id, r.xml, r.error) for r in archives.documents(spark, url, wanted).collect()} == {(str(k), f"<Return>{k}</Return>", None) for k in range(0, 70_000, 1000)}
+
+
+def test_odd_archives(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        for k, method in enumerate((zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA)):
+            z.writestr(f"é/{k}_public.xml", "x" * k * 1000, method)
+        z.comment = b"c" * 500
+    (tmp_path / "b.zip").write_bytes(b"before" * 100 + (tmp_path / "a.zip").read_bytes())
+    zipfile.ZipFile(tmp_path / "empty.zip", "w").close()
+    got = archives.documents(spark, "file://" + str(tmp_path)).collect()
+    assert sorted((r.zip_file, r.object_id, len(r.xml), r.error) for r in got) == [(f, str(k), k * 1000, None) for f in ("a.zip", "b.zip") for k in range(4)]
