@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import xml.etree.ElementTree as ET
+from collections import Counter
+from collections.abc import Iterator
+from xml.parsers import expat
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +15,7 @@ from pyspark.sql import types as T
 
 from almoner.functions.names import normalize_name, padded_ein, valid_ein, zip5
 from almoner.functions.values import amount, amount_error, grant_id, iso_date, submission_date
+from almoner.sources.shared import bound_batches
 
 # Where header values, groups, totals and their fields stand. Ordered by preference, modern names first.
 HEADER = {
@@ -66,6 +71,8 @@ US_ADDRESS = {
     "sched_i": ["USAddress"]
 }
 RAW = sorted({f for x in FIELDS.values() for f in x})
+#: Paths that a task counts before it hands them over.
+MOST_PATHS = 100_000
 MODERN_ENDINGS = ("Txt", "Amt", "Nm", "Cd", "Ind", "Dt", "Cnt")
 
 # Words that make a name an organization's, a government's, or a stand-in for an attached list.
@@ -82,8 +89,6 @@ ORGANIZATION = r"(?i)\b(" + "|".join(ORGANIZATION_WORDS) + r")\b"
 GOVERNMENT = r"(?i)\b(CITY|COUNTY|TOWN|TOWNSHIP|VILLAGE|BOROUGH|PARISH|STATE) OF\b|\b(DEPARTMENT|DEPT|BUREAU|OFFICE) OF\b|\bSCHOOL DISTRICT\b|\bPUBLIC SCHOOLS?\b|\bUNITED STATES\b|\bU\.?S\.? (ARMY|NAVY|AIR FORCE|MARINE|COAST GUARD|TREASURY)\b"
 PLACEHOLDER = r"(?i)\b(VARIOUS|MISCELLANEOUS|MISC|MULTIPLE|NUMEROUS|SEVERAL|N/?A|NONE)\b|\bSEE (ATTACHED|ATTACHMENT|SCHEDULE|STATEMENT|LIST)\b|\bATTACHED (SCHEDULE|LIST)\b"
 
-#: The root's name without a prefix. Possessive, as a repeated choice that may go back recurses for each character.
-FIRST_ELEMENT = r"(?s)^(?:\s++|﻿|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>]*+>)*+<(?:[A-Za-z_][\w.-]*+:)?+([A-Za-z_][\w.-]*+)"
 NOT_A_RETURN, MALFORMED, OTHER_FORM = "the root element is not Return", "malformed XML", "form carries no grants: "
 
 
@@ -92,82 +97,197 @@ def modern_first(paths: list[str]) -> list[str]:
     return sorted(dict.fromkeys(paths), key=lambda p: (p.rpartition("/")[2].endswith(MODERN_ENDINGS), "Grp/" in p), reverse=True)
 
 
-def _tree() -> dict:
-    tree: dict = {}
+_HEAD = {**HEADER, **TOTALS}
+_ROWS = pa.struct([("group", pa.string()), ("ordinal", pa.int32()), ("us", pa.bool_()), *[(f, pa.string()) for f in RAW]])
+_DOC = pa.struct([("root", pa.string()), ("version", pa.string()), *[(f, pa.string()) for f in _HEAD], ("rows", pa.list_(_ROWS))])
+_TEXT = T.StringType()
+DOCUMENT = T.StructType([T.StructField(f, _TEXT) for f in ("root", "version", *_HEAD)]).add(
+    "rows", T.ArrayType(T.StructType([
+        T.StructField("group", _TEXT), T.StructField("ordinal", T.IntegerType()), T.StructField("us", T.BooleanType()),
+        *[T.StructField(f, _TEXT) for f in RAW]
+    ]))
+)
+#: Blanks of XML.
+_BLANK = " \t\r\n"
+
+
+class _Locals(dict):
+    """Names of tags and attributes without their namespace or prefix, in small letters; a form has some hundred."""
+
+    def __missing__(self, tag: str) -> str:
+        name = self[tag] = unprefixed(tag).lower()
+        return name
+
+
+def unprefixed(tag: str) -> str:
+    return tag.rpartition("}")[2].rpartition(":")[2]
 
-    def put(path: str, leaf: bool = True) -> dict:
-        at = tree
-        parts = path.split("/")
-        for p in parts[:-1]:
-            at = at.setdefault(p, {})
-        return at.setdefault(parts[-1], None if leaf else {})
-
-    for paths in [*HEADER.values(), *TOTALS.values()]:
-        for p in paths:
-            put(p)
-    for name, group in GROUPS.items():
-        put(group, leaf=False)["[]"] = True
-        for p in [x for paths in FIELDS[name].values() for x in paths]:
-            put(f"{group}/{p}")
-    return tree
 
+_local = _Locals()
 
-def _ddl(tree: dict | None) -> str:
-    if tree is None:
-        return "array<string>"  # a repeated value is read by its first occurrence
-    inner = "struct<" + ",".join(f"`{k}`:{_ddl(v)}" for k, v in tree.items() if k != "[]") + ">"
-    return f"array<{inner}>" if "[]" in tree else inner
 
+def tree(text: str) -> ET.Element | None:
+    """The root of a document, whatever encoding it states and whether its prefixes are declared or not; None where it is malformed."""
+    body = text.encode("utf-8", "replace")
+    parser = ET.XMLParser(encoding="utf-8")
+    try:
+        parser.feed(body)
+        return parser.close()
+    except ET.ParseError:
+        pass
+    # by itself, an undeclared prefix is no fault, nor is what follows the root
+    build, plain, depth = ET.TreeBuilder(), expat.ParserCreate("utf-8"), 0
 
-SCHEMA = ", ".join([f"`{k}` {_ddl(v)}" for k, v in _tree().items()] + ["_returnVersion string", "_corrupt string"])
+    def start(tag: str, attributes: dict[str, str]) -> None:
+        nonlocal depth
+        if depth >= 0:
+            depth += 1
+            build.start(tag, attributes)
 
+    def end(tag: str) -> None:
+        nonlocal depth
+        if depth >= 0:
+            build.end(tag)
+            depth = depth - 1 or -1  # the root's end
+
+    plain.buffer_text = True
+    plain.StartElementHandler, plain.EndElementHandler = start, end
+    plain.CharacterDataHandler = lambda text: build.data(text) if depth > 0 else None
+    try:
+        plain.Parse(body, True)
+    except expat.ExpatError:
+        if depth >= 0:
+            return None
+    return build.close()
+
+
+def _text(leaf: ET.Element) -> str | None:
+    """A leaf's text, with its markup if it has any, without blanks around it; null where none is left."""
+    text = _markup(leaf) if len(leaf) else leaf.text
+    return (text.strip(_BLANK) or None) if text else None
+
+
+def _markup(node: ET.Element) -> str:
+    return (node.text or "") + "".join(f"<{unprefixed(x.tag)}>{_markup(x)}</{unprefixed(x.tag)}>{x.tail or ''}" for x in node)
+
+
+def _slots(fields: dict[str, list[str]], groups: dict[str, str]) -> dict:
+    """Names below names, down to a leaf's (place of its field, rank among the field's paths) or a repeating group's name."""
+    tree: dict = {}
+    ends = [(p, (k, rank)) for k, paths in enumerate(fields.values()) for rank, p in enumerate(paths)] + [(p, g) for g, p in groups.items()]
+    for path, end in ends:
+        *above, last = path.lower().split("/")
+        at = tree
+        for name in above:
+            at = at.setdefault(name, {})
+        at[last] = end
+    return tree
 
-def at_path(root: Column, path: str) -> Column:
-    for p in path.split("/"):
-        root = root[p]
-    return root
 
+_IN_DOC = _slots(_HEAD, GROUPS)
+_US = {g: [x.lower() for x in names] for g, names in US_ADDRESS.items()}
+_IN_ROW = {g: _slots({f: FIELDS[g].get(f, []) for f in RAW}, {}) for g in GROUPS}
 
-def first_of(root: Column, paths: list[str]) -> Column:
-    """The first non-empty value among ordered paths, trimmed."""
-    return F.coalesce(*[F.nullif(F.trim(F.get(at_path(root, p), F.lit(0))), F.lit("")) for p in paths])
 
+def _read(node: ET.Element, slots: dict, values: list, ranks: list[int], rows: list | None = None) -> dict[str, ET.Element]:
+    """Fill values with the first non-empty text among each field's paths, rows with the repeating groups' elements. Returns
+    the elements that have some below them, by name.
 
-def unprefixed(xml: Column) -> Column:
-    """The document without the namespace prefixes of its tags."""
-    return F.regexp_replace(xml, r"<(/?)[A-Za-z_][\w.-]*:", "<$1")
+    A repeated leaf counts by its first occurrence, a repeated element above leaves by its last."""
+    seen, inner = [], {}
+    for child in node:
+        slot = slots.get(name := _local[child.tag])
+        if slot is None:
+            continue
+        if slot.__class__ is tuple:
+            k, rank = slot
+            if slot not in seen:
+                seen.append(slot)
+                if (values[k] is None or rank < ranks[k]) and (text := _text(child)) is not None:
+                    values[k], ranks[k] = text, rank
+        elif slot.__class__ is dict:
+            inner[name] = child
+        elif rows is not None:
+            rows.append((slot, child))
+    for name, child in inner.items():
+        _read(child, slots[name], values, ranks, rows)
+    return inner
+
+
+def _take(texts: list[str | None]) -> pa.Array:
+    heads: list[list | None] = []
+    sizes, groups, ordinals, us, rows = [0], [], [], [], []
+    n, width = len(_HEAD), len(RAW)
+    for text in texts:
+        root = None if text is None else tree(text)
+        if root is None:
+            heads.append(None)
+        elif (name := unprefixed(root.tag)) != "Return":
+            heads.append([name, None, *[None] * n])
+        else:
+            values, found = [None] * n, []
+            _read(root, _IN_DOC, values, [0] * n, found)
+            version = next((v.strip(_BLANK) for k, v in root.attrib.items() if _local[k] == "returnversion"), None)
+            heads.append([name, version, *values])
+            for group in GROUPS:
+                if values[0] == ("990" if group == "sched_i" else "990PF"):
+                    for k, node in enumerate(x for g, x in found if g == group):
+                        raw = [None] * width
+                        inner = _read(node, _IN_ROW[group], raw, [0] * width)
+                        us.append(not inner.keys().isdisjoint(_US[group]))
+                        groups.append(group)
+                        ordinals.append(k)
+                        rows.append(raw)
+        sizes.append(len(rows))
+    columns = zip(*rows, strict=True) if rows else [()] * width
+    values = [pa.array(groups, pa.string()), pa.array(ordinals, pa.int32()), pa.array(us, pa.bool_()), *[pa.array(c, pa.string()) for c in columns]]
+    lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.StructArray.from_arrays(values, fields=list(_ROWS)))
+    columns = zip(*[h or [None] * (n + 2) for h in heads], strict=True) if heads else [()] * (n + 2)
+    null = pa.array([h is None for h in heads], pa.bool_())
+    return pa.StructArray.from_arrays([*[pa.array(c, pa.string()) for c in columns], lists], fields=list(_DOC), mask=null)
+
+
+@F.arrow_udf(DOCUMENT)
+def from_xml(xml: pa.Array) -> pa.Array:
+    """Of each document its root's name, version, header values, stated totals and rows as they stand; null where it is malformed."""
+    gc.disable()  # trees hold no cycles, and there are many
+    if len(_local) > MOST_PATHS:
+        _local.clear()
+    try:
+        return _take(xml.to_pylist())
+    finally:
+        gc.enable()
 
 
 def parsed(filings: DataFrame, xml: str = "xml") -> DataFrame:
     """filings with `_doc` (null where unreadable) and `error`: a bad document is a recorded error, never a failure or an empty filing.
 
     The parser stands in a generator, which neither filters nor projections above it can copy or pass: one parse for each document."""
-    doc = F.from_xml(unprefixed(F.col(xml)), SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "attributePrefix": "_"})
-    with_doc = filings.select("*", F.inline_outer(F.array(F.struct(doc.alias("_doc"), F.regexp_extract(xml, FIRST_ELEMENT, 1).alias("_root")))))
-    error = F.when(F.col(xml).isNull() | F.col("_doc._corrupt").isNotNull(), MALFORMED).when(F.col("_root") != "Return", NOT_A_RETURN)
-    out = with_doc.withColumn("error", error)
-    return out.withColumn("_doc", F.when(F.col("error").isNull(), F.col("_doc"))).drop("_root")
+    bound_batches(filings.sparkSession)
+    with_doc = filings.select("*", F.inline_outer(F.array(F.struct(from_xml(F.col(xml)).alias("_doc")))))
+    error = F.when(F.col("_doc").isNull(), MALFORMED).when(F.col("_doc.root") != "Return", NOT_A_RETURN)
+    return with_doc.withColumn("error", error).withColumn("_doc", F.when(F.col("error").isNull(), F.col("_doc")))
 
 
 def filed(docs: DataFrame) -> DataFrame:
     """One row for each filing: object_id, header columns, stated totals, errors, and its grant rows, as they stand, in an array `rows`."""
     d = F.col("_doc")
-    h = {k: first_of(d, p) for k, p in HEADER.items()}
+    h = {k: d[k] for k in HEADER}
     kind = h["return_type"]
     form_error = F.when(
         F.col("error").isNull() & ~F.coalesce(kind.isin("990PF", "990"), F.lit(False)),
         F.concat(F.lit(OTHER_FORM), F.coalesce(kind, F.lit("none")))
     )
-    totals = {k: first_of(d, p) for k, p in TOTALS.items()}
+    totals = {k: d[k] for k in TOTALS}
     keep = [c for c in docs.columns if c not in ("_doc", "error", "xml")]
     return docs.select(
-        *keep, F.coalesce(d["_returnVersion"], F.lit("")).alias("return_version"), kind.alias("return_type"),
+        *keep, F.coalesce(d["version"], F.lit("")).alias("return_version"), kind.alias("return_type"),
         padded_ein(h["ein"]).alias("funder_ein"),
         F.concat_ws(" ", h["name1"], h["name2"]).alias("funder_name"), h["state"].alias("funder_state"),
         iso_date(h["period_end"]).alias("tax_period_end"),
         *[amount(v).alias(k) for k, v in totals.items()],
         F.filter(F.array(F.col("error"), form_error, *[amount_error(v, k) for k, v in totals.items()]), lambda x: x.isNotNull()).alias("errors"),
-        _rows(d).alias("rows"),
+        F.coalesce(d["rows"], F.array()).alias("rows"),
     )
 
 
@@ -176,29 +296,6 @@ def headers(docs: DataFrame) -> DataFrame:
     return filed(docs).drop("rows")
 
 
-def _rows(d: Column) -> Column:
-    """Every row of every repeating group with its 0-based ordinal and RAW values."""
-    kind = first_of(d, HEADER["return_type"])
-
-    def of(group: str) -> Column:
-        fields = FIELDS[group]
-
-        def row(g: Column, i: Column) -> Column:
-            us = F.lit(False)
-            for name in US_ADDRESS[group]:
-                us = us | g[name].isNotNull()
-            return F.struct(
-                F.lit(group).alias("group"), i.alias("ordinal"), us.alias("us"),
-                *[(first_of(g, fields[f]) if f in fields else F.lit(None).cast("string")).alias(f) for f in RAW]
-            )
-
-        wanted = kind == ("990" if group == "sched_i" else "990PF")
-        # a filing without the group has no rows
-        return F.when(wanted, F.transform(F.coalesce(at_path(d, GROUPS[group]), F.array()), row)).otherwise(F.array())
-
-    return F.concat(*map(of, GROUPS))
-
-
 def recipient_type(business: Column, person: Column, line1: Column) -> Column:
     name = F.coalesce(business, person)
     stand_in = F.coalesce(name.rlike(PLACEHOLDER), F.lit(False)) | F.coalesce(line1.rlike(PLACEHOLDER), F.lit(False))
@@ -287,23 +384,77 @@ def edges_of(
     return g.select(*GRANTS)
 
 
+class _Below(dict):
+    """Paths of elements by their parent's path and their tag; a form has some thousand."""
+
+    def __missing__(self, at: tuple[str, str]) -> str:
+        path = self[at] = f"{at[0]}/{at[1].rpartition('}')[2]}"
+        return path
+
+
+_below = _Below()
+
+
+def _paths(text: str | None) -> set[str] | None:
+    """Every distinct element path of a document; None where it can't be read."""
+    parser = ET.XMLParser(encoding="utf-8")
+    try:
+        parser.feed((text or "").encode("utf-8", "replace"))
+        root = parser.close()
+    except ET.ParseError:
+        return None
+    stack = [(root, _below["", root.tag])]
+    found = {stack[0][1]}
+    for node, path in stack:  # which grows
+        for child in node:
+            below = _below[path, child.tag]
+            found.add(below)
+            if len(child):
+                stack.append((child, below))
+    return found
+
+
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def element_paths(xml: pa.Array) -> pa.Array:
     """Every distinct element path of each document; null where it can't be read."""
-    out = []
-    for text in xml.to_pylist():
+    gc.disable()  # trees hold no cycles, and there are many
+    if len(_below) > MOST_PATHS:
+        _below.clear()
+    try:
+        return pa.array([None if (found := _paths(text)) is None else sorted(found) for text in xml.to_pylist()], pa.list_(pa.string()))
+    finally:
+        gc.enable()
+
+
+def path_counts(filings: DataFrame, xml: str = "xml") -> DataFrame:
+    """path, return_version and n: how many of a task's readable documents of a version have an element path. Versions and
+    paths are few, so they are counted where documents are read; a version's counts of several tasks are yet to be summed."""
+    bound_batches(filings.sparkSession)
+    columns = (pa.string(), pa.string(), pa.int64())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n: Counter[tuple[str, str]] = Counter()
+
+        def counted() -> pa.RecordBatch:
+            keys = list(n)
+            values = ([k[1] for k in keys], [k[0] for k in keys], list(n.values()))
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, columns, strict=True)], ["path", "return_version", "n"])
+
+        gc.disable()
         try:
-            root, found = ET.fromstring(text or ""), set()
-        except ET.ParseError:
-            out.append(None)
-            continue
-        stack = [(root, "/" + root.tag.rpartition("}")[2])]
-        while stack:
-            node, path = stack.pop()
-            found.add(path)
-            stack += [(child, f"{path}/{child.tag.rpartition('}')[2]}") for child in node if isinstance(child.tag, str)]
-        out.append(sorted(found))
-    return pa.array(out, pa.list_(pa.string()))
+            for batch in batches:
+                for text, version in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    n.update((version, path) for path in _paths(text) or ())
+                if len(n) > MOST_PATHS:  # documents that aren't forms
+                    yield counted()
+                    n.clear()
+                    _below.clear()
+            yield counted()
+        finally:
+            gc.enable()
+
+    version = F.regexp_extract(xml, 'returnVersion="([^"]*)"', 1)
+    return filings.select(F.col(xml), version.alias("version")).mapInArrow(count, "path string, return_version string, n long")
 
 
 def from_files(spark: SparkSession, path: str) -> DataFrame:

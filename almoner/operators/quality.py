@@ -116,6 +116,12 @@ def headline(cov: DataFrame) -> DataFrame:
 def path_versions(inventory: DataFrame) -> DataFrame:
     """Each path's versions, joined, and how many filings have it. inventory: object_id, return_version, paths."""
     one = inventory.select("return_version", F.explode("paths").alias("path")).groupBy("path", "return_version").agg(F.count(F.lit(1)).alias("n"))
+    return versions_of(one)
+
+
+def versions_of(counts: DataFrame) -> DataFrame:
+    """The same from counts by path and return_version (n), of which there may be several for one pair."""
+    one = counts.groupBy("path", "return_version").agg(F.sum("n").alias("n"))
     return one.groupBy("path").agg(F.concat_ws(";;", F.sort_array(F.collect_set("return_version"))).alias("versions"), F.sum("n").alias("filings"))
 
 

@@ -9,6 +9,7 @@ from almoner.operators import quality as q
 from almoner.plans.analogs import table
 from almoner.plans.filings import DUCK_LINES, ELEMENTS, READABLE, xml_filings
 from almoner.plans.register import query
+from almoner.sources.shared import written
 
 FILED = f"""{DUCK_LINES}, f AS (SELECT object_id, o_orderkey, count(*) AS n, CAST(sum(CASE WHEN grp = 'pf_paid' AND s_suppkey % 10 <> 7 THEN dollars ELSE 0 END) AS BIGINT) AS parsed, sum(CASE WHEN grp = 'pf_paid' THEN dollars ELSE 0 END) AS listed,
   count(*) FILTER (WHERE grp = 'pf_paid') AS paid_rows, count(*) FILTER (WHERE grp <> 'sched_i' AND s_suppkey % 10 = 6) AS stand_ins FROM lines WHERE {READABLE} GROUP BY 1, 2),
@@ -52,7 +53,7 @@ def v09(spark, sf_dir):
 b AS (SELECT count(*) AS table_filings, count(*) FILTER (WHERE parsed_rows = reported_total) AS table_exact, CAST(0 AS BIGINT) AS table_no_count FROM c)
 SELECT *, 100.0::DOUBLE * pf_within / pf_with_total AS pf_share, 100.0::DOUBLE * table_exact / table_filings AS table_share FROM a, b""")
 def a16(spark, sf_dir):
-    f = _filings(spark, sf_dir)
+    f = written(_filings(spark, sf_dir).select("object_id", "funder_ein", "return_version", "return_type", "n_rows", "paid_rows", "parsed_paid", *fil.TOTALS))
     return q.summary(q.pf_totals(f), q.table_counts(f))
 
 
@@ -84,8 +85,7 @@ def a15(spark, sf_dir):
 
 @query("v04_u04_path_versions", ELEMENTS + " SELECT * FROM versioned")
 def v04(spark, sf_dir):
-    docs = xml_filings(spark, sf_dir).withColumn("paths", fil.element_paths(F.col("xml"))).filter("paths IS NOT NULL")
-    return q.path_versions(docs.select("object_id", F.regexp_extract("xml", 'returnVersion="([^"]*)"', 1).alias("return_version"), "paths"))
+    return q.versions_of(fil.path_counts(xml_filings(spark, sf_dir)))
 
 
 @query("e18_present_in_version", """WITH p AS (SELECT DISTINCT '/p' || CAST(p_partkey % 40 AS VARCHAR) AS path, 'v' || CAST(p_partkey % 3 AS VARCHAR) AS return_version FROM part),

@@ -25,6 +25,17 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch between the JVM and a Python worker; only a single longer row exceeds it.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches in bytes (Spark bounds their rows only), unless the cluster's settings do."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.sparkContext.getConf().get(key) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def put(spark: SparkSession, path: str, text: str) -> str:
     """A small file of that name, by whatever file system the path is on."""
     system, p = _path(spark, path)

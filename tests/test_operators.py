@@ -464,3 +464,30 @@ def test_odd_archives(spark, tmp_path):
     zipfile.ZipFile(tmp_path / "empty.zip", "w").close()
     got = archives.documents(spark, "file://" + str(tmp_path)).collect()
     assert sorted((r.zip_file, r.object_id, len(r.xml), r.error) for r in got) == [(f, str(k), k * 1000, None) for f in ("a.zip", "b.zip") for k in range(4)]
+
+
+def test_what_parsers_make_of_odd_forms(spark):
+    row = lambda x: FILING.format(PAID.format(x))
+    odd = {
+        "empty address": row("<RecipientUSAddress/>"), "repeated": row("<Amt>1</Amt><Amt>2</Amt><RecipientUSAddress><CityNm>A</CityNm></RecipientUSAddress><RecipientUSAddress><CityNm>B</CityNm></RecipientUSAddress>"),
+        "older name first": row("<Amount>9</Amount><Amt>5</Amt>"), "small letters": row("<amt>5</amt>"), "markup": row("<RecipientPersonNm>A <b>x</b> c</RecipientPersonNm>"),
+        "parts": row("<RecipientPersonNm>A<!-- c --><![CDATA[ & ]]>&#66;</RecipientPersonNm>"), "no declaration": row("<x:Amt y:z='1'>5</x:Amt>"),
+        "more after it": row("<Amt>5</Amt>") + "<x/>", "other encoding stated": row("<RecipientPersonNm>é</RecipientPersonNm>").replace('"1.0"', '"1.0" encoding="iso-8859-1"'),
+        "cut off": row("<Amt>5</Amt>")[:-3], "empty row": FILING.format("<GrantOrContributionPdDurYrGrp/>"),
+    }
+    docs = fil.parsed(spark.createDataFrame(list(odd.items()), "object_id string, xml string"))
+    got = {r.object_id: r for r in fil.grant_rows(docs).collect()}
+    assert set(odd) - set(got) == {"cut off"}
+    assert {r.object_id: r.error for r in docs.filter("error IS NOT NULL").collect()} == {"cut off": fil.MALFORMED}
+    assert [(got[k].recipient_country, got[k].recipient_city, got[k].amount_usd) for k in ("empty address", "repeated", "empty row")] == [("US", None, None), ("US", "B", 1), (None, None, None)]
+    assert [got[k].amount_usd for k in ("older name first", "small letters", "no declaration", "more after it")] == [5] * 4
+    assert [got[k].recipient_name_raw for k in ("markup", "parts", "other encoding stated")] == ["A <b>x</b> c", "A & B", "é"]
+
+
+def test_documents_are_read_outside_the_jvm_and_paths_counted_there(spark):
+    docs = spark.createDataFrame([("1", FILING.format(PAID.format("<Amt>1</Amt>") * 3)), ("2", FILING.format("")), ("3", "<not xml")], "object_id string, xml string")
+    counts = fil.path_counts(docs)
+    own = docs.withColumn("paths", fil.element_paths("xml")).filter("paths IS NOT NULL").withColumn("return_version", F.lit("2022v5.0"))
+    assert sorted(map(tuple, quality.versions_of(counts).collect())) == sorted(map(tuple, quality.path_versions(own).collect()))
+    plan = fil.headers(fil.parsed(docs))._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython [from_xml" in plan and plan.count("from_xml") == 1
