@@ -120,6 +120,10 @@ def version_delta(changes: DataFrame) -> DataFrame:
 def carried_over(edges: DataFrame, added: DataFrame, changes: DataFrame) -> DataFrame:
     """The edges of a new version's touched years: those of filings that are kept, and the added filings'."""
     gone = changes.filter("change IN ('superseded', 'removed')").select("object_id")
-    years = version_delta(changes).filter("touched").select("filing_year")
-    kept = edges.join(years, "filing_year", "left_semi").join(gone, "object_id", "left_anti")
+    years = [r[0] for r in version_delta(changes).filter("touched").select("filing_year").collect()]  # a row for each year
+    year = F.col("filing_year").isin([y for y in years if y is not None])
+    old = edges.filter(year | F.col("filing_year").isNull() if None in years else year)
+    # only ids are dealt out; where few filings stay, their ids' table is small enough to be sent to the edges
+    stay = written(old.select("object_id").distinct().join(gone, "object_id", "left_anti"))
+    kept = old.join(stay, "object_id", "left_semi")
     return kept.unionByName(added, allowMissingColumns=True)

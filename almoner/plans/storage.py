@@ -20,7 +20,7 @@ from almoner.operators import relational as rel
 from almoner.plans.analogs import analog, ctes, edges, table
 from almoner.plans.register import query
 from almoner.sources import archives, tables
-from almoner.sources.shared import put, scratch
+from almoner.sources.shared import put, scratch, written
 from almoner.streaming import postings
 
 
@@ -359,10 +359,14 @@ c AS (SELECT coalesce(p.object_id, w.object_id) AS object_id, coalesce(w.filing_
   FROM p FULL JOIN w ON p.object_id = w.object_id)"""
 
 
+#: The filings that have been processed.
+PROCESSED = "CAST(object_id AS BIGINT) % 3 <> 0"
+
+
 def _changes(spark, sf_dir):
     """Two thirds of the filings have been processed; a tenth is listed no more."""
     index, n = analog(spark, sf_dir, "filing_index"), F.col("object_id").cast("long")
-    return rel.filing_changes(index.filter(n % 3 != 0).select("object_id", "filing_year"), index.filter(n % 10 != 1))
+    return rel.filing_changes(index.filter(PROCESSED).select("object_id", "filing_year"), index.filter(n % 10 != 1))
 
 
 @query("q21_filing_changes", CHANGED + " SELECT object_id, filing_year, change FROM c WHERE change IS NOT NULL")
@@ -382,12 +386,12 @@ def q21b(spark, sf_dir):
 )
 def q21c(spark, sf_dir):
     """A version's edges after a month's postings: rows of filings that went are retired, added ones come, only touched years are rewritten."""
-    changes = _changes(spark, sf_dir)
+    changes = written(_changes(spark, sf_dir))
     every = edges(spark, sf_dir).withColumn("filing_year", F.year("tax_period_end"))
-    before = changes.filter("change <> 'added'").select("object_id")
     root = scratch(spark)
-    every.join(before, "object_id", "left_semi").write.partitionBy("filing_year").parquet(root)
-    added = every.join(changes.filter("change = 'added'").select("object_id"), "object_id", "left_semi")
+    every.filter(PROCESSED).write.partitionBy("filing_year").parquet(root)  # the fixture: what the version before had
+    new = written(changes.filter("change = 'added'").select("object_id"))  # by its size it is sent to the edges or not
+    added = every.join(new, "object_id", "left_semi")
     old = spark.read.schema(every.schema).parquet(root)
     pub.rewrite_years(spark, rel.carried_over(old, added, changes), root, f"{root}-staged")
     return spark.read.schema(every.schema).parquet(root).select("grant_id", "filing_year")
