@@ -524,3 +524,14 @@ def test_years_are_written_once(spark, tmp_path):
     got = spark.read.schema(df.schema).parquet(root)
     assert sorted(map(tuple, got.collect())) == sorted([r for r in rows if r[1] != 2001] + [r for r in rows if r[1] == 2001 and r[0] > 10] + [(99, 2005)])
     assert not list((tmp_path / "staged").rglob("*.parquet"))  # they were moved, not copied
+
+
+def test_a_funders_document_is_made_where_its_edges_lie(spark):
+    from almoner.plans.analogs import analog, edges
+
+    e, r = edges(spark, DATA), analog(spark, DATA, "registry")
+    plan = profiles.funder_payloads(e, r, 5, 10)._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in plan and plan.count("Exchange hashpartitioning(funder_ein") == 0
+    plan = profiles.recipient_payloads(e, r, 5, 10)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") <= 1  # the funders' names
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("almoner_")]
