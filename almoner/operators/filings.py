@@ -161,20 +161,15 @@ def tree(text: str) -> ET.Element | None:
     return build.close()
 
 
-def _text(leaf: ET.Element) -> str | None:
-    """A leaf's text, with its markup if it has any, without blanks around it; null where none is left."""
-    text = _markup(leaf) if len(leaf) else leaf.text
-    return (text.strip(_BLANK) or None) if text else None
-
-
 def _markup(node: ET.Element) -> str:
     return (node.text or "") + "".join(f"<{unprefixed(x.tag)}>{_markup(x)}</{unprefixed(x.tag)}>{x.tail or ''}" for x in node)
 
 
 def _slots(fields: dict[str, list[str]], groups: dict[str, str]) -> dict:
-    """Names below names, down to a leaf's (place of its field, rank among the field's paths) or a repeating group's name."""
+    """Names below names, down to a leaf's (place of its field, rank among the field's paths, own bit) or a repeating group's name."""
     tree: dict = {}
-    ends = [(p, (k, rank)) for k, paths in enumerate(fields.values()) for rank, p in enumerate(paths)] + [(p, g) for g, p in groups.items()]
+    places = [(p, k, rank) for k, paths in enumerate(fields.values()) for rank, p in enumerate(paths)]
+    ends = [(p, (k, rank, 1 << n)) for n, (p, k, rank) in enumerate(places)] + [(p, g) for g, p in groups.items()]
     for path, end in ends:
         *above, last = path.lower().split("/")
         at = tree
@@ -194,16 +189,17 @@ def _read(node: ET.Element, slots: dict, values: list, ranks: list[int], rows: l
     the elements that have some below them, by name.
 
     A repeated leaf counts by its first occurrence, a repeated element above leaves by its last."""
-    seen, inner = [], {}
+    seen, inner = 0, {}
     for child in node:
         slot = slots.get(name := _local[child.tag])
         if slot is None:
             continue
         if slot.__class__ is tuple:
-            k, rank = slot
-            if slot not in seen:
-                seen.append(slot)
-                if (values[k] is None or rank < ranks[k]) and (text := _text(child)) is not None:
+            k, rank, bit = slot
+            if not seen & bit:
+                seen |= bit
+                text = _markup(child) if len(child) else child.text
+                if text and (values[k] is None or rank < ranks[k]) and (text := text.strip(_BLANK)):
                     values[k], ranks[k] = text, rank
         elif slot.__class__ is dict:
             inner[name] = child
