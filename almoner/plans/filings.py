@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from almoner.operators import filings as fil
 from almoner.plans.analogs import table
 from almoner.plans.register import query
+from almoner.sources.shared import bound_batches
 
 LINES = """
 SELECT CAST(o_orderkey AS STRING) AS object_id, CASE WHEN o_orderkey % 3 = 0 THEN 'sched_i' WHEN l_linestatus = 'F' THEN 'pf_paid' ELSE 'pf_future' END AS grp,
@@ -222,6 +223,7 @@ versioned AS (SELECT path, string_agg(DISTINCT v, ';;' ORDER BY v) AS versions,
     ELEMENTS + " SELECT object_id, count(path) AS n_paths, string_agg(path, ',' ORDER BY path) AS paths FROM elements GROUP BY 1 UNION ALL SELECT object_id, -1, NULL FROM kinds WHERE o_orderkey % 101 = 0"
 )
 def e16(spark, sf_dir):
+    bound_batches(spark)
     paths = xml_filings(spark, sf_dir).select("object_id", fil.element_paths(F.col("xml")).alias("paths"))
     return paths.select("object_id", F.coalesce(F.size("paths"), F.lit(-1)).cast("long").alias("n_paths"), F.array_join("paths", ",").alias("paths"))
 
